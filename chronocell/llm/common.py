@@ -90,10 +90,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(col) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word in order, and the row each word stands in."""
+def word_hashes(col, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """64-bit hash of every word in order, the row each word stands in, and the hashes of the words' first
+    bytes, of each length in prefixes (0 where the word is not longer)."""
     data, off = utf8(col)
-    hashes, places = [], []
+    hashes, places, more = [], [], [[] for _ in prefixes]
     at, n = 0, len(data)
     opens = np.zeros(n + 1, bool)
     opens[off[:-1]] = True
@@ -119,11 +120,16 @@ def word_hashes(col) -> tuple[np.ndarray, np.ndarray]:
         np.cumsum(x.astype(np.uint64) * up[: len(x)], out=total[1:])
         hashes.append(mix64((total[e] - total[s]) * down[s]))
         places.append(s + at)
+        for n_bytes, own in zip(prefixes, more, strict=True):
+            on = e - s > n_bytes
+            h = np.zeros(len(s), np.uint64)
+            h[on] = mix64((total[s[on] + n_bytes] - total[s[on]]) * down[s[on]] + _U(n_bytes))
+            own.append(h)
         at = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in prefixes)
     where = np.concatenate(places)
-    return np.concatenate(hashes), np.searchsorted(off, where, "right") - 1
+    return np.concatenate(hashes), np.searchsorted(off, where, "right") - 1, *(np.concatenate(x) for x in more)
 
 
 def shingles(col, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

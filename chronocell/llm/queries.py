@@ -22,6 +22,14 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from chronocell.llm.bpe import digests
+
+    return digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronocell.llm.topk import top_pairs
 
@@ -34,6 +42,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.media import media_features
+
+    return media_features(_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.toxicity import judge
+
+    return judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronocell.llm.urls import judge
 
@@ -41,7 +61,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_licenses, op5_topk, op6_warc, op9_urls)}
+    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls)}
 
 
 def oracle_sql() -> dict[str, str]:
