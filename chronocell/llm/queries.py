@@ -60,8 +60,14 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.suffixes import dedup
+
+    return dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), ("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls)}
+    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls, op10_suffixes)}
 
 
 def oracle_sql() -> dict[str, str]:
