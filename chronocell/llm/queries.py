@@ -30,6 +30,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.neardup import classes
+
+    return classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronocell.llm.topk import top_pairs
 
@@ -67,7 +73,7 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls, op10_suffixes)}
+    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op4_neardup, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls, op10_suffixes)}
 
 
 def oracle_sql() -> dict[str, str]:
