@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ LENGTH = 50
 GRAM = 16
 SORTED = 64
 ROWS = 1000  # documents of a chunk
-BLOCK = 1 << 20  # bytes of runs transformed at once
+SLICE = 1 << 18  # bytes of text looked at at once
+BLOCK = 1 << 18  # bytes of runs transformed at once
 LAST = (1 << 63) - 1
 _U = np.uint64
 PARTS = "chunk int, kind int, a binary, b binary, c binary, d binary"
@@ -48,8 +50,21 @@ def _eights(x: np.ndarray) -> np.ndarray:
     return (four[:-4] << _U(32)) | four[4:]
 
 
-def runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Leader, row, first byte, end byte and content hash of every run of windows."""
+def _packed(x: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(x).tobytes(), 1)
+
+
+def _unpacked(x: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), kind)
+
+
+def bucket_of(leader: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of leaders, so leaders in order are in order of their buckets."""
+    return ((leader >> _U(32)) * _U(buckets)) >> _U(32)
+
+
+def runs(data: np.ndarray, off: np.ndarray, content: bool = True) -> tuple[np.ndarray, ...]:
+    """Leader, row, first byte, end byte and (if asked for) content hash of every run of windows."""
     n = len(data) - LENGTH + 1
     none = np.zeros(0, np.int64)
     if n < 1:
@@ -79,6 +94,10 @@ def runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     last[:-1] = new[1:] | ~inside[1:]
     last[-1] = True
     end = np.flatnonzero(last & inside) + LENGTH
+    leader = mix64(least[first] ^ _U(0x5851F42D4C957F2D))
+    row = np.searchsorted(off, first, "right") - 1
+    if not content:
+        return leader, row, first, end, leader
     # content: every 8 bytes are mixed with their place from the run's leader on (sums of a per-place hash)
     word = mix64(eight)
     total = np.zeros(len(word) + 1, np.uint64)
@@ -88,9 +107,7 @@ def runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     stop = end - 7
     s0 = total[stop] - total[first]
     s1 = second[stop] - second[first] - first.astype(np.uint64) * s0
-    leader = mix64(least[first] ^ _U(0x5851F42D4C957F2D))
-    content = mix64(s0 + mix64(s1 + mix64(leader + (end - first).astype(np.uint64))))
-    return leader, np.searchsorted(off, first, "right") - 1, first, end, content
+    return leader, row, first, end, mix64(s0 + mix64(s1 + mix64(leader + (end - first).astype(np.uint64))))
 
 
 class Chunk:
@@ -106,17 +123,21 @@ class Chunk:
         self.text = self.table.column("text").combine_chunks()
 
     def slices(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        for lo, hi in row_slices(self.text, 1 << 20):
+        for lo, hi in row_slices(self.text, SLICE):
             yield lo, hi, *utf8(self.text.slice(lo, hi - lo))
 
-    def shared_runs(self, shared: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-        """Of each slice: leader, row in the chunk, first, end and content of the runs with a shared leader."""
+    def shared_runs(self, replies: pa.Table) -> list[tuple[np.ndarray, ...]]:
+        """Of each slice: leader, row in the chunk, first, end and content of the runs whose leader is shared."""
+        all_runs = [(lo, runs(data, off)) for lo, _, data, off in self.slices()]
+        leaders = np.unique(np.concatenate([r[0] for _, r in all_runs])) if all_runs else np.zeros(0, np.uint64)
+        shared = np.zeros(len(leaders), bool)
+        for kind, a, b in zip(*(replies.column(x).to_pylist() for x in ("kind", "a", "b")), strict=True):
+            if kind == 0:  # a bucket's first leader, how many, and a bit for each
+                at, n = np.frombuffer(a, np.int64)
+                shared[at : at + n] = np.unpackbits(np.frombuffer(b, np.uint8), count=n)
         out = []
-        for lo, _, data, off in self.slices():
-            leader, row, first, end, content = runs(data, off)
-            at = np.searchsorted(shared, leader)
-            on = at < len(shared)
-            on[on] = shared[at[on]] == leader[on]
+        for lo, (leader, row, first, end, content) in all_runs:
+            on = shared[np.searchsorted(leaders, leader)]
             out.append((leader[on], row[on] + lo, first[on], end[on], content[on]))
         return out
 
@@ -137,72 +158,72 @@ def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _send_leaders(buckets: int):
     def send(table: pa.Table) -> pa.Table:
-        """chunk here is the bucket, kind the chunk: a leaders, b whether two rows hold one."""
+        """chunk here is the bucket, kind the chunk: a 32 bits of each leader, b a bit whether two rows hold it, c their place."""
         c = Chunk(table)
-        both = [(x[0], c.ids[x[1] + lo]) for lo, _, data, off in c.slices() for x in [runs(data, off)]]
-        leader, doc = (np.concatenate([x[i] for x in both]) if both else np.zeros(0, np.uint64) for i in (0, 1))
-        order = np.lexsort((doc, leader, leader % _U(buckets)))
+        both = [(x[0], c.ids[x[1] + lo]) for lo, _, data, off in c.slices() for x in [runs(data, off, False)]]
+        leader = np.concatenate([x[0] for x in both]) if both else np.zeros(0, np.uint64)
+        doc = np.concatenate([x[1] for x in both]) if both else np.zeros(0, np.int64)
+        order = np.argsort(leader, kind="stable")  # ids rise already
         leader, doc = leader[order], doc[order]
         s, e = _groups(leader)
         key, many = leader[s], doc[s] != doc[e - 1]
         here = table.column("chunk")[0].as_py()
-        bucket = key % _U(buckets)
-        return _parts([(int(bucket[i]), here, key[i:j].tobytes(), many[i:j].tobytes(), None, None) for i, j in zip(*_groups(bucket), strict=True)])
+        bucket = bucket_of(key, buckets)
+        return _parts([(int(bucket[i]), here, key[i:j].astype(np.uint32).tobytes(), np.packbits(many[i:j]).tobytes(), np.array([i, j - i]).tobytes(), None) for i, j in zip(*_groups(bucket), strict=True)])
 
     return send
 
 
 def _find_shared(table: pa.Table) -> pa.Table:
-    """Leaders of a bucket that two documents hold, back to each chunk that has them."""
-    chunks = table.column("kind").to_numpy()
-    keys = [np.frombuffer(x, np.uint64) for x in table.column("a").to_pylist()]
-    many = np.concatenate([np.frombuffer(x, bool) for x in table.column("b").to_pylist()])
-    key = np.concatenate(keys)
-    once, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-    good = (count > 1) | (np.bincount(inverse, many, minlength=len(once)) > 0)
-    on, rows, at = good[inverse], [], 0
-    for chunk, k in zip(chunks, keys, strict=True):
-        if (kept := k[on[at : at + len(k)]]).size:
-            rows.append((int(chunk), 0, kept.tobytes(), None, None, None))
+    """Which leaders of a bucket two documents hold: bits back to each chunk that sent some.
+
+    Leaders that agree in their 32 bits only are taken as shared too, which costs a little and loses nothing.
+    """
+    keys = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
+    many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(table.column("b").to_pylist(), keys, strict=True)])
+    _, inverse, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    on = ((count > 1) | (np.bincount(inverse, many, minlength=len(count)) > 0))[inverse]
+    rows, at = [], 0
+    for chunk, place, k in zip(table.column("kind").to_pylist(), table.column("c").to_pylist(), keys, strict=True):
+        if (bits := on[at : at + len(k)]).any():
+            rows.append((chunk, 0, place, np.packbits(bits).tobytes(), None, None))
         at += len(k)
     return _parts(rows)
 
 
-def _shared_of(table: pa.Table) -> np.ndarray:
-    found = [np.frombuffer(a, np.uint64) for k, a in zip(table.column("kind").to_pylist(), table.column("a").to_pylist(), strict=True) if k == 0]
-    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+def _numbered(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's different runs in order of leader and content, and the number of each run found."""
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    leader, content = (np.concatenate([x[i] for x in found]) for i in (0, 4))
+    order = np.lexsort((content, leader))
+    new = np.r_[True, (leader[order][1:] != leader[order][:-1]) | (content[order][1:] != content[order][:-1])] if len(order) else np.zeros(0, bool)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _send_runs(buckets: int):
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        """chunk here is the bucket, kind the chunk: a (content, leader), b (length, number), c (least id, greatest id), d text."""
-        shared = _shared_of(right)
-        if not left.num_rows or not len(shared):
+        """chunk here is the bucket, kind the chunk: a (leader, length), b (least id, greatest id), c text, d number of the first."""
+        if not left.num_rows or not right.num_rows:
             return _parts([])
         c = Chunk(left)
-        leader, length, low, high, content, text = [], [], [], [], [], []
-        for (k, row, first, end, h), (_, _, data, _) in zip(c.shared_runs(shared), c.slices(), strict=True):
-            once, at = np.unique(h, return_index=True)
-            order = np.argsort(h, kind="stable")  # rows rise with ids
-            s, e = _groups(h[order])
-            content.append(once)
-            leader.append(k[at])
-            length.append((end - first)[at])
-            low.append(c.ids[row[order[s]]])
-            high.append(c.ids[row[order[e - 1]]])
-            text += [data[a:b].tobytes() for a, b in zip(first[at].tolist(), end[at].tolist(), strict=True)]
-        content, leader, length, low, high = (np.concatenate(x) for x in (content, leader, length, low, high))
-        once, at, number = np.unique(content, return_index=True, return_inverse=True)
+        found = c.shared_runs(right)
+        once, number = _numbered(found)
+        leader, row, first, end = (np.concatenate([x[i] for x in found]) for i in range(4))
         least, most = np.full(len(once), LAST), np.full(len(once), -LAST - 1)
-        np.minimum.at(least, number, low)
-        np.maximum.at(most, number, high)
-        leader, length = leader[at], length[at]
-        bucket = leader % _U(buckets)
-        order = np.argsort(bucket, kind="stable")
+        np.minimum.at(least, number, c.ids[row])
+        np.maximum.at(most, number, c.ids[row])
+        data = [d for _, _, d, _ in c.slices()]
+        piece = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])[once]
+        text = [data[k][a:b].tobytes() for k, a, b in zip(piece.tolist(), first[once].tolist(), end[once].tolist(), strict=True)]
+        leader, length = leader[once], (end - first)[once]
         here, rows = left.column("chunk")[0].as_py(), []
-        for i, j in zip(*_groups(bucket[order]), strict=True):
-            o = order[i:j]
-            rows.append((int(bucket[o[0]]), here, np.c_[once[o], leader[o]].tobytes(), np.c_[length[o], o].astype(np.int64).tobytes(), np.c_[least[o], most[o]].tobytes(), b"".join(text[k] for k in at[o])))
+        bucket = bucket_of(leader, buckets)
+        for i, j in zip(*_groups(bucket), strict=True):
+            a = zstandard.compress(leader[i:j].astype(np.uint32).tobytes() + length[i:j].astype(np.uint32).tobytes(), 1)
+            rows.append((int(bucket[i]), here, a, _packed(np.r_[least[i:j], most[i:j]]), zstandard.compress(b"".join(text[i:j]), 3), np.int64(i).tobytes()))
         return _parts(rows)
 
     return send
@@ -234,12 +255,12 @@ def groups_of_prefix(x: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
     value v - 1. Only undecided places are looked at, and it ends early once a step parts nothing.
     """
     bwt = x[order - 1]
-    back = np.argsort(bwt, kind="stable")  # row that a row of the first column was extended from
+    back = np.argsort(bwt, kind="stable").astype(np.int32)  # row that a row of the first column was extended from
     column = bwt[back]
     parted = np.r_[True, column[1:] != column[:-1]]
-    undecided = np.flatnonzero(~parted)
+    undecided = np.flatnonzero(~parted).astype(np.int32)
     for _ in range(1, length):
-        interval = np.cumsum(parted)
+        interval = np.cumsum(parted, dtype=np.int32)
         new = interval[back[undecided]] != interval[back[undecided - 1]]
         if not new.any():
             break
@@ -248,8 +269,8 @@ def groups_of_prefix(x: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
     return np.cumsum(parted) - 1
 
 
-def least_ids(texts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For each text and each of its windows, the least id of a text with the same window."""
+def least_ids(texts: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text's windows in turn, the least id of a text with the same window; and each text's windows."""
     sep = b"\xff"  # in no UTF-8 text
     x = np.frombuffer(sep.join(texts) + sep, np.uint8)
     length = np.array([len(t) for t in texts])
@@ -257,7 +278,7 @@ def least_ids(texts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     count = length - LENGTH + 1
     order = sort_suffixes(x)
     group = groups_of_prefix(x, order, LENGTH)
-    place = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(count.cumsum() - count, count)
+    place = np.repeat(start - (count.cumsum() - count), count) + np.arange(count.sum())
     row = np.empty(len(x), np.int64)
     row[order] = np.arange(len(x))
     g = group[row[place]]
@@ -265,61 +286,74 @@ def least_ids(texts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     by = np.argsort(g)
     s, _ = _groups(g[by])
     least[g[by][s]] = np.minimum.reduceat(np.repeat(ids, count)[by], s)
-    return np.split(least[g], count.cumsum()[:-1])
+    return least[g], count
 
 
 def _transform(table: pa.Table) -> pa.Table:
-    """Least ids of a bucket's windows, back to the chunks: a run's number, b (first window, windows), c least id."""
-    chunks = table.column("kind").to_numpy()
-    heads = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table.column("a").to_pylist()]
-    sizes = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in table.column("b").to_pylist()]
-    bounds = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in table.column("c").to_pylist()])
-    head, size = np.concatenate(heads), np.concatenate(sizes)
-    chunk = np.repeat(chunks, [len(x) for x in heads])
-    text = b"".join(table.column("d").to_pylist())
-    end = size[:, 0].cumsum()
-    start = end - size[:, 0]
-    order = np.lexsort((head[:, 0], head[:, 1]))  # by leader, then content
-    s, e = _groups(head[order, 0])
-    first = order[s]  # one of each different run, still by leader
-    least = np.minimum.reduceat(bounds[order, 0], s)
+    """Least ids of a bucket's windows, back to the chunks: a run's number, b first window and windows, c least id."""
+    chunk, first_number, leader, length, low, high, texts = [], [], [], [], [], [], []
+    for to, a, b, c, d in zip(*(table.column(x).to_pylist() for x in ("kind", "a", "b", "c", "d")), strict=True):
+        x = _unpacked(a, np.uint32)
+        n = len(x) // 2
+        bounds, text = _unpacked(b, np.int64), zstandard.decompress(c)
+        end = x[n:].cumsum()
+        texts += [text[i:j] for i, j in zip((end - x[n:]).tolist(), end.tolist(), strict=True)]
+        chunk.append(np.full(n, to))
+        first_number.append(int(np.frombuffer(d, np.int64)[0]) + np.arange(n))
+        leader.append(x[:n])
+        length.append(x[n:].astype(np.int64))
+        low.append(bounds[:n])
+        high.append(bounds[n:])
+    chunk, own, leader, length, low, high = (np.concatenate(x) for x in (chunk, first_number, leader, length, low, high))
+    seen: dict[bytes, int] = {}
+    same = np.array([seen.setdefault(t, len(seen)) for t in texts])
+    different = list(seen)
+    least = np.full(len(seen), LAST)
+    np.minimum.at(least, same, low)
+    lead, size = np.empty(len(seen), np.uint32), np.empty(len(seen), np.int64)
+    lead[same], size[same] = leader, length
+    by = np.argsort(lead, kind="stable")  # all runs of a leader stand together
+    holders = np.argsort(same, kind="stable")
+    edge = np.searchsorted(same[holders], np.arange(len(seen) + 1))
     out, lo = [], 0
-    leaders, length = head[first, 1], size[first, 0]
-    while lo < len(first):
-        hi = int(np.searchsorted(length[lo:].cumsum(), BLOCK, "right")) + lo + 1
-        hi = int(np.searchsorted(leaders, leaders[min(hi, len(first)) - 1], "right"))  # all runs of a leader stand together
-        found = least_ids([text[start[i] : end[i]] for i in first[lo:hi]], least[lo:hi])
-        for i, w in zip(range(lo, hi), found, strict=True):
-            a, b = _groups(w)
-            for j in order[s[i] : e[i]]:
-                on = w[a] < bounds[j, 1]
-                if on.any():
-                    out.append((chunk[j], size[j, 1], a[on], (b - a)[on], w[a][on]))
+    leaders, total = lead[by], np.r_[0, size[by].cumsum()]
+    while lo < len(by):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + BLOCK, "right")) - 1)
+        hi = int(np.searchsorted(leaders, leaders[min(hi, len(by)) - 1], "right"))
+        w, count = least_ids([different[i] for i in by[lo:hi]], least[by[lo:hi]])
+        run = np.repeat(np.arange(hi - lo), count)
+        begin = count.cumsum() - count
+        a = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (run[1:] != run[:-1])])
+        b = np.r_[a[1:], len(w)]
+        which = by[lo:hi][run[a]]  # ranges of windows with one least id, to all holders of the run
+        times = edge[which + 1] - edge[which]
+        each = np.repeat(np.arange(len(a)), times)
+        holder = holders[np.arange(len(each)) - np.repeat(times.cumsum() - times, times) + np.repeat(edge[which], times)]
+        on = w[a[each]] < high[holder]
+        each, holder = each[on], holder[on]
+        out.append((chunk[holder], own[holder], a[each] - begin[run[a[each]]], b[each] - a[each], w[a[each]]))
         lo = hi
-    if not out:
-        return _parts([])
-    n = [len(x[2]) for x in out]
-    to, number = np.repeat([x[0] for x in out], n), np.repeat([x[1] for x in out], n)
-    a, b, w = (np.concatenate([x[i] for x in out]) for i in (2, 3, 4))
+    to, number, a, n, w = (np.concatenate([x[i] for x in out]) for i in range(5))
     by = np.argsort(to, kind="stable")
-    return _parts([(int(to[by[i]]), 1, number[by[i:j]].astype(np.int64).tobytes(), np.c_[a[by[i:j]], b[by[i:j]]].astype(np.int64).tobytes(), w[by[i:j]].tobytes(), None) for i, j in zip(*_groups(to[by]), strict=True)])
+    return _parts([(int(to[by[i]]), 1, _packed(number[by[i:j]]), _packed(np.r_[a[by[i:j]], n[by[i:j]]]), _packed(w[by[i:j]]), None) for i, j in zip(*_groups(to[by]), strict=True)])
 
 
 def _cut(columns: list[str]):
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         c = Chunk(left)
-        shared = _shared_of(right)
-        mine = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64).reshape(-1, 2), np.frombuffer(w, np.int64)) for k, a, b, w in zip(*(right.column(x).to_pylist() for x in ("kind", "a", "b", "c")), strict=True) if k == 1]
+        mine = [(_unpacked(a, np.int64), _unpacked(b, np.int64).reshape(2, -1), _unpacked(w, np.int64)) for k, a, b, w in zip(*(right.column(x).to_pylist() for x in ("kind", "a", "b", "c")), strict=True) if k == 1]
         number = np.concatenate([x[0] for x in mine]) if mine else np.zeros(0, np.int64)
         order = np.argsort(number, kind="stable")
         number = number[order]
-        span = np.concatenate([x[1] for x in mine])[order] if mine else np.zeros((0, 2), np.int64)
+        span = np.concatenate([x[1] for x in mine], axis=1).T[order] if mine else np.zeros((0, 2), np.int64)
         least = np.concatenate([x[2] for x in mine])[order] if mine else np.zeros(0, np.int64)
-        found = c.shared_runs(shared)
-        names = np.unique(np.concatenate([x[4] for x in found])) if found else np.zeros(0, np.uint64)
+        found = c.shared_runs(right)
+        _, owns = _numbered(found)
+        done = 0
         n_bytes, removed, spans, kept = [], [], [], []
-        for (_, row, first, _, content), (lo, hi, data, off) in zip(found, c.slices(), strict=True):
-            own = np.searchsorted(names, content)
+        for (_, row, first, _, _), (_, _, data, off) in zip(found, c.slices(), strict=True):
+            own = owns[done : done + len(row)]
+            done += len(row)
             s, e = np.searchsorted(number, own, "left"), np.searchsorted(number, own, "right")
             each = np.repeat(np.arange(len(own)), e - s)
             at = np.arange(len(each)) - np.repeat((e - s).cumsum() - (e - s), e - s) + np.repeat(s, e - s)
