@@ -3,12 +3,13 @@
 Shingles are runs of five words; a shingle weighs its count times 1 + ln(N / df) / ln(N), df counted over
 all documents in 2^20 hash buckets (a fixed 4 MB, so relative frequencies mean the same at any size).
 SAMPLES consistent weighted samples of a text agree with another's with probability of their weighted
-Jaccard similarity; BANDS bands of ROWS samples propose pairs, a rough count of agreeing samples drops
+Jaccard similarity; BANDS bands of ROWS samples (drawn from all SAMPLES, so bands share some) propose
+pairs: one at 0.8 is missed about twice in ten thousand times, one at 0.3 seldom proposed. A rough count of agreeing samples drops
 hopeless ones, and the exact weighted Jaccard of the texts decides.
 
-Exact copies are one node from the start. A bucket never emits all its pairs: members are compared to its
-leader, verified ones join its class; only members left over become pivots (16, then 256, ... a bucket)
-and meet the members of other classes, until every pair of a bucket is in one class or was compared.
+Exact copies are one node from the start. A bucket never emits all its pairs: each text is first
+compared to the least leader of its buckets, then members of other classes to each bucket's leader; only
+members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes, until every pair of a bucket is in one class or was compared.
 Classes are the connected components, by repeated least labels with durable tables between steps.
 
 Defined results: null is the empty text; texts without words match only equal texts; of repeated rows with
@@ -30,22 +31,22 @@ from chronocell.llm.common import durable, mix64, row_slices, shingles
 
 K = 5
 LEAST = 0.8
-ROWS, BANDS = 4, 18
-SAMPLES = ROWS * BANDS
+SAMPLES = 72
+ROWS, BANDS = 7, 64
 HOPELESS = 0.55  # share of agreeing samples; a pair at LEAST falls below it once in ten million times
 DF_BITS, DF_BLOCKS = 20, 64
 LAST = (1 << 63) - 1
 _U = np.uint64
 
 
-def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _draws() -> tuple[np.ndarray, ...]:
     rng = np.random.Generator(np.random.PCG64(20240229))
     n = 1 << 16
     gamma = lambda: -np.log(rng.random(n) * rng.random(n) + 1e-300)  # Gamma(2, 1)
-    return gamma().astype(np.float32), np.log(gamma()).astype(np.float32), rng.integers(1, 1 << 63, (SAMPLES, 2), dtype=np.uint64) | _U(1)
+    return gamma().astype(np.float32), np.log(gamma()).astype(np.float32), rng.integers(1, 1 << 63, (SAMPLES, 2), dtype=np.uint64) | _U(1), np.stack([rng.permutation(SAMPLES)[:ROWS] for _ in range(BANDS)])
 
 
-R, LN_C, SEEDS = _draws()
+R, LN_C, SEEDS, CHOSEN = _draws()
 
 
 def counted(col, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,6 +143,16 @@ def _sketches(idf):
     return run
 
 
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            x = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32).reshape(-1, SAMPLES).astype(np.uint64)
+            total = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(x), BANDS))
+            for j in range(ROWS):
+                total = mix64(total * _U(0x9E3779B97F4A7C15) + x[:, CHOSEN[:, j]])
+            yield pa.record_batch({"bucket": pa.array(total.ravel().view(np.int64)), "node": pa.array(np.repeat(b.column("node").to_numpy(), BANDS))})
+
+
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs whose sketches agree often enough."""
     for b in batches:
@@ -201,9 +212,10 @@ def classes(docs: DataFrame) -> DataFrame:
     sketched = durable(d.mapInArrow(_sketches(idf), "doc_id long, node long, sketch binary"))
     nodes = durable(sketched.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch")))
 
-    bands = nodes.where("sketch is not null").select("node", F.posexplode(F.array(*[F.xxhash64(F.substring("sketch", 1 + 4 * ROWS * i, 4 * ROWS), F.lit(i)) for i in range(BANDS)])).alias("band", "bucket")).select("bucket", "node")
-    large = bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("bucket", "leader")
-    members = durable(bands.join(large, "bucket"))
+    bands = nodes.where("sketch is not null").select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
+    whole = Window.partitionBy("bucket")
+    members = bands.select("bucket", "node", F.min("node").over(whole).alias("leader"), F.max("node").over(whole).alias("other"))
+    members = durable(members.where("leader <> other").select("bucket", "node", "leader"))
 
     def tested(pairs: DataFrame) -> DataFrame:
         """Pairs (a < b) that are near copies."""
@@ -216,24 +228,28 @@ def classes(docs: DataFrame) -> DataFrame:
         p = p.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         return durable(p.mapInArrow(_verify(idf), "a long, b long"))
 
-    edges = tested(members.select(F.col("leader").alias("a"), F.col("node").alias("b")))
-    used, pivots = None, 16
+    edges = tested(members.groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    used, pivots = None, 0
     while True:
         label = components(edges)
         own = members.join(label, "node", "left").select("bucket", "leader", "node", F.coalesce("label", "node").alias("label"))
-        lead = own.where("node = leader").select("bucket", F.col("label").alias("first"))
-        own = own.join(lead, "bucket")
-        rest = own.where("label <> first").select("bucket", "node", "label")
-        if used is not None:
-            rest = rest.join(used, ["bucket", "node"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        now = durable(rest.withColumn("_r", rank).where(F.col("_r") <= pivots).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
-        if now.limit(1).count() == 0:
-            break
-        pairs = own.join(now, "bucket").where((F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("leader")))
-        edges = durable(edges.union(tested(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")))))
-        mine = now.select("bucket", F.col("pivot").alias("node"))
-        used, pivots = durable(mine if used is None else used.union(mine)), pivots * 16
+        mixed = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.max(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("first")).where("l <> m").select("bucket", "first")
+        own = durable(own.join(mixed, "bucket"))
+        if not pivots:
+            pairs = own.where("label <> first").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        else:
+            rest = own.where("label <> first").select("bucket", "node", "label")
+            if used is not None:
+                rest = rest.join(used, ["bucket", "node"], "left_anti")
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+            now = durable(rest.withColumn("_r", rank).where(F.col("_r") <= pivots).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
+            if now.limit(1).count() == 0:
+                break
+            pairs = own.join(now, "bucket").where((F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("leader"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+            mine = now.select("bucket", F.col("pivot").alias("node"))
+            used = durable(mine if used is None else used.union(mine))
+        edges = durable(edges.union(tested(pairs)))
+        pivots = pivots * 16 or 16
 
     of = nodes.join(label, "node", "left").select("node", "rep", "copies", F.coalesce("label", "node").alias("label"))
     whole = of.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min_by("node", F.struct("rep", "node")).alias("stays"))
