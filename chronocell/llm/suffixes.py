@@ -16,7 +16,8 @@ the same exchange) and nothing is collected. A run that a third of all documents
 chunk. Work goes in slices of text, so memory does not grow with a document's neighbours.
 
 Defined results: a null text is empty; a null id is greater than all others; rows that repeat an id do not
-remove from each other; texts under LENGTH bytes stay whole; an empty table gives an empty result.
+remove from each other; texts under LENGTH bytes stay whole; an empty table gives an empty result;
+columns of the input named like an output are dropped.
 """
 
 from __future__ import annotations
@@ -167,7 +168,7 @@ def _send_leaders(buckets: int):
         leader, doc = leader[order], doc[order]
         s, e = _groups(leader)
         key, many = leader[s], doc[s] != doc[e - 1]
-        here = table.column("chunk")[0].as_py()
+        here = table.column("_chunk")[0].as_py()
         bucket = bucket_of(key, buckets)
         return _parts([(int(bucket[i]), here, key[i:j].astype(np.uint32).tobytes(), np.packbits(many[i:j]).tobytes(), np.array([i, j - i]).tobytes(), None) for i, j in zip(*_groups(bucket), strict=True)])
 
@@ -219,7 +220,7 @@ def _send_runs(buckets: int):
         piece = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])[once]
         text = [data[k][a:b].tobytes() for k, a, b in zip(piece.tolist(), first[once].tolist(), end[once].tolist(), strict=True)]
         leader, length = leader[once], (end - first)[once]
-        here, rows = left.column("chunk")[0].as_py(), []
+        here, rows = left.column("_chunk")[0].as_py(), []
         bucket = bucket_of(leader, buckets)
         for i, j in zip(*_groups(bucket), strict=True):
             a = zstandard.compress(leader[i:j].astype(np.uint32).tobytes() + length[i:j].astype(np.uint32).tobytes(), 1)
@@ -386,21 +387,21 @@ def dedup(docs: DataFrame, outputs: tuple[str, ...] = tuple(OUT), rows: int = RO
     """docs (without text) with outputs: bytes, removed bytes, removed spans, digest and bytes of what is left."""
     spark = docs.sparkSession
     chunks = max(2 * partitions(spark), -(-docs.count() // rows))
-    kept = [c for c in docs.columns if c not in (*OUT, "chunk", "text")]
+    kept = [c for c in docs.columns if c not in (*OUT, "_chunk", "text")]
     fields = [f for f in docs.schema if f.name in kept]
-    base = docs.select(*[F.col(f"`{c}`") for c in kept], "text", F.pmod(F.xxhash64("doc_id", F.octet_length(F.col("text"))), F.lit(chunks)).cast("int").alias("chunk"))
-    leaders = base.groupBy("chunk").applyInArrow(_send_leaders(chunks), PARTS)
+    base = docs.select(*[F.col(f"`{c}`") for c in kept], "text", F.pmod(F.xxhash64("doc_id", F.octet_length(F.col("text"))), F.lit(chunks)).cast("int").alias("_chunk"))
+    leaders = base.groupBy("_chunk").applyInArrow(_send_leaders(chunks), PARTS)
     shared = leaders.groupBy("chunk").applyInArrow(_find_shared, PARTS)
-    sent = base.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_runs(chunks), PARTS)
+    sent = base.groupBy("_chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_runs(chunks), PARTS)
     least = sent.groupBy("chunk").applyInArrow(_transform, PARTS)
     columns = [*kept, *outputs]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{o} {OUT[o]}" for o in outputs)])
     both = shared.unionByName(least)
-    return base.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cut(columns), schema)
+    return base.groupBy("_chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cut(columns), schema)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes cut from their text (what a cut leaves of a character is dropped)."""
     d = dedup(docs, ("n_removed", "kept"))
     text = F.when(F.col("n_removed") > 0, F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string")))).otherwise(F.col("kept").cast("string"))
-    return d.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return d.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*OUT, "_chunk")])
