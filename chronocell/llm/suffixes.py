@@ -386,7 +386,7 @@ OUT = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256":
 def dedup(docs: DataFrame, outputs: tuple[str, ...] = tuple(OUT), rows: int = ROWS) -> DataFrame:
     """docs (without text) with outputs: bytes, removed bytes, removed spans, digest and bytes of what is left."""
     spark = docs.sparkSession
-    chunks = max(2 * partitions(spark), -(-docs.count() // rows))
+    chunks = max(partitions(spark), -(-docs.count() // rows))
     kept = [c for c in docs.columns if c not in (*OUT, "_chunk", "text")]
     fields = [f for f in docs.schema if f.name in kept]
     base = docs.select(*[F.col(f"`{c}`") for c in kept], "text", F.pmod(F.xxhash64("doc_id", F.octet_length(F.col("text"))), F.lit(chunks)).cast("int").alias("_chunk"))
