@@ -8,8 +8,13 @@ pairs: one at 0.8 is missed about twice in ten thousand times, one at 0.3 seldom
 hopeless ones, and the exact weighted Jaccard of the texts decides.
 
 Exact copies are one node from the start. A bucket never emits all its pairs: each text is first
-compared to the least leader of its buckets, then members of other classes to each bucket's leader; only
-members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes, until every pair of a bucket is in one class or was compared.
+compared to the least leader of its buckets, then members of other classes to each bucket's leader. Texts
+of buckets that still hold several classes get a bound: their rare shingles, those that one or two of
+these texts hold, tell what a text can share with others at most. Pairs with a rare shingle in common are
+listed from the shingles; any other pair shares no more than the lesser of what is left of the two texts, so
+a text whose rare shingles weigh over 1 - LEAST of it has no further partner, and a pair under the bound is
+not near. Members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes
+that the bound lets through, until every pair of a bucket is in one class, excluded by the bound, or compared.
 Classes are the connected components, by repeated least labels with durable tables between steps.
 
 Defined results: null is the empty text; texts without words match only equal texts; of repeated rows with
@@ -184,6 +189,45 @@ def _verify(idf):
     return run
 
 
+def _postings(idf):
+    """Each text's different shingles with their weight and the text's; one more, its own and of no weight, is for texts without rare ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for b in batches:
+            for lo, hi in row_slices(b.column("text"), 1 << 19):
+                part = b.slice(lo, hi - lo)
+                row, h, w = _weighted(part.column("text"), table)
+                node = part.column("node").to_numpy()
+                whole = np.bincount(row, w, minlength=len(node))
+                at = np.r_[row, np.arange(len(node))]
+                own = mix64(node.view(np.uint64) ^ _U(0x2545F4914F6CDD1D))
+                yield pa.record_batch({"shingle": pa.array(np.r_[h, own].view(np.int64)), "node": pa.array(node[at]), "w": pa.array(np.r_[w, np.zeros(len(node))].astype(np.float64)), "whole": pa.array(whole[at])})
+
+    return run
+
+
+def rare_weights(texts: DataFrame, idf) -> DataFrame:
+    """(a, null, weight of a's rare shingles, a's weight) of each text and (a, b, weight of the rare shingles of both) of pairs that have some.
+
+    A shingle is rare if one or two of the texts hold it, so count, least and greatest holder tell all of it:
+    every step is a sum that tasks prepare, however many texts hold a shingle.
+    """
+    found = texts.select("node", "text").mapInArrow(_postings(idf), "shingle long, node long, w double, whole double")
+    held = F.struct("node", "w", "whole")
+    by = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(held).alias("x"), F.max(held).alias("y")).where("n <= 2")
+    alone = lambda s: F.struct(F.col(f"{s}.node").alias("a"), F.lit(None).cast("long").alias("b"), F.col(f"{s}.w").alias("w"), F.col(f"{s}.whole").alias("whole"))
+    both = F.struct(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.w", "y.w").alias("w"), F.lit(0.0).alias("whole"))
+    rows = by.select(F.explode(F.when(F.col("n") == 1, F.array(alone("x"))).otherwise(F.array(alone("x"), alone("y"), both))).alias("r")).select("r.*")
+    return rows.groupBy("a", "b").agg(F.sum("w").alias("w"), F.max("whole").alias("whole"))
+
+
+def _possible(left_a, whole_a, left_b, whole_b, shared=0.0):
+    """Whether two texts can be near that share the rare weight given, and otherwise at most the lesser of what is left of them."""
+    most = F.least(left_a, left_b) + F.lit(shared)
+    return most >= F.lit(LEAST - 1e-6) * (whole_a + whole_b - most)
+
+
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label): the least node of each node's component, for nodes with an edge.
 
@@ -217,39 +261,58 @@ def classes(docs: DataFrame) -> DataFrame:
     members = bands.select("bucket", "node", F.min("node").over(whole).alias("leader"), F.max("node").over(whole).alias("other"))
     members = durable(members.where("leader <> other").select("bucket", "node", "leader"))
 
+    def texts_of(some: DataFrame) -> DataFrame:
+        needed = some.dropDuplicates().join(nodes.select("node", "rep"), "node")
+        return d.join(needed.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"], "left_semi").dropDuplicates(["node", "doc_id"]).select("node", "text")
+
     def tested(pairs: DataFrame) -> DataFrame:
         """Pairs (a < b) that are near copies."""
         p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").dropDuplicates()
         s = nodes.select("node", "sketch")
         p = p.join(s.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(s.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
         p = durable(p.mapInArrow(_agree, "a long, b long"))
-        needed = p.select(F.col("a").alias("node")).union(p.select("b")).dropDuplicates().join(nodes.select("node", "rep"), "node")
-        t = d.join(needed.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"], "left_semi").dropDuplicates(["node", "doc_id"]).select("node", "text")
+        t = texts_of(p.select(F.col("a").alias("node")).union(p.select("b")))
         p = p.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         return durable(p.mapInArrow(_verify(idf), "a long, b long"))
 
+    def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+        """members of the buckets that hold several classes, with their class and that of the bucket's leader."""
+        own = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("bucket")
+        return durable(own.join(label.select(F.col("node").alias("leader"), F.col("label").alias("first")), "leader", "left").withColumn("first", F.coalesce("first", "leader")).join(mixed, "bucket"))
+
     edges = tested(members.groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")))
-    used, pivots = None, 0
-    while True:
+    label = components(edges)
+    own = labelled(members, label).where("label <> first")
+    edges = durable(edges.union(tested(own.select(F.col("leader").alias("a"), F.col("node").alias("b")))))
+    label = components(edges)
+    own = labelled(members, label)
+    if own.where("label <> first").limit(1).count():
+        weights = durable(rare_weights(texts_of(own.select("node")), idf))
+        left = durable(weights.where("b is null").select(F.col("a").alias("node"), (F.col("whole") - F.col("w")).alias("left"), "whole").where(F.col("left") >= F.lit(LEAST - 1e-6) * F.col("whole")))
+        one = lambda c: weights.where("b is null").select(F.col("a").alias(c), (F.col("whole") - F.col("w")).alias(f"left_{c}"), F.col("whole").alias(f"whole_{c}"))
+        twos = weights.where("b is not null").select("a", "b", "w").join(one("a"), "a").join(one("b"), "b")
+        edges = durable(edges.union(tested(twos.where(_possible(F.col("left_a"), F.col("whole_a"), F.col("left_b"), F.col("whole_b"), F.col("w"))).select("a", "b"))))
         label = components(edges)
-        own = members.join(label, "node", "left").select("bucket", "leader", "node", F.coalesce("label", "node").alias("label"))
-        mixed = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.max(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("first")).where("l <> m").select("bucket", "first")
-        own = durable(own.join(mixed, "bucket"))
-        if not pivots:
-            pairs = own.where("label <> first").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        else:
-            rest = own.where("label <> first").select("bucket", "node", "label")
-            if used is not None:
-                rest = rest.join(used, ["bucket", "node"], "left_anti")
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            now = durable(rest.withColumn("_r", rank).where(F.col("_r") <= pivots).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
-            if now.limit(1).count() == 0:
-                break
-            pairs = own.join(now, "bucket").where((F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("leader"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            mine = now.select("bucket", F.col("pivot").alias("node"))
-            used = durable(mine if used is None else used.union(mine))
+        members = durable(own.select("bucket", "leader", "node").join(left, "node"))
+    used, pivots = None, 16
+    while own.where("label <> first").limit(1).count():
+        own = labelled(members, label)
+        rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole")
+        if used is not None:
+            rest = rest.join(used, ["bucket", "node"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+        now = durable(rest.withColumn("_r", rank).where(F.col("_r") <= pivots).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"), F.col("left").alias("pivot_left"), F.col("whole").alias("pivot_whole")))
+        if now.limit(1).count() == 0:
+            break
+        on = (F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("leader"))
+        on &= _possible(F.col("left"), F.col("whole"), F.col("pivot_left"), F.col("pivot_whole"))
+        pairs = own.withColumnRenamed("bucket", "_bucket").join(now, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        mine = now.select("bucket", F.col("pivot").alias("node"))
+        used = durable(mine if used is None else used.union(mine))
         edges = durable(edges.union(tested(pairs)))
-        pivots = pivots * 16 or 16
+        label = components(edges)
+        pivots *= 16
 
     of = nodes.join(label, "node", "left").select("node", "rep", "copies", F.coalesce("label", "node").alias("label"))
     whole = of.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min_by("node", F.struct("rep", "node")).alias("stays"))
