@@ -101,6 +101,31 @@ def test_near_copies(spark, docs):
     assert neardup.classes(empty(docs)).count() == 0
 
 
+def test_variants_of_one_text_equal_brute_force(spark):
+    """Texts near the threshold: the bound must lose no link."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(60):
+        t = base.copy()
+        for at in rng.choice(120, 1 + i % 6, replace=False):
+            t[at] = f"e{rng.integers(0, 5)}"
+        texts.append(" ".join(t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = neardup.idf_table(*neardup.document_frequencies(docs))
+    row, h, w = neardup._weighted(pa.array(texts, pa.large_string()), idf)
+    own = [dict(zip(h[row == i].tolist(), w[row == i].tolist(), strict=True)) for i in range(60)]
+    label = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            common = sum(min(x, own[j][k]) for k, x in own[i].items() if k in own[j])
+            if common >= 0.8 * (sum(own[i].values()) + sum(own[j].values()) - common):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    assert 1 < len(set(label)) < 60
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == dict(enumerate(label))
+
+
 def test_consistent_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     h = np.sort(rng.integers(1, 1 << 63, 4000, dtype=np.uint64))
