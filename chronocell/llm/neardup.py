@@ -11,11 +11,12 @@ Exact copies are one node from the start. A bucket never emits all its pairs: ea
 compared to the least leader of its buckets, then members of other classes to each bucket's leader. Texts
 of buckets that still hold several classes get a bound: their rare shingles, those that one or two of
 these texts hold, tell what a text can share with others at most. Pairs with a rare shingle in common are
-listed from the shingles; any other pair shares no more than the lesser of what is left of the two texts, so
-a text whose rare shingles weigh over 1 - LEAST of it has no further partner, and a pair under the bound is
-not near. Members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes
+listed from the shingles; any other pair shares no more than the lesser of what is left of the two texts in
+each of PARTS hash parts, so a text whose rare shingles weigh over 1 - LEAST of it has no further partner,
+and a pair under the bound is not near. Members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes
 that the bound lets through, until every pair of a bucket is in one class, excluded by the bound, or compared.
-Classes are the connected components, by repeated least labels with durable tables between steps.
+Classes are the connected components, by repeated least labels with durable tables between steps; new pairs
+only join classes, so each later step is over the classes that they touch.
 
 Defined results: null is the empty text; texts without words match only equal texts; of repeated rows with
 one id and text all share the class and the first alone is kept; a null id is greater than all others
@@ -40,6 +41,7 @@ SAMPLES = 72
 ROWS, BANDS = 7, 64
 HOPELESS = 0.55  # share of agreeing samples; a pair at LEAST falls below it once in ten million times
 DF_BITS, DF_BLOCKS = 20, 64
+PARTS = 64  # hash parts of the bound
 LAST = (1 << 63) - 1
 _U = np.uint64
 
@@ -190,7 +192,7 @@ def _verify(idf):
 
 
 def _postings(idf):
-    """Each text's different shingles with their weight and the text's; one more, its own and of no weight, is for texts without rare ones."""
+    """Each text's different shingles with their weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
@@ -199,33 +201,69 @@ def _postings(idf):
                 part = b.slice(lo, hi - lo)
                 row, h, w = _weighted(part.column("text"), table)
                 node = part.column("node").to_numpy()
-                whole = np.bincount(row, w, minlength=len(node))
-                at = np.r_[row, np.arange(len(node))]
-                own = mix64(node.view(np.uint64) ^ _U(0x2545F4914F6CDD1D))
-                yield pa.record_batch({"shingle": pa.array(np.r_[h, own].view(np.int64)), "node": pa.array(node[at]), "w": pa.array(np.r_[w, np.zeros(len(node))].astype(np.float64)), "whole": pa.array(whole[at])})
+                yield pa.record_batch({"shingle": pa.array(h.view(np.int64)), "node": pa.array(node[row]), "w": pa.array(w.astype(np.float64))})
 
     return run
 
 
-def rare_weights(texts: DataFrame, idf) -> DataFrame:
-    """(a, null, weight of a's rare shingles, a's weight) of each text and (a, b, weight of the rare shingles of both) of pairs that have some.
+def _part_weights(idf):
+    """Each text's weight, whole and by hash part of its shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for b in batches:
+            for lo, hi in row_slices(b.column("text"), 1 << 19):
+                part = b.slice(lo, hi - lo)
+                n = part.num_rows
+                row, h, w = _weighted(part.column("text"), table)
+                by = np.bincount(row * PARTS + (h & _U(PARTS - 1)).astype(np.int64), w, minlength=n * PARTS)
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * PARTS), pa.array(by))
+                yield pa.record_batch({"node": part.column("node"), "whole": pa.array(np.bincount(row, w, minlength=n).astype(np.float64)), "parts": parts})
+
+    return run
+
+
+def rare_weights(texts: DataFrame, idf) -> tuple[DataFrame, DataFrame]:
+    """(node, whole, left, parts): each text's weight and what its rare shingles leave of it, whole and by hash part;
+    and (a, b, w): the weight of the rare shingles that both texts of a pair hold, of pairs that have some.
 
     A shingle is rare if one or two of the texts hold it, so count, least and greatest holder tell all of it:
     every step is a sum that tasks prepare, however many texts hold a shingle.
     """
-    found = texts.select("node", "text").mapInArrow(_postings(idf), "shingle long, node long, w double, whole double")
-    held = F.struct("node", "w", "whole")
+    found = texts.select("node", "text").mapInArrow(_postings(idf), "shingle long, node long, w double")
+    held = F.struct("node", "w")
     by = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(held).alias("x"), F.max(held).alias("y")).where("n <= 2")
-    alone = lambda s: F.struct(F.col(f"{s}.node").alias("a"), F.lit(None).cast("long").alias("b"), F.col(f"{s}.w").alias("w"), F.col(f"{s}.whole").alias("whole"))
-    both = F.struct(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.w", "y.w").alias("w"), F.lit(0.0).alias("whole"))
-    rows = by.select(F.explode(F.when(F.col("n") == 1, F.array(alone("x"))).otherwise(F.array(alone("x"), alone("y"), both))).alias("r")).select("r.*")
-    return rows.groupBy("a", "b").agg(F.sum("w").alias("w"), F.max("whole").alias("whole"))
-
-
-def _possible(left_a, whole_a, left_b, whole_b, shared=0.0):
-    """Whether two texts can be near that share the rare weight given, and otherwise at most the lesser of what is left of them."""
-    most = F.least(left_a, left_b) + F.lit(shared)
-    return most >= F.lit(LEAST - 1e-6) * (whole_a + whole_b - most)
+    alone = lambda s: F.struct(F.col(f"{s}.node").alias("a"), F.lit(None).cast("long").alias("b"), F.col(f"{s}.w").alias("w"))
+    both = F.struct(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.w", "y.w").alias("w"))
+    rows = by.select(F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int").alias("part"), F.explode(F.when(F.col("n") == 1, F.array(alone("x"))).otherwise(F.array(alone("x"), alone("y"), both))).alias("r"))
+    rows = durable(rows.select("part", "r.*").groupBy("a", "b", "part").agg(F.sum("w").alias("w")))
+    rare = rows.where("b is null").groupBy("a").agg(F.map_from_entries(F.collect_list(F.struct("part", "w"))).alias("rare"))  # PARTS entries at most
+    of = texts.select("node", "text").mapInArrow(_part_weights(idf), "node long, whole double, parts array<double>")
+    of = of.join(rare.withColumnRenamed("a", "node"), "node", "left")
+    less = F.transform("parts", lambda x, i: F.greatest(x - F.coalesce(F.element_at("rare", i), F.lit(0.0)), F.lit(0.0)).cast("float"))
+    left = of.select("node", "whole", less.alias("parts")).withColumn("left", F.aggregate("parts", F.lit(0.0), lambda t, x: t + x))
+    return left, rows.where("b is not null").groupBy("a", "b").agg(F.sum("w").alias("w"))
+
+
+def _possible(a: str, b: str, shared=0.0):
+    """Whether two texts can be near that share the rare weight given, and otherwise at most the lesser of what is left of them in each part."""
+    least = F.lit(LEAST - 1e-6) * (F.col(f"whole{a}") + F.col(f"whole{b}"))
+    near = lambda most: (most + F.lit(shared)) * F.lit(1 + LEAST - 1e-6) >= least
+    by_part = F.aggregate(F.zip_with(f"parts{a}", f"parts{b}", lambda x, y: F.least(x, y)), F.lit(0.0), lambda t, x: t + x)
+    return near(F.least(f"left{a}", f"left{b}")) & near(by_part)
+
+
+def joined(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """label with the classes joined that the further edges connect, in the form of components."""
+    own = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    ends = edges.join(own("a"), "a", "left").join(own("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    ends = durable(ends.where("a <> b").dropDuplicates())
+    if ends.limit(1).count() == 0:
+        return label
+    now = components(ends).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    old = label.join(now, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    new = now.join(label.select(F.col("node").alias("label")), "label", "left_anti")
+    return durable(old.union(new))
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -284,34 +322,31 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = tested(members.groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     label = components(edges)
     own = labelled(members, label).where("label <> first")
-    edges = durable(edges.union(tested(own.select(F.col("leader").alias("a"), F.col("node").alias("b")))))
-    label = components(edges)
+    label = joined(label, tested(own.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
     own = labelled(members, label)
     if own.where("label <> first").limit(1).count():
-        weights = durable(rare_weights(texts_of(own.select("node")), idf))
-        left = durable(weights.where("b is null").select(F.col("a").alias("node"), (F.col("whole") - F.col("w")).alias("left"), "whole").where(F.col("left") >= F.lit(LEAST - 1e-6) * F.col("whole")))
-        one = lambda c: weights.where("b is null").select(F.col("a").alias(c), (F.col("whole") - F.col("w")).alias(f"left_{c}"), F.col("whole").alias(f"whole_{c}"))
-        twos = weights.where("b is not null").select("a", "b", "w").join(one("a"), "a").join(one("b"), "b")
-        edges = durable(edges.union(tested(twos.where(_possible(F.col("left_a"), F.col("whole_a"), F.col("left_b"), F.col("whole_b"), F.col("w"))).select("a", "b"))))
-        label = components(edges)
-        members = durable(own.select("bucket", "leader", "node").join(left, "node"))
+        left, twos = rare_weights(durable(texts_of(own.select("node"))), idf)
+        left = durable(left)
+        every = lambda c: left.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("whole", "left", "parts")))
+        twos = twos.join(every("a"), "a").join(every("b"), "b")
+        label = joined(label, tested(twos.where(_possible("_a", "_b", F.col("w"))).select("a", "b")))
+        members = durable(own.select("bucket", "leader", "node").join(left.where(F.col("left") >= F.lit(LEAST - 1e-6) * F.col("whole")), "node"))
     used, pivots = None, 16
     while own.where("label <> first").limit(1).count():
         own = labelled(members, label)
-        rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole")
+        rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole", "parts")
         if used is not None:
             rest = rest.join(used, ["bucket", "node"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        now = durable(rest.withColumn("_r", rank).where(F.col("_r") <= pivots).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"), F.col("left").alias("pivot_left"), F.col("whole").alias("pivot_whole")))
+        now = rest.withColumn("_r", rank).where(F.col("_r") <= pivots).drop("_r")
+        now = durable(now.select("bucket", F.col("node").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("label", "left", "whole", "parts"))))
         if now.limit(1).count() == 0:
             break
-        on = (F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("leader"))
-        on &= _possible(F.col("left"), F.col("whole"), F.col("pivot_left"), F.col("pivot_whole"))
+        on = (F.col("label") != F.col("label_p")) & (F.col("node") != F.col("leader")) & _possible("", "_p")
         pairs = own.withColumnRenamed("bucket", "_bucket").join(now, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         mine = now.select("bucket", F.col("pivot").alias("node"))
         used = durable(mine if used is None else used.union(mine))
-        edges = durable(edges.union(tested(pairs)))
-        label = components(edges)
+        label = joined(label, tested(pairs))
         pivots *= 16
 
     of = nodes.join(label, "node", "left").select("node", "rep", "copies", F.coalesce("label", "node").alias("label"))
