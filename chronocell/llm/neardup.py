@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronocell.llm.common import durable, mix64, row_slices, shingles
@@ -283,12 +283,23 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         now = new.select("node", "label")
 
 
+def _identity() -> tuple[Column, Column, Column]:
+    """doc_id (LAST for null), text (empty for null) and node (hash of the text) of a row."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), text, F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least id of the class), class_size (rows), kept (this row stays) of every row."""
+    null = lambda c: F.when(F.col(c) != LAST, F.col(c)).alias(c)
+    return _judged(docs).select(null("doc_id"), null("class_id"), "class_size", "kept")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """classes with the node of every row, and LAST for a null id."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    node = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("node")
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), text.alias("text"), node)
+    doc_id, text, node = _identity()
+    d = docs.select(doc_id.alias("doc_id"), text.alias("text"), node.alias("node"))
     df, n = document_frequencies(d)
     idf = spark.sparkContext.broadcast(idf_table(df, n))  # 4 MB whatever the input
     sketched = durable(d.mapInArrow(_sketches(idf), "doc_id long, node long, sketch binary"))
@@ -353,16 +364,15 @@ def classes(docs: DataFrame) -> DataFrame:
     whole = of.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min_by("node", F.struct("rep", "node")).alias("stays"))
     first = of.join(whole, "label").select("node", "class_id", "class_size", (F.col("node") == F.col("stays")).alias("chosen"))
     out = sketched.select("doc_id", "node").join(first, "node")
-    null = lambda c: F.when(F.col(c) != LAST, F.col(c)).alias(c)
-    return out.select(null("doc_id"), null("class_id"), "class_size", (F.col("chosen") & (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+    return out.select("doc_id", "node", "class_id", "class_size", (F.col("chosen") & (F.col("doc_id") == F.col("class_id"))).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without near copies: the row of each class's least id stays (one, where rows repeat it)."""
-    c = classes(docs)
-    stay = c.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
-    stay = durable(stay)
-    out = docs.join(stay.select(F.col("doc_id").alias("_stay")), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():  # ids that repeat: one row of each kept id
-        out = out.dropDuplicates(["doc_id"])
-    return out
+    """docs without near copies: of each class the row of the chosen text with the least id stays (one, where rows repeat id and text)."""
+    stay = durable(_judged(docs).where("kept").groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("times")))
+    doc_id, _, node = _identity()
+    own = docs.withColumns({"_id": doc_id, "_node": node})
+    out = own.join(stay.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")), ["_id", "_node"], "left_semi")
+    if stay.where("times > 1").limit(1).count():  # rows that repeat id and text
+        out = out.dropDuplicates(["_id", "_node"])
+    return out.select(*docs.columns)

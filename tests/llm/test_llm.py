@@ -101,6 +101,20 @@ def test_near_copies(spark, docs):
     assert neardup.classes(empty(docs)).count() == 0
 
 
+def test_one_of_each_keeps_texts_that_share_an_id(spark):
+    words = lambda c: [f"{c}{i}" for i in range(100)]
+    text = {c: " ".join(words(c)) for c in "abcdefgh"}
+    near_a = " ".join([*words("a")[:50], "other", *words("a")[51:]])
+    rows = [(1, text["a"]), (2, near_a), (2, text["b"]), (3, text["c"]), (3, text["d"]), (3, text["d"])]
+    rows += [(None, text["e"]), (None, text["f"]), (None, text["f"]), (None, text["g"]), (None, text["a"]), (None, None), (None, "")]
+    d = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    out = neardup.one_of_each(d)
+    assert out.columns == d.columns
+    want = [(1, "a"), (2, "b"), (3, "c"), (3, "d"), (None, "e"), (None, "f"), (None, "g")]
+    got = [(r.doc_id, r.text or "") for r in out.collect()]
+    assert sorted(got, key=repr) == sorted([*[(i, text[c]) for i, c in want], (None, "")], key=repr)
+
+
 def test_variants_of_one_text_equal_brute_force(spark):
     """Texts near the threshold: the bound must lose no link."""
     rng = np.random.default_rng(11)
