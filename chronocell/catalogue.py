@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronocell.functions import pixels
-from chronocell.functions.periods import Period
+from chronocell.functions.periods import Period, local_time
 from chronocell.operators import fuse, geomedian, models, morphology, planner, spatial, summaries
 from chronocell.operators.summaries import execute
 from chronocell.sources import sinks
@@ -256,6 +256,13 @@ def n1(spark, sf):
     return morphology.dilate_rows(p, "m", 2, ["image"]).select("y", "x", "dilated")
 
 
+@query("n1_dilation_days", OBS + """, p AS (SELECT solar_day, y, x, bool_or(fmask = 2) AS m FROM obs GROUP BY ALL)
+SELECT p.solar_day, p.y, p.x, coalesce(bool_or(s.m), false) AS dilated FROM p LEFT JOIN p s ON s.solar_day = p.solar_day AND s.m AND (p.y - s.y) ** 2 + (p.x - s.x) ** 2 <= 4 GROUP BY ALL""")
+def n1_days(spark, sf):
+    p = obs(spark, sf).groupBy("solar_day", "y", "x").agg(F.bool_or(F.col("fmask") == 2).alias("m"))
+    return morphology.dilate_rows(p, "m", 2, ["solar_day"]).select("solar_day", "y", "x", "dilated")
+
+
 @query("r3_average", OBS + " SELECT (y // 3)::BIGINT AS y, (x // 3)::BIGINT AS x, avg(red)::DOUBLE AS red FROM obs GROUP BY 1, 2")
 def r3(spark, sf):
     return spatial.average_down(obs(spark, sf), ["red"], 3)
@@ -342,6 +349,17 @@ def b6(spark, sf):
     return planner.binned(shipped(spark, sf), "rolling-3months", Period.parse("1997--P1Y")).select("id", "period")
 
 
+@query("b6_rolling_span", LOCAL + """, r AS (SELECT date_trunc('year', min(t)) AS a, date_trunc('year', max(t)) AS z FROM t), b AS (SELECT s, s + INTERVAL 3 MONTH - INTERVAL 1 MICROSECOND AS e FROM (SELECT unnest(generate_series(a, z + INTERVAL 9 MONTH, INTERVAL 1 MONTH)) AS s FROM r))
+SELECT id, strftime(s, '%Y-%m') || '--P3M' AS period FROM t JOIN b ON t BETWEEN s AND e""")
+def b6_span(spark, sf):
+    s = shipped(spark, sf)
+    local = local_time(F.col("center_time"), F.col("utc_offset"))
+    r = s.agg(F.year(F.min(local)).alias("a"), F.year(F.max(local)).alias("z")).first()  # one row
+    if r.a is None:
+        return s.where("false").select("id", F.lit("").alias("period"))
+    return planner.binned(s, "rolling-3months", Period(datetime(r.a, 1, 1), r.z - r.a + 1, "Y")).select("id", "period")
+
+
 @query("b8_tasks", SCENES + " SELECT strftime(center_time, '%Y') || '--P1Y' AS period, x, y, count(DISTINCT id)::INT AS n FROM scenes GROUP BY ALL")
 def b8(spark, sf):
     b = planner.binned(scenes(spark, sf).withColumn("utc_offset", F.lit(0.0)), "annual")
