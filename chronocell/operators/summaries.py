@@ -34,12 +34,15 @@ def register(name: str):
 
 def resolve(name: str) -> type[Summary]:
     """By registered name, else by dotted path."""
+    import importlib
+
+    for own in ("geomedian", "landcover"):  # they register theirs
+        importlib.import_module(f"chronocell.operators.{own}")
     if name in REGISTRY:
         return REGISTRY[name]
     module, _, attribute = name.rpartition(".")
     if not module:
         raise ValueError(f"no summary {name!r}")
-    import importlib
 
     try:
         cls = getattr(importlib.import_module(module), attribute)

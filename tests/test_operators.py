@@ -137,3 +137,48 @@ def test_patch_and_tree_models(spark):
     assert image(got, "prediction") == [[2.0, 4.0], [6.0, 8.0]]
     got = models.predict_patches(df, ["b"], lambda: lambda x: x[..., 0], ["time"], 4, "ones")
     assert image(got, "prediction") == [[1.0, 1.0], [1.0, 1.0]]
+
+
+def test_every_listed_summary_resolves():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    names = "veg_class_l1 dem_in_stats mangroves lccs_level3 cultivated_class woody_cover urban_class gm-generic gm-s2 gm-ls gm-ls-bitmask".split()
+    code = f"from chronocell.operators.summaries import resolve; [resolve(n) for n in {names}]"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parent.parent)  # nothing else imported
+
+
+def scored(df, name, **config):
+    return summaries.resolve(name)(**config).run(df, tile=["period"])
+
+
+def test_land_cover_summaries(spark):
+    columns = "period string, dataset_id string, time int, y int, x int, classes_l3_l4 int, urban_classes int, cultivated_class int"
+    df = spark.createDataFrame([("p", d, 0, 0, x, *v) for x, bands in enumerate([(210, 216, 255), (110, 216, 111)]) for d, v in {"a": (bands[0], None, None), "b": (None, bands[1], bands[2])}.items()], columns)
+    assert image(scored(df, "lccs_level3"), "level3_class") == [[216, 111]]
+    dem = rows(spark, ["a"], dem_h=[[[5, -9999]]]).withColumn("period", F.lit("p"))
+    assert image(scored(dem, "dem_in_stats", measurements=["height"]), "height") == [[5, None]]
+    m = rows(spark, ["a"], pv_pc_10=[[[40, 40]]], qa=[[[2, 2]]], wet_pc_10=[[[0, 0]]]).withColumns({"period": F.lit("p"), "cx": F.col("x") + 0.5, "cy": F.col("y") + 0.5})
+    assert image(scored(m, "mangroves", mangroves_extent=[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]), "canopy_cover_class") == [[2, 255]]
+    v = rows(spark, ["a"], veg_frequency=[[[3, 3]]], dem_h=[[[9, 9]]], blue=[[[1, 1]]], red=[[[1, 1]]], green=[[[1, 1]]], wet=[[[1, 0]]])
+    v = v.withColumns({"period": F.lit("p"), "frequency": F.col("wet").cast("double")})
+    assert image(scored(v, "veg_class_l1"), "classes_l3_l4") == [[221, 110]]
+
+
+def test_model_summaries_vote_over_images(spark):
+    """Pixels 0 and 1 have two images, pixel 2 one; the mask is a scene of its own and leaves out pixel 3."""
+    bands = (*models.BANDS, "sdev", "edev", "bcdev")
+    values = {"a": {0: 10, 1: 30, 3: 10}, "b": {0: 30, 1: 50, 2: 30, 3: 10}}
+    data = [("p", d, 0, 0, x, None, *[float(v)] * 9) for d, of in values.items() for x, v in of.items()]
+    data += [("p", "mask", 0, 0, x, 110 if x < 3 else 210, *[None] * 9) for x in range(4)]
+    df = spark.createDataFrame(data, "period string, dataset_id string, time int, y int, x int, classes_l3_l4 int, " + ", ".join(f"{b} double" for b in bands))
+    assert image(scored(df, "woody_cover", load=lambda: lambda f: f[:, 0]), "woody_cover") == [[114, 113, 113, 255]]
+    two = lambda f: np.stack([f[:, 4] < 25, f[:, 4] >= 25], 1).astype(float)  # sdev; class 0 is cultivated
+    assert image(scored(df, "cultivated_class", load=lambda: two), "cultivated_class") == [[111, 112, 112, 255]]
+    seen = df.where("dataset_id <> 'mask'").withColumns({"red": F.when(F.col("blue") > 20, 0.0).otherwise(F.col("red"))})
+    got = scored(seen, "urban_class", load=lambda: lambda f: (f[..., 2] > 0.1).astype(float), crop_size=4)
+    assert image(got, "urban_classes") == [[215, 216, 216, 215]]
+    holes = seen.where("not (dataset_id = 'b' and x = 0)")  # either image lacks a pixel, which the other fills
+    got = scored(holes, "urban_class", load=lambda: lambda f: np.full(f.shape[:2], float((f[..., 0] > 0).all())), crop_size=4)
+    assert image(got, "urban_classes") == [[215] * 4]
