@@ -15,7 +15,7 @@ from chronocell.operators import planner, spatial
 from chronocell.plans.tasks import FREQUENCY_NAMES, SaveOptions, mosaic, plan_tasks, run_tasks
 from chronocell.sources import catalogue_items, sinks
 
-SAVE_KEYS = {"products", "frequency", "temporal_range", "tiles", "properties", "gqa", "category", "optional", "ignore_time", "grid"}
+SAVE_KEYS = {"products", "frequency", "temporal_range", "tiles", "properties", "gqa", "category", "optional", "ignore_time", "grid", "crs"}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--tiles")
     a.add_argument("--gqa", type=float)
     a.add_argument("--grid", help="tile width,tile height,resolution")
+    a.add_argument("--crs", help="of the grid, for the tiles' longitude (EPSG:4326 by default; 3857, 6933, 3577)")
     a = sub.add_parser("run")
     for name in ("tasks", "scenes", "pixels", "output", "summary"):
         a.add_argument(name)
@@ -65,7 +66,7 @@ def _chosen(tasks, selectors):
 
 
 def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
-    given = {k: getattr(a, k) for k in ("products", "frequency", "temporal_range", "tiles", "gqa", "grid")}
+    given = {k: getattr(a, k) for k in ("products", "frequency", "temporal_range", "tiles", "gqa", "grid", "crs")}
     c = merge_config(load_config(a.config) if a.config else {}, given, SAVE_KEYS)
     if not c.get("products"):
         return 1
@@ -75,7 +76,15 @@ def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
-    binned = plan_tasks(spark.read.parquet(a.scenes), spatial.Grid((width, height), resolution), options)
+    grid = spatial.Grid((width, height), resolution, crs=c.get("crs") or "EPSG:4326")
+    if width > 360 and grid.crs.upper() in ("EPSG:4326", "4326"):
+        print("a grid in metres needs its --crs", file=sys.stderr)
+        return 2
+    try:
+        binned = plan_tasks(spark.read.parquet(a.scenes), grid, options)
+    except ValueError as e:
+        print(e, file=sys.stderr)
+        return 2
     sinks.write_tasks(planner.tasks_of(binned), f"{a.output}/tasks")
     sinks.write_csv(planner.task_counts(binned), f"{a.output}/csv")
     sinks.write_documents(planner.period_features(binned), f"{a.output}/geojson", "geojson")
@@ -90,11 +99,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "run":
         tasks = _chosen(spark.read.parquet(a.tasks), a.selectors)
         config = load_config(a.config) if a.config else {}
+        done = sinks.finished(spark, a.output)
         if a.dryrun:
-            planner.dry_run(tasks, tasks.where("false"), a.overwrite).show(truncate=False)
+            planner.dry_run(tasks, done, a.overwrite).show(truncate=False)
             return 0
-        result = run_tasks(spark, tasks, spark.read.parquet(a.scenes), spark.read.parquet(a.pixels), a.summary, **config)
-        sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "error")
+        result = run_tasks(spark, tasks, spark.read.parquet(a.scenes), spark.read.parquet(a.pixels), a.summary, None if a.overwrite else done, **config)
+        sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "append")
     elif a.command == "publish-tasks":
         from chronocell.streaming.tasks import publish
 

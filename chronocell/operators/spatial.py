@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,11 @@ class Grid:
     tile_size: tuple[float, float]  # x, y
     resolution: float
     origin: tuple[float, float] = (0.0, 0.0)
+    crs: str = "EPSG:4326"
+
+    def longitude(self, x: Column, y: Column) -> Column:
+        """Degrees east of a tile's centre."""
+        return to_longitude(self.crs, *((c + 0.5) * self.tile_size[i] + self.origin[i] for i, c in enumerate((x, y))))
 
     def tile(self, axis: int, coordinate: Column) -> Column:
         return F.floor((coordinate - self.origin[axis]) / self.tile_size[axis]).cast("int")
@@ -24,6 +30,33 @@ class Grid:
         return a + x[0] * w, b + y[0] * h, a + x[1] * w, b + y[1] * h
 
 
+#: Radius and squared eccentricity of WGS 84 and GRS 80 (to the digits that matter here).
+RADIUS, E2 = 6378137.0, 0.00669438
+
+
+def to_longitude(crs: str, x: Column, y: Column) -> Column:
+    """Degrees east, -180 to 180, of a point in degrees, in cylindrical equal area (6933), web Mercator or Australian Albers (3577)."""
+    code = crs.upper().removeprefix("EPSG:")
+    if code == "4326":
+        east = x
+    elif code == "3857":
+        east = F.degrees(x / RADIUS)
+    elif code == "6933":  # true at 30 degrees
+        k = math.cos(math.radians(30)) / math.sqrt(1 - E2 * 0.25)
+        east = F.degrees(x / (RADIUS * k))
+    elif code == "3577":  # parallels 18 and 36 south, origin at 0, 132 east
+        e = math.sqrt(E2)
+        sine = [math.sin(math.radians(p)) for p in (-18, -36)]
+        m1, m2 = (math.sqrt((1 - s * s) / (1 - E2 * s * s)) for s in sine)
+        q1, q2 = ((1 - E2) * (s / (1 - E2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e)) for s in sine)
+        n = (m1 * m1 - m2 * m2) / (q2 - q1)
+        rho = RADIUS * math.sqrt(m1 * m1 + n * q1) / n  # of latitude 0
+        east = 132 + F.degrees(F.atan2(-x, y - rho) / n)  # n and rho are negative in the south
+    else:
+        raise ValueError(f"no longitude of {crs}")
+    return F.pmod(east + 180.0, F.lit(360.0)) - 180.0
+
+
 def to_tiles(scenes: DataFrame, grid: Grid) -> DataFrame:
     """A row a tile that a scene's footprint box (min_x, min_y, max_x, max_y) touches, with the tile's utc_offset in hours."""
     span = lambda axis, lo, hi: F.sequence(grid.tile(axis, F.col(lo)), grid.tile(axis, F.col(hi)))

@@ -35,7 +35,7 @@ class SaveOptions:
 
 
 def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, longitude=None) -> DataFrame:
-    """scenes (with footprint boxes) to binned tile scenes: scan, join, filter, tile, prune, bin; nothing runs yet."""
+    """scenes (with footprint boxes) to binned tile scenes: scan, join, filter, tile, prune, bin; nothing runs yet. longitude: of the tile, its centre's by default."""
     names, joins = parse_products(options.products)
     s = planner.scan(scenes, [n for n, _ in names], options.period, planner.PAD_DAYS, options.properties, options.ignore_time)
     if options.category is not None:
@@ -48,7 +48,7 @@ def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, long
         groups = planner.fuse_join(s, joins, options.optional)
         s = s.join(groups.select(*planner.KEY), list(planner.KEY), "left_semi")
     t = spatial.to_tiles(s, grid)
-    t = spatial.with_offset(t, F.lit(0.0) if longitude is None else longitude)
+    t = spatial.with_offset(t, grid.longitude(F.col("x"), F.col("y")) if longitude is None else longitude)
     if options.tiles is not None:
         t = t.where(planner.in_tiles(*options.tiles))
     if options.period is not None:

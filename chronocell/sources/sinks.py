@@ -77,6 +77,16 @@ def existing(spark, path: str) -> DataFrame:
     return spark.read.json(path).select("period", "x", "y").dropDuplicates()
 
 
+def finished(spark, path: str) -> DataFrame:
+    """Keys of the tasks whose results write_bands put under the path; none if nothing is there yet."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root) or not any(s.isDirectory() and s.getPath().getName().startswith("period=") for s in files.listStatus(root)):
+        return spark.createDataFrame([], "period string, x int, y int")
+    keys = [F.col("period").cast("string").alias("period"), F.col("tile_x").cast("int").alias("x"), F.col("tile_y").cast("int").alias("y")]
+    return spark.read.parquet(path).select(*keys).dropDuplicates()
+
+
 def write_tasks(tasks: DataFrame, path: str) -> None:
     tasks.write.partitionBy("period").parquet(path)
 

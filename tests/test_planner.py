@@ -113,3 +113,35 @@ def test_polygons(spark):
     tasks = spark.createDataFrame([("p", x, y) for x in range(4) for y in range(4)], ["period", "x", "y"])
     hit = spatial.tiles_in_polygon(tasks, spatial.Grid((1.0, 1.0), 0.1), [(0.5, 0.5), (1.5, 0.5), (1.5, 0.7), (0.5, 0.7), (0.5, 0.5)])
     assert {(r.x, r.y) for r in hit.collect()} == {(0, 0), (1, 0)}
+
+
+def test_longitudes(spark):
+    at = lambda crs, x, y: spark.range(1).select(spatial.to_longitude(crs, F.lit(x), F.lit(y))).first()[0]
+    assert at("EPSG:4326", 190.0, 0.0) == -170
+    assert at("EPSG:6933", 17367530.45, 0.0) % 360 == pytest.approx(180, abs=1e-4)  # the grid's edge
+    assert at("EPSG:3577", 0.0, -3e6) == pytest.approx(132, abs=1e-9)
+    assert at("EPSG:3577", 1549000.0, -3960000.0) == pytest.approx(149.1, abs=0.3)  # Canberra
+    with pytest.raises(ValueError):
+        spatial.to_longitude("EPSG:1", F.lit(0.0), F.lit(0.0))
+
+
+def test_local_time_and_finished_tasks_by_command(spark, tmp_path, capsys):
+    """A scene at 150.5 east: 20 h UTC on the last of December is the next year there."""
+    from chronocell import cli
+
+    path = lambda name: str(tmp_path / name)
+    s = spark.createDataFrame([scene("1", "p", datetime(2018, 12, 31, 20), "r", 150.5), scene("2", "p", datetime(2019, 6, 1), "r", 150.5), scene("3", "p", datetime(2019, 12, 31, 20), "r", 150.5), scene("4", "p", datetime(2019, 6, 1), "r", 0.5)], SCENES)
+    s.write.parquet(path("scenes"))
+    assert cli.main(["save-tasks", path("scenes"), path("out"), "--products", "p", "--temporal-range", "2019--P1Y"], spark) == 0
+    tasks = spark.read.parquet(path("out/tasks"))
+    assert {(r.period, r.x, tuple(r.dataset_ids)) for r in tasks.collect()} == {("2019--P1Y", 150, ("1", "2")), ("2019--P1Y", 0, ("4",))}
+    px = spark.createDataFrame([("1", 150, 0, 0, 0, 1, "d1", 128), ("4", 0, 0, 0, 0, 1, "d1", 0)], ["dataset_id", "tile_x", "tile_y", "y", "x", "time", "solar_day", "water"])
+    px.write.parquet(path("pixels"))
+    run = ["run", path("out/tasks"), path("scenes"), path("pixels"), path("results"), "wofs-summary"]
+    assert cli.main([*run, "2019--P1Y/0/0"], spark) == 0
+    assert [(r.period, r.x, r.y) for r in sinks.finished(spark, path("results")).collect()] == [("2019--P1Y", 0, 0)]
+    capsys.readouterr()
+    assert cli.main([*run, "--dryrun"], spark) == 0
+    assert {w for w in capsys.readouterr().out.replace("|", " ").split() if w in ("new", "skip", "recompute")} == {"new", "skip"}
+    assert cli.main(run, spark) == 0 and cli.main(run, spark) == 0
+    assert sorted((r.tile_x, r.count_wet) for r in spark.read.parquet(path("results")).collect()) == [(0, 0), (150, 1)]
