@@ -4,7 +4,7 @@ Shingles are runs of five words; a shingle weighs its count times 1 + ln(N / df)
 all documents in 2^20 hash buckets (a fixed 4 MB, so relative frequencies mean the same at any size).
 SAMPLES consistent weighted samples of a text agree with another's with probability of their weighted
 Jaccard similarity; BANDS bands of ROWS samples (drawn from all SAMPLES, so bands share some) propose
-pairs: one at 0.8 is missed about twice in ten thousand times, one at 0.3 seldom proposed. A rough count of agreeing samples drops
+pairs: one at 0.8 is missed 7.5 in ten thousand times (simulated), one at 0.3 seldom proposed. A rough count of agreeing samples drops
 hopeless ones, and the exact weighted Jaccard of the texts decides.
 
 Exact copies are one node from the start. A bucket never emits all its pairs: each text is first
