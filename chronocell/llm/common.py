@@ -6,7 +6,6 @@ ASCII digits and bytes of non-ASCII characters; everything else separates.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,11 +20,13 @@ _U = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors see, from spark.checkpoint.dir. A session on one machine gets a new one where that is
+    unset; on a cluster an unset folder is an error, as executors would not see each other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        os.makedirs("/tmp/checkpoints", exist_ok=True)
-        found = "file://" + tempfile.mkdtemp(dir="/tmp/checkpoints")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -38,7 +39,18 @@ def durable(df: DataFrame, kind: str = "t") -> DataFrame:
     """df written to the shared folder and read again: lineage is cut and a lost executor loses nothing."""
     path = shared_path(df.sparkSession, kind)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.durable_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes the tables of durable() that nothing will read again."""
+    for df in frames:
+        if path := getattr(df, "durable_path", None):
+            spark = df.sparkSession
+            own = spark._jvm.org.apache.hadoop.fs.Path(path)
+            own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -165,8 +177,3 @@ def row_slices(col, size: int = 4 * SLICE) -> Iterator[tuple[int, int]]:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + size, "right")) - 1)
         yield lo, min(hi, n)
         lo = hi
-
-
-def one(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
-    col = table.column(name)
-    return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col

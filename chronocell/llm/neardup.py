@@ -1,26 +1,32 @@
 """MinHash near-dedup: improved consistent weighted sampling over TF-IDF shingles.
 
-Shingles are runs of five words; a shingle weighs its count times 1 + ln(N / df) / ln(N), df counted over
-all documents in 2^20 hash buckets (a fixed 4 MB, so relative frequencies mean the same at any size).
+Shingles are runs of five words; a shingle weighs its count times 1 + ln(share) / ln(LEAST_SHARE), share being that of
+all documents that hold it, LEAST_SHARE at least. Shares are counted over all documents in 2^21 hash buckets; a bucket
+takes up the shares of the shingles that meet in it, about (shingles a text) / 2^21 whatever the corpus, which is
+below LEAST_SHARE, so rare shingles weigh 2 at any size.
 SAMPLES consistent weighted samples of a text agree with another's with probability of their weighted
 Jaccard similarity; BANDS bands of ROWS samples (drawn from all SAMPLES, so bands share some) propose
-pairs: one at 0.8 is missed 7.5 in ten thousand times (simulated), one at 0.3 seldom proposed. A rough count of agreeing samples drops
-hopeless ones, and the exact weighted Jaccard of the texts decides.
-
-Exact copies are one node from the start. A bucket never emits all its pairs: each text is first
-compared to the least leader of its buckets, then members of other classes to each bucket's leader. Texts
-of buckets that still hold several classes get a bound: their rare shingles, those that one or two of
-these texts hold, tell what a text can share with others at most. Pairs with a rare shingle in common are
-listed from the shingles; any other pair shares no more than the lesser of what is left of the two texts in
-each of PARTS hash parts, so a text whose rare shingles weigh over 1 - LEAST of it has no further partner,
-and a pair under the bound is not near. Members left over become pivots (16, then 256, ... a bucket) and meet the members of other classes
-that the bound lets through, until every pair of a bucket is in one class, excluded by the bound, or compared.
+pairs: one at 0.8 is missed 7.5 in ten thousand times (simulated), one at 0.3 seldom proposed. A rough count of
+agreeing samples drops hopeless ones (one at 0.8 once in three million times), and the exact weighted Jaccard of the
+texts decides.
+
+Exact copies (equal SHA-256) are one node from the start; a node's number is given once, in a written table. A bucket
+never emits all its pairs and is never held by one task: its least and greatest node come from partial aggregates, its
+members from a join that may be split. Each text is first compared to the least leader of its buckets, then members of
+other classes to each bucket's leader. Texts of buckets that still hold several classes get a bound: their rare
+shingles, those that one or two of these texts hold, tell what a text can share with others at most. Pairs of a bucket
+with a rare shingle in common are listed from the shingles; any other pair shares no more than the lesser of what is
+left of the two texts in each of PARTS hash parts, so a text whose rare shingles weigh over 1 - LEAST of it has no
+further partner, and a pair under the bound is not near. Members left over become pivots (16, then 256, ... a bucket)
+and meet the members of other classes that the bound lets through, until every pair of a bucket is in one class,
+excluded by the bound, or compared. Only texts that are alike but not near (a family of templates) come that far;
+there the pairs that the bound cannot exclude are compared one by one, as nothing short of that is exact.
 Classes are the connected components, by repeated least labels with durable tables between steps; new pairs
-only join classes, so each later step is over the classes that they touch.
+only join classes, so each later step is over the classes that they touch. Tables are deleted once the next is written.
 
 Defined results: null is the empty text; texts without words match only equal texts; of repeated rows with
-one id and text all share the class and the first alone is kept; a null id is greater than all others
-(a class of null ids only has a null class_id); an empty table gives an empty result.
+one id and text all share the class and are kept or not alike (one_of_each() leaves one); a null id is greater than
+all others (a class of null ids only has a null class_id); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,14 +39,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronocell.llm.common import durable, mix64, row_slices, shingles
+from chronocell.llm.common import durable, mix64, release, row_slices, shingles
 
 K = 5
 LEAST = 0.8
 SAMPLES = 72
 ROWS, BANDS = 7, 64
-HOPELESS = 0.55  # share of agreeing samples; a pair at LEAST falls below it once in ten million times
-DF_BITS, DF_BLOCKS = 20, 64
+HOPELESS = 0.55  # share of agreeing samples
+DF_BITS, DF_BLOCKS = 21, 64
+LEAST_SHARE = 1e-3
 PARTS = 64  # hash parts of the bound
 LAST = (1 << 63) - 1
 _U = np.uint64
@@ -102,8 +109,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf_table(df: np.ndarray, n: int) -> np.ndarray:
-    top = np.log(max(n, 2))
-    return (1 + np.log(max(n, 2) / np.maximum(df, 1)).clip(0) / top).astype(np.float32)
+    share = np.clip(np.maximum(df, 1) / max(n, 1), LEAST_SHARE, 1)
+    return (1 + np.log(share) / np.log(LEAST_SHARE)).astype(np.float32)
 
 
 def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +152,7 @@ def _sketches(idf):
                 some, s = samples(row, h, w, part.num_rows)
                 sketch = np.full(part.num_rows, None, object)
                 sketch[some] = [x.tobytes() for x in s]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "node": part.column("node"), "sketch": pa.array(sketch.tolist(), pa.binary())})
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "digest": part.column("digest"), "sketch": pa.array(sketch.tolist(), pa.binary())})
 
     return run
 
@@ -254,39 +261,48 @@ def _possible(a: str, b: str, shared=0.0):
 
 
 def joined(label: DataFrame, edges: DataFrame) -> DataFrame:
-    """label with the classes joined that the further edges connect, in the form of components."""
+    """label with the classes joined that the further edges connect, in the form of components; both are used up."""
     own = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
     ends = edges.join(own("a"), "a", "left").join(own("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
     ends = durable(ends.where("a <> b").dropDuplicates())
-    if ends.limit(1).count() == 0:
+    release(edges)
+    if ends.isEmpty():
+        release(ends)
         return label
-    now = components(ends).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    found = components(ends)
+    now = found.select(F.col("node").alias("label"), F.col("label").alias("least"))
     old = label.join(now, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
     new = now.join(label.select(F.col("node").alias("label")), "label", "left_anti")
-    return durable(old.union(new))
+    out = durable(old.union(new))
+    release(label, found)
+    return out
 
 
-def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """(node, label): the least node of each node's component, for nodes with an edge.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the least node of each node's component, for nodes with an edge. edges are used up.
 
     Labels start at the least neighbour; each step takes the least label around and the label's own label.
     """
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).dropDuplicates())
-    now = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    release(edges)
+    now = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"), F.lit(True).alias("changed")))
     while True:
         around = both.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("l1"))
         jump = now.select(F.col("node").alias("label"), F.col("label").alias("l2"))
         new = now.join(around, F.col("node") == F.col("a")).join(jump, "label", "left")
-        new = durable(new.select("node", F.least("label", "l1", F.coalesce("l2", "label")).alias("label"), F.col("label").alias("old")))
-        if new.where("label <> old").limit(1).count() == 0:
-            return new.select("node", "label")
-        now = new.select("node", "label")
+        least = F.least("label", "l1", F.coalesce("l2", "label"))
+        new = durable(new.select("node", least.alias("label"), (least != F.col("label")).alias("changed")))
+        release(now)
+        now = new
+        if now.where("changed").isEmpty():
+            release(both)
+            return now
 
 
 def _identity() -> tuple[Column, Column, Column]:
-    """doc_id (LAST for null), text (empty for null) and node (hash of the text) of a row."""
+    """doc_id (LAST for null), text (empty for null) and digest (SHA-256 of the text) of a row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), text, F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), text, F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -296,23 +312,24 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def _judged(docs: DataFrame) -> DataFrame:
-    """classes with the node of every row, and LAST for a null id."""
+    """classes with the digest of every row, and LAST for a null id."""
     spark = docs.sparkSession
-    doc_id, text, node = _identity()
-    d = docs.select(doc_id.alias("doc_id"), text.alias("text"), node.alias("node"))
+    doc_id, text, digest = _identity()
+    d = docs.select(doc_id.alias("doc_id"), text.alias("text"), digest.alias("digest"))
     df, n = document_frequencies(d)
-    idf = spark.sparkContext.broadcast(idf_table(df, n))  # 4 MB whatever the input
-    sketched = durable(d.mapInArrow(_sketches(idf), "doc_id long, node long, sketch binary"))
-    nodes = durable(sketched.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch")))
+    idf = spark.sparkContext.broadcast(idf_table(df, n))  # 8 MB whatever the input
+    sketched = durable(d.mapInArrow(_sketches(idf), "doc_id long, digest binary, sketch binary"))
+    one = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch"))
+    nodes = durable(one.withColumn("node", F.monotonically_increasing_id()))  # numbers hold from here on, as they are written
 
     bands = nodes.where("sketch is not null").select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
-    whole = Window.partitionBy("bucket")
-    members = bands.select("bucket", "node", F.min("node").over(whole).alias("leader"), F.max("node").over(whole).alias("other"))
-    members = durable(members.where("leader <> other").select("bucket", "node", "leader"))
+    shared = durable(bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("bucket", "leader"))
+    members = durable(bands.join(shared, "bucket").select("bucket", "node", "leader"))
+    release(shared)
 
-    def texts_of(some: DataFrame) -> DataFrame:
-        needed = some.dropDuplicates().join(nodes.select("node", "rep"), "node")
-        return d.join(needed.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"], "left_semi").dropDuplicates(["node", "doc_id"]).select("node", "text")
+    # texts of all nodes that share a bucket, from the row of the node's least id: shuffled whole once
+    needed = members.select("node").dropDuplicates().join(nodes.select("node", "digest", F.col("rep").alias("doc_id")), "node")
+    pool = durable(d.join(needed, ["digest", "doc_id"]).dropDuplicates(["node"]).select("node", "text"))
 
     def tested(pairs: DataFrame) -> DataFrame:
         """Pairs (a < b) that are near copies."""
@@ -320,59 +337,69 @@ def _judged(docs: DataFrame) -> DataFrame:
         s = nodes.select("node", "sketch")
         p = p.join(s.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(s.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
         p = durable(p.mapInArrow(_agree, "a long, b long"))
-        t = texts_of(p.select(F.col("a").alias("node")).union(p.select("b")))
-        p = p.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        return durable(p.mapInArrow(_verify(idf), "a long, b long"))
+        both = p.join(pool.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(pool.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+        out = durable(both.mapInArrow(_verify(idf), "a long, b long"))
+        release(p)
+        return out
 
     def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
         """members of the buckets that hold several classes, with their class and that of the bucket's leader."""
-        own = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = members.join(label.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("bucket")
-        return durable(own.join(label.select(F.col("node").alias("leader"), F.col("label").alias("first")), "leader", "left").withColumn("first", F.coalesce("first", "leader")).join(mixed, "bucket"))
+        leads = label.select(F.col("node").alias("leader"), F.col("label").alias("first"))
+        return durable(own.join(mixed, "bucket").join(leads, "leader", "left").withColumn("first", F.coalesce("first", "leader")))
 
     edges = tested(members.groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     label = components(edges)
-    own = labelled(members, label).where("label <> first")
-    label = joined(label, tested(own.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
     own = labelled(members, label)
-    if own.where("label <> first").limit(1).count():
-        left, twos = rare_weights(durable(texts_of(own.select("node"))), idf)
+    release(members)
+    label = joined(label, tested(own.where("label <> first").select(F.col("leader").alias("a"), F.col("node").alias("b"))))
+    members, own = own, labelled(own.drop("label", "first"), label)
+    release(members)
+    if not own.where("label <> first").isEmpty():
+        texts = durable(pool.join(own.select("node").dropDuplicates(), "node", "left_semi"))
+        left, twos = rare_weights(texts, idf)
         left = durable(left)
         every = lambda c: left.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("whole", "left", "parts")))
-        twos = twos.join(every("a"), "a").join(every("b"), "b")
-        label = joined(label, tested(twos.where(_possible("_a", "_b", F.col("w"))).select("a", "b")))
+        twos = twos.join(every("a"), "a").join(every("b"), "b").where(_possible("_a", "_b", F.col("w"))).select("a", "b")
+        in_bucket = lambda c: own.select(F.col("node").alias(c), "bucket")
+        twos = twos.join(in_bucket("a"), "a").join(in_bucket("b"), ["b", "bucket"]).select("a", "b")
+        label = joined(label, tested(twos))
+        release(texts)
         members = durable(own.select("bucket", "leader", "node").join(left.where(F.col("left") >= F.lit(LEAST - 1e-6) * F.col("whole")), "node"))
-    used, pivots = None, 16
-    while own.where("label <> first").limit(1).count():
-        own = labelled(members, label)
-        rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole", "parts")
-        if used is not None:
-            rest = rest.join(used, ["bucket", "node"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        now = rest.withColumn("_r", rank).where(F.col("_r") <= pivots).drop("_r")
-        now = durable(now.select("bucket", F.col("node").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("label", "left", "whole", "parts"))))
-        if now.limit(1).count() == 0:
-            break
-        on = (F.col("label") != F.col("label_p")) & (F.col("node") != F.col("leader")) & _possible("", "_p")
-        pairs = own.withColumnRenamed("bucket", "_bucket").join(now, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        mine = now.select("bucket", F.col("pivot").alias("node"))
-        used = durable(mine if used is None else used.union(mine))
-        label = joined(label, tested(pairs))
-        pivots *= 16
-
-    of = nodes.join(label, "node", "left").select("node", "rep", "copies", F.coalesce("label", "node").alias("label"))
-    whole = of.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min_by("node", F.struct("rep", "node")).alias("stays"))
-    first = of.join(whole, "label").select("node", "class_id", "class_size", (F.col("node") == F.col("stays")).alias("chosen"))
-    out = sketched.select("doc_id", "node").join(first, "node")
-    return out.select("doc_id", "node", "class_id", "class_size", (F.col("chosen") & (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+        used, pivots, own = None, 16, labelled(members, label)
+        while not own.where("label <> first").isEmpty():
+            rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole", "parts")
+            if used is not None:
+                rest = rest.join(used, ["bucket", "node"], "left_anti")
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+            now = rest.withColumn("_r", rank).where(F.col("_r") <= pivots).drop("_r")
+            now = durable(now.select("bucket", F.col("node").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("label", "left", "whole", "parts"))))
+            if now.isEmpty():
+                break
+            on = (F.col("label") != F.col("label_p")) & (F.col("node") != F.col("leader")) & _possible("", "_p")
+            pairs = own.withColumnRenamed("bucket", "_bucket").join(now, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+            mine = now.select("bucket", F.col("pivot").alias("node"))
+            used = durable(mine if used is None else used.union(mine))
+            label = joined(label, tested(pairs))
+            release(now, own)
+            own = labelled(members, label)
+            pivots = min(16 * pivots, 1000)  # so many that Spark ranks them before it shuffles
+
+    release(pool, own)
+    of = nodes.join(label.select("node", "label"), "node", "left").select("digest", "rep", "copies", F.coalesce("label", "node").alias("label"))
+    whole = of.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct("rep", "digest")).alias("stays"))
+    first = of.join(whole, "label").select("digest", "class_id", "class_size", (F.col("digest") == F.col("stays.digest")).alias("chosen"))
+    out = sketched.select("doc_id", "digest").join(first, "digest")
+    return out.select("doc_id", "digest", "class_id", "class_size", (F.col("chosen") & (F.col("doc_id") == F.col("class_id"))).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without near copies: of each class the row of the chosen text with the least id stays (one, where rows repeat id and text)."""
-    stay = durable(_judged(docs).where("kept").groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("times")))
-    doc_id, _, node = _identity()
-    own = docs.withColumns({"_id": doc_id, "_node": node})
-    out = own.join(stay.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")), ["_id", "_node"], "left_semi")
-    if stay.where("times > 1").limit(1).count():  # rows that repeat id and text
-        out = out.dropDuplicates(["_id", "_node"])
-    return out.select(*docs.columns)
+    stay = durable(_judged(docs).where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times")))
+    doc_id, _, digest = _identity()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_id.alias("id"), digest.alias("digest"))
+    out = own.join(stay.select(F.col("doc_id").alias("id"), "digest"), ["id", "digest"], "left_semi")
+    if not stay.where("times > 1").isEmpty():  # rows that repeat id and text
+        out = out.dropDuplicates(["id", "digest"])
+    return out.select("row.*")

@@ -4,8 +4,14 @@ A linear model over the hashed presence of words and word beginnings is fitted w
   prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]),  l the logistic loss,
 stepping back along the second part whenever it turns negative. Confirmed toxic rows are the positives;
 texts taken without regard to their label are the unlabelled ones. The prior is counted over all labelled
-training rows. At most POSITIVES and UNLABELLED training texts are drawn, by hash of the id; they reach
-the driver as bucket numbers only, about 100 MB. Only rows of the training folds are drawn.
+training rows.
+
+The training sample is bounded: the texts of at most POSITIVES and UNLABELLED ids (by hash, of the training
+folds), one an id, none with over MOST_BUCKETS different features. It goes to one task as bucket numbers (400 MB at most,
+some 40 MB for usual texts), which fits the model and returns the weights of the features in use; neither texts nor
+sample reach the driver. A feature is in use if LEAST_DF training texts hold it and its share differs by LEAST_Z
+standard errors between positives and unlabelled texts: with a full sample, one that only toxic texts hold needs
+about 9 of 4000 of them, so a text whose only toxic words are rarer than that (0.2 %) is not caught.
 
 Defined results: null and empty texts score by the intercept alone; a null doc_id is in no held-out fold
 and is never trained on; of repeated labels of one id the toxic one holds; with no confirmed toxic row
@@ -14,6 +20,7 @@ every score is 0; an empty table gives an empty result; labels, lang, source and
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,10 +35,11 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 5
+MOST_BUCKETS = 8192
 EPOCHS = 150
 STEP, DECAY = 0.1, 3e-4
 LEAST_DF = 8  # a bucket seen in fewer training texts has weight 0
-LEAST_Z = 6.0  # and so has one whose share differs less between positives and unlabelled texts, in standard errors
+LEAST_Z = 4.0  # and so has one whose share differs less between positives and unlabelled texts, in standard errors
 
 
 @dataclass
@@ -59,18 +67,22 @@ def presence(col, useful: np.ndarray | None = None) -> tuple[np.ndarray, np.ndar
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's buckets; rows with over MOST_BUCKETS are left out."""
     for b in batches:
         for lo, hi in row_slices(b.column("text")):
-            row, bucket = presence(b.column("text").slice(lo, hi - lo))
+            part = b.slice(lo, hi - lo)
+            row, bucket = presence(part.column("text"))
             off = np.searchsorted(row, np.arange(hi - lo + 1))
-            yield pa.record_batch({"doc_id": b.column("doc_id").slice(lo, hi - lo), "buckets": pa.array([bucket[s:e].astype(np.int32).tobytes() for s, e in zip(off[:-1], off[1:], strict=True)], pa.binary())})
+            on = pa.array(np.diff(off) <= MOST_BUCKETS)
+            own = pa.array([bucket[s:e].astype(np.int32).tobytes() for s, e in zip(off[:-1], off[1:], strict=True)], pa.binary())
+            yield pa.record_batch({"doc_id": part.column("doc_id").filter(on), "h": part.column("h").filter(on), "buckets": own.filter(on)})
 
 
 def fit(rows: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = EPOCHS) -> Model:
     """rows: each training text's buckets; positive and unlabelled say which samples it belongs to (or both)."""
     size = 1 << BITS
     if not positive.any() or not unlabelled.any():
-        return Model(np.zeros(size, np.float32), -50.0)
+        return Model(np.zeros(size, np.float32), -np.inf)
     count = lambda of: np.bincount(np.concatenate([r for r, on in zip(rows, of, strict=True) if on]), minlength=size)
     n_p, n_u = positive.sum(), unlabelled.sum()
     in_p, in_u = count(positive), count(unlabelled)
@@ -102,20 +114,39 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, pr
     return Model(weights, float(w[-1]))
 
 
+def _fitted(prior: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The model of the whole sample, which one task holds: features in use, their weights, the intercept."""
+        found: dict[bytes, int] = {}  # copies count once
+        for b in batches:
+            for p, buckets in zip(b.column("p").to_pylist(), b.column("buckets").to_pylist(), strict=True):
+                found[buckets] = found.get(buckets, 0) | (1 if p else 2)
+        keys = sorted(found)
+        kind = np.array([found[k] for k in keys], np.int64)
+        model = fit([np.frombuffer(k, np.int32).astype(np.int64) for k in keys], (kind & 1) > 0, (kind & 2) > 0, prior)
+        used = np.flatnonzero(model.weights)
+        yield pa.record_batch({"used": [zlib.compress(used.astype(np.int32).tobytes(), 1)], "weights": [model.weights[used].tobytes()], "intercept": [model.intercept]})
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    order = F.xxhash64(F.col("doc_id"), F.lit("toxicity"))
+    of_id = F.xxhash64(F.col("doc_id"), F.lit("toxicity"))
     own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     seen, toxic = own.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not toxic:
         return fit([], np.zeros(0, bool), np.zeros(0, bool), 0.5)
-    p_ids = own.where("toxic = 1").orderBy(order, "doc_id").limit(positives).select("doc_id", F.lit(1).alias("p"))
-    u_ids = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(1).alias("u"))
-    ids = p_ids.join(u_ids.dropDuplicates(), "doc_id", "full")  # at most positives + unlabelled rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").mapInArrow(_buckets, "doc_id long, buckets binary")
-    found = texts.join(F.broadcast(ids), "doc_id").orderBy(order, "doc_id", "buckets").collect()
-    found = list({(r.buckets, r.p == 1): r for r in found}.values())  # copies count once
-    rows = [np.frombuffer(r.buckets, np.int32).astype(np.int64) for r in found]
-    return fit(rows, np.array([r.p == 1 for r in found]), np.array([r.u == 1 for r in found]), min(0.95, max(1e-4, toxic / seen)))
+    training = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    p_ids = own.where("toxic = 1").orderBy(of_id, "doc_id").limit(positives).select("doc_id", F.lit(True).alias("p"))
+    u_ids = training.select("doc_id").dropDuplicates().orderBy(of_id, "doc_id").limit(unlabelled).select("doc_id", F.lit(False).alias("p"))
+    ids = p_ids.unionByName(u_ids)  # at most positives + unlabelled rows
+    texts = training.select("doc_id", F.xxhash64("text").alias("h"), "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+    rows = texts.mapInArrow(_buckets, "doc_id long, h long, buckets binary").join(F.broadcast(ids), "doc_id")
+    sample = rows.groupBy("doc_id", "p").agg(F.min_by("buckets", "h").alias("buckets"))  # one row an id, whatever repeats it
+    found = sample.select("p", "buckets").coalesce(1).mapInArrow(_fitted(min(0.95, max(1e-4, toxic / seen))), "used binary, weights binary, intercept double").first()  # 4 MB at most
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[np.frombuffer(zlib.decompress(found.used), np.int32)] = np.frombuffer(found.weights, np.float32)
+    return Model(weights, found.intercept)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -131,7 +162,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for lo, hi in row_slices(b.column("text")):
                 row, bucket = presence(b.column("text").slice(lo, hi - lo), useful)
                 out[lo:hi] = np.bincount(row, weights[bucket].astype(float), minlength=hi - lo)
-            s = 1 / (1 + np.exp(-np.clip(out + intercept, -50, 50)))
+            s = 1 / (1 + np.exp(-np.clip(out + intercept, -50, 50))) if np.isfinite(intercept) else out
             yield pa.record_batch([*(b.column(c) for c in kept), pa.array(s)], names=[*kept, "toxicity_score"])
 
     d = docs.select(*[F.col(f"`{c}`") for c in kept])
