@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,27 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, kind: str = "t") -> DataFrame:
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes the tables that durable() writes inside, but for those that stay; no result may still need them."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        release(*_SCOPES.pop())
+
+
+def durable(df: DataFrame, kind: str = "t", stays: bool = False) -> DataFrame:
     """df written to the shared folder and read again: lineage is cut and a lost executor loses nothing."""
     path = shared_path(df.sparkSession, kind)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.durable_path = path
+    if _SCOPES and not stays:
+        _SCOPES[-1].append(out)
     return out
 
 
