@@ -1,14 +1,16 @@
 """Mixing sources to target weights.
 
-Every row gets a hash-random key; the key's leading bits give it a range bucket in its source. Bucket
-totals (aggregated before the shuffle) are summed along each source, rows are sorted inside their
-(source, bucket) only, so no task holds a whole source however large it is. A source's budget buys
-whole epochs first; the rest is cut exactly where the running sum of sizes reaches it.
+Every row gets a hash-random key (of its id and text, so neither a null nor a repeated id is a hot one); the key's
+leading bits give it a range bucket in its source. Bucket totals (aggregated before the shuffle) are summed along each
+source, rows are sorted inside their (source, bucket) only, so no task holds a whole source however large it is. A
+source's budget buys whole epochs first; the rest is cut exactly where the running sum of sizes reaches it. Rows
+without words take no part in the sums, however many they are. Sources are few (kinds of data, not hosts): their
+table of one row each, and those rows alone, are ordered in one task and may be broadcast.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its
-own, last in order; repeated rows each count; an empty table gives an empty result; columns of the
-input named like an output are replaced. Ties of the key fall to doc_id, then size; rows equal in all
-of these are interchangeable.
+own, last in order; repeated rows each count; an empty table gives an empty result; mix() replaces columns
+of the input named like an output, mixed_documents() keeps all. Ties of the key fall to doc_id, then size; rows equal
+in all of these are interchangeable.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ def size_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def random_key(doc_id: Column) -> Column:
-    """60 bits of md5 of the id, as text of 15 hex digits."""
-    return F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("null"))), 1, 15)
+def random_key(doc_id: Column, text: Column) -> Column:
+    """60 bits of md5 of id and text, as text of 15 hex digits."""
+    return F.substring(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(" "), F.coalesce(text, F.lit("")))), 1, 15)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -51,51 +53,57 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -
     return s.select("source", "source_size", F.least("_cap", F.col("_at") * F.col("_w")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """docs with OUT: epochs whole passes, part words of one more pass, taken their sum in words."""
+def _mixed(docs: DataFrame, weights, most: int, bucket_rows: int) -> DataFrame:
+    """docs, its columns named c0, c1, ..., with n (size), source_size, target, epochs and part."""
     spark = docs.sparkSession
     buckets = max(2 * partitions(spark), -(-docs.count() // bucket_rows))
-    kept = [c for c in docs.columns if c not in OUT and not c.startswith("_mx_")]
-    d = docs.select(*[F.col(f"`{c}`") for c in kept], size_of(F.col("text")).alias("_mx_n"), random_key(F.col("doc_id")).alias("_mx_key"))
-    high = F.conv(F.substring("_mx_key", 1, 8), 16, 10).cast("long")
-    d = d.withColumn("_mx_b", F.shiftright(high * F.lit(buckets), 32))
-
-    totals = d.groupBy("source", "_mx_b").agg(F.sum("_mx_n").alias("_mx_sum"))
-    along = Window.partitionBy("source").orderBy("_mx_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("_mx_start", F.coalesce(F.sum("_mx_sum").over(along), F.lit(0)))
-    target = source_targets(totals.groupBy("source").agg(F.sum("_mx_sum").alias("source_size")), weights, most)
-    target = target.select(F.col("source").alias("_mx_src"), F.col("source_size").alias("_mx_all"), F.col("target").alias("_mx_target"))
-    starts = starts.join(target, F.col("source").eqNullSafe(F.col("_mx_src"))).select("_mx_src", F.col("_mx_b").alias("_mx_b2"), "_mx_start", "_mx_all", "_mx_target")
-
-    within = Window.partitionBy("source", "_mx_b").orderBy("_mx_key", "doc_id", "_mx_n").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_mx_before", F.coalesce(F.sum("_mx_n").over(within), F.lit(0)))
-    d = d.join(starts, F.col("source").eqNullSafe(F.col("_mx_src")) & (F.col("_mx_b") == F.col("_mx_b2")))
-    budget = F.round("_mx_target").cast("long")
-    epochs = F.coalesce(F.floor(F.try_divide(budget, F.col("_mx_all"))).cast("long"), F.lit(0).cast("long"))
-    d = d.withColumn("_mx_epochs", epochs)
-    rest = budget - F.col("_mx_epochs") * F.col("_mx_all") - F.col("_mx_start") - F.col("_mx_before")
-    d = d.withColumn("_mx_part", F.greatest(F.lit(0).cast("long"), F.least(F.col("_mx_n"), rest)))
-    return d.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.col("_mx_n").alias("size"),
-        F.col("_mx_all").alias("source_size"),
-        F.col("_mx_target").alias("target"),
-        F.col("_mx_epochs").alias("epochs"),
-        F.col("_mx_part").alias("part"),
-        (F.col("_mx_epochs") * F.col("_mx_n") + F.col("_mx_part")).alias("taken"),
-    )
-
-
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    some = docs.where(text.rlike(WORD)).select(*own, "source", F.col("doc_id").alias("id"), size_of(F.col("text")).alias("n"), random_key(F.col("doc_id"), F.col("text")).alias("key"))
+    high = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
+    some = some.withColumn("bucket", F.shiftright(high * F.lit(buckets), 32))
+    none = docs.where(~text.rlike(WORD)).select(*own, "source")
+
+    totals = some.groupBy("source", "bucket").agg(F.sum("n").alias("sum"))
+    along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.withColumn("start", F.coalesce(F.sum("sum").over(along), F.lit(0)))
+    sizes = totals.select("source", "sum").unionByName(none.select("source", F.lit(0).cast("long").alias("sum"))).groupBy("source").agg(F.sum("sum").alias("source_size"))
+    target = source_targets(sizes, weights, most).withColumnRenamed("source", "of")
+    starts = starts.join(target, F.col("source").eqNullSafe(F.col("of"))).select("of", F.col("bucket").alias("in"), "start", "source_size", "target")
+
+    within = Window.partitionBy("source", "bucket").orderBy("key", "id", "n").rowsBetween(Window.unboundedPreceding, -1)
+    some = some.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    some = some.join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in")))
+    budget = F.round("target").cast("long")
+    epochs = F.coalesce(F.floor(F.try_divide(budget, F.col("source_size"))).cast("long"), F.lit(0).cast("long")).alias("epochs")
+    columns = [*(f"c{i}" for i in range(len(docs.columns))), "n", "source_size", "target", "epochs"]
+    rest = budget - F.col("epochs") * F.col("source_size") - F.col("start") - F.col("before")
+    some = some.select("*", epochs).select(*columns, F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), rest)).alias("part"))
+    zero = F.lit(0).cast("long")
+    none = none.join(target, F.col("source").eqNullSafe(F.col("of"))).select("*", zero.alias("n"), epochs).select(*columns, zero.alias("part"))
+    return some.unionByName(none)
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """docs with OUT: epochs whole passes, part words of one more pass, taken their sum in words."""
+    m = _mixed(docs, weights, most, bucket_rows)
+    return m.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in OUT],
+        F.col("n").alias("size"), "source_size", "target", "epochs", "part",
+        (F.col("epochs") * F.col("n") + F.col("part")).alias("taken"),
+    )
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The mix as documents: one row a whole pass; the document at the cut stays whole if at least half is taken."""
-    copies = F.col("_mx_e") + F.when((F.col("_mx_p") > 0) & (2 * F.col("_mx_p") >= F.col("_mx_s")), 1).otherwise(0)
-    m = mix(docs, **how).withColumnRenamed("epochs", "_mx_e").withColumnRenamed("part", "_mx_p").withColumnRenamed("size", "_mx_s")
-    return m.where(copies > 0).withColumn("_mx_i", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*[F.col(f"`{c}`") for c in docs.columns if c in m.columns])
+    copies = F.col("epochs") + F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("n")), 1).otherwise(0)
+    m = _mixed(docs, weights, most, bucket_rows).where(copies > 0).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    return m.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                  substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS k FROM documents),
+                  substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'null'), ' ', coalesce(text, ''))), 1, 15) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS w, 3.0::DOUBLE * source_size AS cap FROM s),
 l AS (SELECT *, cap / w AS bind,
