@@ -4,13 +4,16 @@ Hashes of all rolling word k-grams of every text are joined to the positions of
 a template's own: as long as the phrase, at most GRAM). Matches are counted by offset diagonal (text
 position minus template position), neighbouring diagonals of one template merge to a span (words put in
 or left out shift the diagonal), and a span counts when enough of the template's grams are verified,
-word by word, inside it. A phrase template needs all its grams on one diagonal: a place.
+word by word, inside it; each gram of the template counts once. A phrase template needs all its grams on one
+diagonal: a place.
 
-The template table is a fixed list of a few hundred rows, so it is broadcast. Each text yields one row
-for itself beside its matches and leaves the scan once; texts are never shuffled.
+The template table is a fixed list of a few hundred rows, so it is broadcast, and its hashes are written into the plan:
+a text's other k-grams are dropped before its matches become rows. Each text yields one row for itself beside its
+matches and leaves the scan once; texts are never shuffled. Rows are told apart by id and digest of the text, which a
+recomputed partition gives again; rows alike in both are counted, and the result is repeated so often.
 
 Defined results: a null or empty text has no words, no labels, null places and score 0; repeated rows
-each give a row; an empty table an empty result; other columns are ignored.
+each give a row; an empty table an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -52,9 +55,7 @@ def _grams() -> list[tuple[int, str, bool, int, int, int, str]]:
 def _gram_table(spark: SparkSession) -> DataFrame:
     t = spark.createDataFrame(_grams(), "tid int, label string, base boolean, k int, grams int, tpos int, gram string")
     parts = F.split("gram", " ")
-    hashed = F.when(F.col("k") == 2, _gram_hash(parts, 2)).when(F.col("k") == 3, _gram_hash(parts, 3)).otherwise(_gram_hash(parts, GRAM))
-    own = t.limit(1).select(F.lit(SELF).alias("tid"), F.lit("").alias("label"), F.lit(False).alias("base"), F.lit(0).alias("k"), F.lit(0).alias("grams"), F.lit(0).alias("tpos"), F.lit("").alias("gram"), F.lit(0).cast("long").alias("h"))
-    return t.withColumn("h", hashed).unionByName(own)
+    return t.withColumn("h", F.when(F.col("k") == 2, _gram_hash(parts, 2)).when(F.col("k") == 3, _gram_hash(parts, 3)).otherwise(_gram_hash(parts, GRAM)))
 
 
 def _gram_hash(words: Column, k: int) -> Column:
@@ -73,43 +74,45 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     ks = sorted({t[4] for t in templates()})
     assert ks == [2, 3, 4]
-    d = docs.select("doc_id", words_of(F.col("text")).alias("words")).withColumn("rid", F.monotonically_increasing_id())
+    table = _gram_table(docs.sparkSession)
+    known = sorted({r.h for r in table.select("h").collect()})  # of the fixed table
+    d = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), words_of(F.col("text")).alias("words"))
     n = F.size("words")
     d = d.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
     # rolling: the k-gram hash at a place comes from the (k-1)-gram hash there and the next word's hash
     roll = lambda short, k: F.zip_with(F.slice(short, 1, F.greatest(F.lit(0), n - (k - 1))), F.slice("h1", k, F.greatest(F.lit(0), n - (k - 1))), lambda a, b: F.xxhash64(a, b))
     d = d.withColumn("h2", roll("h1", 2)).withColumn("h3", roll("h2", 3)).withColumn("h4", roll("h3", 4))
-    # one generated column: own row, then 2-, 3- and 4-grams
-    d = d.select("doc_id", "rid", "words", n.alias("n"), F.posexplode(F.concat(F.array(F.lit(0).cast("long")), "h2", "h3", "h4")).alias("at", "h"))
-    m = d.join(F.broadcast(_gram_table(docs.sparkSession)), "h")
-    n2, n3 = F.greatest(F.lit(0), F.col("n") - 1), F.greatest(F.lit(0), F.col("n") - 2)
-    pos = F.col("at") - 1 - F.when(F.col("k") == 3, n2).when(F.col("k") == 4, n2 + n3).otherwise(F.lit(0))
-    found = (F.col("tid") == SELF) & (F.col("at") == 0)
-    true_gram = (F.col("tid") != SELF) & (F.col("at") > 0) & (pos >= 0) & (pos <= F.col("n") - F.col("k"))
-    same = F.concat_ws(" ", F.slice("words", F.greatest(pos, F.lit(0)) + 1, F.greatest(F.col("k"), F.lit(1)))) == F.col("gram")
-    m = m.withColumn("pos", pos).where(found | (true_gram & same))
-    m = m.select("doc_id", "rid", "n", "tid", "label", "base", "grams", "tpos", "pos", F.when(F.col("tid") == SELF, 0).otherwise(F.col("pos") - F.col("tpos")).alias("diag"))
-
-    rows = ["doc_id", "rid", "n", "tid", "label", "base", "grams"]
-    lines = m.groupBy(*rows, "diag").agg(F.count(F.lit(1)).alias("votes"))
-    by = Window.partitionBy("rid", "tid").orderBy("diag")
+    hit = lambda k, pos, h: F.struct(F.lit(k).alias("k"), pos.alias("pos"), h.alias("h"), F.array_join(F.slice("words", pos + 1, F.lit(k)), " ").alias("gram"))
+    found = lambda k: F.array_compact(F.transform(f"h{k}", lambda h, i: F.when(h.isin(known), hit(k, i, h))))
+    hits = [found(k) for k in ks]
+    own = F.array(F.struct(F.lit(0).alias("k"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h"), F.lit("").alias("gram")))
+    d = d.select("doc_id", "key", n.alias("n"), F.explode(F.concat(own, *hits)).alias("g")).select("doc_id", "key", "n", "g.*")
+    m = d.join(F.broadcast(table.withColumnsRenamed({"k": "tk", "gram": "template", "h": "th"})), (F.col("h") == F.col("th")) & (F.col("k") == F.col("tk")), "left")
+    m = m.where((F.col("k") == 0) | (F.col("gram") == F.col("template")))
+    m = m.select("doc_id", "key", "n", F.coalesce("tid", F.lit(SELF)).alias("tid"), "label", F.coalesce("base", F.lit(False)).alias("base"), "grams", "tpos", F.coalesce(F.col("pos") - F.col("tpos"), F.lit(0)).alias("diag"))
+
+    rows = ["doc_id", "key", "n", "tid", "label", "base", "grams"]
+    lines = m.groupBy(*rows, "diag").agg(F.collect_set("tpos").alias("at"), F.count(F.lit(1)).alias("times"))
+    by = Window.partitionBy("doc_id", "key", "tid").orderBy("diag")
     apart = F.col("base") | (F.col("diag") - F.lag("diag").over(by) > NEIGHBOUR)
     lines = lines.withColumn("span", F.sum(F.when(apart, 1).otherwise(0)).over(by))
-    spans = lines.groupBy(*rows, "span").agg(F.sum("votes").alias("votes"), F.min("diag").alias("start"))
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
-    place = F.col("base") & (F.col("tid") >= 0) & (F.col("votes") == F.col("grams"))
-    spans = spans.withColumn("share", F.when(F.col("tid") < 0, 0.0).when(F.col("base"), F.when(place, 1.0).otherwise(0.0)).otherwise(share)).withColumn("place", place)
-    hit = place | ((F.col("tid") >= 0) & ~F.col("base") & (F.col("share") >= ENOUGH))
-    out = spans.groupBy("doc_id", "rid").agg(
+    spans = lines.groupBy(*rows, "span").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("votes"), F.min("diag").alias("start"), F.max("times").alias("times"))
+    own = F.col("tid") == SELF
+    place = F.col("base") & ~own & (F.col("votes") == F.col("grams"))
+    share = F.when(own, 0.0).when(F.col("base"), F.when(place, 1.0).otherwise(0.0)).otherwise(F.col("votes") / F.col("grams"))
+    spans = spans.withColumn("share", share).withColumn("place", place)
+    found = F.col("place") | (~own & ~F.col("base") & (F.col("share") >= ENOUGH))
+    out = spans.groupBy("doc_id", "key").agg(
         F.max("n").cast("long").alias("n_words"),
         F.count_if("place").alias("n_base"),
         F.min(F.when(F.col("place"), F.col("start"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("place"), F.col("start"))).cast("long").alias("last_word"),
         F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("place"), F.col("label"))))).alias("base_labels"),
-        F.concat_ws(",", F.array_sort(F.collect_set(F.when(hit, F.col("label"))))).alias("labels"),
+        F.concat_ws(",", F.array_sort(F.collect_set(F.when(found, F.col("label"))))).alias("labels"),
         F.max("share").alias("score"),
+        F.max(F.when(own, F.col("times"))).alias("times"),
     )
-    return out.drop("rid")
+    return out.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("key", "times", "i")
 
 
 def _oracle() -> str:
@@ -119,11 +122,11 @@ WITH t(tid, label, base, k, grams, tpos, gram) AS (VALUES {values}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SEPARATORS}'), lambda x: x <> '') AS w FROM documents),
 p AS (SELECT rid, w, unnest(range(len(w))) AS pos FROM d WHERE len(w) >= 2),
 g AS (SELECT rid, pos, k, array_to_string(w[pos + 1 : pos + k], ' ') AS gram FROM p, (VALUES (2), (3), (4)) ks(k) WHERE pos + k <= len(w)),
-m AS (SELECT rid, tid, label, base, grams, pos - tpos AS diag, count(*) AS votes FROM g JOIN t USING (k, gram) GROUP BY ALL),
+m AS (SELECT rid, tid, label, base, grams, tpos, pos - tpos AS diag FROM g JOIN t USING (k, gram)),
 s AS (SELECT *, sum(CASE WHEN base OR gap > {NEIGHBOUR} THEN 1 ELSE 0 END) OVER (PARTITION BY rid, tid ORDER BY diag) AS span
-      FROM (SELECT *, diag - lag(diag) OVER (PARTITION BY rid, tid ORDER BY diag) AS gap FROM m)),
-e AS (SELECT rid, tid, label, base, grams, span, sum(votes) AS votes, min(diag) AS start FROM s GROUP BY ALL),
-f AS (SELECT *, base AND votes = grams AS place, CASE WHEN base THEN (CASE WHEN votes = grams THEN 1.0 ELSE 0.0 END) ELSE least(1.0::DOUBLE, votes::DOUBLE / grams) END AS share FROM e)
+      FROM (SELECT *, diag - lag(diag) OVER (PARTITION BY rid, tid ORDER BY diag) AS gap FROM (SELECT DISTINCT rid, tid, base, diag FROM m))),
+e AS (SELECT rid, tid, label, m.base, grams, span, count(DISTINCT tpos) AS votes, min(diag) AS start FROM m JOIN s USING (rid, tid, diag) GROUP BY ALL),
+f AS (SELECT *, base AND votes = grams AS place, CASE WHEN base THEN (CASE WHEN votes = grams THEN 1.0 ELSE 0.0 END) ELSE votes::DOUBLE / grams END AS share FROM e)
 SELECT any_value(doc_id) AS doc_id, any_value(len(w))::BIGINT AS n_words, (count(*) FILTER (place))::BIGINT AS n_base,
        (min(start) FILTER (place))::BIGINT AS first_word, (max(start) FILTER (place))::BIGINT AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place), '') AS base_labels,
