@@ -2,12 +2,14 @@
 
 Spark's regular expressions split each text into the pattern's pieces; a partition's batch is turned into
 its distinct pieces, and DuckDB encodes those: a recursive query over token-position rows joins each pair
-of neighbours to the merge table and contracts every piece's leftmost pair of least rank until no pair is
+of neighbours to the merge table and contracts every piece's pairs of least rank, from the left, until no pair is
 left. Decoding is an ordered aggregation of the vocabulary's bytes over (piece, position, id) rows. Texts
 are never shuffled; pieces seen before by a worker come from a bounded cache.
 
-A piece that is a vocabulary entry is that one id. A piece of over LONG bytes, where a contraction a step
-would cost the square of its length, is contracted in the same order with a heap.
+A step contracts all places of the least rank that the leftmost-first rule would take one after the other: of places
+that overlap every second one, and none behind a place whose new token forms a pair of still lower rank with a
+neighbour, as that pair would come first. So a piece takes about as many steps as it has different ranks, however
+long it is, and the ids are those of one contraction at a time. A piece that is a vocabulary entry is that one id.
 
 Defined results: a null or empty text has no ids, and the digests of the empty string; repeated rows each
 give a row; an empty table an empty result; other columns are kept by encode() and ignored by digests().
@@ -18,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONG = 256
-BLOCK = 120_000  # pieces encoded at once
-SLICE = 2_500_000  # pieces of whole texts put together at once
-CACHE = 250_000
+BLOCK = 400_000  # bytes of pieces encoded at once (a longer piece stands alone)
+SLICE = 1_000_000  # pieces of whole texts put together at once
+CACHE, CACHED = 150_000, 64  # pieces kept, and the longest that are
 #: White space as the pattern's \s means it, and the pattern with it spelled out.
 SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -39,14 +39,25 @@ RECURSION = """
 WITH RECURSIVE t(w, pos, tok, nxt, done) AS (
   SELECT w, pos, tok, nxt, false FROM opening
   UNION ALL
-  (WITH best AS (SELECT w, min(m.id::BIGINT * 1048576 + pos) AS k FROM t JOIN merges m ON m.l = t.tok AND m.r = t.nxt WHERE NOT done GROUP BY w)
-   SELECT t.w, CASE WHEN t.pos > b.p THEN t.pos - 1 ELSE t.pos END,
-          CASE WHEN t.pos = b.p THEN b.id ELSE t.tok END,
-          CASE WHEN t.pos = b.p THEN b.nxt WHEN t.pos = b.p - 1 THEN b.id ELSE t.nxt END,
-          b.w IS NULL
-   FROM t LEFT JOIN (SELECT c.w, (c.k & 1048575)::INT AS p, (c.k >> 20)::INT AS id, q.nxt
-                     FROM best c JOIN t q ON q.w = c.w AND q.pos = (c.k & 1048575)::INT + 1) b ON t.w = b.w
-   WHERE NOT t.done AND (b.w IS NULL OR t.pos <> b.p + 1)))
+  (WITH pairs AS (SELECT t.w, t.pos, m.id FROM t JOIN merges m ON m.l = t.tok AND m.r = t.nxt WHERE NOT done),
+   least AS (SELECT w, min(id) AS id FROM pairs GROUP BY w),
+   hits AS (SELECT p.w, p.pos, p.id, p.pos - row_number() OVER (PARTITION BY p.w ORDER BY p.pos) AS chain FROM pairs p JOIN least l ON p.w = l.w AND p.id = l.id),
+   apart AS (SELECT w, pos, id FROM (SELECT *, row_number() OVER (PARTITION BY w, chain ORDER BY pos) AS nr FROM hits) WHERE nr % 2 = 1),
+   taken AS (SELECT a.w, a.pos, a.id, row_number() OVER (PARTITION BY a.w ORDER BY a.pos) AS nr,
+                    coalesce(sum(CASE WHEN y.l IS NOT NULL OR x.r IS NOT NULL THEN 1 END) OVER (PARTITION BY a.w ORDER BY a.pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stops
+             FROM apart a
+             LEFT JOIN t b ON b.w = a.w AND b.pos = a.pos + 1
+             LEFT JOIN lower y ON y.l = a.id AND y.r = b.nxt
+             LEFT JOIN t f ON f.w = a.w AND f.pos = a.pos - 1
+             LEFT JOIN apart g ON g.w = a.w AND g.pos = a.pos - 2
+             LEFT JOIN lower x ON x.r = a.id AND x.l = CASE WHEN g.w IS NULL THEN f.tok ELSE a.id END),
+   now AS (SELECT w, pos, id, nr FROM taken WHERE stops = 0),
+   gone AS (SELECT w, pos + 1 AS pos, nr FROM now),
+   rows AS (SELECT t.w, t.pos, coalesce(n.id, t.tok) AS tok, l.w IS NULL AS done,
+                   t.pos - coalesce(max(g.nr) OVER (PARTITION BY t.w ORDER BY t.pos ROWS UNBOUNDED PRECEDING), 0) AS place, g.w IS NOT NULL AS gone
+            FROM t LEFT JOIN least l ON t.w = l.w LEFT JOIN now n ON n.w = t.w AND n.pos = t.pos LEFT JOIN gone g ON g.w = t.w AND g.pos = t.pos
+            WHERE NOT t.done)
+   SELECT w, place::INT, tok, coalesce(lead(tok) OVER (PARTITION BY w ORDER BY place), -1), done FROM rows WHERE NOT gone))
 SELECT w, pos, tok FROM t WHERE done
 """
 DECODING = "SELECT w // 512 AS part, count(*) AS n, string_agg(hex, '' ORDER BY w, pos) AS hex FROM tokens JOIN vocabulary USING (tok) GROUP BY part ORDER BY part"
@@ -81,32 +92,12 @@ class Codec:
         for name, table in (("merges", merges), ("vocabulary", vocabulary)):
             self.con.register("given", table)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-
-    def long_piece(self, b: bytes) -> list[int]:
-        """Contractions in order of (rank, place) by heap and linked list."""
-        part = [b[i : i + 1] for i in range(len(b))]
-        after, before = list(range(1, len(b) + 1)), list(range(-1, len(b) - 1))
-        heap = [(r, i, 2) for i in range(len(b) - 1) if (r := self.ranks.get(b[i : i + 2])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, n = heapq.heappop(heap)
-            if not part[i] or (j := after[i]) >= len(b) or len(part[i]) + len(part[j]) != n:
-                continue
-            part[i], part[j] = part[i] + part[j], b""
-            after[i] = after[j]
-            if after[i] < len(b):
-                before[after[i]] = i
-            for a in (before[i], i):
-                if a >= 0 and after[a] < len(b) and (r := self.ranks.get(both := part[a] + part[after[a]])) is not None:
-                    heapq.heappush(heap, (r, a, len(both)))
-        return [self.ranks[p] for p in part if p]
+        self.con.execute("CREATE TABLE lower AS SELECT l, r FROM merges WHERE id < greatest(l, r)")  # pairs that come before a part of theirs
 
     def tokens(self, pieces: list[bytes]) -> pa.Table:
         """(w, pos, tok) rows of all pieces."""
         whole = [(i, r) for i, b in enumerate(pieces) if (r := self.ranks.get(b)) is not None]
         done = {i for i, _ in whole}
-        far = [(i, self.long_piece(b)) for i, b in enumerate(pieces) if i not in done and len(b) > LONG]
-        done |= {i for i, _ in far}
         rest = [i for i in range(len(pieces)) if i not in done]
         length = np.array([len(pieces[i]) for i in rest], np.int64)
         end = length.cumsum()
@@ -116,7 +107,7 @@ class Codec:
         pos = (np.arange(len(tok)) - np.repeat(end - length, length)).astype(np.int32)
         self.con.register("opening", pa.table({"w": np.repeat(np.array(rest, np.int32), length), "pos": pos, "tok": tok.astype(np.int32), "nxt": nxt.astype(np.int32)}))
         found = self.con.sql(RECURSION).to_arrow_table()
-        more = [(i, p, t) for i, ids in far for p, t in enumerate(ids)] + [(i, 0, r) for i, r in whole]
+        more = [(i, 0, r) for i, r in whole]
         extra = pa.table(dict(zip(("w", "pos", "tok"), (pa.array(x, pa.int32()) for x in (zip(*more) if more else ((), (), ()))), strict=True)))
         return pa.concat_tables([found.cast(extra.schema), extra])
 
@@ -141,10 +132,16 @@ class Codec:
         missing = [p for p in pieces if p not in self.cache]
         if len(self.cache) + len(missing) > CACHE:
             self.cache = {p: c for p in pieces if (c := self.cache.get(p)) is not None}
-        for at in range(0, len(missing), BLOCK):
-            block = missing[at : at + BLOCK]
-            self.cache.update(zip(block, self.decode(self.tokens([p.encode() for p in block]), len(block)), strict=True))
-        return [self.cache[p] for p in pieces]
+        size = np.cumsum([len(p) for p in missing])
+        fresh, at = {}, 0
+        while at < len(missing):
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK, "right")))
+            block = missing[at:end]
+            fresh.update(zip(block, self.decode(self.tokens([p.encode() for p in block]), len(block)), strict=True))
+            at = end
+        out = [c if (c := self.cache.get(p)) is not None else fresh[p] for p in pieces]
+        self.cache.update((p, c) for p, c in fresh.items() if len(p) <= CACHED)
+        return out
 
 
 _CODECS: dict[str, Codec] = {}
@@ -176,8 +173,15 @@ def _coded_texts(codec: Codec, pieces: pa.ListArray) -> Iterator[tuple[np.ndarra
         lo = hi
 
 
+def _unused(docs: DataFrame) -> str:
+    name = "pieces"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def _with_pieces(docs: DataFrame, pattern: str, columns: list) -> DataFrame:
-    return docs.select(*columns, F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(pieces_pattern(pattern)), 0).alias("_pieces"))
+    return docs.select(*columns, F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(pieces_pattern(pattern)), 0).alias(_unused(docs)))
 
 
 def _blob(path: str) -> bytes:
@@ -186,7 +190,8 @@ def _blob(path: str) -> bytes:
 
 
 def _schema(df: DataFrame, more: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "_pieces"), more])
+    """All columns but the pieces, which come last."""
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]), more])
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -197,7 +202,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = _codec(blob)
         for b in batches:
             lo = 0
-            for number, ids, back in _coded_texts(codec, b.column("_pieces")):
+            for number, ids, back in _coded_texts(codec, b.column(b.num_columns - 1)):
                 sha = lambda col: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in col])
                 yield pa.record_batch({"doc_id": b.column("doc_id").slice(lo, len(number)), "n_tokens": pa.array(number), "ids_sha256": sha(ids), "decoded_sha256": sha(back)})
                 lo += len(number)
@@ -209,13 +214,13 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """docs with `ids array<int>` (a column of that name is replaced)."""
     blob = _blob(path)
-    kept = [c for c in docs.columns if c not in ("ids", "_pieces")]
+    kept = [c for c in docs.columns if c != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(blob)
         for b in batches:
             lo = 0
-            for number, ids, _ in _coded_texts(codec, b.column("_pieces")):
+            for number, ids, _ in _coded_texts(codec, b.column(b.num_columns - 1)):
                 flat = [int(i) for x in ids.to_pylist() for i in x.split()]
                 own = pa.ListArray.from_arrays(pa.array(np.r_[0, number.cumsum()], pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.record_batch([*(b.column(c).slice(lo, len(number)) for c in kept), own], names=[*kept, "ids"])
@@ -239,4 +244,4 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
             yield pa.record_batch([*(b.column(c) for c in kept), pa.array([x[2] for x in codec.decode(table, len(rows))], pa.binary())], names=[*kept, "decoded"])
 
     d = coded.select(*[F.col(f"`{c}`") for c in kept])
-    return d.mapInArrow(run, _schema(d, "decoded binary"))
+    return d.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema), "decoded binary"]))
