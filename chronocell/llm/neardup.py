@@ -7,7 +7,7 @@ below LEAST_SHARE, so rare shingles weigh 2 at any size.
 SAMPLES consistent weighted samples of a text agree with another's with probability of their weighted
 Jaccard similarity; BANDS bands of ROWS samples (drawn from all SAMPLES, so bands share some) propose
 pairs: one at 0.8 is missed 7.5 in ten thousand times (simulated), one at 0.3 seldom proposed. A rough count of
-agreeing samples drops hopeless ones (one at 0.8 once in three million times), and the exact weighted Jaccard of the
+agreeing samples drops hopeless ones (one at 0.8 seven times in ten million), and the exact weighted Jaccard of the
 texts decides.
 
 Exact copies (equal SHA-256) are one node from the start; a node's number is given once, in a written table. A bucket
