@@ -1,17 +1,22 @@
 """Exact top-k inner product search by MaxScore.
 
 Terms are vector components. In a shard of vectors the score of a query is its lowest possible one plus
-non-negative contributions, one a term, each with its upper bound. Terms are taken by falling bound; the
-essential ones (the shortest run whose absence leaves too little to reach the threshold, first guessed
-from the best partial sums) are traversed for all vectors of the shard; the others are probed only for
-vectors whose partial score plus the bounds still left reaches the threshold. Shards' best are merged.
-
-Vectors are dealt to shards of SHARD and queries to blocks of BLOCK by hash of the id; every block meets
-every shard by a join on the shard's number. All of a shard or block is a fixed number of vectors.
+non-negative contributions, one a term, each with its upper bound. Terms are taken by falling bound. The threshold is
+the query's k-th best score so far: before the search each block of queries meets one shard, whose k-th best goes with
+the query to all shards; in a shard it rises with what is found. Non-essential terms are the longest run from the
+least bound up that cannot reach the threshold by itself; the others are essential. Postings lie in blocks of
+POSTINGS vectors, each block with its terms' ranges: blocks whose bound stays below the threshold are skipped, in the
+others the essential terms are traversed, and the non-essential ones probed only for vectors whose score plus the
+bounds still left reaches the threshold. Shards' best are merged.
+
+Vectors are dealt to shards by hash of id and vector, so that one holds SHARD bytes, and queries to blocks of BLOCK;
+every block meets every shard by a join on the shard's number. All of a shard or block is a fixed number of vectors.
+What is sent grows as queries times shards, so shards are as large as a task's memory allows.
 
 Defined results: vectors that are null, or hold a null or non-finite component, and rows without id take
 no part; shorter vectors count as padded with 0; rows that repeat an id are one item to its queries
-(never their own partner) and each a candidate to others; an empty table gives an empty result.
+(never their own partner) and each a candidate to others; an empty table gives an empty result; other columns are
+ignored. Scores are exact as long as a sum of absolute products stays under 2^63; beyond that they are undefined.
 """
 
 from __future__ import annotations
@@ -23,11 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD, BLOCK = 8192, 512
+from chronocell.llm.common import durable, partitions
+
+SHARD = 32 << 20  # bytes of a shard, as numbers of 8 bytes
+LEAST_SHARD, BLOCK = 2048, 512  # vectors
+POSTINGS = 256  # vectors of a block of postings
+AT_ONCE = 16  # blocks between two looks at the threshold
 K = 5
 QUERY_EVERY = 50
 PACKED = "no int, n int, dim int, ids binary, vectors binary"
 STEP = 8  # terms probed between two comparisons with the threshold
+EXACT = float(1 << 53)
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
@@ -36,9 +47,8 @@ def quantised(embeddings: DataFrame) -> DataFrame:
     return embeddings.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ~bad).select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("v"))
 
 
-def _pack(vectors: DataFrame, count: int, size: int) -> DataFrame:
-    """Blocks of about size vectors, dealt by hash of the id and a row's place."""
-    spread = max(1, -(-count // size))
+def _pack(vectors: DataFrame, blocks: int) -> DataFrame:
+    """Vectors dealt to blocks by hash of id and vector; in a block, those alike in sign of the most varied terms stand together."""
 
     def pack(t: pa.Table) -> pa.Table:
         v = t.column("v").combine_chunks()
@@ -48,47 +58,62 @@ def _pack(vectors: DataFrame, count: int, size: int) -> DataFrame:
         dim = int(length.max())
         m = np.zeros((len(length), dim), np.int64)
         m[np.arange(dim) < length[:, None]] = flat
-        no = t.column("no")[0].as_py()
         ids = t.column("vec_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        return pa.table({"no": pa.array([no], pa.int32()), "n": pa.array([len(ids)], pa.int32()), "dim": pa.array([dim], pa.int32()), "ids": pa.array([ids[order].tobytes()], pa.binary()), "vectors": pa.array([m[order].tobytes()], pa.binary())})
+        varied = np.argsort(-m.std(0), kind="stable")[:8] if dim else np.zeros(0, np.int64)
+        side = (m[:, varied] > np.median(m[:, varied], axis=0)) @ (1 << np.arange(len(varied)))
+        order = np.lexsort((ids, side))
+        small = np.int32 if not m.size or np.abs(m).max() < 1 << 31 else np.int64
+        return pa.table({"no": t.column("no")[:1], "n": pa.array([len(ids)], pa.int32()), "dim": pa.array([dim], pa.int32()), "ids": pa.array([ids[order].tobytes()], pa.binary()), "vectors": pa.array([m[order].astype(small).tobytes()], pa.binary())})
 
-    # the second argument spreads rows that repeat an id
-    dealt = vectors.withColumn("no", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(spread)).cast("int"))
+    dealt = vectors.withColumn("no", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
     return dealt.groupBy("no").applyInArrow(pack, PACKED)
 
 
-def best_of_shard(q: np.ndarray, qid: int, ids: np.ndarray, cols: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best of a shard. cols: terms by vectors; low, high: each term's range."""
-    a, b = q * low, q * high
-    floor, gain = np.minimum(a, b), np.abs(a - b)
-    order = np.argsort(-gain, kind="stable")
-    left = np.r_[gain[order][::-1].cumsum()[::-1], 0.0]  # bounds of the terms from here on
-    base = floor.sum()
-    # the lowest score of the unseen terms is part of every partial score
-    essential = max(1, int(np.searchsorted(-left, -left[0] / 4)))
-    on = order[:essential]
-    part = q[on] @ cols[on] - floor[on].sum() + base
-    own = ids == qid
-    part[own] = -np.inf
-    n = len(ids) - int(own.sum())
-    if n <= 0:
-        return ids[:0], part[:0]
-    k = min(k, n)
-    guess = np.argpartition(-part, min(len(part) - 1, 4 * k - 1))[: 4 * k]
-    guess = guess[part[guess] > -np.inf]
-    full = q @ cols[:, guess]
-    least = np.partition(full, len(full) - k)[len(full) - k] if len(full) >= k else -np.inf
-    alive = np.flatnonzero((part + left[essential] >= least) & ~own)
-    score = part[alive]
-    for at in range(essential, len(order), STEP):
-        on = order[at : at + STEP]
-        score = score + q[on] @ cols[np.ix_(on, alive)] - floor[on].sum()
-        at = min(at + STEP, len(order))
-        keep = score + left[at] >= least
-        alive, score = alive[keep], score[keep]
-    top = np.lexsort((ids[alive], -score))[:k]
-    return ids[alive][top], score[top]
+class Shard:
+    """Vectors as terms by vectors, in blocks of postings with the terms' ranges."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.cols = ids, np.ascontiguousarray(x.T)
+        edge = np.arange(0, len(ids), POSTINGS)
+        self.low, self.high = np.minimum.reduceat(self.cols, edge, axis=1).astype(float), np.maximum.reduceat(self.cols, edge, axis=1).astype(float)
+
+    def best(self, q: np.ndarray, qid: int, k: int, least: float = -np.inf, prune: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best of which none is under least (the k-th best elsewhere)."""
+        a, b = q * self.low.min(1), q * self.high.max(1)
+        floor, gain = np.minimum(a, b).astype(float), np.abs(a - b).astype(float)
+        order = np.argsort(-gain, kind="stable")
+        left = np.r_[gain[order][::-1].cumsum()[::-1], 0.0]  # bounds of the terms from here on
+        rest = np.r_[floor[order][::-1].cumsum()[::-1], 0.0]  # lowest scores of the terms from here on
+        base = rest[0]
+        bound = np.maximum(q, 0) @ self.high + np.minimum(q, 0) @ self.low  # of each block
+        blocks = np.argsort(-bound, kind="stable")
+        ids, scores = self.ids[:0], np.zeros(0, q.dtype)
+        for at in range(0, len(blocks), AT_ONCE):
+            some = blocks[at : at + AT_ONCE]
+            some = some[bound[some] >= least]
+            if not len(some):
+                break  # the blocks after these have lower bounds
+            alive = (some[:, None] * POSTINGS + np.arange(POSTINGS)).ravel()
+            alive = alive[alive < len(self.ids)]
+            alive = alive[self.ids[alive] != qid]
+            essential = max(1, int(np.searchsorted(-(base + left), -least, "right"))) if np.isfinite(least) else len(order)
+            essential = min(essential, len(order))
+            on = order[:essential]
+            score = q[on] @ self.cols[np.ix_(on, alive)]
+            keep = score + rest[essential] + left[essential] >= least
+            alive, score = alive[keep], score[keep]
+            for t in range(essential, len(order), STEP):
+                on = order[t : t + STEP]
+                score = score + q[on] @ self.cols[np.ix_(on, alive)]
+                t = min(t + STEP, len(order))
+                keep = score + rest[t] + left[t] >= least
+                alive, score = alive[keep], score[keep]
+            ids, scores = np.r_[ids, self.ids[alive]], np.r_[scores, score]
+            top = np.lexsort((ids, -scores))[:k]
+            ids, scores = ids[top], scores[top]
+            if prune and len(ids) == k:
+                least = max(least, float(scores[-1]))
+        return ids, scores
 
 
 def _search(k: int):
@@ -98,19 +123,27 @@ def _search(k: int):
                 dim = max(r["dim"], r["qdim"])
 
                 def matrix(buffer: bytes, n: int, own: int, dim: int = dim) -> np.ndarray:
-                    m = np.zeros((n, dim))
-                    m[:, :own] = np.frombuffer(buffer, np.int64).reshape(n, own)
+                    m = np.zeros((n, dim), np.int64)
+                    m[:, :own] = np.frombuffer(buffer, np.int64 if len(buffer) == 8 * n * own else np.int32).reshape(n, own)
                     return m
 
                 x, q = matrix(r["vectors"], r["n"], r["dim"]), matrix(r["qvectors"], r["qn"], r["qdim"])
+                exact = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim < EXACT
+                if exact:
+                    x, q = x.astype(float), q.astype(float)
                 ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["qids"], np.int64)
-                cols, low, high = np.ascontiguousarray(x.T), x.min(0), x.max(0)
-                out = [(i, *best_of_shard(q[i], qids[i], ids, cols, low, high, k)) for i in range(len(qids))]
+                least = np.full(len(qids), -np.inf)
+                seen = np.frombuffer(r["least"] or b"", float)
+                if exact:  # else bounds in floating point may not hold, and every vector is scored in full
+                    least[: len(seen)] = seen
+                shard = Shard(ids, x)
+                out = [(i, *shard.best(q[i], qids[i], k, least[i], exact)) for i in range(len(qids))]
                 size = [len(o[1]) for o in out]
                 row = np.repeat([o[0] for o in out], size)
                 yield pa.record_batch({
+                    "qno": pa.array(np.full(len(row), r["qno"], np.int32)),
                     "query_id": pa.array(qids[row]),
-                    "query_row": pa.array(row + (np.int64(r["qno"]) << 20)),
+                    "query_row": pa.array(row.astype(np.int32)),
                     "vec_id": pa.array(np.concatenate([o[1] for o in out])),
                     "score": pa.array(np.concatenate([o[2] for o in out]).astype(np.int64)),
                 })
@@ -120,12 +153,28 @@ def _search(k: int):
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best among vectors, both (vec_id, v array<long>)."""
-    n, nq = vectors.count(), queries.count()
-    shards = max(1, -(-n // shard))
-    x = _pack(vectors, n, shard)
-    q = _pack(queries, nq, block).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("no"), F.col("no").alias("qno"), F.col("n").alias("qn"), F.col("dim").alias("qdim"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
-    found = x.join(q, "no").mapInArrow(_search(k), "query_id long, query_row long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    n, dim = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    shards = max(1, -(-n * 8 * (dim or 1) // shard), min(partitions(vectors.sparkSession), n // LEAST_SHARD))
+    x = durable(_pack(vectors, shards))
+    q = durable(_pack(queries, max(1, -(-queries.count() // block))))
+    q = q.select(F.col("no").alias("qno"), F.col("n").alias("qn"), F.col("dim").alias("qdim"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
+    kind = "qno int, query_id long, query_row int, vec_id long, score long"
+
+    # the k-th best of one shard of each block of queries is a threshold for all
+    first = x.join(q.select("*", F.pmod("qno", F.lit(shards)).alias("no"), F.lit(None).cast("binary").alias("least")), "no").mapInArrow(_search(k), kind)
+
+    def thresholds(t: pa.Table) -> pa.Table:
+        row, score = t.column("query_row").to_numpy(), t.column("score").to_numpy()
+        least = np.full(int(row.max()) + 1, np.inf)
+        np.minimum.at(least, row, score.astype(float))
+        least[np.bincount(row, minlength=len(least)) < k] = -np.inf
+        return pa.table({"of": t.column("qno")[:1], "seen": pa.array([least.tobytes()], pa.binary())})
+
+    seen = first.groupBy("qno").applyInArrow(thresholds, "of int, seen binary")
+    q = q.join(seen, F.col("qno") == F.col("of"), "left").drop("of")
+    every = q.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("no")).withColumnRenamed("seen", "least")
+    found = x.join(every, "no").mapInArrow(_search(k), kind)
+    rank = F.row_number().over(Window.partitionBy("qno", "query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
