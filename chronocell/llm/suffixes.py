@@ -3,21 +3,26 @@
 1. Every window of LENGTH bytes is led by the least hash of its GRAM-byte grams. Consecutive windows with
    the same leader form a run; equal windows have equal leaders wherever they stand, so only runs whose
    leader occurs in two documents can hold repeats (none is lost), and all of a leader's runs meet in one
-   bucket. Chunks of documents send each leader once.
+   bucket. Chunks of documents send each leader once, packed by leader bucket.
 2. Chunks send the text of each different shared run once, with the least and greatest id that holds it.
+   A leader with over HOT different runs would fill a task; its windows go one by one instead, each led by the
+   hash of all its bytes, so equal windows still meet and different ones spread over all buckets. How many runs a
+   leader has is told by the 1 in SAMPLED of them whose hash is a multiple of SAMPLED, wherever they stand.
 3. A bucket concatenates its different runs, sorts suffixes by SORTED bytes (prefix doubling), takes the
    Burrows-Wheeler transform and extends all intervals backwards breadth first: the boundaries that appear
    at step v have a common prefix of v bytes, by increasing v; it stops at LENGTH. What no boundary parts
    shares LENGTH bytes; the least id of each such group goes back to the chunks as ranges of windows.
 4. Chunks mark the windows whose least id is smaller than the document's and cut the bytes they cover.
 
-Chunks are some ROWS documents by hash of id; the text is shuffled once (the three steps that need it read
-the same exchange) and nothing is collected. A run that a third of all documents share costs one entry a
+Chunks are some CHUNK bytes of documents by hash of id and text; texts under LENGTH bytes are not shuffled; the other
+text is shuffled once (the three steps that need it read the same exchange) and nothing is collected. Leader buckets
+take the leaders of LEADERS bytes of text and run buckets the runs of RUNS bytes, so a message holds several leaders
+and there are never more messages than leaders. A run that a third of all documents share costs one entry a
 chunk. Work goes in slices of text, so memory does not grow with a document's neighbours.
 
 Defined results: a null text is empty; a null id is greater than all others; rows that repeat an id do not
 remove from each other; texts under LENGTH bytes stay whole; an empty table gives an empty result;
-columns of the input named like an output are dropped.
+columns of the input named like an output are dropped by dedup(), all are kept by deduplicated().
 """
 
 from __future__ import annotations
@@ -30,13 +35,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from chronocell.llm.common import mix64, partitions, row_slices, utf8
 
 LENGTH = 50
 GRAM = 16
 SORTED = 64
-ROWS = 1000  # documents of a chunk
+CHUNK, LEADERS, RUNS = 16 << 20, 256 << 20, 16 << 20  # bytes of text a chunk, and a bucket of leaders and of runs
+HOT = 200_000  # different runs of a leader
+SAMPLED = 1024
 SLICE = 1 << 18  # bytes of text looked at at once
 BLOCK = 1 << 18  # bytes of runs transformed at once
 LAST = (1 << 63) - 1
@@ -111,12 +119,26 @@ def runs(data: np.ndarray, off: np.ndarray, content: bool = True) -> tuple[np.nd
     return leader, row, first, end, mix64(s0 + mix64(s1 + mix64(leader + (end - first).astype(np.uint64))))
 
 
+def windows(leader: np.ndarray, row: np.ndarray, first: np.ndarray, end: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs' windows as runs of their own, led by the hash of their bytes; in the form of runs()."""
+    count = end - first - LENGTH + 1
+    start = np.repeat(first - (count.cumsum() - count), count) + np.arange(count.sum())
+    h = np.zeros(len(start), np.uint64)
+    for i in range(0, LENGTH, 8):  # eight bytes at a time, the last two with zeros
+        word = np.zeros(len(start), np.uint64)
+        for j in range(i, i + 8):
+            word = (word << _U(8)) | (data[start + j].astype(np.uint64) if j < LENGTH else _U(0))
+        h = mix64(h * _U(0x9E3779B97F4A7C15) + word)
+    return mix64(h), np.repeat(row, count), start, start + LENGTH, h
+
+
 class Chunk:
     """Rows of a chunk, in a fixed order, and their runs."""
 
     def __init__(self, table: pa.Table):
         ids = table.column("doc_id").fill_null(LAST).cast(pa.int64())
-        text = table.column("text")
+        text = table.column("text").cast(pa.large_string())
+        table = table.set_column(table.schema.get_field_index("text"), "text", text)
         size = pa.compute.fill_null(pa.compute.binary_length(text), 0)
         order = pa.compute.sort_indices(pa.table({"i": ids, "n": size, "t": text}), [("i", "ascending"), ("n", "ascending"), ("t", "ascending")])
         self.table = table.take(order)
@@ -129,17 +151,24 @@ class Chunk:
 
     def shared_runs(self, replies: pa.Table) -> list[tuple[np.ndarray, ...]]:
         """Of each slice: leader, row in the chunk, first, end and content of the runs whose leader is shared."""
-        all_runs = [(lo, runs(data, off)) for lo, _, data, off in self.slices()]
-        leaders = np.unique(np.concatenate([r[0] for _, r in all_runs])) if all_runs else np.zeros(0, np.uint64)
-        shared = np.zeros(len(leaders), bool)
-        for kind, a, b in zip(*(replies.column(x).to_pylist() for x in ("kind", "a", "b")), strict=True):
+        all_runs = [(lo, data, runs(data, off)) for lo, _, data, off in self.slices()]
+        leaders = np.unique(np.concatenate([r[0] for _, _, r in all_runs])) if all_runs else np.zeros(0, np.uint64)
+        shared, hot = np.zeros(len(leaders), bool), np.zeros(len(leaders), bool)
+        for kind, a, b, c in zip(*(replies.column(x).to_pylist() for x in ("kind", "a", "b", "c")), strict=True):
             if kind == 0:  # a bucket's first leader, how many, and a bit for each
                 at, n = np.frombuffer(a, np.int64)
                 shared[at : at + n] = np.unpackbits(np.frombuffer(b, np.uint8), count=n)
+                if c:
+                    hot[at : at + n] = np.unpackbits(np.frombuffer(c, np.uint8), count=n)
         out = []
-        for lo, (leader, row, first, end, content) in all_runs:
-            on = shared[np.searchsorted(leaders, leader)]
-            out.append((leader[on], row[on] + lo, first[on], end[on], content[on]))
+        for lo, data, (leader, row, first, end, content) in all_runs:
+            place = np.searchsorted(leaders, leader)
+            on, single = shared[place] & ~hot[place], shared[place] & hot[place]
+            both = [(leader[on], row[on], first[on], end[on], content[on])]
+            if single.any():
+                both.append(windows(leader[single], row[single], first[single], end[single], data))
+            x = [np.concatenate(c) for c in zip(*both, strict=True)]
+            out.append((x[0], x[1] + lo, *x[2:]))
         return out
 
 
@@ -157,39 +186,59 @@ def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, np.r_[s[1:], len(x)]
 
 
-def _send_leaders(buckets: int):
+def _send_leaders(buckets: int, sampled_of: int):
     def send(table: pa.Table) -> pa.Table:
-        """chunk here is the bucket, kind the chunk: a 32 bits of each leader, b a bit whether two rows hold it, c their place."""
+        """chunk here is the bucket, kind the chunk: a 32 bits of each leader, b a bit whether two rows hold it, c their place, d sampled runs."""
         c = Chunk(table)
-        both = [(x[0], c.ids[x[1] + lo]) for lo, _, data, off in c.slices() for x in [runs(data, off, False)]]
-        leader = np.concatenate([x[0] for x in both]) if both else np.zeros(0, np.uint64)
-        doc = np.concatenate([x[1] for x in both]) if both else np.zeros(0, np.int64)
+        both = [(x[0], c.ids[x[1] + lo], x[4]) for lo, _, data, off in c.slices() for x in [runs(data, off)]]
+        leader, doc, content = (np.concatenate(x) for x in zip(*both, strict=True)) if both else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        some = content % _U(sampled_of) == 0
+        sampled = np.unique(np.stack([leader[some], content[some]], 1), axis=0)
         order = np.argsort(leader, kind="stable")  # ids rise already
         leader, doc = leader[order], doc[order]
         s, e = _groups(leader)
         key, many = leader[s], doc[s] != doc[e - 1]
         here = table.column("_chunk")[0].as_py()
         bucket = bucket_of(key, buckets)
-        return _parts([(int(bucket[i]), here, key[i:j].astype(np.uint32).tobytes(), np.packbits(many[i:j]).tobytes(), np.array([i, j - i]).tobytes(), None) for i, j in zip(*_groups(bucket), strict=True)])
+        rows = []
+        for i, j in zip(*_groups(bucket), strict=True):
+            x, y = np.searchsorted(sampled[:, 0], key[i], "left"), np.searchsorted(sampled[:, 0], key[j - 1], "right")
+            d = sampled[x:y, 0].astype(np.uint32).tobytes() + sampled[x:y, 1].tobytes() if x < y else None
+            rows.append((int(bucket[i]), here, key[i:j].astype(np.uint32).tobytes(), np.packbits(many[i:j]).tobytes(), np.array([i, j - i]).tobytes(), d))
+        return _parts(rows)
 
     return send
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
-    """Which leaders of a bucket two documents hold: bits back to each chunk that sent some.
+def _hot_leaders(samples: list[bytes], most: int) -> np.ndarray:
+    """32 bits of the leaders of which so many different runs were sampled that all may fill a task."""
+    pairs = [(np.frombuffer(x, np.uint32, len(x) // 12), np.frombuffer(x, np.uint64, offset=len(x) // 3)) for x in samples if x]
+    if not pairs:
+        return np.zeros(0, np.uint32)
+    both = np.unique(np.stack([np.concatenate([a for a, _ in pairs]).astype(np.uint64), np.concatenate([b for _, b in pairs])], 1), axis=0)
+    leader, count = np.unique(both[:, 0], return_counts=True)
+    return leader[count > most].astype(np.uint32)
+
+
+def _find_shared(most: int):
+    def find(table: pa.Table) -> pa.Table:
+        """Which leaders of a bucket two documents hold: bits back to each chunk that sent some, and bits of the hot ones.
+
+        Leaders that agree in their 32 bits only are taken as shared too, which costs a little and loses nothing.
+        """
+        keys = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
+        many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) > 0 for x, k in zip(table.column("b").to_pylist(), keys, strict=True)]
+        every = np.sort(np.concatenate([*keys, *(k[m] for k, m in zip(keys, many, strict=True))]))  # one that two rows hold counts twice
+        shared = np.unique(every[1:][every[1:] == every[:-1]])
+        hot = _hot_leaders(table.column("d").to_pylist(), most)
+        rows = []
+        for chunk, place, k in zip(table.column("kind").to_pylist(), table.column("c").to_pylist(), keys, strict=True):
+            if (bits := np.isin(k, shared)).any():
+                burning = np.isin(k, hot) if len(hot) else bits[:0]
+                rows.append((chunk, 0, place, np.packbits(bits).tobytes(), np.packbits(burning).tobytes() if burning.any() else None, None))
+        return _parts(rows)
 
-    Leaders that agree in their 32 bits only are taken as shared too, which costs a little and loses nothing.
-    """
-    keys = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
-    many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(table.column("b").to_pylist(), keys, strict=True)])
-    _, inverse, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    on = ((count > 1) | (np.bincount(inverse, many, minlength=len(count)) > 0))[inverse]
-    rows, at = [], 0
-    for chunk, place, k in zip(table.column("kind").to_pylist(), table.column("c").to_pylist(), keys, strict=True):
-        if (bits := on[at : at + len(k)]).any():
-            rows.append((chunk, 0, place, np.packbits(bits).tobytes(), None, None))
-        at += len(k)
-    return _parts(rows)
+    return find
 
 
 def _numbered(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
@@ -339,6 +388,12 @@ def _transform(table: pa.Table) -> pa.Table:
     return _parts([(int(to[by[i]]), 1, _packed(number[by[i:j]]), _packed(np.r_[a[by[i:j]], n[by[i:j]]]), _packed(w[by[i:j]]), None) for i, j in zip(*_groups(to[by]), strict=True)])
 
 
+def _characters(data: np.ndarray, gone: np.ndarray) -> str:
+    """The whole characters of what is left; bytes on two sides of a cut make none."""
+    edge = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    return "".join(part.tobytes().decode("utf-8", "ignore") for part, cut in zip(np.split(data, edge), gone[np.r_[0, edge]], strict=True) if not cut)
+
+
 def _cut(columns: list[str]):
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         c = Chunk(left)
@@ -351,7 +406,7 @@ def _cut(columns: list[str]):
         found = c.shared_runs(right)
         _, owns = _numbered(found)
         done = 0
-        n_bytes, removed, spans, kept = [], [], [], []
+        n_bytes, removed, spans, kept, left = [], [], [], [], []
         for (_, row, first, _, _), (_, _, data, off) in zip(found, c.slices(), strict=True):
             own = owns[done : done + len(row)]
             done += len(row)
@@ -374,34 +429,45 @@ def _cut(columns: list[str]):
                 count.append(sums[off[1:]] - sums[off[:-1]])
             n_bytes.append(np.diff(off))
             kept += [data[a:b][~gone[a:b]].tobytes() if r else data[a:b].tobytes() for a, b, r in zip(off[:-1], off[1:], removed[-1], strict=True)]
-        more = {"n_bytes": pa.array(np.concatenate(n_bytes).astype(np.int64)), "n_removed": pa.array(np.concatenate(removed).astype(np.int64)), "n_spans": pa.array(np.concatenate(spans).astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept]), "kept": pa.array(kept, pa.binary())}
+            if "kept_text" in columns:
+                left += [_characters(data[a:b], gone[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)]
+        more = {"n_bytes": pa.array(np.concatenate(n_bytes).astype(np.int64)), "n_removed": pa.array(np.concatenate(removed).astype(np.int64)), "n_spans": pa.array(np.concatenate(spans).astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept]), "kept": pa.array(kept, pa.binary()), "kept_text": pa.array(left or [None] * len(kept), pa.string())}
         return pa.table({x: more[x] if x in more else c.table.column(x) for x in columns})
 
     return cut
 
 
-OUT = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept": "binary"}
+OUT = {"n_bytes": LongType(), "n_removed": LongType(), "n_spans": LongType(), "kept_sha256": StringType(), "kept": BinaryType(), "kept_text": StringType()}
 
 
-def dedup(docs: DataFrame, outputs: tuple[str, ...] = tuple(OUT), rows: int = ROWS) -> DataFrame:
-    """docs (without text) with outputs: bytes, removed bytes, removed spans, digest and bytes of what is left."""
-    spark = docs.sparkSession
-    chunks = max(partitions(spark), -(-docs.count() // rows))
+def dedup(docs: DataFrame, outputs: tuple[str, ...] = tuple(OUT), hot: int = HOT, sampled: int = SAMPLED) -> DataFrame:
+    """docs (without text) with outputs: bytes, removed bytes, removed spans, digest and bytes of what is left, and its whole characters."""
+    p = partitions(docs.sparkSession)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    total = docs.agg(F.sum(size)).first()[0] or 0
+    parts = lambda of: max(p, -(-total // of))
     kept = [c for c in docs.columns if c not in (*OUT, "_chunk", "text")]
-    fields = [f for f in docs.schema if f.name in kept]
-    base = docs.select(*[F.col(f"`{c}`") for c in kept], "text", F.pmod(F.xxhash64("doc_id", F.octet_length(F.col("text"))), F.lit(chunks)).cast("int").alias("_chunk"))
-    leaders = base.groupBy("_chunk").applyInArrow(_send_leaders(chunks), PARTS)
-    shared = leaders.groupBy("chunk").applyInArrow(_find_shared, PARTS)
-    sent = base.groupBy("_chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_runs(chunks), PARTS)
+    own = [F.col(f"`{c}`") for c in kept]
+    text = F.coalesce("text", F.lit(""))
+    alone = {"n_bytes": size, "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.sha2(text.cast("binary"), 256), "kept": text.cast("binary"), "kept_text": text}
+    short = docs.where(size < LENGTH).select(*own, *(alone[o].alias(o) for o in outputs))
+
+    base = docs.where(size >= LENGTH).select(*own, "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts(CHUNK))).cast("int").alias("_chunk"))
+    leaders = base.groupBy("_chunk").applyInArrow(_send_leaders(parts(LEADERS), sampled), PARTS)
+    shared = leaders.groupBy("chunk").applyInArrow(_find_shared(hot // sampled), PARTS)
+    sent = base.groupBy("_chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_runs(parts(RUNS)), PARTS)
     least = sent.groupBy("chunk").applyInArrow(_transform, PARTS)
     columns = [*kept, *outputs]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{o} {OUT[o]}" for o in outputs)])
+    schema = StructType([*(docs.schema[c] for c in kept), *(StructField(o, OUT[o]) for o in outputs)])
     both = shared.unionByName(least)
-    return base.groupBy("_chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cut(columns), schema)
+    return base.groupBy("_chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cut(columns), schema).unionByName(short)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with the repeated bytes cut from their text (what a cut leaves of a character is dropped)."""
-    d = dedup(docs, ("n_removed", "kept"))
-    text = F.when(F.col("n_removed") > 0, F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string")))).otherwise(F.col("kept").cast("string"))
-    return d.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*OUT, "_chunk")])
+    """docs with the repeated bytes cut from their text; what a cut leaves of a character is dropped, and n_chars, if
+    there, is counted anew for a text that was cut. All columns are kept; a null text stays null."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    d = dedup(docs.select("doc_id", "text", others, F.col("text").isNull().alias("none")), ("n_removed", "kept_text"))
+    text = F.when(~F.col("none"), F.col("kept_text"))
+    new = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": text}
+    return d.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
