@@ -416,10 +416,14 @@ def f9(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from chronocell import catalogue_more  # noqa: F401  registers the rest
+
     return dict(Q)
 
 
 def oracle_sql() -> dict[str, str]:
+    from chronocell import catalogue_more  # noqa: F401
+
     return dict(SQL)
 
 

@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from chronocell.functions.parsing import load_config, merge_config, parse_range2d, parse_task, select_tasks
+from chronocell.functions.parsing import load_config, merge_config, parse_range2d, select_tasks
 from chronocell.functions.periods import Period
 from chronocell.operators import planner, spatial
 from chronocell.plans.tasks import FREQUENCY_NAMES, SaveOptions, mosaic, plan_tasks, run_tasks
@@ -39,10 +39,16 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--config")
     a.add_argument("--overwrite", action="store_true")
     a.add_argument("--dryrun", action="store_true")
+    a.add_argument("--product", default="", help="with --location: item documents and manifests of the results are written too")
+    a.add_argument("--location", default="")
+    a.add_argument("--grid", default="1,1,1", help="tile width,tile height,resolution")
     a = sub.add_parser("publish-tasks")
     for name in ("tasks", "queue"):
         a.add_argument(name)
     a.add_argument("selectors", nargs="*")
+    a.add_argument("--geojson-filter", help="tasks whose tile meets the file's first feature")
+    a.add_argument("--grid", default="1,1,1", help="tile width,tile height,resolution")
+    a.add_argument("--dryrun", action="store_true")
     a = sub.add_parser("generate-cache")
     for name in ("glob", "output"):
         a.add_argument(name)
@@ -53,14 +59,17 @@ def parser() -> argparse.ArgumentParser:
     a = sub.add_parser("locate-grids")
     for name in ("grid", "extent"):
         a.add_argument(name)
+    a.add_argument("csv", nargs="?", help="where the numbers go, a line a grid box; else they are printed")
+    a.add_argument("--attr-filter", help="SQL condition on the extent's columns")
     return p
 
 
 def _chosen(tasks, selectors):
+    """The selected tasks; ValueError for a selector that fits none."""
     if not selectors:
         return tasks
     ids = [(r.period, r.x, r.y) for r in tasks.select("period", "x", "y").orderBy("period", "x", "y").collect()]  # keys only
-    wanted = select_tasks(selectors, ids) if any(":" in s or s.lstrip("-").isdigit() for s in selectors) else [parse_task(s) for s in selectors]
+    wanted = select_tasks(selectors, ids)
     keep = tasks.sparkSession.createDataFrame(sorted(set(wanted)), "period string, x int, y int")
     return tasks.join(keep, ["period", "x", "y"], "left_semi")
 
@@ -87,35 +96,64 @@ def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
         return 2
     sinks.write_tasks(planner.tasks_of(binned), f"{a.output}/tasks")
     sinks.write_csv(planner.task_counts(binned), f"{a.output}/csv")
-    sinks.write_documents(planner.period_features(binned), f"{a.output}/geojson", "geojson")
+    sinks.write_documents(planner.period_features(binned, grid), f"{a.output}/geojson", "geojson")
+    sinks.write_documents(planner.tile_features(binned, grid), f"{a.output}/tiles", "geojson")
     return 0
 
 
+def _grid(text: str, crs: str | None = None) -> spatial.Grid:
+    width, height, resolution = map(float, text.split(","))
+    return spatial.Grid((width, height), resolution, crs=crs or "EPSG:4326")
+
+
+def run(spark: SparkSession, a: argparse.Namespace, tasks) -> None:
+    config = load_config(a.config) if a.config else {}
+    done, scenes = sinks.finished(spark, a.output), spark.read.parquet(a.scenes)
+    if a.dryrun:
+        planner.dry_run(tasks, done, a.overwrite, scenes=scenes).show(10_000, truncate=False)
+        return
+    new = tasks if a.overwrite else planner.pending(tasks, done)
+    result = run_tasks(spark, new, scenes, spark.read.parquet(a.pixels), a.summary, **config)
+    sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "append")
+    if a.product:  # the documents come last, so a task that has one is whole
+        bands = [c for c in result.columns if c not in ("period", "tile_x", "tile_y", "y", "x")]
+        sinks.write_documents(sinks.item_documents(new, a.product, bands, a.location, _grid(a.grid)), f"{a.output}/_documents", mode="append")
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.getOrCreate()
     if a.command == "save-tasks":
         return save_tasks(spark, a)
+    if a.command in ("run", "publish-tasks"):
+        try:
+            tasks = _chosen(spark.read.parquet(a.tasks), a.selectors)
+        except ValueError as e:
+            print(e, file=sys.stderr)
+            return 1
     if a.command == "run":
-        tasks = _chosen(spark.read.parquet(a.tasks), a.selectors)
-        config = load_config(a.config) if a.config else {}
-        done = sinks.finished(spark, a.output)
-        if a.dryrun:
-            planner.dry_run(tasks, done, a.overwrite).show(truncate=False)
-            return 0
-        result = run_tasks(spark, tasks, spark.read.parquet(a.scenes), spark.read.parquet(a.pixels), a.summary, None if a.overwrite else done, **config)
-        sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "append")
+        run(spark, a, tasks)
     elif a.command == "publish-tasks":
         from chronocell.streaming.tasks import publish
 
-        publish(_chosen(spark.read.parquet(a.tasks), a.selectors), a.tasks, a.queue)
+        if a.geojson_filter:
+            tasks = spatial.tiles_in_polygon(tasks, _grid(a.grid), catalogue_items.read_rings(spark, a.geojson_filter)[0])
+        if a.dryrun:
+            for r in tasks.select("period", "x", "y").orderBy("period", "x", "y").toLocalIterator():
+                print(f"{r.period}/{r.x:+04d}/{r.y:+04d}")
+        else:
+            publish(tasks, a.tasks, a.queue)
     elif a.command == "generate-cache":
         catalogue_items.read_items(spark, a.glob).write.parquet(a.output)
     elif a.command == "generate-mosaic":
         sinks.write_bands(mosaic(spark.read.parquet(a.results), a.bands.split(","), a.factor), a.output)
     elif a.command == "locate-grids":
-        found = spatial.regions_touched(spark.read.parquet(a.grid), spark.read.parquet(a.extent))
-        print(json.dumps([r.numbers for r in found.orderBy("region_code").select(F.col("numbers")).collect()]))
+        found = spatial.regions_touched(spark.read.parquet(a.grid), spark.read.parquet(a.extent), a.attr_filter)
+        lines = found.orderBy("region_code").select(F.concat_ws(",", "numbers").alias("line"))
+        if a.csv:
+            sinks.write_documents(lines, a.csv, "line")
+        else:
+            print(json.dumps([r.line.split(",") for r in lines.toLocalIterator()]))
     return 0
 
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 import re
+from datetime import date, datetime
 from pathlib import Path
 
+from chronocell.functions.periods import Period
+
 TaskId = tuple[str, int, int]
 
 
@@ -80,6 +83,18 @@ def compatible_resolution(tile_size: tuple[float, float], resolution: tuple[floa
     return all(abs(int(t / abs(r)) * abs(r) - t) < tolerance for t, r in zip(tile_size, resolution, strict=True))
 
 
+def plain(value):
+    """A query as it is stored in a configuration: times as ISO text, periods as theirs, rings of points as GeoJSON."""
+    if isinstance(value, dict):
+        return {k: plain(v) for k, v in value.items()}
+    if isinstance(value, (list, tuple)):
+        ring = len(value) > 3 and value[0] == value[-1] and all(isinstance(p, (list, tuple)) and len(p) == 2 for p in value)
+        return {"type": "Polygon", "coordinates": [[list(p) for p in value]]} if ring else [plain(v) for v in value]
+    if isinstance(value, Period):
+        return value.short
+    return value.isoformat() if isinstance(value, (date, datetime)) else value
+
+
 def load_config(text: str) -> dict:
     """YAML (or JSON, its subset) from a file or inline; the first document only."""
     body = Path(text).read_text() if "\n" not in text and len(text) < 4096 and Path(text).is_file() else text

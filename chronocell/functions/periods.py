@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 import re
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -113,6 +113,18 @@ def rolling_rules(period: Period, months: int, interval: int) -> dict[str, Perio
     return bins
 
 
+def rolling_labels(t: Column, period: Period, months: int, interval: int) -> Column:
+    """Labels of all rolling_rules() that hold t, by arithmetic on months; the period starts with a month."""
+    if period.start != datetime(period.start.year, period.start.month, 1):
+        raise ValueError("a period that starts with a month expected")
+    first, count = period.start.year * 12 + period.start.month - 1, len(rolling_rules(period, months, interval))
+    since = F.year(t) * 12 + F.month(t) - 1 - first
+    low = F.greatest(F.lit(0), F.ceil((since - (months - 1)) / interval).cast("int"))
+    high = F.least(F.lit(count - 1), F.floor(since / interval).cast("int"))
+    label = lambda i: F.concat(((first + i * interval) / 12).cast("int").cast("string"), F.lit("-"), F.lpad((F.pmod(first + i * interval, F.lit(12)) + 1).cast("string"), 2, "0"), F.lit(f"--P{months}M"))
+    return F.when((since >= 0) & (low <= high), F.transform(F.sequence(F.least(low, high), high), label))
+
+
 def local_time(t: Column, offset_hours: Column | float = 0.0) -> Column:
     """t shifted by whole seconds of the tile's offset."""
     hours = offset_hours if isinstance(offset_hours, Column) else F.lit(float(offset_hours))
@@ -133,7 +145,7 @@ def season_label(t: Column, rules: dict[int, str]) -> Column:
     return F.concat((F.year(t) - F.when(start > month, 1).otherwise(0)).cast("string"), F.lit("-"), label)
 
 
-#: --frequency to (rules, months, anchor); the rest is handled by plans.tasks.
+#: The names (one is spelled so). --frequency to (rules, months, anchor); the rest is handled by plans.tasks.
 FREQUENCIES = {
     "semiannual": (season_rules, 6, 1),
     "seasonal": (season_rules, 3, 12),
@@ -142,7 +154,3 @@ FREQUENCIES = {
     "apr-oct": (single_season_rules, 7, 4),
     "annual-fy": (season_rules, 12, 7),
 }
-
-
-def as_day(d: date | datetime) -> str:
-    return f"{d:%Y-%m-%d}"

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from chronocell.functions.pixels import any_bit, no_bit
 from chronocell.operators import fuse as fusers
@@ -19,57 +20,93 @@ from chronocell.operators.morphology import cleanup_images
 from chronocell.operators.summaries import Summary, register
 
 
-def geomedian(x: np.ndarray, steps: int = 1000, tolerance: float = 1e-6) -> np.ndarray:
-    """Of (observations, bands) without missing values, by Weiszfeld steps with Vardi and Zhang's rule."""
-    if x.shape[1] == 1:
-        return np.median(x, axis=0)
-    m = x.mean(0)
+def geomedians(x: np.ndarray, valid: np.ndarray, steps: int = 1000, tolerance: float = 1e-6) -> np.ndarray:
+    """Of (pixels, observations, bands), by Weiszfeld steps with Vardi and Zhang's rule for all pixels at once; valid says
+    which observations count. A pixel leaves the iteration when it stands; without observations it is NaN."""
+    n = valid.sum(1)
+    m = np.full((len(x), x.shape[2]), np.nan)
+    if x.shape[2] == 1:
+        some = n > 0
+        m[some, 0] = np.nanmedian(np.where(valid, x[..., 0], np.nan)[some], axis=1)
+        return m
+    x = np.where(valid[..., None], x, 0.0)
+    some = np.flatnonzero(n)
+    m[some] = x[some].sum(1) / n[some, None]
+    moving = some
     for _ in range(steps):
-        d = np.linalg.norm(x - m, axis=1)
-        at = d < 1e-12
-        if at.all():
-            return m
-        w = np.where(at, 0.0, 1 / np.where(at, 1.0, d))
-        t = (x * w[:, None]).sum(0) / w.sum()
-        if at.any():
-            r = np.linalg.norm((w[:, None] * (x - m)).sum(0))
-            share = min(1.0, at.sum() / r) if r > 0 else 1.0
-            t = (1 - share) * t + share * m
-        moved = np.linalg.norm(t - m)
-        m = t
-        if moved <= tolerance * max(1.0, np.linalg.norm(m)):
+        if not len(moving):
             break
+        own, on, now = x[moving], valid[moving], m[moving]
+        gap = own - now[:, None]
+        d = np.sqrt((gap * gap).sum(2))
+        at = (d < 1e-12) & on
+        w = np.where(on & ~at, 1 / np.where(on & ~at, d, 1.0), 0.0)
+        total = w.sum(1)
+        going = total > 0
+        t = np.where(going[:, None], (own * w[..., None]).sum(1) / np.where(going, total, 1.0)[:, None], now)
+        pull = np.sqrt((((w[..., None] * gap).sum(1)) ** 2).sum(1))
+        held = at.sum(1)
+        share = np.where(held > 0, np.minimum(1.0, held / np.where(pull > 0, pull, held.clip(1))), 0.0)
+        t = (1 - share)[:, None] * t + share[:, None] * now
+        m[moving] = t
+        moved = np.sqrt(((t - now) ** 2).sum(1))
+        moving = moving[moved > tolerance * np.maximum(1.0, np.sqrt((t * t).sum(1)))]
     return m
 
 
-def deviations(x: np.ndarray, m: np.ndarray) -> tuple[float, float, float]:
-    """Median cosine, Euclidean and Bray-Curtis distances to m."""
-    e = np.linalg.norm(x - m, axis=1)
-    c = 1 - (x @ m) / np.maximum(np.linalg.norm(x, axis=1) * np.linalg.norm(m), 1e-300)
-    b = np.abs(x - m).sum(1) / np.maximum(np.abs(x + m).sum(1), 1e-300)
-    return float(np.median(c)), float(np.median(e)), float(np.median(b))
-
-
-def geomedian_rows(days: DataFrame, bands: Sequence[str], keys: Sequence[str], aux: Sequence[str] = ("smad", "emad", "bcmad", "count"), block: int = 32) -> DataFrame:
+def geomedian(x: np.ndarray, steps: int = 1000, tolerance: float = 1e-6) -> np.ndarray:
+    """Of (observations, bands) without missing values."""
+    return geomedians(x[None], np.ones((1, len(x)), bool), steps, tolerance)[0]
+
+
+def deviations(x: np.ndarray, valid: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Median cosine, Euclidean and Bray-Curtis distances of each pixel's observations to its median."""
+    x = np.where(valid[..., None], x, 0.0)
+    gap = x - m[:, None]
+    e = np.sqrt((gap * gap).sum(2))
+    size = np.sqrt((x * x).sum(2)) * np.sqrt((m * m).sum(1))[:, None]
+    c = 1 - np.einsum("pob,pb->po", x, m) / np.maximum(size, 1e-300)
+    b = np.abs(gap).sum(2) / np.maximum(np.abs(x + m[:, None]).sum(2), 1e-300)
+    out = np.full((len(x), 3), np.nan)
+    some = valid.any(1)
+    for i, d in enumerate((c, e, b)):
+        out[some, i] = np.nanmedian(np.where(valid, d, np.nan)[some], axis=1)
+    return out
+
+
+def geomedian_rows(days: DataFrame, bands: Sequence[str], keys: Sequence[str], aux: Sequence[str] = ("smad", "emad", "bcmad", "count"), block: int = 32, at_once: int = 1 << 22) -> DataFrame:
     """One row a key: the bands' geomedian, the deviations and the count of observations with all bands."""
-    schema = ", ".join([*(f"`{k}` {dict(days.dtypes)[k]}" for k in keys), *(f"`{b}` double" for b in bands), *(f"`{a}` double" for a in aux[:3]), f"`{aux[3]}` int"])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for key, g in pdf.groupby(list(keys), dropna=False):
-            x = g[list(bands)].to_numpy(float)
-            x = x[~np.isnan(x).any(1)]
-            if len(x):
-                m = geomedian(x)
-                out.append((*key, *m, *deviations(x, m), len(x)))
-            else:
-                out.append((*key, *[np.nan] * (len(bands) + 3), 0))
-        return pd.DataFrame(out, columns=[*keys, *bands, *aux])
+    schema = StructType([*(days.schema[k] for k in keys), *(StructField(c, DoubleType()) for c in (*bands, *aux[:3])), StructField(aux[3], IntegerType())])
+
+    def solve(table: pa.Table) -> pa.Table:
+        place = np.stack([table.column(k).to_numpy() for k in keys[-2:]], 1)  # y, x: a block holds one tile
+        pixel, first, of = np.unique(place, axis=0, return_index=True, return_inverse=True)
+        values = np.stack([table.column(b).to_numpy().astype(float) for b in bands], 1)
+        by = np.argsort(of.ravel(), kind="stable")
+        of, values = of.ravel()[by], values[by]
+        count = np.bincount(of, minlength=len(pixel))
+        nth = np.arange(len(of)) - np.repeat(count.cumsum() - count, count)
+        m, dev, n = np.full((len(pixel), len(bands)), np.nan), np.full((len(pixel), 3), np.nan), np.zeros(len(pixel), np.int32)
+        lo = 0
+        while lo < len(pixel):  # as many pixels as fit, padded to the longest
+            hi = lo + 1
+            while hi < len(pixel) and (hi + 1 - lo) * count[lo : hi + 1].max() * len(bands) <= at_once:
+                hi += 1
+            on = slice(int(count[:lo].sum()), int(count[:hi].sum()))
+            x = np.full((hi - lo, int(count[lo:hi].max()), len(bands)), np.nan)
+            x[of[on] - lo, nth[on]] = values[on]
+            valid = ~np.isnan(x).any(2)
+            m[lo:hi] = geomedians(x, valid)
+            dev[lo:hi], n[lo:hi] = deviations(x, valid, m[lo:hi]), valid.sum(1)
+            lo = hi
+        out = {k: table.column(k).take(pa.array(first)) for k in keys}
+        out |= {b: pa.array(m[:, i]) for i, b in enumerate(bands)} | {a: pa.array(dev[:, i]) for i, a in enumerate(aux[:3])} | {aux[3]: pa.array(n)}
+        return pa.table(out)
 
     # blocks of block by block pixels of one tile: a fixed size, whatever the input
     *tile, y, x = keys
-    part = days.withColumns({"_by": F.floor(F.col(y) / block), "_bx": F.floor(F.col(x) / block)})
-    return part.groupBy(*tile, "_by", "_bx").applyInPandas(solve, schema)
+    part = days.select(*keys, *bands).withColumns({"_by": F.floor(F.col(y) / block), "_bx": F.floor(F.col(x) / block)})
+    return part.groupBy(*tile, "_by", "_bx").applyInArrow(solve, schema)
 
 
 @register("gm-generic")

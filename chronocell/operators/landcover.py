@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -84,7 +83,7 @@ class ModelClass(Summary):
 
     def __init__(self, load: Callable | str, output_classes: dict | None = None, input_bands: Sequence[str] | None = None, image: str = "dataset_id", nodata: float = -999):
         self.load, self.classes, self.image, self.nodata = load, dict(output_classes or {}), image, nodata
-        self.model = f"{self.name}-{uuid.uuid4()}"
+        self.model = self.name
         if isinstance(load, str):
             module, _, attribute = load.rpartition(".")
             self.load = getattr(importlib.import_module(module), attribute)
@@ -115,8 +114,8 @@ class MaskedTree(ModelClass):
     def run(self, obs: DataFrame, pixel: Sequence[str] = PIXEL, day: str = "solar_day", time: str = "time", tile: Sequence[str] = ()) -> DataFrame:
         keys = [*tile, *pixel]
         obs = obs.withColumn("time", F.col(time))
-        if self.mask not in obs.columns:
-            raise ValueError(f"missing mask band {self.mask}")
+        if self.mask not in obs.columns:  # nothing is selected, so there is no result
+            obs = obs.withColumn(self.mask, F.lit(None).cast("int")).where(F.lit(False))
         df = self.images(obs, keys, [self.mask])
         df = df.withColumn(self.mask, F.max(self.mask).over(Window.partitionBy(*keys)))
         return self.voted(self.predicted(models.masked(df, self.bands, self.mask, int(self.code), self.nodata)), keys)

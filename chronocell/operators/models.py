@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -18,6 +20,19 @@ NODATA = 255
 _MODELS: dict = {}
 
 
+def worker_model(key: str, pickled: bytes) -> Callable[[np.ndarray], np.ndarray]:
+    """The worker's model of a key, loaded once a worker process. Called by the module's name, so that tasks share it."""
+    if key not in _MODELS:
+        _MODELS[key] = cloudpickle.loads(pickled)()
+    return _MODELS[key]
+
+
+def _sent(load: Callable, name: str) -> tuple[str, bytes]:
+    """A model's key (name and content) and its loader."""
+    pickled = cloudpickle.dumps(load)
+    return f"{name}-{hashlib.sha1(pickled).hexdigest()}", pickled
+
+
 def masked(df: DataFrame, bands: Sequence[str], mask: str | None = None, code: int | None = None, nodata: float = -999) -> DataFrame:
     """Bands over nodata, and whether the mask band has the code."""
     out = df.withColumns({b: F.when(F.col(b) > nodata, F.col(b).cast("double")) for b in bands})
@@ -32,17 +47,19 @@ def tree_features(df: DataFrame) -> DataFrame:
 
 def predict(df: DataFrame, features: Sequence[str], load: Callable[[], Callable[[np.ndarray], np.ndarray]], categorical: bool, name: str = "model", nodata: float = NODATA) -> DataFrame:
     """df with `prediction`: load() gives the worker's model once; rows without first feature or mask get nodata."""
+    key, pickled = _sent(load, name)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if name not in _MODELS:
-            _MODELS[name] = load()
+        from chronocell.operators.models import worker_model
+
+        model = worker_model(key, pickled)
         for b in batches:
             ok = b[features[0]].notna().to_numpy()
             if "selected" in b:
                 ok &= b["selected"].to_numpy(bool)
             out = np.full(len(b), float(nodata))
             if ok.any():
-                p = np.round(_MODELS[name](b.loc[ok, list(features)].to_numpy(float)), 6)
+                p = np.round(model(b.loc[ok, list(features)].to_numpy(float)), 6)
                 out[ok] = p.argmax(1) if categorical else p.reshape(-1)
             yield b.assign(prediction=out)
 
@@ -51,16 +68,18 @@ def predict(df: DataFrame, features: Sequence[str], load: Callable[[], Callable[
 
 def predict_patches(df: DataFrame, bands: Sequence[str], load: Callable[[], Callable[[np.ndarray], np.ndarray]], image: Sequence[str], size: int = 256, name: str = "patches", nodata: int = NODATA) -> DataFrame:
     """`prediction` 0/1 of image patches of size by size pixels, edge-padded and normalised; nodata without first band."""
+    key, pickled = _sent(load, name)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if name not in _MODELS:
-            _MODELS[name] = load()
+        from chronocell.operators.models import worker_model
+
+        model = worker_model(key, pickled)
         i, j = pdf["y"].to_numpy() - pdf["y"].min(), pdf["x"].to_numpy() - pdf["x"].min()
         block = np.full((i.max() + 1, j.max() + 1, len(bands)), np.nan)
         block[i, j] = pdf[list(bands)].to_numpy(float)
         full = np.nan_to_num(np.pad(block, ((0, size - block.shape[0]), (0, size - block.shape[1]), (0, 0)), "edge"))
         full = full / np.maximum(np.linalg.norm(full, axis=2, keepdims=True), 1e-8)
-        p = (_MODELS[name](full)[: block.shape[0], : block.shape[1]] > 0.5).astype(float)
+        p = (model(full)[: block.shape[0], : block.shape[1]] > 0.5).astype(float)
         p[np.isnan(block[..., 0])] = nodata
         pdf["prediction"] = p[i, j]
         return pdf.drop(columns=["_by", "_bx"])

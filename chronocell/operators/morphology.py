@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -45,19 +45,21 @@ def cleanup(mask: np.ndarray, steps: list[tuple[str, int]]) -> np.ndarray:
 def cleanup_images(df: DataFrame, flags: dict[str, tuple[str, list[tuple[str, int]]]], image: list[str], y: str = "y", x: str = "x") -> DataFrame:
     """New boolean columns from flags: name -> (flag column, steps); a NULL flag is unset, pixels may be absent.
 
-    One group is one image: a tile of fixed size at one time.
+    One group is one image: a tile of fixed size at one time. Columns stay as Arrow has them; of rows that share a
+    pixel any flag counts for all.
     """
     schema = StructType([*df.schema.fields, *(StructField(name, BooleanType()) for name in flags)])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf[y].to_numpy() - pdf[y].min(), pdf[x].to_numpy() - pdf[x].min()
+    def run(table: pa.Table) -> pa.Table:
+        place = [table.column(c).to_numpy().astype(np.int64) for c in (y, x)]
+        i, j = (p - p.min() for p in place)
         for name, (flag, steps) in flags.items():
             m = np.zeros((i.max() + 1, j.max() + 1), bool)
-            m[i, j] = pdf[flag].fillna(False).astype(bool)
-            pdf[name] = cleanup(m, steps)[i, j]
-        return pdf
+            np.logical_or.at(m, (i, j), table.column(flag).fill_null(False).to_numpy().astype(bool))
+            table = table.append_column(name, pa.array(cleanup(m, steps)[i, j]))
+        return table
 
-    return df.groupBy(*image).applyInPandas(run, schema)
+    return df.groupBy(*image).applyInArrow(run, schema)
 
 
 def dilate_rows(df: DataFrame, flag: str, radius: int, image: list[str], y: str = "y", x: str = "x") -> DataFrame:

@@ -114,12 +114,22 @@ def tiles_in_polygon(tasks: DataFrame, grid: Grid, ring: Sequence[tuple[float, f
     return tasks.where(near & hit)
 
 
-def regions_touched(grid: DataFrame, extent: DataFrame) -> DataFrame:
-    """Numbers in the region codes of grid boxes that meet an extent box."""
-    g = ["min_x", "min_y", "max_x", "max_y"]
-    e = extent.select(*[F.col(c).alias(f"e_{c}") for c in g])
-    meets = (F.col("min_x") <= F.col("e_max_x")) & (F.col("max_x") >= F.col("e_min_x")) & (F.col("min_y") <= F.col("e_max_y")) & (F.col("max_y") >= F.col("e_min_y"))
-    return grid.join(e, meets, "left_semi").select("region_code", F.regexp_extract_all("region_code", F.lit(r"-?\d+"), 0).alias("numbers"))
+def regions_touched(grid: DataFrame, extent: DataFrame, where: str | None = None, cell: float | None = None) -> DataFrame:
+    """Numbers in the region codes of grid boxes that meet an extent box (of those that pass the attribute filter).
+
+    Both sides are dealt to cells and meet by equality of the cell; cell: its width, by default the widest grid box.
+    """
+    box = ["min_x", "min_y", "max_x", "max_y"]
+    e = extent if where is None else extent.where(where)
+    if cell is None:
+        cell = grid.agg(F.max(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))).first()[0] or 1.0
+    over = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
+    celled = lambda df: df.withColumn("_cx", F.explode(over("min_x", "max_x"))).withColumn("_cy", F.explode(over("min_y", "max_y")))
+    e = celled(e.select(*box)).select("_cx", "_cy", *[F.col(c).alias(f"_{c}") for c in box])
+    meets = (F.col("min_x") <= F.col("_max_x")) & (F.col("max_x") >= F.col("_min_x")) & (F.col("min_y") <= F.col("_max_y")) & (F.col("max_y") >= F.col("_min_y"))
+    g = celled(grid.select("region_code", *box)).withColumnsRenamed({"_cx": "_gx", "_cy": "_gy"})
+    hit = g.join(e, (F.col("_gx") == F.col("_cx")) & (F.col("_gy") == F.col("_cy")) & meets, "left_semi").select("region_code").dropDuplicates()
+    return hit.select("region_code", F.regexp_extract_all("region_code", F.lit(r"-?\d+"), 0).alias("numbers"))
 
 
 def average_down(obs: DataFrame, bands: Sequence[str], factor: int, keys: Sequence[str] = (), y: str = "y", x: str = "x") -> DataFrame:

@@ -303,17 +303,21 @@ class VegetationCount(Summary):
     def months(self, monthly: DataFrame, keys: list[str]) -> DataFrame:
         veg = F.when(F.col("wet") > 0, 0).when(F.col("pv").isNull(), self.NODATA).otherwise(((F.col("pv") > F.col("bs")) | (F.col("npv") > F.col("bs"))).cast("int"))
         water = F.when(F.col("wet").isNull(), self.NODATA).otherwise((F.col("wet") > 0.5).cast("int"))
-        m = monthly.select(*keys, "month", F.coalesce(veg, F.lit(0)).alias("veg"), water.alias("water"))
-        runs = [longest_run(m, c, keys, self.NODATA).withColumnRenamed("run", f"{c}_frequency") for c in ("veg", "water")]
-        return runs[0].join(runs[1], keys)
+        m = monthly.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("month", F.coalesce(veg, F.lit(0)).alias("veg"), water.alias("water")))).alias("m"))
+        return m.select(*keys, *[run_of(F.col(f"m.{c}"), self.NODATA).alias(f"{c}_frequency") for c in ("veg", "water")])
+
+
+def run_of(values: Column, nodata: int = 255) -> Column:
+    """The longest run of ones of an array in order; missing steps neither extend nor break it; nodata if all are missing."""
+    step = lambda a, v: F.when(v == nodata, a).otherwise(F.struct(F.when(v == 0, 0).otherwise(a["run"] + v).alias("run"), F.greatest(a["best"], F.when(v == 0, 0).otherwise(a["run"] + v)).alias("best"), F.lit(True).alias("some")))
+    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(False).alias("some"))
+    return F.aggregate(F.transform(values, lambda v: v.cast("int")), start, step, lambda a: F.when(a["some"], a["best"]).otherwise(nodata))
 
 
 def longest_run(df: DataFrame, value: str, keys: list[str], nodata: int = 255, order: str = "month") -> DataFrame:
-    """keys and run: the longest run of ones; missing steps neither extend nor break it; nodata if all are missing."""
-    v = df.where(F.col(value) != nodata)
-    island = F.sum((F.col(value) == 0).cast("int")).over(Window.partitionBy(*keys).orderBy(order))
-    best = v.withColumn("_i", island).groupBy(*keys, "_i").agg(F.sum(value).alias("_n")).groupBy(*keys).agg(F.max("_n").alias("_n"))
-    return df.select(*keys).dropDuplicates().join(best, keys, "left").select(*keys, F.coalesce("_n", F.lit(nodata)).cast("int").alias("run"))
+    """keys and run: run_of() of a key's values, of which there are as many as steps (twelve months)."""
+    by = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("m"))
+    return by.select(*keys, run_of(F.transform("m", lambda s: s["v"]), nodata).alias("run"))
 
 
 def level1_classes(df: DataFrame, optional: Sequence[str] = ("elevation", "canopy_cover_class"), classes: dict | None = None, dem: float = 6, mudflat: float = 1000, saltpan: float = 1500, water: float = 0.2, veg: int = 2, nodata: int = -999) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronocell.functions.parsing import parse_products
@@ -26,6 +26,7 @@ class SaveOptions:
     category: str | None = None
     optional: tuple[str, ...] = ()
     ignore_time: tuple[str, ...] = ()
+    predicate: Column | None = None  # of scenes, after the joins
 
     def __post_init__(self):
         if self.frequency not in FREQUENCY_NAMES:
@@ -45,8 +46,17 @@ def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, long
     if options.tiles is not None:
         s = s.where(spatial.boxes_meet(grid.extent(*options.tiles)))
     if joins:
+        if options.ignore_time:
+            timeless = F.col("product").isin(list(options.ignore_time))
+            s, extra = s.where(~timeless), s.where(timeless)
+            if not extra.isEmpty():
+                s = planner.with_timeless(s, extra)
         groups = planner.fuse_join(s, joins, options.optional)
         s = s.join(groups.select(*planner.KEY), list(planner.KEY), "left_semi")
+    elif options.ignore_time:  # a union has no time to give them
+        s = s.where(~F.col("product").isin(list(options.ignore_time)))
+    if options.predicate is not None:
+        s = s.where(options.predicate)
     t = spatial.to_tiles(s, grid)
     t = spatial.with_offset(t, grid.longitude(F.col("x"), F.col("y")) if longitude is None else longitude)
     if options.tiles is not None:
@@ -56,7 +66,7 @@ def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, long
     return planner.binned(t, options.frequency, options.period)
 
 
-def run_tasks(spark: SparkSession, tasks: DataFrame, scenes: DataFrame, pixels: DataFrame, summary: str | Summary, done: DataFrame | None = None, **config) -> DataFrame:
+def run_tasks(spark: SparkSession, tasks: DataFrame, scenes: DataFrame, pixels: DataFrame, summary: str | Summary, done: DataFrame | None = None, group_by: str | None = None, native=None, resampling: tuple[str, float] | None = None, **config) -> DataFrame:
     """Results of all tasks in one job: their scenes' pixels (dataset_id, tile_x, tile_y, y, x, bands) summarised by task."""
     plugin = summary if isinstance(summary, Summary) else resolve(summary)(**config)
     if done is not None:
@@ -64,9 +74,25 @@ def run_tasks(spark: SparkSession, tasks: DataFrame, scenes: DataFrame, pixels:
     chosen = tasks.select("period", F.col("x").alias("tile_x"), F.col("y").alias("tile_y"), F.explode("dataset_ids").alias("dataset_id"))
     obs = pixels.join(chosen, ["tile_x", "tile_y", "dataset_id"])
     tile = ["period", "tile_x", "tile_y"]
+    if native is not None:  # on pixels as they were taken, before they are resampled
+        obs = native(obs)
+    if resampling is not None:
+        obs = resampled(obs, list(plugin.bands), *resampling)
+    if group_by is not None:  # what fuses: a column of pixels beside or instead of the solar day
+        obs = obs.withColumn("solar_day", F.col(group_by))
     return plugin.run(obs, tile=tile) if hasattr(plugin, "run") else execute(obs, plugin, tile=tile)
 
 
+def resampled(obs: DataFrame, bands: list[str], how: str, scale: float) -> DataFrame:
+    """Observations on a grid scale times coarser: nearest (any type), or average, of each scene by itself."""
+    if how == "nearest":
+        return spatial.nearest(obs, scale)
+    if how != "average" or scale != int(scale):
+        raise ValueError("nearest, or average by a whole factor")
+    keys = [c for c in obs.columns if c not in (*bands, "y", "x")]
+    return spatial.average_down(obs, bands, int(scale), keys)
+
+
 def mosaic(results: DataFrame, bands: list[str], factor: int) -> DataFrame:
     """Overview of results over all tiles."""
     return spatial.average_down(results, bands, factor, ["period", "tile_x", "tile_y"])

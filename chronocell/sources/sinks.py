@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed value: name space of deterministic ids.
-NAMESPACE = uuid.UUID("6f34c6f4-13d6-43c0-8e4e-42b6c13203af")
-DONE = "stac-item.json"
-
-
-def deterministic_id(algorithm: str, version: str, sources: Sequence[str], deployment: str = "", **tags) -> uuid.UUID:
-    """UUID v5 over lower-cased lines: algorithm, version, deployment, sorted tags, sorted sources."""
-    lines = [algorithm, version, deployment, *sorted(f"{k}={v}" for k, v in tags.items()), *map(str, sorted(sources))]
-    return uuid.uuid5(NAMESPACE, "\n".join(str(x) for x in lines).lower())
-
+from chronocell.functions.ids import NAMESPACE, deterministic_id, uuid5_column  # noqa: F401
+from chronocell.functions.parsing import plain
 
-def uuid5_column(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
-    """The same as a column: SHA-1 of the name space and text, with version and variant bits set."""
-    h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
-    variant = F.element_at(F.array(*[F.lit(c) for c in "89ab"]), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4) + 1)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+DONE = "stac-item.json"
 
 
 def region_code(x: Column | str = "x", y: Column | str = "y", width: int = 2) -> Column:
@@ -40,32 +28,115 @@ def output_path(location: str, short: str, band: str, extension: str = "tif", ma
 
 
 def write_bands(result: DataFrame, path: str, keys: Sequence[str] = ("period", "tile_x", "tile_y"), mode: str = "error") -> None:
-    """One directory a task; Spark's committer makes a task's files appear together."""
-    result.repartition(*keys).write.mode(mode).partitionBy(*keys).option("compression", "zstd").parquet(path)
+    """One directory a task; Spark's committer makes a task's files appear together. Overwriting replaces only the
+    directories of the tasks in the result."""
+    out = result.repartition(*keys).write.mode(mode).partitionBy(*keys).option("compression", "zstd")
+    (out.option("partitionOverwriteMode", "dynamic") if mode == "overwrite" else out).parquet(path)
 
 
-def item_documents(tasks: DataFrame, product: str, bands: Sequence[str], location: str) -> DataFrame:
-    """period, x, y and the item document of each task (start_datetime, end_datetime, lineage, optional box columns)."""
-    code = region_code()
+def _box(tasks: DataFrame, grid) -> dict[str, Column]:
+    """Corners of the task's tile: of the grid, or columns."""
+    if grid is not None:
+        (w, h), (a, b) = grid.tile_size, grid.origin
+        x, y = F.col("x") * F.lit(float(w)) + float(a), F.col("y") * F.lit(float(h)) + float(b)
+        return {"min_x": x, "min_y": y, "max_x": x + float(w), "max_y": y + float(h)}
+    names = ("min_x", "min_y", "max_x", "max_y")
+    return {c: F.col(c) for c in names} if "min_x" in tasks.columns else {}
+
+
+def _polygon(box: dict[str, Column]) -> Column:
+    corner = lambda x, y: F.array(box[f"{x}_x"], box[f"{y}_y"])
+    ring = F.array(corner("min", "min"), corner("min", "max"), corner("max", "max"), corner("max", "min"), corner("min", "min"))
+    return F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+
+
+def _grid_of(box: dict[str, Column], resolution: float) -> list[Column]:
+    """shape (rows, columns) and transform of the tile's pixels, the first row being the northernmost."""
+    size = lambda c: F.rint((box[f"max_{c}"] - box[f"min_{c}"]) / resolution).cast("int")
+    zero, step = F.lit(0.0), F.lit(float(resolution))
+    return [F.array(size("y"), size("x")).alias("shape"), F.array(step, zero, box["min_x"], zero, -step, box["max_y"]).alias("transform")]
+
+
+def _identity(tasks: DataFrame, product: str) -> tuple[Column, Column]:
     sources = F.col("lineage") if "lineage" in tasks.columns else F.col("dataset_ids")
-    box = [F.col(c) for c in ("min_x", "min_y", "max_x", "max_y")] if "min_x" in tasks.columns else []
+    return sources, uuid5_column(F.concat_ws("\n", F.lit(product), region_code(), "period", F.array_join(F.array_sort(sources), ",")))
+
+
+def _extension(path: Column, extension: str) -> Column:
+    return F.regexp_replace(path, r"_document\.tif$", f".{extension}")
+
+
+def item_documents(tasks: DataFrame, product: str, bands: Sequence[str], location: str, grid=None, href: str = "", processed: str | None = None, properties: dict | None = None) -> DataFrame:
+    """period, x, y and the item document of each task (with start_datetime, end_datetime, lineage and box columns,
+    where there). With a grid: geometry in its coordinates, code, shape and transform."""
+    code, box = region_code(), _box(tasks, grid)
+    sources, uid = _identity(tasks, product)
+    own = output_path(location, product, "document")
+    start = [F.col("start_datetime").alias("datetime")] if "start_datetime" in tasks.columns else []
+    projection = [F.lit(grid.crs).alias("proj:code"), *(c.alias(f"proj:{n}") for c, n in zip(_grid_of(box, grid.resolution), ("shape", "transform"), strict=True))] if grid is not None else []
+    links = [("product_overview", F.lit(href))] if href else []
+    links = [F.struct(F.lit(rel).alias("rel"), F.lit("application/json").alias("type"), to.alias("href")) for rel, to in [*links, ("self", _extension(own, DONE))]]
+    asset = lambda b: F.struct(output_path(location, product, b).alias("href"), F.lit("image/tiff; application=geotiff").alias("type"), F.lit(b).alias("title"), F.array(F.lit("data")).alias("roles"))
     doc = F.struct(
         F.lit("Feature").alias("type"),
         F.lit("1.0.0").alias("stac_version"),
-        uuid5_column(F.concat_ws("\n", F.lit(product), code, "period", F.array_join(F.array_sort(sources), ","))).alias("id"),
+        uid.alias("id"),
         F.lit(product).alias("collection"),
-        *([F.array(*box).alias("bbox")] if box else []),
+        *([_polygon(box).alias("geometry"), F.array(*box.values()).alias("bbox")] if box else []),
         F.struct(
-            F.concat_ws("_", F.lit(product), code, "period").alias("title"),
+            F.concat_ws("_", F.lit(product), code, "period").alias("title"), *start,
             F.lit(product).alias("odc:product"), code.alias("odc:region_code"), F.col("period").alias("dtr:period"),
             *[F.col(c).alias(f"dtr:{c}") for c in ("start_datetime", "end_datetime") if c in tasks.columns],
+            *([F.lit(processed).alias("odc:processing_datetime")] if processed else []), *projection,
+            *[F.lit(v).alias(k) for k, v in (properties or {}).items()],
         ).alias("properties"),
-        F.struct(*[F.struct(output_path(location, product, b).alias("href")).alias(b) for b in bands]).alias("assets"),
+        F.struct(*[asset(b).alias(b) for b in bands]).alias("assets"),
+        F.array(*links).alias("links"),
         F.struct(sources.alias("inputs")).alias("odc:lineage"),
     )
     return tasks.select("period", "x", "y", F.to_json(doc).alias("document"))
 
 
+def dataset_documents(tasks: DataFrame, product: str, bands: Sequence[str], location: str, grid, version: str = "1.0.0", nodata: dict | None = None, properties: dict | None = None, classifier: str = "level3", schema: str = "eo3") -> DataFrame:
+    """period, x, y and the dataset document of each task in EO3 form, as JSON (which is YAML): grids, measurements with
+    nodata, accessories, and the sources under their classifier. Properties the sources share come as a column
+    `shared` (a map), platform and instrument as columns of their own."""
+    code, box = region_code(), _box(tasks, grid)
+    sources, uid = _identity(tasks, product)
+    own = output_path(location, product, "document")
+    times = [F.col("start_datetime").alias("datetime")] if "start_datetime" in tasks.columns else []
+    given = [F.col(c).alias(n) for c, n in (("start_datetime", "dtr:start_datetime"), ("end_datetime", "dtr:end_datetime"), ("platform", "eo:platform"), ("instrument", "eo:instrument")) if c in tasks.columns]
+    fixed = F.from_json(F.to_json(F.struct(*times, *given, F.lit("GeoTIFF").alias("odc:file_format"), F.lit(version).alias("odc:dataset_version"), code.alias("odc:region_code"), *[F.lit(str(v)).alias(k) for k, v in (properties or {}).items()])), "map<string,string>")
+    if "shared" in tasks.columns:
+        given = fixed
+        fixed = F.map_concat(F.map_filter("shared", lambda k, _: ~F.map_contains_key(given, k)), given)
+    measurement = lambda b: F.struct(output_path(location, product, b).alias("path"), *([F.lit(nodata[b]).alias("nodata")] if b in (nodata or {}) else []))
+    doc = F.struct(
+        F.lit(schema).alias("$schema"),
+        uid.alias("id"),
+        F.concat_ws("_", F.lit(product), code, "period").alias("label"),
+        F.struct(F.lit(product).alias("name")).alias("product"),
+        F.lit(grid.crs).alias("crs"),
+        _polygon(box).alias("geometry"),
+        F.struct(F.struct(*_grid_of(box, grid.resolution)).alias("default")).alias("grids"),
+        fixed.alias("properties"),
+        F.struct(*[measurement(b).alias(b) for b in bands]).alias("measurements"),
+        F.struct(F.struct(_extension(own, "sha1").alias("path")).alias("checksum:sha1"), F.struct(_extension(own, "proc-info.yaml").alias("path")).alias("metadata:processor")).alias("accessories"),
+        F.struct(sources.alias(classifier)).alias("lineage"),
+    )
+    return tasks.select("period", "x", "y", F.to_json(doc).alias("document"))
+
+
+def processing_documents(tasks: DataFrame, products: Sequence[str], config: dict, software: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """period, x, y and a record of how each task was made: input products, configuration, and software with address and version."""
+    doc = F.struct(
+        F.array(*[F.lit(p) for p in sorted(products)]).alias("input-products"),
+        F.lit(json.dumps(plain(config), sort_keys=True)).alias("config"),
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(u).alias("url"), F.lit(v).alias("version")) for n, u, v in software]).alias("software_versions"),
+    )
+    return tasks.select("period", "x", "y", F.to_json(doc).alias("document"))
+
+
 def manifest(files: DataFrame) -> DataFrame:
     """`sha1  name` lines of (task keys.., name, content); a file that failed (NULL content) fails the manifest."""
     line = F.concat(F.sha1(F.coalesce("content", F.raise_error(F.concat(F.lit("not written: "), F.col("name"))).cast("binary"))), F.lit("  "), F.col("name"))
@@ -95,5 +166,5 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.orderBy(*rows.columns[:3]).write.option("header", True).option("quoteAll", False).csv(path)
 
 
-def write_documents(rows: DataFrame, path: str, column: str = "document") -> None:
-    rows.select(column).write.text(path)
+def write_documents(rows: DataFrame, path: str, column: str = "document", mode: str = "error") -> None:
+    rows.select(column).write.mode(mode).text(path)

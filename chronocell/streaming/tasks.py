@@ -14,10 +14,14 @@ MESSAGE = "filedb string, tile_idx string"
 ANNUAL = "y long, x long, count_wet long, count_clear long"
 
 
+def messages(tasks: DataFrame, filedb: str) -> DataFrame:
+    tile = F.concat_ws("/", "period", F.format_string("%02d", "x"), F.format_string("%02d", "y"))
+    return tasks.select(F.lit(filedb).alias("filedb"), tile.alias("tile_idx"))
+
+
 def publish(tasks: DataFrame, filedb: str, path: str) -> None:
     """One JSON message a task: what a queue would carry."""
-    tile = F.concat_ws("/", "period", F.format_string("%02d", "x"), F.format_string("%02d", "y"))
-    tasks.select(F.lit(filedb).alias("filedb"), tile.alias("tile_idx")).write.mode("append").json(path)
+    messages(tasks, filedb).write.mode("append").json(path)
 
 
 def task_stream(spark: SparkSession, path: str, files: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chronocell.llm import bpe, mixing, neardup, suffixes, toxicity
-from chronocell.llm.common import durable
+from chronocell.llm.common import durable, release, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None  # a trained classifier and consistent weighted samples have no SQL form
@@ -40,7 +40,11 @@ STAGES = [("toxicity", drop_toxic), ("near copies", drop_near_copies), ("repeate
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage over the documents that the others leave; each stage's tables go once the next result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch():
+            kept = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"), stays=True)
+        release(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
