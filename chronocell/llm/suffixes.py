@@ -220,6 +220,13 @@ def _hot_leaders(samples: list[bytes], most: int) -> np.ndarray:
     return leader[count > most].astype(np.uint32)
 
 
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of x are in known, which is sorted."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def _find_shared(most: int):
     def find(table: pa.Table) -> pa.Table:
         """Which leaders of a bucket two documents hold: bits back to each chunk that sent some, and bits of the hot ones.
@@ -233,8 +240,8 @@ def _find_shared(most: int):
         hot = _hot_leaders(table.column("d").to_pylist(), most)
         rows = []
         for chunk, place, k in zip(table.column("kind").to_pylist(), table.column("c").to_pylist(), keys, strict=True):
-            if (bits := np.isin(k, shared)).any():
-                burning = np.isin(k, hot) if len(hot) else bits[:0]
+            if (bits := _among(k, shared)).any():
+                burning = _among(k, hot)
                 rows.append((chunk, 0, place, np.packbits(bits).tobytes(), np.packbits(burning).tobytes() if burning.any() else None, None))
         return _parts(rows)
 
