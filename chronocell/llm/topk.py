@@ -9,7 +9,7 @@ POSTINGS vectors, each block with its terms' ranges: blocks whose bound stays be
 others the essential terms are traversed, and the non-essential ones probed only for vectors whose score plus the
 bounds still left reaches the threshold. Shards' best are merged.
 
-Vectors are dealt to shards by hash of id and vector, so that one holds SHARD bytes, and queries to blocks of BLOCK;
+Vectors are dealt to shards by hash of id and vector, so that one holds SHARD bytes, and queries to blocks of BLOCK bytes;
 every block meets every shard by a join on the shard's number. All of a shard or block is a fixed number of vectors.
 What is sent grows as queries times shards, so shards are as large as a task's memory allows.
 
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from chronocell.llm.common import durable, partitions
 
-SHARD = 32 << 20  # bytes of a shard, as numbers of 8 bytes
-LEAST_SHARD, BLOCK = 2048, 512  # vectors
+SHARD, BLOCK = 16 << 20, 2 << 20  # bytes of a shard and of a block of queries, as numbers of 8 bytes
+LEAST_SHARD = 2048  # vectors
 POSTINGS = 256  # vectors of a block of postings
 AT_ONCE = 16  # blocks between two looks at the threshold
 K = 5
@@ -156,7 +156,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHAR
     n, dim = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     shards = max(1, -(-n * 8 * (dim or 1) // shard), min(partitions(vectors.sparkSession), n // LEAST_SHARD))
     x = durable(_pack(vectors, shards))
-    q = durable(_pack(queries, max(1, -(-queries.count() // block))))
+    q = durable(_pack(queries, max(1, -(-queries.count() * 8 * (dim or 1) // block))))
     q = q.select(F.col("no").alias("qno"), F.col("n").alias("qn"), F.col("dim").alias("qdim"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
     kind = "qno int, query_id long, query_row int, vec_id long, score long"
 
