@@ -149,9 +149,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     return Model(weights, found.intercept)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with toxicity_score double; a column of that name is replaced."""
-    kept = [c for c in docs.columns if c != "toxicity_score"]
+def score(docs: DataFrame, model: Model, name: str = "toxicity_score") -> DataFrame:
+    """docs with a column name double; one of that name is replaced."""
+    kept = [c for c in docs.columns if c != name]
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))  # 4 MB whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,10 +163,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 row, bucket = presence(b.column("text").slice(lo, hi - lo), useful)
                 out[lo:hi] = np.bincount(row, weights[bucket].astype(float), minlength=hi - lo)
             s = 1 / (1 + np.exp(-np.clip(out + intercept, -50, 50))) if np.isfinite(intercept) else out
-            yield pa.record_batch([*(b.column(c) for c in kept), pa.array(s)], names=[*kept, "toxicity_score"])
+            yield pa.record_batch([*(b.column(c) for c in kept), pa.array(s)], names=[*kept, name])
 
     d = docs.select(*[F.col(f"`{c}`") for c in kept])
-    return d.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema), "toxicity_score double"]))
+    return d.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema), f"`{name}` double"]))
 
 
 def judge(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
@@ -177,4 +177,7 @@ def judge(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """The documents whose score stays under one half, with their columns."""
-    return score(docs, train(docs, labels, **bounds)).where("toxicity_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = "toxicity_score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, train(docs, labels, **bounds), name).where(F.col(name) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
