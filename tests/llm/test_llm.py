@@ -223,7 +223,7 @@ def test_top_k_over_many_shards(spark):
     for scale in (1, 10**6):
         rows = [(i, [int(c) * scale for c in v]) for i, v in enumerate(x)]
         v = spark.createDataFrame(rows, "vec_id long, v array<long>")
-        got = topk.search(v, v.where("vec_id % 50 = 0"), 5, shard=12 * 8 * 400, block=16).collect()
+        got = topk.search(v, v.where("vec_id % 50 = 0"), 5, shard=12 * 8 * 400, block=12 * 8 * 16).collect()
         every = x.astype(object) * scale
         want = set()
         for q in range(0, 3000, 50):
@@ -394,6 +394,8 @@ def test_toxicity(spark):
     assert next(x for x in r if x.doc_id is None).held_out is False
     assert all(x.score == next(y for y in r if y.doc_id == 5000).score for x in r if x.doc_id == 5001)
     assert toxicity.clean(d, lab).where("doc_id % 10 = 0 and doc_id < 5000").count() == 0
+    clash = toxicity.clean(d.withColumns({"toxicity_score": F.lit("mine"), "p": F.lit(3), "h": F.lit(4), "buckets": F.lit(5)}), lab)
+    assert clash.columns == [*d.columns, "toxicity_score", "p", "h", "buckets"] and {tuple(r)[2:] for r in clash.collect()} == {("mine", 3, 4, 5)}
     assert all(x.predicted == 0 and x.score == 0 for x in toxicity.judge(d, empty(lab)).collect())
     again = d.unionByName(d.where("doc_id = 10").withColumn("text", F.explode(F.array_repeat("text", 300))))  # an id that fills the table
     assert all(x.predicted == int(x.doc_id % 10 == 0) for x in toxicity.judge(again, lab).where("held_out and doc_id < 5000").collect())
@@ -463,6 +465,31 @@ def test_cut_characters_are_dropped(spark):
     assert all(r.n_chars == len(r.text or "") for r in got.values())
 
 
+def test_a_text_of_over_a_million_bytes(spark):
+    """Through every operator on texts, beside short ones that share a passage with it."""
+    rng = np.random.default_rng(21)
+    words = rng.choice([f"wörd{i}" for i in range(5000)], 170_000).tolist()
+    words[1000:1003] = ["Apache", "License", "v"]
+    long = " ".join(words)
+    near = " ".join([*words[:70_000], "other", *words[70_001:]])
+    short = " ".join(words[500:520])
+    d = spark.createDataFrame([(1, long, "s", 0), (2, near, "s", 0), (3, short, None, 0), (4, None, "s", 0)], "doc_id long, text string, source string, n_chars long").repartition(2)
+    size = len(long.encode())
+    assert size > 1_000_000
+    assert {r.doc_id: r["size"] for r in mixing.mix(d).collect()} == {1: 170_000, 2: 170_000, 3: 20, 4: 0}
+    assert {r.doc_id: (r.n_words, r.n_base, r.base_labels) for r in licenses.scan(d).where("doc_id <> 2").collect()} == {1: (170_000, 1, "apache"), 3: (20, 0, ""), 4: (0, 0, "")}
+    assert {r.doc_id: r.class_id for r in neardup.classes(d).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    r = {r.doc_id: r for r in media.media_features(d).collect()}
+    assert r[1].n_bytes == size and r[1].payload_sha256 == hashlib.sha256(long.encode() + b"\0" * (-size % 64)).hexdigest()
+    r = {r.doc_id: r for r in suffixes.dedup(d).collect()}
+    assert r[1].n_removed == 0 and r[3].n_removed == r[3].n_bytes and r[2].n_removed == len(near.encode()) - len(b"other") and r[2].n_spans == 2
+    lab = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert all(0 <= r.score <= 1 for r in toxicity.judge(d, lab).collect())
+    pages = d.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/c").alias("url"), F.col("text").alias("html"))
+    assert {r.page_id: r.payload_bytes for r in warc.archived(pages).collect()}[1] == size
+    assert urls.judge(pages.withColumn("url", F.concat(F.lit("http://a.b/"), F.repeat(F.lit("x"), 1_200_000)))).where("length(path) = 1200001 and verdict = 'allow'").count() == 4
+
+
 def test_word_hashes_do_not_depend_on_slices(monkeypatch):
     text = pa.array(["Ab cd-ef 1é", None, "", "long" * 50 + " x y", "ab CD"])
     whole = common.word_hashes(text, (2,))
