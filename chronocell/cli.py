@@ -76,7 +76,7 @@ def _chosen(tasks, selectors):
 
 def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
     given = {k: getattr(a, k) for k in ("products", "frequency", "temporal_range", "tiles", "gqa", "grid", "crs")}
-    c = merge_config(load_config(a.config) if a.config else {}, given, SAVE_KEYS)
+    c = merge_config(load_config(a.config, spark) if a.config else {}, given, SAVE_KEYS)
     if not c.get("products"):
         return 1
     try:
@@ -107,7 +107,7 @@ def _grid(text: str, crs: str | None = None) -> spatial.Grid:
 
 
 def run(spark: SparkSession, a: argparse.Namespace, tasks) -> None:
-    config = load_config(a.config) if a.config else {}
+    config = load_config(a.config, spark) if a.config else {}
     done, scenes = sinks.finished(spark, a.output), spark.read.parquet(a.scenes)
     if a.dryrun:
         planner.dry_run(tasks, done, a.overwrite, scenes=scenes).show(10_000, truncate=False)
@@ -148,7 +148,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "generate-mosaic":
         sinks.write_bands(mosaic(spark.read.parquet(a.results), a.bands.split(","), a.factor), a.output)
     elif a.command == "locate-grids":
-        found = spatial.regions_touched(spark.read.parquet(a.grid), spark.read.parquet(a.extent), a.attr_filter)
+        boxes = lambda path: catalogue_items.read_shapes(spark, path) if path.endswith(".shp") else spark.read.parquet(path)
+        found = spatial.regions_touched(boxes(a.grid), boxes(a.extent), a.attr_filter)
         lines = found.orderBy("region_code").select(F.concat_ws(",", "numbers").alias("line"))
         if a.csv:
             sinks.write_documents(lines, a.csv, "line")

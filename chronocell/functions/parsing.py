@@ -95,8 +95,10 @@ def plain(value):
     return value.isoformat() if isinstance(value, (date, datetime)) else value
 
 
-def load_config(text: str) -> dict:
-    """YAML (or JSON, its subset) from a file or inline; the first document only."""
+def load_config(text: str, spark=None) -> dict:
+    """YAML (or JSON, its subset) from a file, from an address that Spark reads, or inline; the first document only."""
+    if spark is not None and re.fullmatch(r"[a-z0-9]+://\S+", text):
+        text = spark.read.text(text, wholetext=True).first()[0] + "\n"
     body = Path(text).read_text() if "\n" not in text and len(text) < 4096 and Path(text).is_file() else text
     try:
         import yaml

@@ -58,7 +58,7 @@ def to_longitude(crs: str, x: Column, y: Column) -> Column:
 
 
 def to_tiles(scenes: DataFrame, grid: Grid) -> DataFrame:
-    """A row a tile that a scene's footprint box (min_x, min_y, max_x, max_y) touches, with the tile's utc_offset in hours."""
+    """A row a tile that a scene's footprint box (min_x, min_y, max_x, max_y) touches."""
     span = lambda axis, lo, hi: F.sequence(grid.tile(axis, F.col(lo)), grid.tile(axis, F.col(hi)))
     t = scenes.withColumn("x", F.explode(span(0, "min_x", "max_x"))).withColumn("y", F.explode(span(1, "min_y", "max_y")))
     return t
@@ -87,6 +87,17 @@ def inside(px: Column, py: Column, ring: Sequence[tuple[float, float]]) -> Colum
     return crossings % 2 == 1
 
 
+def inside_polygons(px: Column, py: Column, polygons: Sequence[Sequence[Sequence[tuple[float, float]]]]) -> Column:
+    """Whether a point lies in one of the polygons; a polygon's further rings are holes."""
+    hit = F.lit(False)
+    for rings in polygons:
+        odd = F.lit(False)
+        for ring in rings:
+            odd = odd != inside(px, py, ring)
+        hit = hit | odd
+    return hit
+
+
 def rasterize(pixels: DataFrame, rings: Sequence[Sequence[tuple[float, float]]], cx: str = "cx", cy: str = "cy") -> DataFrame:
     """extent: whether a pixel's centre lies in one of the polygons."""
     hit = F.lit(False)

@@ -32,6 +32,18 @@ def register(name: str):
     return put
 
 
+def import_all() -> list[str]:
+    """Imports every module of the operators, so that all their summaries are registered; the names of these."""
+    import importlib
+    import pkgutil
+
+    from chronocell import operators
+
+    for m in pkgutil.iter_modules(operators.__path__):
+        importlib.import_module(f"chronocell.operators.{m.name}")
+    return sorted(REGISTRY)
+
+
 def resolve(name: str) -> type[Summary]:
     """By registered name, else by dotted path."""
     import importlib

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,64 @@ def read_rings(spark: SparkSession, path: str, first_only: bool = True) -> list[
     return [[(x, y) for x, y, *_ in r] for r in rings]
 
 
+def read_polygons(spark: SparkSession, path: str) -> list[list[list[tuple[float, float]]]]:
+    """All polygons of a GeoJSON file with all their rings, the outer one first (a small driver-side input)."""
+    import json
+
+    kind = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
+    out = []
+    for row in spark.read.schema(kind).option("multiLine", True).json(path).toLocalIterator():
+        for f in row.features or []:
+            c = json.loads(f.geometry.coordinates)
+            out += [[[(x, y) for x, y, *_ in ring] for ring in polygon] for polygon in (c if f.geometry.type == "MultiPolygon" else [c])]
+    return out
+
+
+def _shapes(data: bytes) -> list[tuple[float, float, float, float] | None]:
+    """Boxes of a shape file's records, in order; None for null shapes and points."""
+    out, at = [], 100
+    while at + 12 <= len(data):
+        size = 2 * int.from_bytes(data[at + 4 : at + 8], "big")
+        kind = int.from_bytes(data[at + 8 : at + 12], "little")
+        out.append(struct.unpack("<4d", data[at + 12 : at + 44]) if kind in (3, 5, 8, 13, 15, 18, 23, 25, 28) else None)
+        at += 8 + size
+    return out
+
+
+def _attributes(data: bytes) -> tuple[list[str], list[list[str | None]]]:
+    """Column names and rows of a dBASE table; blank values are None."""
+    count, start, width = struct.unpack("<IHH", data[4:12])
+    fields, at = [], 32
+    while data[at] != 0x0D:
+        fields.append((data[at : at + 11].split(b"\0")[0].decode("latin-1"), data[at + 16]))
+        at += 32
+    rows = []
+    for i in range(count):
+        place, values = start + i * width + 1, []
+        for _, n in fields:
+            values.append(data[place : place + n].decode("utf-8", "replace").strip() or None)
+            place += n
+        rows.append(values)
+    return [f for f, _ in fields], rows
+
+
+def read_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """Boxes (min_x .. max_y) of the shapes in files path.shp, with the columns of path.dbf as text; one task a file."""
+    base = path.removesuffix(".shp")
+    files = spark.read.format("binaryFile").load([f"{base}.shp", f"{base}.dbf"]).select("path", "content")
+    names = _attributes(files.where("path like '%.dbf'").first().content)[0]
+    box = ["min_x", "min_y", "max_x", "max_y"]
+
+    def run(t: pa.Table) -> pa.Table:
+        content = dict(zip((p[-3:] for p in t.column("path").to_pylist()), t.column("content").to_pylist(), strict=True))
+        rows = [(*b, *v) for b, v in zip(_shapes(content["shp"]), _attributes(content["dbf"])[1], strict=True) if b]
+        kinds = [pa.float64()] * 4 + [pa.string()] * len(names)
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[*box, *names])
+
+    schema = ", ".join([*(f"{c} double" for c in box), *(f"`{n}` string" for n in names)])
+    return files.groupBy(F.regexp_replace("path", r"\.(shp|dbf)$", "").alias("base")).applyInArrow(run, schema)
+
+
 def read_observations(spark: SparkSession, path: str, bands: Sequence[str], tiles: tuple | None = None, nodata: dict | None = None) -> DataFrame:
     """Observation rows with only the wanted bands; partition columns x, y prune by tile; sentinels become NULL."""
     from chronocell.functions.pixels import missing

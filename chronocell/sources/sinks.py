@@ -14,8 +14,15 @@ from chronocell.functions.parsing import plain
 DONE = "stac-item.json"
 
 
+def _padded(number: Column, width: int) -> Column:
+    """At least width characters, zeros after the sign; longer numbers stay whole."""
+    digits = F.abs(number).cast("string")
+    zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), width - F.length(digits) - (number < 0).cast("int")))
+    return F.concat(F.when(number < 0, "-").otherwise(""), zeros, digits)
+
+
 def region_code(x: Column | str = "x", y: Column | str = "y", width: int = 2) -> Column:
-    number = lambda c, v: F.concat(F.lit(c), F.lpad(F.col(v).cast("string") if isinstance(v, str) else v.cast("string"), width, "0"))
+    number = lambda c, v: F.concat(F.lit(c), _padded(F.col(v) if isinstance(v, str) else v, width))
     return F.concat(number("x", x), number("y", y))
 
 
@@ -144,8 +151,11 @@ def manifest(files: DataFrame) -> DataFrame:
 
 
 def existing(spark, path: str) -> DataFrame:
-    """Keys of finished tasks: those whose document is there, as it is written last."""
-    return spark.read.json(path).select("period", "x", "y").dropDuplicates()
+    """Keys of the tasks whose item document is there, as it is written last."""
+    kind = "properties struct<`dtr:period`:string,`odc:region_code`:string>"
+    d = spark.read.schema(kind).json(path).select(F.col("properties.`dtr:period`").alias("period"), F.col("properties.`odc:region_code`").alias("r"))
+    part = lambda i: F.regexp_extract("r", r"^x(-?\d+)y(-?\d+)$", i).cast("int")
+    return d.select("period", part(1).alias("x"), part(2).alias("y")).dropDuplicates()
 
 
 def finished(spark, path: str) -> DataFrame:

@@ -31,9 +31,20 @@ def task_stream(spark: SparkSession, path: str, files: int = 10) -> DataFrame:
     return m.select(part[0].alias("period"), part[1].cast("int").alias("x"), part[2].cast("int").alias("y"), "filedb")
 
 
-def run_stream(tasks: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Runs work on each batch until the directory is used up; a failed batch is tried again on restart."""
-    return tasks.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_stream(tasks: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    """Runs work on each batch until the directory is used up, or, with poll (like '10 seconds'), for as long as messages
+    may come; a failed batch is tried again on restart. The checkpoint takes the place of a queue's leases: a batch is
+    this query's until its work has ended, and its messages are then done."""
+    out = tasks.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    return (out.trigger(availableNow=True) if poll is None else out.trigger(processingTime=poll)).start()
+
+
+def stopped_in_time(query: StreamingQuery, seconds: float) -> bool:
+    """Waits for a query to end; one that takes longer is stopped and its batch left for the next run. Whether it ended."""
+    if query.awaitTermination(seconds):
+        return True
+    query.stop()
+    return False
 
 
 def full_history(annual: DataFrame) -> DataFrame:

@@ -186,7 +186,14 @@ def test_queue_and_items(spark, tmp_path):
     item.write_text('{"id": "a", "collection": "p", "bbox": [0, 0, 1, 1], "properties": {"datetime": "2019-05-01T00:00:00Z"}, "assets": {"red": {"href": "r.tif"}}}')
     r = catalogue_items.read_items(spark, str(tmp_path), period=Period.parse("2019--P1Y")).collect()
     assert [(x.id, x["product"], x.measurements) for x in r] == [("a", "p", {"red": "r.tif"})]
-    doc = sinks.item_documents(tasks.withColumn("dataset_ids", F.array(F.lit("s"))), "prod", ["red"], "s3://b").first().document
+    docs = sinks.item_documents(tasks.union(spark.createDataFrame([("p", -3, 104)], "period string, x int, y int")).withColumn("dataset_ids", F.array(F.lit("s"))), "prod", ["red"], "s3://b")
+    sinks.write_documents(docs, str(tmp_path / "d"))
+    assert {tuple(r) for r in sinks.existing(spark, str(tmp_path / "d")).collect()} == {("2019--P1Y", 1, 2), ("p", -3, 104)}
+    (tmp_path / "conf.yaml").write_text('{"a": 1}')
+    assert parsing.load_config(f"file://{tmp_path}/conf.yaml", spark) == {"a": 1}
+    long = streams.run_stream(streams.task_stream(spark, str(tmp_path / "q")), lambda df, _: df.count(), str(tmp_path / "c2"), poll="1 second")
+    assert streams.stopped_in_time(long, 2) is False and not long.isActive
+    doc = docs.where("x = 1").first().document
     assert "x01y02" in doc and "prod_x01y02_2019--P1Y_red.tif" in doc
 
 
@@ -210,6 +217,30 @@ def test_regions_equal_all_pairs(spark):
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_holes_and_shape_files(spark, tmp_path):
+    import struct
+
+    hole = [[(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)], [(4, 4), (6, 4), (6, 6), (4, 6), (4, 4)]]
+    p = spark.createDataFrame([(5.0, 5.0), (2.0, 2.0), (20.0, 2.0)], "x double, y double")
+    assert [r[0] for r in p.select(spatial.inside_polygons(F.col("x"), F.col("y"), [hole])).collect()] == [False, True, False]
+    area = tmp_path / "a.geojson"
+    area.write_text('{"features": [{"geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [1, 1], [0, 0]], [[0.1, 0.1], [0.2, 0.1], [0.2, 0.2], [0.1, 0.1]]]]}}]}')
+    assert [[len(r) for r in rings] for rings in catalogue_items.read_polygons(spark, str(area))] == [[4, 4]]
+    record = lambda i, box: struct.pack(">II", i, 60) + struct.pack("<I4dII", 5, *box, 1, 4) + struct.pack("<I", 0) + struct.pack("<8d", *box, *box)
+    record = lambda i, box, make=record: struct.pack(">II", i, (len(make(i, box)) - 8) // 2) + make(i, box)[8:]
+    (tmp_path / "g.shp").write_bytes(b"\0" * 100 + record(1, (0, 0, 1, 1)) + struct.pack(">III", 2, 2, 0) + record(3, (8, 8, 9, 9)))
+    field = lambda name, n: name.ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([n]) + b"\0" * 15
+    rows = b"".join(b" " + a.ljust(8) + b.ljust(4) for a, b in ((b"x1y2", b"sea"), (b"x3y4", b""), (b"x5y6", b"land")))
+    (tmp_path / "g.dbf").write_bytes(struct.pack("<4BIHH", 3, 0, 0, 0, 3, 32 + 64 + 1, 13) + b"\0" * 20 + field(b"region_code", 8) + field(b"kind", 4) + b"\r" + rows)
+    assert sorted(tuple(r) for r in catalogue_items.read_shapes(spark, str(tmp_path / "g.shp")).collect()) == [(0, 0, 1, 1, "x1y2", "sea"), (8, 8, 9, 9, "x5y6", "land")]
+
+
+def test_names_of_all_summaries():
+    from chronocell.operators.summaries import REGISTRY, import_all
+
+    assert len(import_all()) == len(REGISTRY) == 18
+
+
 def test_longitudes(spark):
     at = lambda crs, x, y: spark.range(1).select(spatial.to_longitude(crs, F.lit(x), F.lit(y))).first()[0]
     assert at("EPSG:4326", 190.0, 0.0) == -170
