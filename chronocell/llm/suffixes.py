@@ -14,7 +14,8 @@
    shares LENGTH bytes; the least id of each such group goes back to the chunks as ranges of windows.
 4. Chunks mark the windows whose least id is smaller than the document's and cut the bytes they cover.
 
-Chunks are some CHUNK bytes of documents by hash of id and text; texts under LENGTH bytes are not shuffled; the other
+Chunks are some CHUNK bytes of documents by hash of id and text (small arrays are fast; with very much text chunks
+grow to MOST_CHUNK, so that messages stay full); texts under LENGTH bytes are not shuffled; the other
 text is shuffled once (the three steps that need it read the same exchange) and nothing is collected. Leader buckets
 take the leaders of LEADERS bytes of text and run buckets the runs of RUNS bytes, so a message holds several leaders
 and there are never more messages than leaders. A run that a third of all documents share costs one entry a
@@ -42,7 +43,8 @@ from chronocell.llm.common import mix64, partitions, row_slices, utf8
 LENGTH = 50
 GRAM = 16
 SORTED = 64
-CHUNK, LEADERS, RUNS = 16 << 20, 256 << 20, 16 << 20  # bytes of text a chunk, and a bucket of leaders and of runs
+CHUNK, MOST_CHUNK, CHUNKS = 4 << 20, 32 << 20, 18  # bytes of text a chunk, and at most; over 2^CHUNKS of them, they are larger
+LEADERS, RUNS = 256 << 20, 4 << 20  # bytes of text a bucket of leaders and of runs
 HOT = 200_000  # different runs of a leader
 SAMPLED = 1024
 SLICE = 1 << 18  # bytes of text looked at at once
@@ -73,7 +75,8 @@ def bucket_of(leader: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, off: np.ndarray, content: bool = True) -> tuple[np.ndarray, ...]:
-    """Leader, row, first byte, end byte and (if asked for) content hash of every run of windows."""
+    """Leader, row, first byte, end byte and content hash of every run of windows; if not asked for all of the content,
+    the last is a hash of its first and last eight bytes and its length."""
     n = len(data) - LENGTH + 1
     none = np.zeros(0, np.int64)
     if n < 1:
@@ -106,7 +109,7 @@ def runs(data: np.ndarray, off: np.ndarray, content: bool = True) -> tuple[np.nd
     leader = mix64(least[first] ^ _U(0x5851F42D4C957F2D))
     row = np.searchsorted(off, first, "right") - 1
     if not content:
-        return leader, row, first, end, leader
+        return leader, row, first, end, mix64(eight[first] + mix64(eight[end - 8] + mix64(leader + (end - first).astype(np.uint64))))
     # content: every 8 bytes are mixed with their place from the run's leader on (sums of a per-place hash)
     word = mix64(eight)
     total = np.zeros(len(word) + 1, np.uint64)
@@ -190,7 +193,7 @@ def _send_leaders(buckets: int, sampled_of: int):
     def send(table: pa.Table) -> pa.Table:
         """chunk here is the bucket, kind the chunk: a 32 bits of each leader, b a bit whether two rows hold it, c their place, d sampled runs."""
         c = Chunk(table)
-        both = [(x[0], c.ids[x[1] + lo], x[4]) for lo, _, data, off in c.slices() for x in [runs(data, off)]]
+        both = [(x[0], c.ids[x[1] + lo], x[4]) for lo, _, data, off in c.slices() for x in [runs(data, off, False)]]
         leader, doc, content = (np.concatenate(x) for x in zip(*both, strict=True)) if both else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         some = content % _U(sampled_of) == 0
         sampled = np.unique(np.stack([leader[some], content[some]], 1), axis=0)
@@ -453,13 +456,14 @@ def dedup(docs: DataFrame, outputs: tuple[str, ...] = tuple(OUT), hot: int = HOT
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     total = docs.agg(F.sum(size)).first()[0] or 0
     parts = lambda of: max(p, -(-total // of))
+    chunk = min(MOST_CHUNK, max(CHUNK, total >> CHUNKS))
     kept = [c for c in docs.columns if c not in (*OUT, "_chunk", "text")]
     own = [F.col(f"`{c}`") for c in kept]
     text = F.coalesce("text", F.lit(""))
     alone = {"n_bytes": size, "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.sha2(text.cast("binary"), 256), "kept": text.cast("binary"), "kept_text": text}
     short = docs.where(size < LENGTH).select(*own, *(alone[o].alias(o) for o in outputs))
 
-    base = docs.where(size >= LENGTH).select(*own, "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts(CHUNK))).cast("int").alias("_chunk"))
+    base = docs.where(size >= LENGTH).select(*own, "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts(chunk))).cast("int").alias("_chunk"))
     leaders = base.groupBy("_chunk").applyInArrow(_send_leaders(parts(LEADERS), sampled), PARTS)
     shared = leaders.groupBy("chunk").applyInArrow(_find_shared(hot // sampled), PARTS)
     sent = base.groupBy("_chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_runs(parts(RUNS)), PARTS)
