@@ -112,6 +112,23 @@ def test_plan_and_run(spark):
     assert kept.count() == 3 and [r.id for r in skipped.collect()] == ["1"]
 
 
+def test_run_on_prepared_and_resampled_pixels(spark):
+    """Expressions on native pixels, then a coarser grid, then the summary; another column than the day may fuse."""
+    tasks = spark.createDataFrame([("p", 0, 0, ["a", "b"])], "period string, x int, y int, dataset_ids array<string>")
+    data = [(d, 0, 0, y, x, t, day, 128 if (y + x + t) % 3 else 2) for t, (d, day) in enumerate((("a", "d1"), ("b", "d1"))) for y in range(4) for x in range(4)]
+    px = spark.createDataFrame(data, "dataset_id string, tile_x int, tile_y int, y int, x int, time int, solar_day string, water int")
+    scenes = spark.createDataFrame([("a",)], "id string")
+    flip = lambda df: df.withColumn("water", F.when(F.col("water") == 2, 0).otherwise(F.col("water")))
+    got = run_tasks(spark, tasks, scenes, px, "wofs-summary", native=flip, resampling=("nearest", 2), group_by="time").collect()
+    want = {(y, x): [(2 * y + 1 + 2 * x + 1 + t) % 3 != 0 for t in (0, 1)] for y in (0, 1) for x in (0, 1)}
+    assert {(r.y, r.x): (r.count_wet, r.count_clear) for r in got} == {k: (sum(v), 2) for k, v in want.items()}
+    with pytest.raises(ValueError):
+        run_tasks(spark, tasks, scenes, px, "wofs-summary", resampling=("cubic", 2))
+    a = px.where("time = 0").select("y", "x", "water")
+    both = planner.aligned({"a": a, "b": a.where("x < 2").withColumn("more", F.lit(1))})
+    assert both.columns == ["y", "x", "a.water", "b.water", "more"] and both.count() == 8
+
+
 def test_time_independent_scenes(spark):
     """p+dem: the region's elevation joins each group with the group's time; p-dem has no time for it."""
     t = datetime(2019, 5, 1, 10)
