@@ -30,35 +30,37 @@ from pyspark.sql import functions as F
 
 BLOCK = 400_000  # bytes of pieces encoded at once (a longer piece stands alone)
 SLICE = 1_000_000  # pieces of whole texts put together at once
-CACHE, CACHED = 150_000, 64  # pieces kept, and the longest that are
+CACHE, CACHED = 250_000, 64  # pieces kept, and the longest that are
 #: White space as the pattern's \s means it, and the pattern with it spelled out.
 SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
+#: k is the piece's number (upper 32 bits) and the token's place in bytes, nk the next token's; nxt its id, -1 at the end.
 RECURSION = """
-WITH RECURSIVE t(w, pos, tok, nxt, done) AS (
-  SELECT w, pos, tok, nxt, false FROM opening
+WITH RECURSIVE t(k, nk, tok, nxt, done) AS (
+  SELECT k, k + 1, tok, nxt, false FROM opening
   UNION ALL
-  (WITH pairs AS (SELECT t.w, t.pos, m.id FROM t JOIN merges m ON m.l = t.tok AND m.r = t.nxt WHERE NOT done),
-   least AS (SELECT w, min(id) AS id FROM pairs GROUP BY w),
-   hits AS (SELECT p.w, p.pos, p.id, p.pos - row_number() OVER (PARTITION BY p.w ORDER BY p.pos) AS chain FROM pairs p JOIN least l ON p.w = l.w AND p.id = l.id),
-   apart AS (SELECT w, pos, id FROM (SELECT *, row_number() OVER (PARTITION BY w, chain ORDER BY pos) AS nr FROM hits) WHERE nr % 2 = 1),
-   taken AS (SELECT a.w, a.pos, a.id, row_number() OVER (PARTITION BY a.w ORDER BY a.pos) AS nr,
-                    coalesce(sum(CASE WHEN y.l IS NOT NULL OR x.r IS NOT NULL THEN 1 END) OVER (PARTITION BY a.w ORDER BY a.pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stops
-             FROM apart a
-             LEFT JOIN t b ON b.w = a.w AND b.pos = a.pos + 1
-             LEFT JOIN lower y ON y.l = a.id AND y.r = b.nxt
-             LEFT JOIN t f ON f.w = a.w AND f.pos = a.pos - 1
-             LEFT JOIN apart g ON g.w = a.w AND g.pos = a.pos - 2
-             LEFT JOIN lower x ON x.r = a.id AND x.l = CASE WHEN g.w IS NULL THEN f.tok ELSE a.id END),
-   now AS (SELECT w, pos, id, nr FROM taken WHERE stops = 0),
-   gone AS (SELECT w, pos + 1 AS pos, nr FROM now),
-   rows AS (SELECT t.w, t.pos, coalesce(n.id, t.tok) AS tok, l.w IS NULL AS done,
-                   t.pos - coalesce(max(g.nr) OVER (PARTITION BY t.w ORDER BY t.pos ROWS UNBOUNDED PRECEDING), 0) AS place, g.w IS NOT NULL AS gone
-            FROM t LEFT JOIN least l ON t.w = l.w LEFT JOIN now n ON n.w = t.w AND n.pos = t.pos LEFT JOIN gone g ON g.w = t.w AND g.pos = t.pos
-            WHERE NOT t.done)
-   SELECT w, place::INT, tok, coalesce(lead(tok) OVER (PARTITION BY w ORDER BY place), -1), done FROM rows WHERE NOT gone))
-SELECT w, pos, tok FROM t WHERE done
+  (WITH pairs AS MATERIALIZED (SELECT t.k, t.nk, m.id FROM t JOIN merges m ON m.l = t.tok AND m.r = t.nxt WHERE NOT done),
+   least AS MATERIALIZED (SELECT k >> 32 AS w, min(id) AS id FROM pairs GROUP BY w),
+   hits AS MATERIALIZED (SELECT p.k, p.nk, p.id FROM pairs p JOIN least l ON p.k >> 32 = l.w AND p.id = l.id),
+   several AS MATERIALIZED (SELECT k >> 32 AS w FROM hits GROUP BY w HAVING count(*) > 1),
+   many AS (SELECT k, nk, id, k >> 32 AS w FROM hits SEMI JOIN several ON k >> 32 = w),
+   chains AS (SELECT *, CASE WHEN lag(nk) OVER x = k THEN 0 ELSE 1 END AS opens, row_number() OVER x AS nr FROM many WINDOW x AS (PARTITION BY w ORDER BY k)),
+   apart AS MATERIALIZED (SELECT k, nk, id, w FROM (SELECT *, max(CASE WHEN opens = 1 THEN nr END) OVER (PARTITION BY w ORDER BY k) AS start FROM chains) WHERE (nr - start) % 2 = 0),
+   judged AS (SELECT a.k, a.nk, a.id, a.w, CASE WHEN x.l IS NOT NULL OR y.l IS NOT NULL THEN 1 ELSE 0 END AS stops
+              FROM apart a
+              LEFT JOIN t b ON b.k = a.nk
+              LEFT JOIN lower y ON y.l = a.id AND y.r = b.nxt
+              LEFT JOIN t f ON f.nk = a.k
+              LEFT JOIN apart g ON g.nk = f.k
+              LEFT JOIN lower x ON x.r = a.id AND x.l = CASE WHEN g.k IS NULL THEN f.tok ELSE a.id END),
+   safe AS (SELECT k, nk, id FROM (SELECT *, sum(stops) OVER (PARTITION BY w ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM judged) WHERE coalesce(before, 0) = 0),
+   now AS (SELECT k, nk, id FROM safe UNION ALL SELECT k, nk, id FROM hits ANTI JOIN several ON k >> 32 = w),
+   taken AS MATERIALIZED (SELECT n.k, n.nk AS second, n.id, b.nk AS after, b.nxt FROM now n JOIN t b ON b.k = n.nk)
+   SELECT t.k, coalesce(n.after, t.nk), coalesce(n.id, t.tok), coalesce(f.id, n.nxt, t.nxt), l.w IS NULL
+   FROM t LEFT JOIN least l ON l.w = t.k >> 32 LEFT JOIN taken n ON n.k = t.k LEFT JOIN taken f ON f.k = coalesce(n.after, t.nk) ANTI JOIN taken g ON g.second = t.k
+   WHERE NOT t.done))
+SELECT (k >> 32)::INT AS w, (k & 4294967295)::INT AS pos, tok FROM t WHERE done
 """
 DECODING = "SELECT w // 512 AS part, count(*) AS n, string_agg(hex, '' ORDER BY w, pos) AS hex FROM tokens JOIN vocabulary USING (tok) GROUP BY part ORDER BY part"
 
@@ -95,7 +97,7 @@ class Codec:
         self.con.execute("CREATE TABLE lower AS SELECT l, r FROM merges WHERE id < greatest(l, r)")  # pairs that come before a part of theirs
 
     def tokens(self, pieces: list[bytes]) -> pa.Table:
-        """(w, pos, tok) rows of all pieces."""
+        """(w, pos, tok) rows of all pieces; pos is the place in bytes."""
         whole = [(i, r) for i, b in enumerate(pieces) if (r := self.ranks.get(b)) is not None]
         done = {i for i, _ in whole}
         rest = [i for i in range(len(pieces)) if i not in done]
@@ -104,8 +106,9 @@ class Codec:
         tok = self.bytes[np.frombuffer(b"".join(pieces[i] for i in rest), np.uint8)] if rest else np.zeros(0, np.int32)
         nxt = np.r_[tok[1:], np.int32(-1)][: len(tok)]
         nxt[end - 1] = -1
-        pos = (np.arange(len(tok)) - np.repeat(end - length, length)).astype(np.int32)
-        self.con.register("opening", pa.table({"w": np.repeat(np.array(rest, np.int32), length), "pos": pos, "tok": tok.astype(np.int32), "nxt": nxt.astype(np.int32)}))
+        place = np.arange(len(tok)) - np.repeat(end - length, length)
+        k = (np.repeat(np.array(rest, np.int64), length) << 32) + place
+        self.con.register("opening", pa.table({"k": k, "tok": tok.astype(np.int32), "nxt": nxt.astype(np.int32)}))
         found = self.con.sql(RECURSION).to_arrow_table()
         more = [(i, 0, r) for i, r in whole]
         extra = pa.table(dict(zip(("w", "pos", "tok"), (pa.array(x, pa.int32()) for x in (zip(*more) if more else ((), (), ()))), strict=True)))
