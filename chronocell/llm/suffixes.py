@@ -43,8 +43,8 @@ from chronocell.llm.common import mix64, partitions, row_slices, utf8
 LENGTH = 50
 GRAM = 16
 SORTED = 64
-CHUNK, MOST_CHUNK, CHUNKS = 4 << 20, 32 << 20, 18  # bytes of text a chunk, and at most; over 2^CHUNKS of them, they are larger
-LEADERS, RUNS = 256 << 20, 4 << 20  # bytes of text a bucket of leaders and of runs
+CHUNK, MOST_CHUNK, CHUNKS = 2 << 20, 32 << 20, 18  # bytes of text a chunk, and at most; over 2^CHUNKS of them, they are larger
+LEADERS, RUNS = 256 << 20, 2 << 20  # bytes of text a bucket of leaders and of runs
 HOT = 200_000  # different runs of a leader
 SAMPLED = 1024
 SLICE = 1 << 18  # bytes of text looked at at once
