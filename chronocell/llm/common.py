@@ -75,12 +75,15 @@ def partitions(spark: SparkSession) -> int:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A full-avalanche permutation of 64-bit values."""
-    x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(27)
-    x *= _U(0x94D049BB133111EB)
-    x ^= x >> _U(31)
-    return x
+    out = x >> _U(30)
+    out ^= x
+    out *= _U(0xBF58476D1CE4E5B9)
+    high = out >> _U(27)
+    out ^= high
+    out *= _U(0x94D049BB133111EB)
+    np.right_shift(out, _U(31), out=high)
+    out ^= high
+    return out
 
 
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:

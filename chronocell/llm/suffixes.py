@@ -47,8 +47,8 @@ CHUNK, MOST_CHUNK, CHUNKS = 2 << 20, 32 << 20, 18  # bytes of text a chunk, and
 LEADERS, RUNS = 256 << 20, 2 << 20  # bytes of text a bucket of leaders and of runs
 HOT = 200_000  # different runs of a leader
 SAMPLED = 1024
-SLICE = 1 << 18  # bytes of text looked at at once
-BLOCK = 1 << 18  # bytes of runs transformed at once
+SLICE = 1 << 16  # bytes of text looked at at once
+BLOCK = 1 << 17  # bytes of runs transformed at once
 LAST = (1 << 63) - 1
 _U = np.uint64
 PARTS = "chunk int, kind int, a binary, b binary, c binary, d binary"
@@ -82,7 +82,11 @@ def runs(data: np.ndarray, off: np.ndarray, content: bool = True) -> tuple[np.nd
     if n < 1:
         return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     eight = _eights(data)
-    h = mix64(eight[:-8] * _U(0x9E3779B97F4A7C15) + mix64(eight[8:]))  # a gram of 16 bytes
+    h = eight[:-8] * _U(0x9E3779B97F4A7C15)  # a gram of 16 bytes: leaders need an order that is as good as random, no more
+    h += eight[8:] * _U(0xC2B2AE3D27D4EB4F)
+    h ^= h >> _U(32)
+    h *= _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(29)
     least, width, span = h, 1, LENGTH - GRAM + 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
