@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from chronocell.catalogue import HOURLY, LOCAL, OBS, SCENES, hourly, obs, query, scenes, shipped
+from chronocell.catalogue import HOURLY, LOCAL, OBS, SCENES, SQL, hourly, obs, query, scenes, shipped
 from chronocell.functions import pixels
 from chronocell.functions.periods import Period
 from chronocell.operators import geomedian, models, morphology, planner, spatial, summaries
@@ -360,3 +360,8 @@ def windows(spark, sf):
 def j6_offsets(spark, sf):
     s = scenes(spark, sf)
     return spatial.with_offset(s, spatial.Grid((25.0, 25.0), 1.0).longitude(F.col("x"), F.col("y"))).select("id", "utc_offset")
+
+
+# the same queries under their first names
+SQL["a3_pq_filters"] = SQL["a3_pq_cleaned"]
+SQL["m3_tree_features"] = SQL["m3_tree_feature_values"]
