@@ -33,7 +33,6 @@ from chronocell.llm.common import durable, partitions
 SHARD, BLOCK = 16 << 20, 2 << 20  # bytes of a shard and of a block of queries, as numbers of 8 bytes
 LEAST_SHARD = 2048  # vectors
 POSTINGS = 256  # vectors of a block of postings
-AT_ONCE = 16  # blocks between two looks at the threshold
 K = 5
 QUERY_EVERY = 50
 PACKED = "no int, n int, dim int, ids binary, vectors binary"
@@ -70,12 +69,13 @@ def _pack(vectors: DataFrame, blocks: int) -> DataFrame:
 
 
 class Shard:
-    """Vectors as terms by vectors, in blocks of postings with the terms' ranges."""
+    """Blocks of postings (terms by vectors) with the terms' ranges."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.cols = ids, np.ascontiguousarray(x.T)
-        edge = np.arange(0, len(ids), POSTINGS)
-        self.low, self.high = np.minimum.reduceat(self.cols, edge, axis=1).astype(float), np.maximum.reduceat(self.cols, edge, axis=1).astype(float)
+        edge = range(0, len(ids), POSTINGS)
+        self.ids = [ids[i : i + POSTINGS] for i in edge]
+        self.blocks = [np.ascontiguousarray(x[i : i + POSTINGS].T) for i in edge]
+        self.low, self.high = (np.stack([f(b, axis=1) for b in self.blocks], 1).astype(float) for f in (np.min, np.max))
 
     def best(self, q: np.ndarray, qid: int, k: int, least: float = -np.inf, prune: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best of which none is under least (the k-th best elsewhere)."""
@@ -84,35 +84,34 @@ class Shard:
         order = np.argsort(-gain, kind="stable")
         left = np.r_[gain[order][::-1].cumsum()[::-1], 0.0]  # bounds of the terms from here on
         rest = np.r_[floor[order][::-1].cumsum()[::-1], 0.0]  # lowest scores of the terms from here on
-        base = rest[0]
         bound = np.maximum(q, 0) @ self.high + np.minimum(q, 0) @ self.low  # of each block
-        blocks = np.argsort(-bound, kind="stable")
-        ids, scores = self.ids[:0], np.zeros(0, q.dtype)
-        for at in range(0, len(blocks), AT_ONCE):
-            some = blocks[at : at + AT_ONCE]
-            some = some[bound[some] >= least]
-            if not len(some):
-                break  # the blocks after these have lower bounds
-            alive = (some[:, None] * POSTINGS + np.arange(POSTINGS)).ravel()
-            alive = alive[alive < len(self.ids)]
-            alive = alive[self.ids[alive] != qid]
-            essential = max(1, int(np.searchsorted(-(base + left), -least, "right"))) if np.isfinite(least) else len(order)
-            essential = min(essential, len(order))
-            on = order[:essential]
-            score = q[on] @ self.cols[np.ix_(on, alive)]
-            keep = score + rest[essential] + left[essential] >= least
-            alive, score = alive[keep], score[keep]
+        ids, scores, seen = np.zeros(0, np.int64), np.zeros(0, q.dtype), None
+        for at in np.argsort(-bound, kind="stable"):
+            if bound[at] < least:
+                break  # the blocks after this have lower bounds
+            if seen != least:  # the run of terms from the least bound up that cannot reach it is not essential
+                seen = least
+                essential = min(len(order), max(1, int(np.searchsorted(-(rest[0] + left), -least, "right")))) if np.isfinite(least) else len(order)
+                only = np.zeros_like(q)
+                only[order[:essential]] = q[order[:essential]]
+            block = self.blocks[at]
+            score = only @ block
+            alive = np.flatnonzero((score + rest[essential] + left[essential] >= least) & (self.ids[at] != qid))
+            score = score[alive]
             for t in range(essential, len(order), STEP):
+                if not len(alive):
+                    break
                 on = order[t : t + STEP]
-                score = score + q[on] @ self.cols[np.ix_(on, alive)]
+                score = score + q[on] @ block[np.ix_(on, alive)]
                 t = min(t + STEP, len(order))
                 keep = score + rest[t] + left[t] >= least
                 alive, score = alive[keep], score[keep]
-            ids, scores = np.r_[ids, self.ids[alive]], np.r_[scores, score]
-            top = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[top], scores[top]
-            if prune and len(ids) == k:
-                least = max(least, float(scores[-1]))
+            if len(alive):
+                ids, scores = np.r_[ids, self.ids[at][alive]], np.r_[scores, score]
+                top = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[top], scores[top]
+                if prune and len(ids) == k:
+                    least = max(least, float(scores[-1]))
         return ids, scores
 
 
