@@ -32,11 +32,11 @@ from chronocell.llm.common import durable, partitions
 
 SHARD, BLOCK = 16 << 20, 2 << 20  # bytes of a shard and of a block of queries, as numbers of 8 bytes
 LEAST_SHARD = 2048  # vectors
-POSTINGS = 256  # vectors of a block of postings
+POSTINGS = 2048  # vectors of a block of postings
 K = 5
 QUERY_EVERY = 50
 PACKED = "no int, n int, dim int, ids binary, vectors binary"
-STEP = 8  # terms probed between two comparisons with the threshold
+STEP = 32  # terms probed between two comparisons with the threshold
 EXACT = float(1 << 53)
 
 

@@ -233,6 +233,21 @@ def test_top_k_over_many_shards(spark):
         assert {tuple(r) for r in got} == want and len(got) == 300
 
 
+def test_blocks_of_postings():
+    rng = np.random.default_rng(14)
+    x = np.sort(rng.integers(-300, 300, (9000, 70)), axis=0)[rng.permutation(9000)].astype(float)
+    x[:4000] += 500  # blocks that differ, so that some are skipped
+    ids = rng.permutation(9000)
+    shard = topk.Shard(ids, x)
+    assert len(shard.blocks) > 4
+    for i in range(0, 9000, 450):
+        score = x @ x[i]
+        want = sorted((-score[j], ids[j]) for j in range(9000) if j != i)[:5]
+        for least in (-np.inf, -want[4][0]):
+            got_ids, got = shard.best(x[i], ids[i], 5, least)
+            assert [(-s, j) for j, s in zip(got_ids, got, strict=True)] == want
+
+
 def test_archive(spark):
     rows = [(3, "u3", "a"), (1, "u1", "b"), (2, "u2", "a"), (4, "u4", None), (5, "u5", ""), (2, "u2", "a"), (None, "u", "c")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
