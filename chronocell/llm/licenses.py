@@ -7,9 +7,8 @@ or left out shift the diagonal), and a span counts when enough of the template's
 word by word, inside it; each gram of the template counts once. A phrase template needs all its grams on one
 diagonal: a place.
 
-The template table is a fixed list of a few hundred rows, so it is broadcast, and its hashes are written into the plan:
-a text's other k-grams are dropped before its matches become rows. Each text yields one row for itself beside its
-matches and leaves the scan once; texts are never shuffled. Rows are told apart by id and digest of the text, which a
+The template table is a fixed list of a few hundred rows, so it is broadcast. Each text yields one row for itself beside
+its matches and leaves the scan once; texts are never shuffled. Rows are told apart by id and digest of the text, which a
 recomputed partition gives again; rows alike in both are counted, and the result is repeated so often.
 
 Defined results: a null or empty text has no words, no labels, null places and score 0; repeated rows
@@ -55,7 +54,9 @@ def _grams() -> list[tuple[int, str, bool, int, int, int, str]]:
 def _gram_table(spark: SparkSession) -> DataFrame:
     t = spark.createDataFrame(_grams(), "tid int, label string, base boolean, k int, grams int, tpos int, gram string")
     parts = F.split("gram", " ")
-    return t.withColumn("h", F.when(F.col("k") == 2, _gram_hash(parts, 2)).when(F.col("k") == 3, _gram_hash(parts, 3)).otherwise(_gram_hash(parts, GRAM)))
+    t = t.withColumn("h", F.when(F.col("k") == 2, _gram_hash(parts, 2)).when(F.col("k") == 3, _gram_hash(parts, 3)).otherwise(_gram_hash(parts, GRAM)))
+    own = spark.createDataFrame([(SELF, "", False, 0, 0, 0, "", 0)], t.schema)  # meets each text's own row
+    return t.unionByName(own)
 
 
 def _gram_hash(words: Column, k: int) -> Column:
@@ -74,22 +75,22 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     ks = sorted({t[4] for t in templates()})
     assert ks == [2, 3, 4]
-    table = _gram_table(docs.sparkSession)
-    known = sorted({r.h for r in table.select("h").collect()})  # of the fixed table
     d = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), words_of(F.col("text")).alias("words"))
     n = F.size("words")
     d = d.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
     # rolling: the k-gram hash at a place comes from the (k-1)-gram hash there and the next word's hash
     roll = lambda short, k: F.zip_with(F.slice(short, 1, F.greatest(F.lit(0), n - (k - 1))), F.slice("h1", k, F.greatest(F.lit(0), n - (k - 1))), lambda a, b: F.xxhash64(a, b))
     d = d.withColumn("h2", roll("h1", 2)).withColumn("h3", roll("h2", 3)).withColumn("h4", roll("h3", 4))
-    hit = lambda k, pos, h: F.struct(F.lit(k).alias("k"), pos.alias("pos"), h.alias("h"), F.array_join(F.slice("words", pos + 1, F.lit(k)), " ").alias("gram"))
-    found = lambda k: F.array_compact(F.transform(f"h{k}", lambda h, i: F.when(h.isin(known), hit(k, i, h))))
-    hits = [found(k) for k in ks]
-    own = F.array(F.struct(F.lit(0).alias("k"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h"), F.lit("").alias("gram")))
-    d = d.select("doc_id", "key", n.alias("n"), F.explode(F.concat(own, *hits)).alias("g")).select("doc_id", "key", "n", "g.*")
-    m = d.join(F.broadcast(table.withColumnsRenamed({"k": "tk", "gram": "template", "h": "th"})), (F.col("h") == F.col("th")) & (F.col("k") == F.col("tk")), "left")
-    m = m.where((F.col("k") == 0) | (F.col("gram") == F.col("template")))
-    m = m.select("doc_id", "key", "n", F.coalesce("tid", F.lit(SELF)).alias("tid"), "label", F.coalesce("base", F.lit(False)).alias("base"), "grams", "tpos", F.coalesce(F.col("pos") - F.col("tpos"), F.lit(0)).alias("diag"))
+    # one generated column: own row, then 2-, 3- and 4-grams
+    d = d.select("doc_id", "key", "words", n.alias("n"), F.posexplode(F.concat(F.array(F.lit(0).cast("long")), "h2", "h3", "h4")).alias("at", "h"))
+    m = d.join(F.broadcast(_gram_table(docs.sparkSession)), "h")
+    n2, n3 = F.greatest(F.lit(0), F.col("n") - 1), F.greatest(F.lit(0), F.col("n") - 2)
+    pos = F.col("at") - 1 - F.when(F.col("k") == 3, n2).when(F.col("k") == 4, n2 + n3).otherwise(F.lit(0))
+    own = (F.col("tid") == SELF) & (F.col("at") == 0)
+    gram = (F.col("tid") != SELF) & (F.col("at") > 0) & (pos >= 0) & (pos <= F.col("n") - F.col("k"))
+    same = F.concat_ws(" ", F.slice("words", F.greatest(pos, F.lit(0)) + 1, F.greatest(F.col("k"), F.lit(1)))) == F.col("gram")
+    m = m.withColumn("pos", pos).where(own | (gram & same))
+    m = m.select("doc_id", "key", "n", "tid", "label", "base", "grams", "tpos", F.when(F.col("tid") == SELF, 0).otherwise(F.col("pos") - F.col("tpos")).alias("diag"))
 
     rows = ["doc_id", "key", "n", "tid", "label", "base", "grams"]
     lines = m.groupBy(*rows, "diag").agg(F.collect_set("tpos").alias("at"), F.count(F.lit(1)).alias("times"))
