@@ -1,4 +1,4 @@
-"""The thin queries of the ten operators and their SQL."""
+"""The thin queries of the thirteen operators and their SQL."""
 
 from __future__ import annotations
 
@@ -72,11 +72,30 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), ("n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.clustering import clustered
+
+    return clustered(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.graph import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronocell.llm.codes import coded
+
+    return coded(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op4_neardup, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls, op10_suffixes)}
+    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_bpe, op4_neardup, op5_topk, op6_warc, op7_media, op8_toxicity, op9_urls, op10_suffixes, op11_clustering, op12_graph, op13_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from chronocell.llm import licenses, mixing, topk, urls, warc
+    from chronocell.llm import clustering, codes, licenses, mixing, topk, urls, warc
 
-    return {"op1_mixing": mixing.ORACLE, "op2_licenses": licenses.ORACLE, "op5_topk": topk.ORACLE, "op6_warc": warc.ORACLE, "op9_urls": urls.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_licenses": licenses.ORACLE, "op5_topk": topk.ORACLE, "op6_warc": warc.ORACLE, "op9_urls": urls.ORACLE,
+            "op11_clustering": clustering.ORACLE, "op13_codes": codes.ORACLE}
