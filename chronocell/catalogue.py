@@ -415,13 +415,13 @@ def f9(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from chronocell import catalogue_more  # noqa: F401  registers the rest
+    from chronocell import catalogue_more, catalogue_space  # noqa: F401  register the rest
 
     return dict(Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    from chronocell import catalogue_more  # noqa: F401
+    from chronocell import catalogue_more, catalogue_space  # noqa: F401
 
     return dict(SQL)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chronocell.catalogue import HOURLY, LOCAL, OBS, SCENES, SQL, hourly, obs, query, scenes, shipped
 from chronocell.functions import pixels
 from chronocell.functions.periods import Period
-from chronocell.operators import geomedian, models, morphology, planner, spatial, summaries
+from chronocell.operators import geomedian, models, morphology, planner, polygons, spatial, summaries
 from chronocell.operators.landcover import CultivatedClass, UrbanClass, WoodyCover
 from chronocell.operators.summaries import execute
 from chronocell.sources import sinks
@@ -105,7 +105,8 @@ def j5(spark, sf):
 @query("j9_polygon_tiles", SCENES + " SELECT DISTINCT x, y FROM scenes WHERE x * 10 <= 37.0 AND x * 10 + 10 >= 12.5 AND y * 10 <= 21.0 AND y * 10 + 10 >= 5.0")
 def j9(spark, sf):
     t = scenes(spark, sf).select("x", "y").dropDuplicates()
-    return spatial.tiles_in_polygon(t, spatial.Grid((10.0, 10.0), 1.0), [(12.5, 5.0), (37.0, 5.0), (37.0, 21.0), (12.5, 21.0), (12.5, 5.0)])
+    area = spark.range(1).select(polygons.box(*map(F.lit, (12.5, 5.0, 37.0, 21.0))).alias("rings"))
+    return polygons.tiles_meeting(t, area, spatial.Grid((10.0, 10.0), 1.0))
 
 
 @query("j10_regions", BOXES + """, g AS (SELECT DISTINCT 'x' || x || 'y' || y AS region_code, x * 10.0 AS a, x * 10.0 + 9.5 AS c, y * 10.0 AS b, y * 10.0 + 9.5 AS d FROM f), e AS (SELECT * FROM f WHERE id % 1000 = 3)

@@ -9,9 +9,9 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from chronocell.functions.parsing import load_config, merge_config, parse_range2d, select_tasks
+from chronocell.functions.parsing import load_config, merge_config, parse_range2d
 from chronocell.functions.periods import Period
-from chronocell.operators import planner, spatial
+from chronocell.operators import planner, polygons, spatial
 from chronocell.plans.tasks import FREQUENCY_NAMES, SaveOptions, mosaic, plan_tasks, run_tasks
 from chronocell.sources import catalogue_items, sinks
 
@@ -46,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("tasks", "queue"):
         a.add_argument(name)
     a.add_argument("selectors", nargs="*")
-    a.add_argument("--geojson-filter", help="tasks whose tile meets the file's first feature")
+    a.add_argument("--geojson-filter", help="tasks whose tile meets the file's first feature, with all its parts and without its holes")
     a.add_argument("--grid", default="1,1,1", help="tile width,tile height,resolution")
     a.add_argument("--dryrun", action="store_true")
     a = sub.add_parser("generate-cache")
@@ -64,16 +64,6 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def _chosen(tasks, selectors):
-    """The selected tasks; ValueError for a selector that fits none."""
-    if not selectors:
-        return tasks
-    ids = [(r.period, r.x, r.y) for r in tasks.select("period", "x", "y").orderBy("period", "x", "y").collect()]  # keys only
-    wanted = select_tasks(selectors, ids)
-    keep = tasks.sparkSession.createDataFrame(sorted(set(wanted)), "period string, x int, y int")
-    return tasks.join(keep, ["period", "x", "y"], "left_semi")
-
-
 def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
     given = {k: getattr(a, k) for k in ("products", "frequency", "temporal_range", "tiles", "gqa", "grid", "crs")}
     c = merge_config(load_config(a.config, spark) if a.config else {}, given, SAVE_KEYS)
@@ -108,9 +98,11 @@ def _grid(text: str, crs: str | None = None) -> spatial.Grid:
 
 def run(spark: SparkSession, a: argparse.Namespace, tasks) -> None:
     config = load_config(a.config, spark) if a.config else {}
+    tasks = tasks.drop("_nth").dropDuplicates(["period", "x", "y"])  # a task that is chosen twice runs once
     done, scenes = sinks.finished(spark, a.output), spark.read.parquet(a.scenes)
     if a.dryrun:
-        planner.dry_run(tasks, done, a.overwrite, scenes=scenes).show(10_000, truncate=False)
+        for r in planner.dry_run(tasks, done, a.overwrite, scenes=scenes).orderBy("period", "x", "y").toLocalIterator():
+            print(f"{r.period}/{r.x:+04d}/{r.y:+04d} days={r.days} datasets={r.datasets} {r.state}")
         return
     new = tasks if a.overwrite else planner.pending(tasks, done)
     result = run_tasks(spark, new, scenes, spark.read.parquet(a.pixels), a.summary, **config)
@@ -127,7 +119,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         return save_tasks(spark, a)
     if a.command in ("run", "publish-tasks"):
         try:
-            tasks = _chosen(spark.read.parquet(a.tasks), a.selectors)
+            tasks = spark.read.parquet(a.tasks)
+            if a.selectors:
+                tasks = planner.selected(tasks, a.selectors)
         except ValueError as e:
             print(e, file=sys.stderr)
             return 1
@@ -136,20 +130,22 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "publish-tasks":
         from chronocell.streaming.tasks import publish
 
+        order = ["_nth", "period", "x", "y"] if a.selectors else ["period", "x", "y"]
         if a.geojson_filter:
-            tasks = spatial.tiles_in_polygon(tasks, _grid(a.grid), catalogue_items.read_rings(spark, a.geojson_filter)[0])
+            area = catalogue_items.read_features(spark, a.geojson_filter).where("feature = 0")
+            tasks = polygons.tiles_meeting(tasks, area, _grid(a.grid))
         if a.dryrun:
-            for r in tasks.select("period", "x", "y").orderBy("period", "x", "y").toLocalIterator():
+            for r in tasks.orderBy(*order).select("period", "x", "y").toLocalIterator():
                 print(f"{r.period}/{r.x:+04d}/{r.y:+04d}")
-        else:
-            publish(tasks, a.tasks, a.queue)
+        else:  # files are named in order, so a queue that takes them by name keeps it
+            publish(tasks.orderBy(*order), a.tasks, a.queue)
     elif a.command == "generate-cache":
         catalogue_items.read_items(spark, a.glob).write.parquet(a.output)
     elif a.command == "generate-mosaic":
         sinks.write_bands(mosaic(spark.read.parquet(a.results), a.bands.split(","), a.factor), a.output)
     elif a.command == "locate-grids":
-        boxes = lambda path: catalogue_items.read_shapes(spark, path) if path.endswith(".shp") else spark.read.parquet(path)
-        found = spatial.regions_touched(boxes(a.grid), boxes(a.extent), a.attr_filter)
+        shapes = lambda path: catalogue_items.read_shapes(spark, path, outlines=True) if path.endswith(".shp") else spark.read.parquet(path)
+        found = spatial.regions_touched(shapes(a.grid), shapes(a.extent), a.attr_filter)
         lines = found.orderBy("region_code").select(F.concat_ws(",", "numbers").alias("line"))
         if a.csv:
             sinks.write_documents(lines, a.csv, "line")

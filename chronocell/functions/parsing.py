@@ -52,21 +52,11 @@ def parse_slice(text: str) -> slice:
     return slice(*[int(p) if p.strip() else None for p in parts])
 
 
-def select_tasks(selectors: list[str], tasks: list[TaskId]) -> list[TaskId]:
-    """Indexes, slices and ids in the order given, duplicates kept; unknown ones are errors."""
-    known, out = set(tasks), []
-    for s in selectors:
-        if re.fullmatch(r"-?\d+", s):
-            if not -len(tasks) <= int(s) < len(tasks):
-                raise ValueError(f"no task number {s}")
-            out.append(tasks[int(s)])
-        elif ":" in s:
-            out += tasks[parse_slice(s)]
-        elif (t := parse_task(s)) in known:
-            out.append(t)
-        else:
-            raise ValueError(f"no task {s}")
-    return out
+def parse_selector(text: str) -> int | slice | TaskId:
+    """A task's number, a slice of numbers, or its id."""
+    if re.fullmatch(r"-?\d+", text):
+        return int(text)
+    return parse_slice(text) if ":" in text else parse_task(text)
 
 
 def parse_range2d(text: str) -> tuple[tuple[int, int], tuple[int, int]]:

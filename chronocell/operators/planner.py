@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import timedelta
 from functools import reduce as fold
 from itertools import takewhile
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronocell.functions.ids import uuid5_column
+from chronocell.functions.parsing import parse_selector, render_task
 from chronocell.functions.periods import FREQUENCIES, Period, annual_label, local_time, rolling_labels, rolling_rules, season_label, season_rules
 
 SENSORS = ("ls5_sr", "ls7_sr", "ls8_sr", "ls9_sr")
@@ -216,6 +217,44 @@ def pending(tasks: DataFrame, done: DataFrame, keys: Sequence[str] = ("period",
     return tasks.join(done, list(keys), "left_anti")
 
 
+def numbered(tasks: DataFrame) -> DataFrame:
+    """tasks with _at, their number from 0 in order of period, x, y. Only counts of (period, x) meet in one task; a column of tiles is numbered by itself."""
+    counts = tasks.groupBy("period", "x").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("period", "x").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select("period", "x", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("period", "x").orderBy("y"))
+    return tasks.join(start, ["period", "x"]).withColumn("_at", F.col("_start") + own - 1).select(*tasks.columns, "_at")
+
+
+def selected(tasks: DataFrame, selectors: Sequence[str]) -> DataFrame:
+    """The tasks that indexes, slices and ids choose, with _nth (selector, place in it): in its order they stand as chosen, repeats kept.
+
+    ValueError for a selector that fits no task. What reaches the driver is one count, and a row for each id that is given.
+    """
+    given = [parse_selector(s) for s in selectors]
+    spark = tasks.sparkSession
+    ids = [(k, *s) for k, s in enumerate(given) if not isinstance(s, (int, slice))]
+    parts: list[DataFrame] = []
+    nth = lambda k, at: F.struct(k.cast("int").alias("selector"), at.cast("long").alias("place")).alias("_nth")
+    if ids:
+        wanted = spark.createDataFrame(ids, "_k int, period string, x int, y int")
+        if missing := {i[1:] for i in ids} - {(r.period, r.x, r.y) for r in tasks.join(F.broadcast(wanted), ["period", "x", "y"], "left_semi").select("period", "x", "y").distinct().collect()}:
+            raise ValueError(f"no task {', '.join(render_task(t) for t in sorted(missing))}")
+        parts.append(tasks.join(F.broadcast(wanted), ["period", "x", "y"]).select(*tasks.columns, nth(F.col("_k"), F.lit(0))))
+    if len(ids) < len(given):
+        total, placed = tasks.count(), numbered(tasks)
+        for k, s in enumerate(given):
+            if isinstance(s, int):
+                if not -total <= s < total:
+                    raise ValueError(f"no task number {s}")
+                s = slice(s, s + 1 or None)
+            if isinstance(s, slice):
+                r = range(*s.indices(total))
+                step = (F.col("_at") - r.start) / r.step
+                parts.append(placed.where((step >= 0) & (step < len(r)) & (step == F.floor(step))).select(*tasks.columns, nth(F.lit(k), step)))
+    return fold(DataFrame.unionByName, parts)
+
+
 def tasks_of(binned_scenes: DataFrame) -> DataFrame:
     """A row a (period, x, y) with its distinct scene ids."""
     return binned_scenes.select("period", "x", "y", "id").dropDuplicates().groupBy("period", "x", "y").agg(F.array_sort(F.collect_list("id")).alias("dataset_ids"))
@@ -287,7 +326,3 @@ def lineage(task_scenes: DataFrame, fused: bool) -> DataFrame:
 def platforms(task_scenes: DataFrame) -> DataFrame:
     joined = lambda c, by: F.concat_ws(by, F.array_sort(F.collect_set(c)))
     return task_scenes.groupBy("period", "x", "y").agg(joined("platform", ",").alias("platform"), joined("instrument", "_").alias("instrument"))
-
-
-def padded(start: datetime, end: datetime) -> tuple[datetime, datetime]:
-    return start - timedelta(days=PAD_DAYS), end + timedelta(days=PAD_DAYS)

@@ -58,7 +58,11 @@ def to_longitude(crs: str, x: Column, y: Column) -> Column:
 
 
 def to_tiles(scenes: DataFrame, grid: Grid) -> DataFrame:
-    """A row a tile that a scene's footprint box (min_x, min_y, max_x, max_y) touches."""
+    """A row a tile that a scene's footprint (rings; of scenes without that column, the box min_x, min_y, max_x, max_y) overlaps. Scenes with rings have one row an id."""
+    if "rings" in scenes.columns:
+        from chronocell.operators.polygons import polygon_tiles
+
+        return scenes.join(polygon_tiles(scenes, ["id"], grid), "id").select(*scenes.columns, "x", "y")
     span = lambda axis, lo, hi: F.sequence(grid.tile(axis, F.col(lo)), grid.tile(axis, F.col(hi)))
     t = scenes.withColumn("x", F.explode(span(0, "min_x", "max_x"))).withColumn("y", F.explode(span(1, "min_y", "max_y")))
     return t
@@ -106,32 +110,25 @@ def rasterize(pixels: DataFrame, rings: Sequence[Sequence[tuple[float, float]]],
     return pixels.withColumn("extent", hit)
 
 
-def tiles_in_polygon(tasks: DataFrame, grid: Grid, ring: Sequence[tuple[float, float]]) -> DataFrame:
-    """Tasks whose tile meets the polygon: a corner of one lies in the other, or their edges cross."""
-    w, h = grid.tile_size
-    x0, y0 = grid.origin[0] + F.col("x") * w, grid.origin[1] + F.col("y") * h
-    x1, y1 = x0 + w, y0 + h
-    corners = inside(x0, y0, ring) | inside(x1, y0, ring) | inside(x0, y1, ring) | inside(x1, y1, ring)
-    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
-    near = (x0 <= max(xs)) & (x1 >= min(xs)) & (y0 <= max(ys)) & (y1 >= min(ys))
-    hit = corners
-    points = [tuple(map(float, p[:2])) for p in ring]
-    for (ax, ay), (bx, by) in zip(points, [*points[1:], points[0]], strict=True):
-        hit = hit | ((F.lit(ax) >= x0) & (F.lit(ax) <= x1) & (F.lit(ay) >= y0) & (F.lit(ay) <= y1))
-        for edge, lo, hi, a, b, c, d in ((x0, y0, y1, ax, ay, bx, by), (x1, y0, y1, ax, ay, bx, by), (y0, x0, x1, ay, ax, by, bx), (y1, x0, x1, ay, ax, by, bx)):
-            if a != c:
-                at = b + (edge - a) * ((d - b) / (c - a))
-                hit = hit | ((edge >= min(a, c)) & (edge <= max(a, c)) & (at >= lo) & (at <= hi))
-    return tasks.where(near & hit)
-
-
 def regions_touched(grid: DataFrame, extent: DataFrame, where: str | None = None, cell: float | None = None) -> DataFrame:
-    """Numbers in the region codes of grid boxes that meet an extent box (of those that pass the attribute filter).
+    """Numbers in the region codes of grid features that meet an extent (of those that pass the attribute filter).
 
-    Both sides are dealt to cells and meet by equality of the cell; cell: its width, by default the widest grid box.
+    Features have rings, or boxes (min_x, min_y, max_x, max_y). Two tables of boxes are dealt to cells and meet by
+    equality of the cell; cell: its width, by default the widest grid box. With rings on a side, outlines meet exactly; then
+    the cell is by default as wide as the grid's features are on average.
     """
     box = ["min_x", "min_y", "max_x", "max_y"]
     e = extent if where is None else extent.where(where)
+    if "rings" in grid.columns or "rings" in e.columns:
+        from chronocell.operators import polygons
+
+        outlined = lambda df: df if "rings" in df.columns else df.withColumn("rings", polygons.box(*map(F.col, box)))
+        g = outlined(grid)
+        if cell is None:
+            span = lambda c: F.array_max(F.transform(F.flatten("rings"), lambda p: p[c])) - F.array_min(F.transform(F.flatten("rings"), lambda p: p[c]))
+            cell = g.agg(F.avg(F.greatest(span("x"), span("y")))).first()[0] or 1.0
+        hit = polygons.touched(g, outlined(e), ["region_code"], polygons.Cells(cell, cell))
+        return hit.select("region_code", F.regexp_extract_all("region_code", F.lit(r"-?\d+"), 0).alias("numbers"))
     if cell is None:
         cell = grid.agg(F.max(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")))).first()[0] or 1.0
     over = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))

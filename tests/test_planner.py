@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chronocell.functions import parsing
 from chronocell.functions.periods import Period, rolling_rules, season_label, season_rules, single_season_rules
-from chronocell.operators import planner, spatial
+from chronocell.operators import planner, polygons, spatial
 from chronocell.plans.tasks import SaveOptions, plan_tasks, run_tasks
 from chronocell.sources import catalogue_items, sinks
 from chronocell.streaming import tasks as streams
@@ -41,7 +41,7 @@ def test_products(signs, around):
     assert parsing.parse_products("p+q-r") == ([("p", True), ("q", True), ("r", True)], 1)
 
 
-def test_task_ids():
+def test_task_ids(spark):
     for x, y in ((0, 0), (7, -12), (-105, 31)):
         task = ("2021--P3M", x, y)
         assert parsing.parse_task(parsing.render_task(task)) == task
@@ -49,14 +49,16 @@ def test_task_ids():
             assert parsing.parse_task(sep.join((task[0], f"{x:+04d}", f"{y:+d}"))) == task
             assert parsing.parse_task(sep.join((f"x{x:+d}", f"y{y:+04d}", task[0]))) == task
         assert parsing.parse_message(parsing.render_message(task, "t.db")) == (task, "t.db")
-    every = [(f"20{10 + i // 3}--P1Y", i % 3, -i) for i in range(12)]
+    every = sorted((f"20{10 + i // 3}--P1Y", i % 3, -i) for i in range(12))
+    table = spark.createDataFrame(every[::-1], "period string, x int, y int")
+    chosen = lambda selectors: [tuple(r)[:3] for r in planner.selected(table, selectors).orderBy("_nth").collect()]
     for s in ("3", "-1", "2:9:3", ":4", "-3:", "::5"):
         want = every[slice(*[int(p) if p else None for p in s.split(":")])] if ":" in s else [every[int(s)]]
-        assert parsing.select_tasks([s], every) == want
-    assert parsing.select_tasks(["5", parsing.render_task(every[2]), "5"], every) == [every[5], every[2], every[5]]
+        assert chosen([s]) == want
+    assert chosen(["5", parsing.render_task(every[2]), "5", "7:3:-2"]) == [every[5], every[2], every[5], every[7], every[5]]
     for bad in ("12", "-13", "2030--P1Y/0/0", "word", "a:b", "1:2:3:4"):
         with pytest.raises(ValueError):
-            parsing.select_tasks(["0", bad], every)
+            chosen(["0", bad])
     assert parsing.parse_range2d("-2:3,4:15") == ((-2, 3), (4, 15)) and parsing.parse_resolution("25") == (-25, 25) and parsing.parse_resolution("-8,16") == (-8, 16)
     assert parsing.compatible_resolution((96, 64), (-16, 32)) and not parsing.compatible_resolution((96, 64), (-16, 28))
 
@@ -216,7 +218,8 @@ def test_queue_and_items(spark, tmp_path):
 
 def test_polygons(spark):
     tasks = spark.createDataFrame([("p", x, y) for x in range(4) for y in range(4)], ["period", "x", "y"])
-    hit = spatial.tiles_in_polygon(tasks, spatial.Grid((1.0, 1.0), 0.1), [(0.5, 0.5), (1.5, 0.5), (1.5, 0.7), (0.5, 0.7), (0.5, 0.5)])
+    area = tasks.sparkSession.createDataFrame([([[(0.5, 0.5), (1.5, 0.5), (1.5, 0.7), (0.5, 0.7), (0.5, 0.5)]],)], f"rings {polygons.RINGS}")
+    hit = polygons.tiles_meeting(tasks, area, spatial.Grid((1.0, 1.0), 0.1))
     assert {(r.x, r.y) for r in hit.collect()} == {(0, 0), (1, 0)}
 
 
