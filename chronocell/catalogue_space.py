@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronocell.catalogue import SCENES, query, scenes
-from chronocell.operators import polygons, spatial
+from chronocell.functions.projections import projection
+from chronocell.operators import polygons, reproject, spatial
 
 #: Outlines as (shape, ring, points): concave; two parts; with a hole that holds whole tiles.
 SHAPES = (
@@ -107,3 +108,68 @@ def j11_points(spark, sf):
     c = F.col("c_custkey")
     p = spark.read.parquet(f"{sf}/customer.parquet").select(c, (c % 397 * 1.0625).alias("px"), (c % 311 * 1.1875).alias("py"))
     return polygons.points_within(p, "px", "py", nations(spark, sf), ["n_nationkey"], polygons.Cells(8.0, 8.0)).select("c_custkey", "n_nationkey")
+
+
+ZONE, ALBERS = "EPSG:32755", "EPSG:3577"
+NATIVE = reproject.Raster(ZONE, (520000.0, 6110000.0), (30.0, -30.0))
+FINE, COARSE = (reproject.Raster(ALBERS, (0.0, 0.0), (s, -s)) for s in (20.0, 100.0))
+PIXELS = "px AS (SELECT l_orderkey % 160 AS y, l_partkey % 140 AS x, sum(l_quantity * 100)::BIGINT AS v, (CASE WHEN count(*) % 3 > 0 THEN min(l_suppkey) END)::BIGINT AS s FROM lineitem GROUP BY ALL)"
+
+
+def native_pixels(spark, sf) -> DataFrame:
+    t = spark.read.parquet(f"{sf}/lineitem.parquet")
+    n = F.count(F.lit(1))
+    return t.groupBy((F.col("l_orderkey") % 160).alias("y"), (F.col("l_partkey") % 140).alias("x")).agg(F.sum(F.col("l_quantity") * 100).cast("bigint").alias("v"), F.when(n % 3 > 0, F.min("l_suppkey")).cast("bigint").alias("s"))
+
+
+def steps_sql(name: str, table: str, source: reproject.Raster, target: reproject.Raster, x: str, y: str, keep: str) -> str:
+    """CTEs that take points (column x, row y) of table from one raster to the other: {name} has keep, u and v."""
+    a, b = source.point(x, y)
+    lon, lat = projection(source.crs).inverse("u", "v")
+    c, d = projection(target.crs).forward("u", "v")
+    e, f = target.place("u", "v")
+    keep = keep + ", " if keep else ""
+    return f"{name}1 AS (SELECT {keep}{a} AS u, {b} AS v FROM {table}), {name}2 AS (SELECT {keep}{lon} AS u, {lat} AS v FROM {name}1), {name}3 AS (SELECT {keep}{c} AS u, {d} AS v FROM {name}2), {name} AS (SELECT {keep}{e} AS u, {f} AS v FROM {name}3)"
+
+
+def pulled(target: reproject.Raster) -> str:
+    """Every target pixel (i, j) of the data's range with its centre's place u, v on the source."""
+    there = steps_sql("there", "(SELECT y, x FROM px)", NATIVE, target, "(x + 0.5)", "(y + 0.5)", "")
+    grid = "r AS (SELECT floor(min(u))::BIGINT - 9 AS i0, ceil(max(u))::BIGINT + 9 AS i1, floor(min(v))::BIGINT - 9 AS j0, ceil(max(v))::BIGINT + 9 AS j1 FROM there), grid AS (SELECT i, unnest(generate_series(j0, j1)) AS j FROM (SELECT *, unnest(generate_series(i0, i1)) AS i FROM r))"
+    return f"{PIXELS}, {there}, {grid}, " + steps_sql("back", "grid", target, NATIVE, "(i + 0.5)", "(j + 0.5)", "i, j")
+
+
+@query("r1_project_nearest", pulled(FINE) + " SELECT j AS y, i AS x, px.v, px.s FROM back JOIN px ON px.x = floor(u)::BIGINT AND px.y = floor(back.v)::BIGINT")
+def project_nearest(spark, sf):
+    return reproject.reproject(native_pixels(spark, sf), NATIVE, FINE, ["v", "s"])
+
+
+@query("r1_project_bilinear", pulled(FINE) + """, n AS (SELECT j AS y, i AS x, px.v AS value, px.s, (1 - abs(u - (px.x + 0.5))) * (1 - abs(back.v - (px.y + 0.5))) AS w FROM back JOIN (SELECT unnest([0, 1]) AS dx) ON true JOIN (SELECT unnest([0, 1]) AS dy) ON true
+  JOIN px ON px.x = floor(u - 0.5)::BIGINT + dx AND px.y = floor(back.v - 0.5)::BIGINT + dy)
+SELECT y, x, round(sum(value * w) / sum(w), 0)::BIGINT AS v, round(sum(s * w) / sum(w) FILTER (s IS NOT NULL), 0)::BIGINT AS s FROM n WHERE w > 0 GROUP BY ALL""")
+def project_bilinear(spark, sf):
+    return reproject.reproject(native_pixels(spark, sf), NATIVE, FINE, ["v", "s"], "bilinear").select("y", "x", F.round("v").cast("bigint").alias("v"), F.round("s").cast("bigint").alias("s"))
+
+
+@query("r1_project_average", f"{PIXELS}, " + steps_sql("there", "px", NATIVE, COARSE, "(x + 0.5)", "(y + 0.5)", "v AS value, s").replace("SELECT v AS value, s, ", "SELECT value, s, ").replace("FROM px)", "FROM (SELECT *, v AS value FROM px))") + " SELECT floor(v)::BIGINT AS y, floor(u)::BIGINT AS x, avg(value)::DOUBLE AS v, avg(s)::DOUBLE AS s FROM there GROUP BY 1, 2")
+def project_average(spark, sf):
+    return reproject.reproject(native_pixels(spark, sf), NATIVE, COARSE, ["v", "s"], "average")
+
+
+ZONES = {"EPSG:32755": NATIVE, "EPSG:32754": reproject.Raster("EPSG:32754", (1068000.0, 6093000.0), (30.0, -30.0))}
+TILED = spatial.Grid((3000.0, 3000.0), 50.0, crs=ALBERS)
+
+
+@query("src7_native_load", """px AS (SELECT l_linenumber % 4 AS dataset_id, l_orderkey % 160 AS y, l_partkey % 140 AS x, sum(l_quantity * 100)::BIGINT AS v FROM lineitem GROUP BY ALL),
+""" + ", ".join(steps_sql(f"z{k}", f"(SELECT * FROM px WHERE dataset_id % 2 = {k})", raster, reproject.Raster.of(TILED), "(x + 0.5)", "(y + 0.5)", "dataset_id, value").replace("(SELECT * FROM px", "(SELECT *, v AS value FROM px") for k, raster in enumerate(ZONES.values())) + """,
+g AS (SELECT dataset_id, floor(u)::BIGINT AS i, -floor(v)::BIGINT - 1 AS j, avg(value)::DOUBLE AS v FROM (SELECT * FROM z0 UNION ALL SELECT * FROM z1) GROUP BY 1, 2, 3),
+t AS (SELECT dataset_id, floor(i / 60)::INT AS tile_x, floor(j / 60)::INT AS tile_y, i, j, v FROM g)
+SELECT 'p' AS period, tile_x, tile_y, dataset_id, 59 - (j - tile_y * 60) AS y, i - tile_x * 60 AS x, v FROM t WHERE tile_x % 2 = 0 AND dataset_id < 3""")
+def native_load(spark, sf):
+    t = spark.read.parquet(f"{sf}/lineitem.parquet")
+    of = F.col("l_linenumber") % 4
+    native = t.groupBy(of.alias("dataset_id"), (F.col("l_orderkey") % 160).alias("y"), (F.col("l_partkey") % 140).alias("x")).agg(F.sum(F.col("l_quantity") * 100).cast("bigint").alias("v"))
+    native = native.withColumn("crs", F.when(F.col("dataset_id") % 2 == 0, "EPSG:32755").otherwise("EPSG:32754"))
+    tiles = spark.range(440, 480, 2).select(F.col("id").cast("int").alias("x")).crossJoin(spark.range(-1320, -1300).select(F.col("id").cast("int").alias("y")))
+    tasks = tiles.select(F.lit("p").alias("period"), "x", "y", F.array(*(F.lit(i).cast("long") for i in range(3))).alias("dataset_ids"))
+    return reproject.load_native(tasks, native.withColumn("dataset_id", F.col("dataset_id").cast("long")), ZONES, TILED, ["v"], "average").select("period", "tile_x", "tile_y", "dataset_id", "y", "x", "v")

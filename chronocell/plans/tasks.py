@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronocell.functions.parsing import parse_products
 from chronocell.functions.periods import Period
-from chronocell.operators import planner, spatial
+from chronocell.operators import planner, reproject, spatial
 from chronocell.operators.summaries import Summary, execute, resolve
 
 FREQUENCY_NAMES = ("all", "annual", "annual-fy", "semiannual", "seasonal", "quartely", "3month-seasons", "rolling-3months", "nov-mar", "apr-oct")
@@ -66,17 +66,26 @@ def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, long
     return planner.binned(t, options.frequency, options.period)
 
 
-def run_tasks(spark: SparkSession, tasks: DataFrame, scenes: DataFrame, pixels: DataFrame, summary: str | Summary, done: DataFrame | None = None, group_by: str | None = None, native=None, resampling: tuple[str, float] | None = None, **config) -> DataFrame:
-    """Results of all tasks in one job: their scenes' pixels (dataset_id, tile_x, tile_y, y, x, bands) summarised by task."""
+def run_tasks(spark: SparkSession, tasks: DataFrame, scenes: DataFrame, pixels: DataFrame, summary: str | Summary, done: DataFrame | None = None, group_by: str | None = None, native=None, resampling: tuple[str, float] | None = None, rasters: dict | None = None, grid: spatial.Grid | None = None, area: DataFrame | None = None, **config) -> DataFrame:
+    """Results of all tasks in one job: their scenes' pixels (dataset_id, tile_x, tile_y, y, x, bands) summarised by task.
+
+    With rasters (by crs) and grid, pixels are as they were taken (dataset_id, crs, y, x, bands) and are projected to the grid,
+    by resampling[0] (nearest by default), after native has seen them and inside area (polygons), if given.
+    """
     plugin = summary if isinstance(summary, Summary) else resolve(summary)(**config)
     if done is not None:
         tasks = planner.pending(tasks, done)
     chosen = tasks.select("period", F.col("x").alias("tile_x"), F.col("y").alias("tile_y"), F.explode("dataset_ids").alias("dataset_id"))
-    obs = pixels.join(chosen, ["tile_x", "tile_y", "dataset_id"])
     tile = ["period", "tile_x", "tile_y"]
-    if native is not None:  # on pixels as they were taken, before they are resampled
-        obs = native(obs)
-    if resampling is not None:
+    if rasters is not None:
+        taken = pixels if native is None else native(pixels)
+        bands = [c for c in taken.columns if c not in ("dataset_id", "crs", "y", "x", "time", "solar_day", group_by)]
+        obs = reproject.load_native(tasks, taken, rasters, grid, bands, resampling[0] if resampling else "nearest", area)
+    else:
+        obs = pixels.join(chosen, ["tile_x", "tile_y", "dataset_id"])
+        if native is not None:  # on pixels as they were taken, before they are resampled
+            obs = native(obs)
+    if resampling is not None and rasters is None:
         obs = resampled(obs, list(plugin.bands), *resampling)
     if group_by is not None:  # what fuses: a column of pixels beside or instead of the solar day
         obs = obs.withColumn("solar_day", F.col(group_by))
