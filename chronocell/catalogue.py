@@ -133,9 +133,40 @@ def a6(spark, sf):
     return r.withColumns({c: F.col(c).cast("long") for c in r.columns if "_pc_" in c})
 
 
-@query("a7_geomedian")
+def weiszfeld(bands: tuple[str, ...], steps: int = 400) -> str:
+    """CTEs over d (y, x, day, bands, no band missing): a step of the fixed point after another, and g with the last one's medians."""
+    each = lambda f, by=", ": by.join(f(b) for b in bands)
+    gap = "sqrt(" + each(lambda b: f"(d.{b} - m.{b}_m) ** 2", " + ") + ")"
+    return f"""m0 AS (SELECT y, x, {each(lambda b: f"avg({b})::DOUBLE AS {b}_m")} FROM d GROUP BY ALL),
+m AS (SELECT y, x, 0 AS k, {each(lambda b: f"{b}_m")} FROM m0 UNION ALL SELECT y, x, k + 1, {each(lambda b: f"(1 - h) * {b}_t + h * {b}_m")} FROM (
+  SELECT *, CASE WHEN held > 0 THEN least(1, held / nullif(sqrt({each(lambda b: f"{b}_p ** 2", " + ")}), 0)) ELSE 0 END AS h FROM (
+    SELECT y, x, k, {each(lambda b: f"{b}_m")}, count(*) FILTER (w = 0) AS held, {each(lambda b: f"coalesce(sum(w * {b}) / nullif(sum(w), 0), {b}_m) AS {b}_t")}, {each(lambda b: f"sum(w * ({b} - {b}_m)) AS {b}_p")}
+    FROM (SELECT d.*, m.k, {each(lambda b: f"m.{b}_m")}, CASE WHEN {gap} < 1e-12 THEN 0 ELSE 1 / {gap} END AS w FROM d JOIN m USING (y, x) WHERE k < {steps}) GROUP BY y, x, k, {each(lambda b: f"{b}_m")}))),
+g AS (SELECT * FROM m WHERE k = {steps})"""
+
+
+def deviation_sql(bands: tuple[str, ...]) -> tuple[str, str, str]:
+    """Of observations d from medians g: cosine, Euclidean and Bray-Curtis."""
+    plus = lambda f: " + ".join(f(b) for b in bands)
+    size = lambda f: f"sqrt({plus(lambda b: f(b) + ' ** 2')})"
+    return (f"1 - ({plus(lambda b: f'd.{b} * g.{b}_m')}) / ({size(lambda b: f'd.{b}')} * {size(lambda b: f'g.{b}_m')})", size(lambda b: f"(d.{b} - g.{b}_m)"), f"({plus(lambda b: f'abs(d.{b} - g.{b}_m)')}) / ({plus(lambda b: f'abs(d.{b} + g.{b}_m)')})")
+
+
+def in_order(spark, sf):
+    """Observations whose times differ."""
+    return obs(spark, sf).withColumn("time", F.col("id") * 10 + F.col("l_linenumber"))
+
+
+GM = ("blue", "green", "red", "nir")
+SMAD, EMAD, BCMAD = deviation_sql(GM)
+
+
+@query("a7_geomedian", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, id * 10 + l_linenumber) FILTER (fmask NOT IN (0, 2, 3)) AS {b}" for b in GM) + f" FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE {' AND '.join(f'{b} IS NOT NULL' for b in GM)}), " + weiszfeld(GM) + f""",
+v AS (SELECT y, x, median({SMAD}) AS smad, median({EMAD}) AS emad, median({BCMAD}) AS bcmad, count(*)::INT AS count FROM d JOIN g USING (y, x) GROUP BY ALL)
+SELECT p.y, p.x, {", ".join(f"round({b}_m, 2) AS {b}" for b in GM)}, round(smad, 6) AS smad, round(emad, 2) AS emad, round(bcmad, 6) AS bcmad, coalesce(count, 0)::INT AS count FROM p LEFT JOIN g USING (y, x) LEFT JOIN v USING (y, x)""")
 def a7(spark, sf):
-    return geomedian.Geomedian().run(obs(spark, sf))
+    r = geomedian.Geomedian(tolerance=1e-12).run(in_order(spark, sf))
+    return r.select("y", "x", *[F.nanvl(F.round(c, d), F.lit(None)).alias(c) for c, d in (*((b, 2) for b in GM), ("smad", 6), ("emad", 2), ("bcmad", 6))], "count")
 
 
 @query("a7_geomedian_one_band", OBS + " SELECT y, x, median(red)::DOUBLE AS red, count(red)::INT AS count FROM obs WHERE fmask NOT IN (0, 2, 3) GROUP BY ALL")
@@ -143,9 +174,15 @@ def a7_one(spark, sf):
     return geomedian.Geomedian(("red",)).run(obs(spark, sf), day=None).where("count > 0").select("y", "x", "red", "count")
 
 
-@query("a8_geomedian_bitmask")
+A8 = ("red", "nir")
+
+
+@query("a8_geomedian_bitmask", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, id * 10 + l_linenumber) FILTER ((water & 1) = 0 AND red > 200 AND nir > 200) AS {b}" for b in A8) + ", bool_or((water & 64) <> 0) AS c FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE NOT c AND red IS NOT NULL AND nir IS NOT NULL), " + weiszfeld(A8) + f""",
+v AS (SELECT y, x, median({deviation_sql(A8)[0]}) AS smad, median({deviation_sql(A8)[1]}) AS emad, median({deviation_sql(A8)[2]}) AS bcmad, count(*)::INT AS count FROM d JOIN g USING (y, x) GROUP BY ALL)
+SELECT p.y, p.x, {", ".join(f"coalesce(round_even({b}_m * (0.001::DOUBLE * 100) - 20, 0)::INT, 0) AS {b}" for b in A8)}, round(smad, 6) AS smad, coalesce(round_even(emad * (0.001::DOUBLE * 100), 0)::INT, 0) AS emad, round(bcmad, 6) AS bcmad, coalesce(count, 0)::INT AS count FROM p LEFT JOIN g USING (y, x) LEFT JOIN v USING (y, x)""")
 def a8(spark, sf):
-    return geomedian.GeomedianBits(("red", "nir"), "water", 64, 1, None, -0.2, 0.001, 100).run(obs(spark, sf))
+    r = geomedian.GeomedianBits(A8, "water", 64, 1, None, -0.2, 0.001, 100, tolerance=1e-12).run(in_order(spark, sf))
+    return r.withColumns({c: F.nanvl(F.round(c, 6), F.lit(None)) for c in ("smad", "bcmad")})
 
 
 @query("a9_longest_runs", OBS + """, m AS (SELECT y, x, month(time) AS month, CASE WHEN count(*) % 5 = 0 THEN 255 WHEN median(red) > 1000 THEN 1 ELSE 0 END AS v FROM obs GROUP BY ALL),

@@ -99,11 +99,24 @@ def execute(obs: DataFrame, summary: Summary, pixel: Sequence[str] = PIXEL, day:
     return summary.finish(df.groupBy(*keys).agg(*summary.reduce())).select(*keys, *summary.outputs)
 
 
-def rank_quantile(value: Column, p: float, least: int = 3) -> Column:
-    """Nearest rank on the sorted valid values; NULL under least of them. (The interpolation is our choice.)"""
-    v = F.array_sort(F.collect_list(value))
-    n = F.count(value)
-    return F.when(n >= least, F.element_at(v, (F.rint((n - 1) * F.lit(p)) + 1).cast("int")))
+def rank_quantiles(value: str, ps: Sequence[float], least: int = 3) -> list[Column]:
+    """Nearest ranks on the sorted valid whole numbers of a column; NULL under least of them. (The interpolation is our choice.)
+
+    Spark's percentile and percentile_disc keep a count for each value and merge before the shuffle, so what a pixel holds is bounded by
+    the band's range, not by its observations. One interpolates between two neighbours, the other is one of the two: together
+    they give both, and the one at the nearest rank is taken.
+    """
+    n = f"count(`{value}`)"
+    all_between = f"percentile(`{value}`, array({', '.join(f'{p}D' for p in ps)}))"  # one state for all ps
+
+    def nearest(k: int, p: float) -> Column:
+        one, between = f"percentile_disc({p}D) WITHIN GROUP (ORDER BY `{value}`)", f"{all_between}[{k}]"
+        at, here = f"(({n} - 1) * {p}D)", f"(ceil({n} * {p}D) - 1)"
+        part = f"({at} - floor({at}))"
+        upper, lower = f"rint({one} + try_divide({between} - {one}, {part}))", f"rint(try_divide({between} - {part} * {one}, 1 - {part}))"
+        return F.expr(f"cast(CASE WHEN {n} < {least} THEN NULL WHEN {here} = rint({at}) THEN {one} WHEN {here} = floor({at}) THEN {upper} ELSE {lower} END AS bigint)")
+
+    return [nearest(k, p) for k, p in enumerate(ps)]
 
 
 @register("wofs-summary")
@@ -248,7 +261,7 @@ class CoverPercentiles(Summary):
         return [*[fusers.mean_int(b) for b in self.bands], fusers.any_of("wet"), fusers.any_of("valid")]
 
     def reduce(self):
-        pcs = [rank_quantile(F.col(b), q).alias(f"{b}_pc_{int(q * 100)}") for b in self.bands for q in self.QUANTILES]
+        pcs = [c.alias(f"{b}_pc_{int(q * 100)}") for b in self.bands for q, c in zip(self.QUANTILES, rank_quantiles(b, self.QUANTILES), strict=True)]
         return [*pcs, F.count_if("valid").alias("count_valid"), F.bool_or(F.col("wet") & ~F.col("valid")).alias("_wet")]
 
     def finish(self, df):
@@ -283,7 +296,7 @@ class TasselledCapPercentiles(Summary):
         return [fusers.mean_int(f"tc_{o}") for o in self.coefficients]
 
     def reduce(self):
-        return [sentinel(rank_quantile(F.col(f"tc_{o}"), q), self.NODATA).cast("int").alias(f"{o}_pc_{int(q * 100)}") for o in self.coefficients for q in self.QUANTILES]
+        return [sentinel(c, self.NODATA).cast("int").alias(f"{o}_pc_{int(q * 100)}") for o in self.coefficients for q, c in zip(self.QUANTILES, rank_quantiles(f"tc_{o}", self.QUANTILES), strict=True)]
 
 
 @register("veg_count")
