@@ -7,9 +7,10 @@ texts taken without regard to their label are the unlabelled ones. The prior is
 training rows.
 
 The training sample is bounded: the texts of at most POSITIVES and UNLABELLED ids (by hash, of the training
-folds), one an id, none with over MOST_BUCKETS different features. It goes to one task as bucket numbers (400 MB at most,
-some 40 MB for usual texts), which fits the model and returns the weights of the features in use; neither texts nor
-sample reach the driver. A feature is in use if LEAST_DF training texts hold it and its share differs by LEAST_Z
+folds), one an id and whole, as long as those before them in order of the hash have under SAMPLE bytes of bucket numbers: very
+long texts make the sample one of fewer rows, but leave none out for its length. It goes to one task (96 MB and two texts of
+at most 4 MB; some 40 MB for usual texts; the fit holds about four times that), which fits the model and returns the weights of
+the features in use; neither texts nor sample reach the driver. A feature is in use if LEAST_DF training texts hold it and its share differs by LEAST_Z
 standard errors between positives and unlabelled texts: with a full sample, one that only toxic texts hold needs
 about 9 of 4000 of them, so a text whose only toxic words are rarer than that (0.2 %) is not caught.
 
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronocell.llm.common import row_slices, word_hashes
@@ -35,7 +36,7 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 5
-MOST_BUCKETS = 8192
+SAMPLE = {True: 32 << 20, False: 64 << 20}  # bytes of the positives and of the unlabelled texts
 EPOCHS = 150
 STEP, DECAY = 0.1, 3e-4
 LEAST_DF = 8  # a bucket seen in fewer training texts has weight 0
@@ -67,15 +68,14 @@ def presence(col, useful: np.ndarray | None = None) -> tuple[np.ndarray, np.ndar
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's buckets; rows with over MOST_BUCKETS are left out."""
+    """Each text's buckets."""
     for b in batches:
         for lo, hi in row_slices(b.column("text")):
             part = b.slice(lo, hi - lo)
             row, bucket = presence(part.column("text"))
             off = np.searchsorted(row, np.arange(hi - lo + 1))
-            on = pa.array(np.diff(off) <= MOST_BUCKETS)
             own = pa.array([bucket[s:e].astype(np.int32).tobytes() for s, e in zip(off[:-1], off[1:], strict=True)], pa.binary())
-            yield pa.record_batch({"doc_id": part.column("doc_id").filter(on), "h": part.column("h").filter(on), "buckets": own.filter(on)})
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "h": part.column("h"), "buckets": own})
 
 
 def fit(rows: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = EPOCHS) -> Model:
@@ -89,11 +89,11 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, pr
     both = (in_p + in_u + 1) / (n_p + n_u + 2)
     z = np.abs(in_p / n_p - in_u / n_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
     used = np.flatnonzero((in_p + in_u >= LEAST_DF) & (z >= LEAST_Z))
-    place = np.full(size, -1, np.int64)
+    place = np.full(size, -1, np.int32)
     place[used] = np.arange(len(used))
     cols = [place[r] for r in rows]
     cols = [c[c >= 0] for c in cols]
-    row, col = np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.concatenate(cols)
+    row, col = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols]), np.concatenate(cols)
     w, bias = np.zeros(len(used) + 1), np.log(prior / (1 - prior))
     w[-1] = bias
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -123,14 +123,14 @@ def _fitted(prior: float):
                 found[buckets] = found.get(buckets, 0) | (1 if p else 2)
         keys = sorted(found)
         kind = np.array([found[k] for k in keys], np.int64)
-        model = fit([np.frombuffer(k, np.int32).astype(np.int64) for k in keys], (kind & 1) > 0, (kind & 2) > 0, prior)
+        model = fit([np.frombuffer(k, np.int32) for k in keys], (kind & 1) > 0, (kind & 2) > 0, prior)
         used = np.flatnonzero(model.weights)
         yield pa.record_batch({"used": [zlib.compress(used.astype(np.int32).tobytes(), 1)], "weights": [model.weights[used].tobytes()], "intercept": [model.intercept]})
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
+def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, sample_bytes: dict[bool, int] | None = None) -> Model:
     of_id = F.xxhash64(F.col("doc_id"), F.lit("toxicity"))
     own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     seen, toxic = own.agg(F.count(F.lit(1)), F.sum("toxic")).first()
@@ -143,6 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     texts = training.select("doc_id", F.xxhash64("text").alias("h"), "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
     rows = texts.mapInArrow(_buckets, "doc_id long, h long, buckets binary").join(F.broadcast(ids), "doc_id")
     sample = rows.groupBy("doc_id", "p").agg(F.min_by("buckets", "h").alias("buckets"))  # one row an id, whatever repeats it
+    most = {**SAMPLE, **(sample_bytes or {})}
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("p").orderBy(of_id, "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of ids and lengths only
+    kept = sample.select("doc_id", "p", F.octet_length("buckets").alias("n")).withColumn("before", before).where(F.col("before") < F.when(F.col("p"), most[True]).otherwise(most[False]))
+    sample = sample.join(F.broadcast(kept.select("doc_id", "p")), ["doc_id", "p"], "left_semi")
     found = sample.select("p", "buckets").coalesce(1).mapInArrow(_fitted(min(0.95, max(1e-4, toxic / seen))), "used binary, weights binary, intercept double").first()  # 4 MB at most
     weights = np.zeros(1 << BITS, np.float32)
     weights[np.frombuffer(zlib.decompress(found.used), np.int32)] = np.frombuffer(found.weights, np.float32)
