@@ -148,6 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     kept = sample.select("doc_id", "p", F.octet_length("buckets").alias("n")).withColumn("before", before).where(F.col("before") < F.when(F.col("p"), most[True]).otherwise(most[False]))
     sample = sample.join(F.broadcast(kept.select("doc_id", "p")), ["doc_id", "p"], "left_semi")
     found = sample.select("p", "buckets").coalesce(1).mapInArrow(_fitted(min(0.95, max(1e-4, toxic / seen))), "used binary, weights binary, intercept double").first()  # 4 MB at most
+    if found is None:  # no text at all
+        return fit([], np.zeros(0, bool), np.zeros(0, bool), 0.5)
     weights = np.zeros(1 << BITS, np.float32)
     weights[np.frombuffer(zlib.decompress(found.used), np.int32)] = np.frombuffer(found.weights, np.float32)
     return Model(weights, found.intercept)
