@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronocell.operators import fuse as fusers
-from chronocell.operators import models, spatial
+from chronocell.operators import models, spatial, trees
 from chronocell.operators.summaries import PIXEL, Summary, level1_classes, level3_classes, mangroves, register, renamed_inputs
 
 
@@ -77,14 +77,18 @@ class Level3(PixelClasses):
 
 
 class ModelClass(Summary):
-    """load: a function without arguments that returns the model (a function of an array), or its dotted path."""
+    """load: a function without arguments that returns the model (a function of an array), its dotted path, or the address of
+    a tree ensemble's file (.json, .txt), with model_options as trees.loader takes them."""
 
     vote: Callable
+    features: Sequence[str] = ()  # what a model file's trees split on
 
-    def __init__(self, load: Callable | str, output_classes: dict | None = None, input_bands: Sequence[str] | None = None, image: str = "dataset_id", nodata: float = -999):
+    def __init__(self, load: Callable | str, output_classes: dict | None = None, input_bands: Sequence[str] | None = None, image: str = "dataset_id", nodata: float = -999, model_options: dict | None = None):
         self.load, self.classes, self.image, self.nodata = load, dict(output_classes or {}), image, nodata
         self.model = self.name
-        if isinstance(load, str):
+        if isinstance(load, str) and load.endswith((".json", ".txt")):
+            self.load = trees.loader(load, self.features, **(model_options or {}))
+        elif isinstance(load, str):
             module, _, attribute = load.rpartition(".")
             self.load = getattr(importlib.import_module(module), attribute)
         if input_bands is not None:
@@ -124,6 +128,7 @@ class MaskedTree(ModelClass):
 @register("cultivated_class")
 class CultivatedClass(MaskedTree):
     outputs = ("cultivated_class",)
+    features = models.FEATURES
     vote = staticmethod(models.cultivated_vote)
 
     def predicted(self, df):
@@ -134,6 +139,7 @@ class CultivatedClass(MaskedTree):
 @register("woody_cover")
 class WoodyCover(MaskedTree):
     outputs = ("woody_cover",)
+    features = MaskedTree.bands
     vote = staticmethod(models.woody_vote)
 
     def predicted(self, df):
