@@ -173,3 +173,22 @@ def native_load(spark, sf):
     tiles = spark.range(440, 480, 2).select(F.col("id").cast("int").alias("x")).crossJoin(spark.range(-1320, -1300).select(F.col("id").cast("int").alias("y")))
     tasks = tiles.select(F.lit("p").alias("period"), "x", "y", F.array(*(F.lit(i).cast("long") for i in range(3))).alias("dataset_ids"))
     return reproject.load_native(tasks, native.withColumn("dataset_id", F.col("dataset_id").cast("long")), ZONES, TILED, ["v"], "average").select("period", "tile_x", "tile_y", "dataset_id", "y", "x", "v")
+
+
+CORNERS = "SELECT " + ", ".join(f"{a} AS x{i}, {b} AS y{i}" for i, (a, b) in enumerate((("x * 96e3", "y * 96e3"), ("x * 96e3", "y * 96e3 + 96e3"), ("x * 96e3 + 96e3", "y * 96e3 + 96e3"), ("x * 96e3 + 96e3", "y * 96e3"))))
+
+
+@query("k2_item_geometry", SCENES + """, t AS (SELECT DISTINCT strftime(center_time, '%Y-%m') || '--P1M' AS period, x - 3 AS x, y - 30 AS y FROM scenes), c AS (SELECT period, x, y, """ + CORNERS.removeprefix("SELECT ") + """ FROM t),
+p AS (SELECT period, x, y, k, e, [x0, x1, x2, x3][e + 1] + ([x1, x2, x3, x0][e + 1] - [x0, x1, x2, x3][e + 1]) * (k / 8) AS u, [y0, y1, y2, y3][e + 1] + ([y1, y2, y3, y0][e + 1] - [y0, y1, y2, y3][e + 1]) * (k / 8) AS v FROM c, range(8) AS s(k), range(4) AS r(e)),
+d AS (SELECT period, x, y, e * 8 + k AS n, """ + "{0} AS lon, {1} AS lat".format(*projection(ALBERS).inverse("u", "v")) + """ FROM p)
+SELECT period, x, y, (count(*) + 1)::INT AS points, round(min(lon), 6) AS west, round(min(lat), 6) AS south, round(max(lon), 6) AS east, round(max(lat), 6) AS north, round(any_value(lon) FILTER (n = 13), 6) AS lon_13, round(any_value(lat) FILTER (n = 13), 6) AS lat_13 FROM d GROUP BY ALL""")
+def k2_geometry(spark, sf):
+    from chronocell.operators import planner
+    from chronocell.sources import sinks
+
+    s = scenes(spark, sf).withColumns({"period": F.date_format("center_time", "yyyy-MM'--P1M'"), "x": F.col("x") - 3, "y": F.col("y") - 30})
+    d = sinks.item_documents(planner.tasks_of(s), "gm", ["red"], "s3://b", spatial.Grid((96000.0, 96000.0), 32.0, crs=ALBERS))
+    j = F.from_json("document", "bbox array<double>, geometry struct<coordinates:array<array<array<double>>>>")
+    ring = j["geometry"]["coordinates"][0]
+    values = {"west": j["bbox"][0], "south": j["bbox"][1], "east": j["bbox"][2], "north": j["bbox"][3], "lon_13": ring[13][0], "lat_13": ring[13][1]}
+    return d.select("period", "x", "y", F.size(ring).alias("points"), *[F.round(c, 6).alias(n) for n, c in values.items()])

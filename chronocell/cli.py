@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chronocell.functions.parsing import load_config, merge_config, parse_range2d
 from chronocell.functions.periods import Period
 from chronocell.operators import planner, polygons, spatial
+from chronocell.operators.summaries import resolve
 from chronocell.plans.tasks import FREQUENCY_NAMES, SaveOptions, mosaic, plan_tasks, run_tasks
 from chronocell.sources import catalogue_items, sinks
 
@@ -39,7 +40,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--config")
     a.add_argument("--overwrite", action="store_true")
     a.add_argument("--dryrun", action="store_true")
-    a.add_argument("--product", default="", help="with --location: item documents and manifests of the results are written too")
+    a.add_argument("--product", default="", help="with --location: checksums, processing, dataset and item documents follow the results; a task is done once it has its item")
+    a.add_argument("--crs", help="of the grid (EPSG:4326 by default)")
     a.add_argument("--location", default="")
     a.add_argument("--grid", default="1,1,1", help="tile width,tile height,resolution")
     a = sub.add_parser("publish-tasks")
@@ -99,17 +101,18 @@ def _grid(text: str, crs: str | None = None) -> spatial.Grid:
 def run(spark: SparkSession, a: argparse.Namespace, tasks) -> None:
     config = load_config(a.config, spark) if a.config else {}
     tasks = tasks.drop("_nth").dropDuplicates(["period", "x", "y"])  # a task that is chosen twice runs once
-    done, scenes = sinks.finished(spark, a.output), spark.read.parquet(a.scenes)
+    done = sinks.existing(spark, f"{a.output}/_documents") if a.product else sinks.finished(spark, a.output)
+    scenes = spark.read.parquet(a.scenes)
     if a.dryrun:
         for r in planner.dry_run(tasks, done, a.overwrite, scenes=scenes).orderBy("period", "x", "y").toLocalIterator():
             print(f"{r.period}/{r.x:+04d}/{r.y:+04d} days={r.days} datasets={r.datasets} {r.state}")
         return
     new = tasks if a.overwrite else planner.pending(tasks, done)
     result = run_tasks(spark, new, scenes, spark.read.parquet(a.pixels), a.summary, **config)
-    sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "append")
-    if a.product:  # the documents come last, so a task that has one is whole
-        bands = [c for c in result.columns if c not in ("period", "tile_x", "tile_y", "y", "x")]
-        sinks.write_documents(sinks.item_documents(new, a.product, bands, a.location, _grid(a.grid)), f"{a.output}/_documents", mode="append")
+    if a.product:
+        sinks.write_outputs(new, result, a.output, a.product, a.location, _grid(a.grid, a.crs), config, [("chronocell", "", resolve(a.summary).name)])
+    else:
+        sinks.write_bands(result, a.output, mode="overwrite" if a.overwrite else "append")
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chronocell.functions.ids import NAMESPACE, deterministic_id, uuid5_column  # noqa: F401
 from chronocell.functions.parsing import plain
+from chronocell.functions.projections import between
 
 DONE = "stac-item.json"
 
@@ -57,6 +58,27 @@ def _polygon(box: dict[str, Column]) -> Column:
     return F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
 
 
+EDGE = 8  # points of each edge of a tile in degrees, as edges bend
+
+
+def _in_degrees(tasks: DataFrame, box: dict[str, Column], crs: str) -> tuple[DataFrame, Column, Column]:
+    """tasks, the outline in degrees east and north with points along its edges, and the box of these. Tiles over the 180th meridian are not split."""
+    if crs.upper() in ("EPSG:4326", "4326"):
+        return tasks, _polygon(box), F.array(*box.values())
+    part = lambda lo, hi, i: box[lo] + (box[hi] - box[lo]) * (i / float(EDGE))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    steps = F.sequence(F.lit(0), F.lit(EDGE - 1))
+    edges = [F.transform(steps, f) for f in (
+        lambda i: point(box["min_x"], part("min_y", "max_y", i)), lambda i: point(part("min_x", "max_x", i), box["max_y"]),
+        lambda i: point(box["max_x"], part("max_y", "min_y", i)), lambda i: point(part("max_x", "min_x", i), box["min_y"]),
+    )]
+    lon, lat = between(crs, "EPSG:4326", "p.x", "p.y")
+    tasks = tasks.withColumn("_points", F.concat(*edges)).withColumn("_ring", F.expr(f"transform(_points, p -> array({lon}, {lat}))"))
+    ring = F.concat("_ring", F.slice("_ring", 1, 1))
+    bound = lambda f, i: f(F.transform("_ring", lambda p: p[i]))
+    return tasks, F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")), F.array(*(bound(f, i) for f in (F.array_min, F.array_max) for i in (0, 1)))
+
+
 def _grid_of(box: dict[str, Column], resolution: float) -> list[Column]:
     """shape (rows, columns) and transform of the tile's pixels, the first row being the northernmost."""
     size = lambda c: F.rint((box[f"max_{c}"] - box[f"min_{c}"]) / resolution).cast("int")
@@ -75,8 +97,10 @@ def _extension(path: Column, extension: str) -> Column:
 
 def item_documents(tasks: DataFrame, product: str, bands: Sequence[str], location: str, grid=None, href: str = "", processed: str | None = None, properties: dict | None = None) -> DataFrame:
     """period, x, y and the item document of each task (with start_datetime, end_datetime, lineage and box columns,
-    where there). With a grid: geometry in its coordinates, code, shape and transform."""
+    where there). Geometry and box are in degrees; with a grid: code, shape and transform in its coordinates."""
     code, box = region_code(), _box(tasks, grid)
+    if box:
+        tasks, outline, bounds = _in_degrees(tasks, box, grid.crs if grid is not None else "EPSG:4326")
     sources, uid = _identity(tasks, product)
     own = output_path(location, product, "document")
     start = [F.col("start_datetime").alias("datetime")] if "start_datetime" in tasks.columns else []
@@ -89,7 +113,7 @@ def item_documents(tasks: DataFrame, product: str, bands: Sequence[str], locatio
         F.lit("1.0.0").alias("stac_version"),
         uid.alias("id"),
         F.lit(product).alias("collection"),
-        *([_polygon(box).alias("geometry"), F.array(*box.values()).alias("bbox")] if box else []),
+        *([outline.alias("geometry"), bounds.alias("bbox")] if box else []),
         F.struct(
             F.concat_ws("_", F.lit(product), code, "period").alias("title"), *start,
             F.lit(product).alias("odc:product"), code.alias("odc:region_code"), F.col("period").alias("dtr:period"),
@@ -150,8 +174,38 @@ def manifest(files: DataFrame) -> DataFrame:
     return files.groupBy("period", "x", "y").agg(F.concat_ws("\n", F.array_sort(F.collect_list(line))).alias("manifest"))
 
 
+def written_files(spark, path: str, tasks: DataFrame) -> DataFrame:
+    """(period, x, y, name, content) of the files that write_bands made for the tasks."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path", "content")
+    part = lambda k: F.regexp_extract("path", rf"/{k}=([^/]+)/", 1)
+    f = f.withColumns({"period": F.url_decode(part("period")), "x": part("tile_x").cast("int"), "y": part("tile_y").cast("int"), "name": F.regexp_extract("path", r"[^/]+$", 0)})
+    return f.where("path NOT LIKE '%/\\_%'").join(tasks.select("period", "x", "y"), ["period", "x", "y"], "left_semi").select("period", "x", "y", "name", "content")
+
+
+def write_outputs(tasks: DataFrame, result: DataFrame, path: str, product: str, location: str, grid, config: dict | None = None, software: Sequence[tuple[str, str, str]] = ()) -> None:
+    """All that a task leaves, each part once the one before is whole: bands, checksums of all files, how it was made, dataset document,
+    item document. A run that ends early leaves no item of a task, so existing() lets the next run make it again: bands
+    take the place of what is there, and a task's lines of an earlier, unfinished run are followed by equal ones."""
+    spark, keys = tasks.sparkSession, ["period", "x", "y"]
+    bands = [c for c in result.columns if c not in ("period", "tile_x", "tile_y", "y", "x")]
+    write_bands(result, path, mode="overwrite")
+    documents = {
+        "proc-info.yaml": processing_documents(tasks, [product], config or {}, software), "odc-metadata.yaml": dataset_documents(tasks, product, bands, location, grid), DONE: item_documents(tasks, product, bands, location, grid),
+    }
+    files = written_files(spark, path, tasks)
+    for ext, d in documents.items():
+        name = F.concat(F.concat_ws("_", F.lit(product), region_code(), "period"), F.lit(f".{ext}"))
+        files = files.unionByName(d.select(*keys, name.alias("name"), F.col("document").cast("binary").alias("content")))
+    write_documents(manifest(files).select(*keys, F.to_json(F.struct(*keys, "manifest")).alias("document")), f"{path}/_sha1", mode="append")
+    for ext, folder in (("proc-info.yaml", "_processing"), ("odc-metadata.yaml", "_datasets"), (DONE, "_documents")):
+        write_documents(documents[ext], f"{path}/{folder}", mode="append")
+
+
 def existing(spark, path: str) -> DataFrame:
-    """Keys of the tasks whose item document is there, as it is written last."""
+    """Keys of the tasks whose item document is there, as it is written last; none if nothing is there yet."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return spark.createDataFrame([], "period string, x int, y int")
     kind = "properties struct<`dtr:period`:string,`odc:region_code`:string>"
     d = spark.read.schema(kind).json(path).select(F.col("properties.`dtr:period`").alias("period"), F.col("properties.`odc:region_code`").alias("r"))
     part = lambda i: F.regexp_extract("r", r"^x(-?\d+)y(-?\d+)$", i).cast("int")

@@ -113,3 +113,35 @@ def test_tasks_load_what_was_taken_in_their_own_system(spark):
     area = spark.createDataFrame([([[(0.0, 0.0), (300.0, 0.0), (300.0, 300.0), (0.0, 300.0)]],)], f"rings {polygons.RINGS}")
     out = run_tasks(spark, tasks, None, native, "wofs-summary", rasters={"EPSG:32755": raster}, grid=grid, area=area)
     assert [(r.tile_x, r.y, r.x, r.count_wet) for r in out.collect()] == [(0, 99, 0, 1)]
+
+
+def test_outputs_follow_in_order_and_an_unfinished_task_comes_again(spark, tmp_path):
+    import hashlib
+
+    from chronocell import cli
+    from chronocell.sources import sinks
+
+    path = lambda name: str(tmp_path / name)
+    spark.createDataFrame([("s", None)], "id string, center_time timestamp").write.parquet(path("scenes"))
+    spark.createDataFrame([("2019--P1Y", x, -30, ["s"]) for x in (0, 1)], "period string, x int, y int, dataset_ids array<string>").write.parquet(path("tasks"))
+    spark.createDataFrame([("s", x, -30, 0, 0, 1, "d", 128) for x in (0, 1)], "dataset_id string, tile_x int, tile_y int, y int, x int, time int, solar_day string, water int").write.parquet(path("pixels"))
+    run = ["run", path("tasks"), path("scenes"), path("pixels"), path("out"), "wofs-summary"]
+    options = ["--product", "w", "--location", "s3://b", "--grid", "96000,96000,32", "--crs", "EPSG:3577"]
+    assert cli.main([*run, "2019--P1Y/0/-30"], spark) == 0  # bands without documents: as if the run had ended there
+    assert sinks.existing(spark, path("out/_documents")).count() == 0
+    assert cli.main([*run, *options], spark) == 0
+    assert {tuple(r) for r in sinks.existing(spark, path("out/_documents")).collect()} == {("2019--P1Y", 0, -30), ("2019--P1Y", 1, -30)}
+    assert sorted((r.tile_x, r.count_wet) for r in spark.read.parquet(path("out")).collect()) == [(0, 1), (1, 1)]  # nothing twice
+    when = [max(p.stat().st_mtime_ns for p in (tmp_path / "out" / d).glob("part*")) for d in ("period=2019--P1Y/tile_x=1/tile_y=-30", "_sha1", "_processing", "_datasets", "_documents")]
+    assert when == sorted(when)
+    lines = {n: h for r in spark.read.json(path("out/_sha1")).collect() if r.x == 1 for h, n in [line.split("  ") for line in r.manifest.split("\n")]}
+    assert len(lines) == 4 and {n.split(".", 1)[1] for n in lines if n.startswith("w_x01y-30_2019--P1Y.")} == {"proc-info.yaml", "odc-metadata.yaml", "stac-item.json"}
+    for name, sha in lines.items():
+        if name.endswith(".parquet"):
+            assert hashlib.sha1((tmp_path / "out/period=2019--P1Y/tile_x=1/tile_y=-30" / name).read_bytes()).hexdigest() == sha
+        if name.endswith("stac-item.json"):
+            assert sha in {hashlib.sha1(r.value.encode()).hexdigest() for r in spark.read.text(path("out/_documents")).collect()}
+    item = spark.read.json(path("out/_documents")).where("properties.`odc:region_code` = 'x00y-30'").first()
+    assert len(item.geometry.coordinates[0]) == 33 and 131.9 < item.bbox[0] < 132.1 and -27 < item.bbox[1] < item.bbox[3] < -23 and item.properties["proj:code"] == "EPSG:3577"
+    before = spark.read.text(path("out/_documents")).count()
+    assert cli.main([*run, *options], spark) == 0 and spark.read.text(path("out/_documents")).count() == before  # all done
