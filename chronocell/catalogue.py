@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from chronocell.functions import pixels
 from chronocell.functions.periods import Period, local_time
+from chronocell.functions.tables import folder
 from chronocell.operators import fuse, geomedian, models, morphology, planner, spatial, summaries
 from chronocell.operators.summaries import execute
 from chronocell.sources import sinks
-from chronocell.streaming.tasks import full_history
+from chronocell.streaming.tasks import fold_history, latest_history
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,7 +84,13 @@ def a2(spark, sf):
 
 @query("stream_full_history", YEARLY + FH)
 def a2_stream_form(spark, sf):
-    return full_history(yearly(spark, sf))
+    """A stream that takes the annual summaries a year at a time."""
+    source, out, state = (folder(spark, k) for k in ("annual", "history", "state"))
+    annual = yearly(spark, sf)
+    annual.repartition("yr").write.partitionBy("yr").parquet(source)
+    stream = spark.readStream.schema(annual.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    fold_history(stream, out, state).awaitTermination()
+    return latest_history(spark, out)
 
 
 @query("a3_pq", OBS + """, d AS (SELECT y, x, solar_day, bool_or(fmask <> 0) AS valid, bool_or(fmask IN (3, 4)) AS erased FROM obs GROUP BY ALL)

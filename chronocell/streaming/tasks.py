@@ -55,6 +55,24 @@ def full_history(annual: DataFrame) -> DataFrame:
     return a.select("y", "x", count("cw").alias("count_wet"), count("cc").alias("count_clear"), divided("cw", "cc").alias("frequency"))
 
 
+def fold_history(annual: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    """The running all-time counts of a stream of annual summaries. Each batch's changed pixels go to a folder of their own, which a
+    batch that is tried again replaces; the sums are state under the checkpoint, so a restart goes on where it ended."""
+
+    def keep(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    out = full_history(annual).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return (out.trigger(availableNow=True) if poll is None else out.trigger(processingTime=poll)).start()
+
+
+def latest_history(spark: SparkSession, path: str) -> DataFrame:
+    """Each pixel's last counts of fold_history()."""
+    values = ["count_wet", "count_clear", "frequency"]
+    last = spark.read.parquet(path).groupBy("y", "x").agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select("y", "x", *[F.col(f"last.{c}").alias(c) for c in values])
+
+
 def scene_windows(scenes: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
     """Scenes a product and fixed window as they arrive."""
     return scenes.withWatermark("center_time", late).groupBy(F.window("center_time", width), "product").agg(F.count(F.lit(1)).alias("scenes"))

@@ -91,3 +91,20 @@ def test_blocks_with_halos_equal_whole_images(spark, block):
             want = morphology.cleanup(mask[flag], s)
             assert all(q[name] == want[q.y - lo[0], q.x - lo[1]] for q in own), (k, name)
     assert morphology.cleanup_images(df.where("false"), steps, ["tile", "time"]).count() == 0
+
+
+def test_a_stream_of_years_goes_on_after_a_restart(spark, tmp_path):
+    from chronocell.streaming import tasks as streams
+
+    r = np.random.default_rng(12)
+    rows = [(y, x, int(r.integers(0, 9)) if r.random() > 0.2 else -999, int(r.integers(9, 20)) if r.random() > 0.2 else -999) for _ in range(5) for y in range(3) for x in range(4)]
+    years = [rows[i : i + 12] for i in range(0, 60, 12)]
+    read = lambda: spark.readStream.schema(streams.ANNUAL).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for part in (years[:3], years[3:4], years[4:]):  # the query ends after each and is started anew
+        for y in part:
+            spark.createDataFrame(y, streams.ANNUAL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        streams.fold_history(read(), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 5
+    got = streams.latest_history(spark, str(tmp_path / "out"))
+    want = streams.full_history(spark.createDataFrame(rows, streams.ANNUAL))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
