@@ -161,8 +161,11 @@ class UrbanClass(ModelClass):
     def run(self, obs: DataFrame, pixel: Sequence[str] = PIXEL, day: str = "solar_day", time: str = "time", tile: Sequence[str] = ()) -> DataFrame:
         keys = [*tile, *pixel]
         found = models.masked(self.images(obs.withColumn("time", F.col(time)), keys), self.bands, nodata=self.nodata)
-        images, pixels = found.select(*tile, self.image).distinct(), found.select(*keys).distinct()
-        every = pixels.join(images, list(tile)) if tile else pixels.crossJoin(images)
-        others = Window.partitionBy(*keys).orderBy(self.image).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        full = every.join(found, [*keys, self.image], "left").withColumns({b: F.coalesce(b, F.first(b, True).over(others)) for b in self.bands})
+        # a pixel's images (as many as the task has scenes) side by side, then a row for each image of the tile
+        own = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(self.image, *self.bands))).alias("_own"))
+        images = found.select(*tile, self.image).distinct().groupBy(*tile).agg(F.array_sort(F.collect_list(self.image)).alias("_images"))
+        every = own.join(images, list(tile)) if tile else own.crossJoin(images)  # without tiles, one row
+        every = every.select(*keys, F.explode("_images").alias(self.image), "_own")
+        value = lambda b: F.expr(f"coalesce(get(filter(_own, o -> o.`{self.image}` = `{self.image}`), 0).`{b}`, get(filter(_own, o -> o.`{b}` IS NOT NULL), 0).`{b}`)")
+        full = every.select(*keys, self.image, *[value(b).alias(b) for b in self.bands])
         return self.voted(models.predict_patches(full, self.bands, self.load, [*tile, self.image], self.size, self.model), keys)
