@@ -36,7 +36,7 @@ class SaveOptions:
 
 
 def plan_tasks(scenes: DataFrame, grid: spatial.Grid, options: SaveOptions, longitude=None) -> DataFrame:
-    """scenes (with footprint boxes) to binned tile scenes: scan, join, filter, tile, prune, bin; nothing runs yet. longitude: of the tile, its centre's by default."""
+    """scenes (with footprint boxes) to binned tile scenes: scan, join, filter, tile, prune, bin. Nothing runs yet, but for a look at whether there are time-independent scenes. longitude: of the tile, its centre's by default."""
     names, joins = parse_products(options.products)
     s = planner.scan(scenes, [n for n, _ in names], options.period, planner.PAD_DAYS, options.properties, options.ignore_time)
     if options.category is not None:
