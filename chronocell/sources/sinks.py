@@ -12,7 +12,8 @@ from chronocell.functions.ids import NAMESPACE, deterministic_id, uuid5_column
 from chronocell.functions.parsing import plain
 from chronocell.functions.projections import between
 
-DONE = "stac-item.json"
+#: Ends of the names of a task's documents.
+DONE, DATASET, PROCESSING = "stac-item.json", "odc-metadata.yaml", "proc-info.yaml"
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -152,7 +153,7 @@ def dataset_documents(tasks: DataFrame, product: str, bands: Sequence[str], loca
         F.struct(F.struct(*_grid_of(box, grid.resolution)).alias("default")).alias("grids"),
         fixed.alias("properties"),
         F.struct(*[measurement(b).alias(b) for b in bands]).alias("measurements"),
-        F.struct(F.struct(_extension(own, "sha1").alias("path")).alias("checksum:sha1"), F.struct(_extension(own, "proc-info.yaml").alias("path")).alias("metadata:processor")).alias("accessories"),
+        F.struct(F.struct(_extension(own, "sha1").alias("path")).alias("checksum:sha1"), F.struct(_extension(own, PROCESSING).alias("path")).alias("metadata:processor")).alias("accessories"),
         F.struct(sources.alias(classifier)).alias("lineage"),
     )
     return tasks.select("period", "x", "y", F.to_json(doc).alias("document"))
@@ -190,14 +191,14 @@ def write_outputs(tasks: DataFrame, result: DataFrame, path: str, product: str,
     bands = [c for c in result.columns if c not in ("period", "tile_x", "tile_y", "y", "x")]
     write_bands(result, path, mode="overwrite")
     documents = {
-        "proc-info.yaml": processing_documents(tasks, [product], config or {}, software), "odc-metadata.yaml": dataset_documents(tasks, product, bands, location, grid), DONE: item_documents(tasks, product, bands, location, grid),
+        PROCESSING: processing_documents(tasks, [product], config or {}, software), DATASET: dataset_documents(tasks, product, bands, location, grid), DONE: item_documents(tasks, product, bands, location, grid),
     }
     files = written_files(spark, path, tasks)
     for ext, d in documents.items():
         name = F.concat(F.concat_ws("_", F.lit(product), region_code(), "period"), F.lit(f".{ext}"))
         files = files.unionByName(d.select(*keys, name.alias("name"), F.col("document").cast("binary").alias("content")))
     write_documents(manifest(files).select(*keys, F.to_json(F.struct(*keys, "manifest")).alias("document")), f"{path}/_sha1", mode="append")
-    for ext, folder in (("proc-info.yaml", "_processing"), ("odc-metadata.yaml", "_datasets"), (DONE, "_documents")):
+    for ext, folder in ((PROCESSING, "_processing"), (DATASET, "_datasets"), (DONE, "_documents")):
         write_documents(documents[ext], f"{path}/{folder}", mode="append")
 
 
