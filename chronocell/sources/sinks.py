@@ -177,10 +177,9 @@ def manifest(files: DataFrame) -> DataFrame:
 
 def written_files(spark, path: str, tasks: DataFrame) -> DataFrame:
     """(period, x, y, name, content) of the files that write_bands made for the tasks."""
-    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path", "content")
-    part = lambda k: F.regexp_extract("path", rf"/{k}=([^/]+)/", 1)
-    f = f.withColumns({"period": F.url_decode(part("period")), "x": part("tile_x").cast("int"), "y": part("tile_y").cast("int"), "name": F.regexp_extract("path", r"[^/]+$", 0)})
-    return f.where("path NOT LIKE '%/\\_%'").join(tasks.select("period", "x", "y"), ["period", "x", "y"], "left_semi").select("period", "x", "y", "name", "content")
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)  # period, tile_x, tile_y are directories, so other tasks' files need not be read
+    f = f.select(F.col("period").cast("string").alias("period"), F.col("tile_x").cast("int").alias("x"), F.col("tile_y").cast("int").alias("y"), F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "content")
+    return f.join(tasks.select("period", "x", "y"), ["period", "x", "y"], "left_semi").select("period", "x", "y", "name", "content")
 
 
 def write_outputs(tasks: DataFrame, result: DataFrame, path: str, product: str, location: str, grid, config: dict | None = None, software: Sequence[tuple[str, str, str]] = ()) -> None:
