@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from chronocell.catalogue import HOURLY, LOCAL, OBS, SCENES, SQL, hourly, obs, query, scenes, shipped
 from chronocell.functions import pixels
 from chronocell.functions.periods import Period
+from chronocell.functions.tables import folder
 from chronocell.operators import geomedian, models, morphology, planner, polygons, spatial, summaries
 from chronocell.operators.landcover import CultivatedClass, UrbanClass, WoodyCover
 from chronocell.operators.summaries import execute
-from chronocell.sources import sinks
+from chronocell.sources import scene_store, sinks
 from chronocell.streaming import tasks as streams
 
 PROPERTIES = SCENES + """, e AS (SELECT s.*, v.value, CASE product WHEN 'click' THEN 'ls8_sr' WHEN 'view' THEN 'ls5_sr' ELSE product END AS sensor, CASE WHEN id % 3 = 0 THEN 'T1' ELSE 'T2' END AS category FROM scenes s JOIN events v ON v.event_id = s.id)"""
@@ -66,13 +67,13 @@ def f8(spark, sf):
     return planner.exact_prune(shipped(spark, sf), Period.parse("1998--P2Y")).select("id")
 
 
-@query("j3_timeless_copies", SCENES + HOURLY + """, s AS (SELECT id, product, hour, (CAST(region_code AS INT) % 10)::VARCHAR AS r, product || '_' || strftime(hour, '%Y%m%d') AS label FROM h),
-x AS (SELECT * FROM s WHERE product = 'purchase' AND id % 97 = 0), t AS (SELECT * FROM s WHERE product <> 'purchase'),
+@query("j3_timeless_copies", SCENES + HOURLY + """, s AS (SELECT id, product, hour, region_code AS r, product || '_' || strftime(hour, '%Y%m%d') AS label FROM h),
+x AS (SELECT * FROM s WHERE product = 'purchase'), t AS (SELECT * FROM s WHERE product <> 'purchase'),
 g AS (SELECT hour, r, arg_min({'p': product, 'l': label}, product || lpad(id::VARCHAR, 12, '0')) AS lead FROM t GROUP BY ALL)
 SELECT id, hour AS center_time, r AS region_code, label FROM t WHERE r IN (SELECT r FROM x) UNION ALL SELECT x.id, g.hour, x.r, x.product || replace(g.lead.l, g.lead.p, '') FROM g JOIN x USING (r)""")
 def j3_copies(spark, sf):
-    s = hourly(spark, sf).withColumns({"label": F.concat_ws("_", "product", F.date_format("center_time", "yyyyMMdd")), "properties": F.create_map(F.lit("datetime"), F.col("center_time").cast("string"))})
-    extra = s.where("product = 'purchase' and id % 97 = 0")
+    s = scenes(spark, sf).withColumn("center_time", F.date_trunc("hour", "center_time")).withColumns({"label": F.concat_ws("_", "product", F.date_format("center_time", "yyyyMMdd")), "properties": F.create_map(F.lit("datetime"), F.col("center_time").cast("string"))})
+    extra = s.where("product = 'purchase'")
     return planner.with_timeless(s.where("product <> 'purchase'"), extra).select("id", "center_time", "region_code", "label")
 
 
@@ -109,12 +110,12 @@ def j9(spark, sf):
     return polygons.tiles_meeting(t, area, spatial.Grid((10.0, 10.0), 1.0))
 
 
-@query("j10_regions", BOXES + """, g AS (SELECT DISTINCT 'x' || x || 'y' || y AS region_code, x * 10.0 AS a, x * 10.0 + 9.5 AS c, y * 10.0 AS b, y * 10.0 + 9.5 AS d FROM f), e AS (SELECT * FROM f WHERE id % 1000 = 3)
-SELECT DISTINCT region_code FROM g JOIN e ON g.a <= e.c AND g.c >= e.a AND g.b <= e.d AND g.d >= e.b""")
+@query("j10_regions", BOXES + """, g AS (SELECT DISTINCT 'x' || x || 'y' || y AS region_code, x * 10.0 AS a, x * 10.0 + 9.5 AS c, y * 10.0 AS b, y * 10.0 + 9.5 AS d FROM f)
+SELECT DISTINCT region_code FROM g JOIN f e ON g.a <= e.c AND g.c >= e.a AND g.b <= e.d AND g.d >= e.b""")
 def j10(spark, sf):
     b = boxes(spark, sf)
     g = b.select(F.format_string("x%dy%d", "x", "y").alias("region_code"), (F.col("x") * 10.0).alias("min_x"), (F.col("x") * 10.0 + 9.5).alias("max_x"), (F.col("y") * 10.0).alias("min_y"), (F.col("y") * 10.0 + 9.5).alias("max_y")).dropDuplicates()
-    return spatial.regions_touched(g, b, "id % 1000 = 3").select("region_code")
+    return spatial.regions_touched(g, b).select("region_code")
 
 
 @query("j12_aligned", OBS + ", a AS (SELECT y, x, max(red) AS red, count(*) AS n FROM obs WHERE fmask <> 1 GROUP BY ALL), b AS (SELECT y, x, min(red) AS red FROM obs WHERE water = 0 GROUP BY ALL) SELECT y, x, a.red AS a_red, b.red AS b_red, n FROM a JOIN b USING (y, x)")
@@ -352,9 +353,58 @@ def k8(spark, sf):
     return streams.messages(monthly(spark, sf).select("period", (F.col("x") - 3).alias("x"), "y").dropDuplicates(), "db")
 
 
+def as_stream(df):
+    """A stream of the frame's rows, from files, a third of them a batch."""
+    spark = df.sparkSession
+    source = folder(spark, "arriving")
+    df.repartition(6).write.parquet(source)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(source)
+
+
 @query("stream_windows", SCENES + " SELECT time_bucket(INTERVAL 1 DAY, center_time)::TIMESTAMP AS start, product, count(*) AS scenes FROM scenes GROUP BY ALL")
 def windows(spark, sf):
-    return streams.scene_windows(scenes(spark, sf)).select(F.col("window.start").alias("start"), "product", "scenes")
+    """A stream that takes the scenes in parts, in any order within the days that a scene may be late."""
+    counts = streams.scene_windows(as_stream(scenes(spark, sf).withColumn("center_time", F.col("center_time").cast("timestamp"))), late="60 days").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "product", "scenes")
+    out, state = folder(spark, "windows"), folder(spark, "state")
+    streams.running(counts, out, state).awaitTermination()
+    return streams.latest(spark, out, ["start", "product"])
+
+
+@query("stream_tasks", SCENES + """, b AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_shipdate + INTERVAL 10 HOUR AS t, (l_suppkey % 5)::INT AS x, (l_suppkey % 3)::INT AS y FROM lineitem),
+p AS (SELECT *, (year(t) - CASE WHEN month(t) < 3 THEN 1 ELSE 0 END)::INT AS yr, [12, 12, 3, 3, 3, 6, 6, 6, 9, 9, 9, 12][month(t)] AS m FROM b)
+SELECT printf('%04d-%02d--P3M', yr, m) AS period, x, y, make_timestamp(yr, m, 1, 0, 0, 0.0) + INTERVAL 3 MONTH AS closes, array_to_string(list_sort(list(DISTINCT id)), ',') AS dataset_ids, count(DISTINCT t::DATE) AS days FROM p GROUP BY ALL""")
+def arriving(spark, sf):
+    """Seasonal tasks whose scenes come in any order over all years."""
+    s = spark.read.parquet(f"{sf}/lineitem.parquet").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_shipdate").cast("timestamp").alias("center_time"), F.lit(10.0).alias("utc_offset"), (F.col("l_suppkey") % 5).cast("int").alias("x"), (F.col("l_suppkey") % 3).cast("int").alias("y"))
+    out, state = folder(spark, "tasks"), folder(spark, "state")
+    streams.running(streams.arriving_tasks(planner.binned(as_stream(s), "seasonal"), "3650 days"), out, state).awaitTermination()
+    return streams.latest(spark, out, ["period", "x", "y"]).select("period", "x", "y", F.col("closes").cast("timestamp_ntz").alias("closes"), F.array_join(F.col("dataset_ids").cast("array<string>"), ",").alias("dataset_ids"), "days")
+
+
+@query("j1_clustered_fuse", SCENES + HOURLY + ", s AS (SELECT id, hour AS center_time, (CAST(region_code AS INT) % 10)::VARCHAR AS region_code, count(*) OVER (PARTITION BY hour, CAST(region_code AS INT) % 10) AS n FROM h) SELECT id, center_time, region_code FROM s WHERE n >= 3")
+def clustered(spark, sf):
+    """Scenes of fused groups, from a table in buckets of time and region; they come in the order of both."""
+    where = folder(spark, "scenes")
+    s = scene_store.write_scenes(hourly(spark, sf), where.rsplit("/", 1)[1].replace("-", "_"), 8, where)
+    groups = planner.fuse_join(s, 2)
+    return scene_store.in_order(s.join(groups.select(*planner.KEY), list(planner.KEY), "left_semi").select("id", "center_time", "region_code"))
+
+
+@query("src3_catalogue", SCENES + """, u AS (SELECT region_code, arg_max({'p': product, 'i': id}, id) AS l, arg_min({'p': product, 'i': id}, id) AS f FROM scenes GROUP BY ALL)
+SELECT region_code || '/' || l.i AS id, l.p AS product, region_code, x * 10.0::DOUBLE AS min_x, y * 10.0::DOUBLE AS max_y FROM u JOIN scenes USING (region_code) WHERE scenes.id = l.i
+UNION ALL SELECT region_code || '/' || f.i, f.p, region_code, x * 10.0::DOUBLE, y * 10.0::DOUBLE FROM u JOIN scenes USING (region_code) WHERE scenes.id = f.i AND f.i < l.i""")
+def catalogue_of_items(spark, sf):
+    """A file a region and its last scene joins one for its first in a catalogue that is brought up to date after each."""
+    from chronocell.sources import catalogue_store
+
+    root, store, s = folder(spark, "items"), folder(spark, "catalogue"), scenes(spark, sf)
+    for which in (F.min_by, F.max_by):
+        one = s.groupBy("region_code").agg(which(F.struct("id", "product", "x", "y"), "id").alias("s"))
+        corner = [F.col("s.x") * 10.0, F.col("s.y") * 10.0 - 3, F.col("s.x") * 10.0 + 12, F.col("s.y") * 10.0]
+        item = F.struct(F.concat_ws("/", "region_code", "s.id").alias("id"), F.col("s.product").alias("collection"), F.array(*corner).alias("bbox"), F.create_map(F.lit("odc:region_code"), F.col("region_code")).alias("properties"))
+        one.select(F.to_json(item).alias("value"), F.col("region_code").alias("region")).repartition("region").write.mode("append").partitionBy("region").text(root)
+        catalogue_store.refresh(spark, root, store, "*.txt")
+    return catalogue_store.scenes(spark, store).select("id", "product", "region_code", "min_x", "max_y")
 
 
 @query("j6_local_offsets", SCENES + " SELECT id, round_even(((x * 25.0 + 12.5 + 180) % 360 - 180) / 15, 0)::DOUBLE AS utc_offset FROM scenes")

@@ -14,7 +14,7 @@ from chronocell.functions.periods import Period
 from chronocell.operators import planner, polygons, spatial
 from chronocell.operators.summaries import resolve
 from chronocell.plans.tasks import FREQUENCY_NAMES, SaveOptions, mosaic, plan_tasks, run_tasks
-from chronocell.sources import catalogue_items, sinks
+from chronocell.sources import catalogue_items, catalogue_store, scene_store, sinks
 
 SAVE_KEYS = {"products", "frequency", "temporal_range", "tiles", "properties", "gqa", "category", "optional", "ignore_time", "grid", "crs"}
 
@@ -23,8 +23,8 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chronocell")
     sub = p.add_subparsers(dest="command", required=True)
     a = sub.add_parser("save-tasks")
-    for name in ("scenes", "output"):
-        a.add_argument(name)
+    a.add_argument("scenes", help="Parquet, the output of generate-cache, or table:NAME")
+    a.add_argument("output")
     a.add_argument("--config")
     a.add_argument("--products")
     a.add_argument("--frequency", choices=FREQUENCY_NAMES)
@@ -51,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--geojson-filter", help="tasks whose tile meets the file's first feature, with all its parts and without its holes")
     a.add_argument("--grid", default="1,1,1", help="tile width,tile height,resolution")
     a.add_argument("--dryrun", action="store_true")
-    a = sub.add_parser("generate-cache")
+    a = sub.add_parser("generate-cache", help="a later call reads what is new or changed")
     for name in ("glob", "output"):
         a.add_argument(name)
     a = sub.add_parser("generate-mosaic")
@@ -82,7 +82,7 @@ def save_tasks(spark: SparkSession, a: argparse.Namespace) -> int:
         print("a grid in metres needs its --crs", file=sys.stderr)
         return 2
     try:
-        binned = plan_tasks(spark.read.parquet(a.scenes), grid, options)
+        binned = plan_tasks(scene_store.source(spark, a.scenes), grid, options)
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
@@ -102,13 +102,13 @@ def run(spark: SparkSession, a: argparse.Namespace, tasks) -> None:
     config = load_config(a.config, spark) if a.config else {}
     tasks = tasks.drop("_nth").dropDuplicates(["period", "x", "y"])  # a task that is chosen twice runs once
     done = sinks.existing(spark, f"{a.output}/_documents") if a.product else sinks.finished(spark, a.output)
-    scenes = spark.read.parquet(a.scenes)
+    scenes = scene_store.source(spark, a.scenes)
     if a.dryrun:
         for r in planner.dry_run(tasks, done, a.overwrite, scenes=scenes).orderBy("period", "x", "y").toLocalIterator():
             print(f"{r.period}/{r.x:+04d}/{r.y:+04d} days={r.days} datasets={r.datasets} {r.state}")
         return
     new = tasks if a.overwrite else planner.pending(tasks, done)
-    result = run_tasks(spark, new, scenes, spark.read.parquet(a.pixels), a.summary, **config)
+    result = run_tasks(spark, new, scenes, scene_store.source(spark, a.pixels), a.summary, **config)
     if a.product:
         sinks.write_outputs(new, result, a.output, a.product, a.location, _grid(a.grid, a.crs), config, [("chronocell", "", resolve(a.summary).name)])
     else:
@@ -143,7 +143,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:  # files are named in order, so a queue that takes them by name keeps it
             publish(tasks.orderBy(*order), a.tasks, a.queue)
     elif a.command == "generate-cache":
-        catalogue_items.read_items(spark, a.glob).write.parquet(a.output)
+        read, gone = catalogue_store.refresh(spark, a.glob, a.output)
+        print(f"{read} items read, {gone} gone")
     elif a.command == "generate-mosaic":
         sinks.write_bands(mosaic(spark.read.parquet(a.results), a.bands.split(","), a.factor), a.output)
     elif a.command == "locate-grids":

@@ -131,6 +131,15 @@ def local_time(t: Column, offset_hours: Column | float = 0.0) -> Column:
     return (t + F.make_dt_interval(secs=F.round(hours * 3600, 0).cast("decimal(18,6)"))).cast("timestamp")
 
 
+def period_end(label: Column | str) -> Column:
+    """The first moment after the period of a label like 2019--P1Y, 2019-12--P3M or 2019-01-05--P10D; NULL for other texts."""
+    c = F.col(label) if isinstance(label, str) else label
+    part = lambda i: F.regexp_extract(c, r"^(\d{4}(?:-\d{2}){0,2})--P(\d+)([YMD])$", i)
+    first = F.concat(part(1), F.when(F.length(part(1)) == 4, "-01-01").when(F.length(part(1)) == 7, "-01").otherwise("")).try_cast("date")
+    n = part(2).try_cast("int")
+    return F.when(part(3) == "D", F.date_add(first, n)).otherwise(F.add_months(first, n * F.when(part(3) == "Y", 12).otherwise(1))).cast("timestamp")
+
+
 def annual_label(t: Column) -> Column:
     return F.concat(F.date_format(t, "yyyy"), F.lit("--P1Y"))
 

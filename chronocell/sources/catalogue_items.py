@@ -22,11 +22,9 @@ def item_globs(root: str, tiles: tuple[tuple[int, int], tuple[int, int]] | None
     return [f"{root.rstrip('/')}/x{x}/y{y}/*" for x in range(*tiles[0]) for y in range(*tiles[1])]
 
 
-def read_items(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.stac-item.json", period: Period | None = None) -> DataFrame:
-    """Catalogue items as scenes; files are chosen by glob, times by the closed period."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    items = spark.read.schema(ITEM).option("multiLine", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).json(paths)
-    scenes = items.select(
+def scene_columns() -> list[Column]:
+    """A scene's columns from an item's."""
+    return [
         "id",
         F.col("collection").alias("product"),
         F.to_timestamp(F.col("properties")["datetime"]).alias("center_time"),
@@ -37,7 +35,14 @@ def read_items(spark: SparkSession, paths: str | Sequence[str], pattern: str = "
         "properties",
         *[F.col("bbox")[i].alias(n) for i, n in enumerate(("min_x", "min_y", "max_x", "max_y"))],
         F.coalesce(geometry_rings("geometry"), F.when(F.size("bbox") == 4, box(*(F.col("bbox")[i] for i in range(4))))).alias("rings"),
-    )
+    ]
+
+
+def read_items(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.stac-item.json", period: Period | None = None) -> DataFrame:
+    """Catalogue items as scenes; files are chosen by glob, times by the closed period."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    items = spark.read.schema(ITEM).option("multiLine", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).json(paths)
+    scenes = items.select(*scene_columns())
     return scenes if period is None else scenes.where(period.covers(F.col("center_time")))
 
 

@@ -1,13 +1,14 @@
-"""Streams: a directory of task files as a queue, and running all-time water counts."""
+"""Streams: a directory of task files as a queue, running counts, and tasks that are planned as their scenes arrive."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chronocell.functions.periods import local_time, period_end
 from chronocell.functions.pixels import divided
 
 MESSAGE = "filedb string, tile_idx string"
@@ -55,24 +56,48 @@ def full_history(annual: DataFrame) -> DataFrame:
     return a.select("y", "x", count("cw").alias("count_wet"), count("cc").alias("count_clear"), divided("cw", "cc").alias("frequency"))
 
 
-def fold_history(annual: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
-    """The running all-time counts of a stream of annual summaries. Each batch's changed pixels go to a folder of their own, which a
-    batch that is tried again replaces; the sums are state under the checkpoint, so a restart goes on where it ended."""
+def running(changed: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    """A stream's aggregates in update mode. Each batch's changed rows go to a folder of their own, which a batch that is tried
+    again replaces; the aggregates are state under the checkpoint, so a restart goes on where it ended."""
 
-    def keep(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    out = full_history(annual).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    out = changed.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
     return (out.trigger(availableNow=True) if poll is None else out.trigger(processingTime=poll)).start()
 
 
+def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last row a key of running()."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last")).select(*keys, "_last.*")
+
+
+def fold_history(annual: DataFrame, path: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    """The running all-time counts of a stream of annual summaries."""
+    return running(full_history(annual), path, checkpoint, poll)
+
+
 def latest_history(spark: SparkSession, path: str) -> DataFrame:
     """Each pixel's last counts of fold_history()."""
-    values = ["count_wet", "count_clear", "frequency"]
-    last = spark.read.parquet(path).groupBy("y", "x").agg(F.max_by(F.struct(*values), "batch").alias("last"))
-    return last.select("y", "x", *[F.col(f"last.{c}").alias(c) for c in values])
+    return latest(spark, path, ["y", "x"])
 
 
 def scene_windows(scenes: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
     """Scenes a product and fixed window as they arrive."""
     return scenes.withWatermark("center_time", late).groupBy(F.window("center_time", width), "product").agg(F.count(F.lit(1)).alias("scenes"))
+
+
+def arriving_tasks(binned: DataFrame, late: str = "2 days") -> DataFrame:
+    """Tasks of a stream of binned tile scenes (period, x, y, id, center_time, utc_offset), with dataset_ids and closes, the
+    end of the period in local time; batch frames give the same rows.
+
+    A task closes once a scene of a period has come that ends later by `late` at least: append mode gives each task once, then;
+    update mode gives it whenever it grows. Scenes of a closed task are left out, and its state goes. A scene that comes twice
+    counts once; one without an id counts for the days only. A task's ids are its state, as they are its row.
+    """
+    day = F.to_date(local_time(F.col("center_time"), F.col("utc_offset")))
+    s = binned.select("period", "x", "y", "id", day.alias("day"), period_end("period").alias("closes")).withWatermark("closes", late)
+    ids = F.array_sort(F.collect_set("id"))
+    return s.groupBy("closes", "period", "x", "y").agg(ids.alias("dataset_ids"), F.array_size(F.collect_set("day")).cast("long").alias("days"))

@@ -7,7 +7,7 @@ from chronocell.functions import parsing
 from chronocell.functions.periods import Period, rolling_rules, season_label, season_rules, single_season_rules
 from chronocell.operators import planner, polygons, spatial
 from chronocell.plans.tasks import SaveOptions, plan_tasks, run_tasks
-from chronocell.sources import catalogue_items, sinks
+from chronocell.sources import catalogue_items, scene_store, sinks
 from chronocell.streaming import tasks as streams
 
 
@@ -309,5 +309,5 @@ def test_local_time_and_finished_tasks_by_command(spark, tmp_path, capsys):
     item = tmp_path / "items" / "x1" / "y2" / "a.stac-item.json"
     item.parent.mkdir(parents=True)
     item.write_text('{"id": "a", "collection": "p", "bbox": [0, 0, 1, 1], "properties": {"datetime": "2019-05-01T00:00:00Z"}, "assets": {}}')
-    assert cli.main(["generate-cache", str(tmp_path / "items"), path("cache")], spark) == 0 and spark.read.parquet(path("cache")).first().id == "a"
+    assert cli.main(["generate-cache", str(tmp_path / "items"), path("cache")], spark) == 0 and scene_store.source(spark, path("cache")).first().id == "a"
     assert cli.main(["save-tasks", path("scenes"), path("none")], spark) == 1 and cli.main(["save-tasks", path("scenes"), path("none"), "--products", "p", "--frequency", "rolling-3months"], spark) == 2
