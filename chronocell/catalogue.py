@@ -459,13 +459,13 @@ def f9(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from chronocell import catalogue_models, catalogue_more, catalogue_space  # noqa: F401  register the rest
+    from chronocell import catalogue_models, catalogue_more, catalogue_runs, catalogue_space  # noqa: F401  register the rest
 
     return dict(Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    from chronocell import catalogue_models, catalogue_more, catalogue_space  # noqa: F401
+    from chronocell import catalogue_models, catalogue_more, catalogue_runs, catalogue_space  # noqa: F401
 
     return dict(SQL)
 
