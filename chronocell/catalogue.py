@@ -168,7 +168,7 @@ GM = ("blue", "green", "red", "nir")
 SMAD, EMAD, BCMAD = deviation_sql(GM)
 
 
-@query("a7_geomedian", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, id * 10 + l_linenumber) FILTER (fmask NOT IN (0, 2, 3)) AS {b}" for b in GM) + f" FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE {' AND '.join(f'{b} IS NOT NULL' for b in GM)}), " + weiszfeld(GM) + f""",
+@query("a7_geomedian", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, (id * 10 + l_linenumber, {b})) FILTER (fmask NOT IN (0, 2, 3)) AS {b}" for b in GM) + f" FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE {' AND '.join(f'{b} IS NOT NULL' for b in GM)}), " + weiszfeld(GM) + f""",
 v AS (SELECT y, x, median({SMAD}) AS smad, median({EMAD}) AS emad, median({BCMAD}) AS bcmad, count(*)::INT AS count FROM d JOIN g USING (y, x) GROUP BY ALL)
 SELECT p.y, p.x, {", ".join(f"round({b}_m, 2) AS {b}" for b in GM)}, round(smad, 6) AS smad, round(emad, 2) AS emad, round(bcmad, 6) AS bcmad, coalesce(count, 0)::INT AS count FROM p LEFT JOIN g USING (y, x) LEFT JOIN v USING (y, x)""")
 def a7(spark, sf):
@@ -184,7 +184,7 @@ def a7_one(spark, sf):
 A8 = ("red", "nir")
 
 
-@query("a8_geomedian_bitmask", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, id * 10 + l_linenumber) FILTER ((water & 1) = 0 AND red > 200 AND nir > 200) AS {b}" for b in A8) + ", bool_or((water & 64) <> 0) AS c FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE NOT c AND red IS NOT NULL AND nir IS NOT NULL), " + weiszfeld(A8) + f""",
+@query("a8_geomedian_bitmask", "RECURSIVE " + OBS + ", k AS (SELECT y, x, solar_day, " + ", ".join(f"arg_min({b}, (id * 10 + l_linenumber, {b})) FILTER ((water & 1) = 0 AND red > 200 AND nir > 200) AS {b}" for b in A8) + ", bool_or((water & 64) <> 0) AS c FROM obs GROUP BY ALL), p AS (SELECT DISTINCT y, x FROM k), d AS (SELECT * FROM k WHERE NOT c AND red IS NOT NULL AND nir IS NOT NULL), " + weiszfeld(A8) + f""",
 v AS (SELECT y, x, median({deviation_sql(A8)[0]}) AS smad, median({deviation_sql(A8)[1]}) AS emad, median({deviation_sql(A8)[2]}) AS bcmad, count(*)::INT AS count FROM d JOIN g USING (y, x) GROUP BY ALL)
 SELECT p.y, p.x, {", ".join(f"coalesce(round_even({b}_m * (0.001::DOUBLE * 100) - 20, 0)::INT, 0) AS {b}" for b in A8)}, round(smad, 6) AS smad, coalesce(round_even(emad * (0.001::DOUBLE * 100), 0)::INT, 0) AS emad, round(bcmad, 6) AS bcmad, coalesce(count, 0)::INT AS count FROM p LEFT JOIN g USING (y, x) LEFT JOIN v USING (y, x)""")
 def a8(spark, sf):
@@ -322,7 +322,7 @@ def r1b(spark, sf):
     return spatial.bilinear(obs(spark, sf).groupBy("y", "x").agg(F.sum("red").cast("double").alias("red")), ["red"], 0.25, 0.5).withColumn("red", F.round("red", 6))
 
 
-@query("u_fusers", OBS + """ SELECT y, x, solar_day, arg_min(red, id * 10 + l_linenumber) FILTER (fmask <> 0) AS red, bool_or(fmask = 2) AS cloud, floor(avg(CASE WHEN fmask <> 0 THEN nir END))::BIGINT AS nir FROM obs GROUP BY ALL""")
+@query("u_fusers", OBS + """ SELECT y, x, solar_day, arg_min(red, (id * 10 + l_linenumber, red)) FILTER (fmask <> 0) AS red, bool_or(fmask = 2) AS cloud, floor(avg(CASE WHEN fmask <> 0 THEN nir END))::BIGINT AS nir FROM obs GROUP BY ALL""")
 def u(spark, sf):
     o = obs(spark, sf).withColumns({"red": F.when(F.col("fmask") != 0, F.col("red")), "nir": F.when(F.col("fmask") != 0, F.col("nir")), "cloud": F.col("fmask") == 2, "time": F.col("id") * 10 + F.col("l_linenumber")})
     return o.groupBy("y", "x", "solar_day").agg(fuse.first_valid("red"), fuse.any_of("cloud"), fuse.mean_int("nir"))

@@ -231,14 +231,14 @@ def a3_cleaned(spark, sf):
     return execute(obs(spark, sf), summaries.PixelQuality({"clear_1_2": STEPS}, 0, (3,), "fmask"))
 
 
-@query("u4_fuse_mixed", OBS + " SELECT y, x, solar_day, arg_min(red, id * 10 + l_linenumber) FILTER (red > 700) AS red, bool_or((water & 64) <> 0) AS cloud_mask FROM obs GROUP BY ALL")
+@query("u4_fuse_mixed", OBS + " SELECT y, x, solar_day, arg_min(red, (id * 10 + l_linenumber, red)) FILTER (red > 700) AS red, bool_or((water & 64) <> 0) AS cloud_mask FROM obs GROUP BY ALL")
 def u4(spark, sf):
     g = geomedian.GeomedianBits(("red",), "water", 64, 0, None, -7.0, 0.01)
     o = obs(spark, sf).withColumn("time", F.col("id") * 10 + F.col("l_linenumber"))
     return g.prepare(o, ["time"]).groupBy("y", "x", "solar_day").agg(*g.fuse())
 
 
-@query("a8_geomedian_bits_one_band", OBS + """, d AS (SELECT y, x, solar_day, arg_min(red, id * 10 + l_linenumber) FILTER ((water & 1) = 0 AND red > 200) AS red, bool_or((water & 64) <> 0) AS c FROM obs GROUP BY ALL),
+@query("a8_geomedian_bits_one_band", OBS + """, d AS (SELECT y, x, solar_day, arg_min(red, (id * 10 + l_linenumber, red)) FILTER ((water & 1) = 0 AND red > 200) AS red, bool_or((water & 64) <> 0) AS c FROM obs GROUP BY ALL),
 v AS (SELECT *, median(red) FILTER (NOT c) OVER (PARTITION BY y, x) AS m FROM d)
 SELECT y, x, coalesce(round_even(any_value(m) * (0.001::DOUBLE * 100) + -0.2::DOUBLE * 100, 0)::INT, 0) AS red, coalesce(round_even((median(abs(red - m)) FILTER (NOT c)) * (0.001::DOUBLE * 100) + 0.0::DOUBLE, 0)::INT, 0) AS emad, (count(red) FILTER (NOT c))::INT AS count FROM v GROUP BY ALL""")
 def a8_one(spark, sf):
@@ -247,7 +247,7 @@ def a8_one(spark, sf):
 
 
 IMAGES = SIX + """, k AS (SELECT *, id * 10 + l_linenumber AS t FROM o),
-i AS (SELECT y, x, l_linenumber AS image, arg_min(blue, t) AS blue, arg_min(green, t) AS green, arg_min(red, t) AS red, arg_min(nir, t) AS nir, arg_min(fmask, t) AS code FROM k GROUP BY ALL), c AS (SELECT *, max(code) OVER (PARTITION BY y, x) = 5 AS chosen FROM i)"""
+i AS (SELECT y, x, l_linenumber AS image, arg_min(blue, (t, blue)) AS blue, arg_min(green, (t, green)) AS green, arg_min(red, (t, red)) AS red, arg_min(nir, (t, nir)) AS nir, arg_min(fmask, (t, fmask)) AS code FROM k GROUP BY ALL), c AS (SELECT *, max(code) OVER (PARTITION BY y, x) = 5 AS chosen FROM i)"""
 
 
 def imaged(spark, sf):

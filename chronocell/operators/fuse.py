@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def first_valid(band: str, time: str = "time") -> Column:
-    """The earliest value that is not missing."""
-    return F.min_by(F.col(band), F.when(F.col(band).isNotNull(), F.col(time))).alias(band)
+    """The earliest value that is not missing; of equally early ones the least."""
+    held = F.col(band).isNotNull() & F.col(time).isNotNull()
+    return F.min(F.when(held, F.struct(F.col(time).alias("t"), F.col(band).alias("v"))))["v"].alias(band)
 
 
 def any_of(flag: str) -> Column:

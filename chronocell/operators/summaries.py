@@ -321,7 +321,7 @@ class VegetationCount(Summary):
         obs = obs.withColumns({"_valid": valid, "_wet": wet})
         obs = obs.withColumn("_wetness", F.when(F.col("_wet") | F.col("_valid"), F.col("_wet").cast("double"))).withColumn("_valid", F.col("_valid") & (F.col("ue") < self.ue))
         obs = obs.withColumns({b: keep(missing(b, self.NODATA).cast("double"), F.col("_valid")) for b in ("pv", "npv", "bs")})
-        first_wet = F.min_by(F.col("_wetness"), F.when(F.col("_wetness").isNotNull(), F.col(time)))
+        first_wet = fusers.first_valid("_wetness", time)
         daily = obs.groupBy(*keys, day).agg(*[F.avg(b).alias(b) for b in ("pv", "npv", "bs")], first_wet.alias("wet"))
         return self.months(daily.groupBy(*keys, F.month(day).alias("month")).agg(*[F.median(b).alias(b) for b in ("pv", "npv", "bs", "wet")]), keys)
 

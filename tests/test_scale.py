@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chronocell.operators import geomedian, morphology, summaries
+from chronocell.operators import fuse, geomedian, morphology, summaries
 
 
 def test_heavy_pixels_are_solved_by_sums_over_all_tasks(spark):
@@ -108,3 +108,11 @@ def test_a_stream_of_years_goes_on_after_a_restart(spark, tmp_path):
     got = streams.latest_history(spark, str(tmp_path / "out"))
     want = streams.full_history(spark.createDataFrame(rows, streams.ANNUAL))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_equal_times_are_settled_by_the_least_value(spark):
+    rows = [(y, t, v) for y, t in ((0, 1), (1, 2)) for v in (None, 9, 4, 7)] + [(0, 2, 1), (1, None, 0), (2, 1, None), (3, None, 5)]
+    want = {0: 4, 1: 4, 2: None, 3: None}
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "y int, time int, v int").coalesce(1)
+        assert {q.y: q.v for q in df.groupBy("y").agg(fuse.first_valid("v")).collect()} == want
