@@ -153,26 +153,46 @@ def _other(covered: DataFrame, keys: Sequence[str]) -> DataFrame:
     return covered.select(*keys, F.col("_j").alias("_oj"), F.col("_i").alias("_oi"), F.col("_s").alias("_t"), F.col("_in").alias("_out"))
 
 
+def _outlines(polygons: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """(keys, name): the digest of each polygon's outline; and (name, rings): each different outline once."""
+    p = polygons.where("rings is not null").withColumn(name, F.unhex(F.sha2(F.to_json("rings"), 256)))
+    return p.select(*keys, name), p.select(name, "rings").dropDuplicates([name])
+
+
+def _meet(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str], cells: Cells, how: str) -> DataFrame:
+    """The keys of the covers that meet, with repeats. Merge joins: a cover grows with outlines that Spark's estimates don't know, so
+    one that counts as small may be too large to go through the driver."""
+    ca, cb, block = cover(a, a_keys, cells), cover(b, b_keys, cells), ["_j", "_l", "_n"]
+    keys = [*a_keys, *b_keys] if how == "inner" else a_keys
+    same = (F.col("_j") == F.col("_oj")) & (F.col("_i") == F.col("_oi"))
+    found = ca.join(_other(cb, b_keys).hint("merge"), same & _cell_meets(cells), how).select(*keys)
+    found = found.unionByName(within_blocks(ca, a_keys).join(blocks(cb, b_keys).hint("merge"), block, how).select(*keys))
+    return found.unionByName(blocks(ca, a_keys).join(within_blocks(cb, b_keys).hint("merge"), block, how).select(*keys))
+
+
+def _repeat(df: DataFrame, keys: Sequence[str]) -> bool:
+    return not df.groupBy(*keys).count().where("count > 1").isEmpty()
+
+
 def meeting(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str], cells: Cells) -> DataFrame:
-    """(a_keys, b_keys) of the polygons that have a point in common, borders included; a row a pair."""
+    """(a_keys, b_keys) of the polygons that have a point in common, borders included; a row a pair.
+
+    Different outlines meet first, each once; their pairs become those of the polygons that have them, without a shuffle of the latter
+    by pair unless keys repeat.
+    """
     if clash := set(a_keys) & set(b_keys):
         raise ValueError(f"both sides have the keys {sorted(clash)}")
-    ca, cb = cover(a, a_keys, cells), cover(b, b_keys, cells)
-    keys, block = [*a_keys, *b_keys], ["_j", "_l", "_n"]
-    same = (F.col("_j") == F.col("_oj")) & (F.col("_i") == F.col("_oi"))
-    found = ca.join(_other(cb, b_keys), same & _cell_meets(cells)).select(*keys)
-    found = found.unionByName(within_blocks(ca, a_keys).join(blocks(cb, b_keys), block).select(*keys))
-    return found.unionByName(within_blocks(cb, b_keys).join(blocks(ca, a_keys), block).select(*keys)).distinct()
+    (ka, oa), (kb, ob) = _outlines(a, a_keys, "_of_a"), _outlines(b, b_keys, "_of_b")
+    found = _meet(oa, ob, ["_of_a"], ["_of_b"], cells, "inner").distinct()
+    out = found.join(kb.hint("merge"), "_of_b").join(ka.hint("merge"), "_of_a").select(*a_keys, *b_keys)
+    return out.distinct() if _repeat(ka, a_keys) or _repeat(kb, b_keys) else out
 
 
 def touched(a: DataFrame, b: DataFrame, a_keys: Sequence[str], cells: Cells) -> DataFrame:
     """The a_keys of polygons that have a point in common with one of b at least. Semi joins: a cell stops at the first that meets."""
-    b = b.select("rings").withColumn("_of", F.monotonically_increasing_id())
-    ca, cb, block = cover(a, a_keys, cells), cover(b, ["_of"], cells), ["_j", "_l", "_n"]
-    same = (F.col("_j") == F.col("_oj")) & (F.col("_i") == F.col("_oi"))
-    found = ca.join(_other(cb, []), same & _cell_meets(cells), "left_semi").select(*a_keys)
-    found = found.unionByName(within_blocks(ca, a_keys).join(blocks(cb, []), block, "left_semi").select(*a_keys))
-    return found.unionByName(blocks(ca, a_keys).join(within_blocks(cb, []), block, "left_semi").select(*a_keys)).distinct()
+    (ka, oa), (_, ob) = _outlines(a, a_keys, "_of_a"), _outlines(b, [], "_of_b")
+    found = _meet(oa, ob, ["_of_a"], ["_of_b"], cells, "left_semi").distinct()
+    return ka.join(found.hint("merge"), "_of_a", "left_semi").select(*a_keys).distinct()
 
 
 def points_within(points: DataFrame, px: str, py: str, polygons: DataFrame, keys: Sequence[str], cells: Cells) -> DataFrame:
@@ -181,9 +201,9 @@ def points_within(points: DataFrame, px: str, py: str, polygons: DataFrame, keys
     p = points.withColumns({"_pi": index(px, cells.x, cells.width), "_pj": index(py, cells.y, cells.height)})
     c = cover(polygons, keys, cells)
     inside = F.expr(_inside(f"`{px}`", f"`{py}`", "_s", "_in", (f"((_pi + 0.5D) * {cells.width}D + {cells.x}D)", f"((_pj + 0.5D) * {cells.height}D + {cells.y}D)")))
-    near = p.join(c, (F.col("_pi") == F.col("_i")) & (F.col("_pj") == F.col("_j")) & inside).select(*points.columns, *keys)
+    near = p.join(c.hint("merge"), (F.col("_pi") == F.col("_i")) & (F.col("_pj") == F.col("_j")) & inside).select(*points.columns, *keys)
     up = within_blocks(p.withColumnsRenamed({"_pi": "_i", "_pj": "_j"}), points.columns)
-    return near.unionByName(up.join(blocks(c, keys), ["_j", "_l", "_n"]).select(*points.columns, *keys))
+    return near.unionByName(up.join(blocks(c, keys).hint("merge"), ["_j", "_l", "_n"]).select(*points.columns, *keys))
 
 
 def _tile_cells(polygons: DataFrame, keys: Sequence[str], cells: Cells, touching: bool) -> tuple[DataFrame, DataFrame]:
@@ -206,6 +226,6 @@ def tiles_meeting(tasks: DataFrame, polygons: DataFrame, grid: Grid, touching: b
     polygons = polygons.select("rings").withColumn("_of", F.monotonically_increasing_id())
     border, c = _tile_cells(polygons, ["_of"], Cells.of(grid), touching)
     tiles = tasks.select("x", "y").distinct().withColumns({"_i": F.col("x").cast("bigint"), "_j": F.col("y").cast("bigint")})
-    found = tiles.join(border, ["_i", "_j"], "left_semi").select("x", "y")
-    found = found.unionByName(within_blocks(tiles, ["x", "y"]).join(blocks(c, []), ["_j", "_l", "_n"], "left_semi").select("x", "y")).distinct()
+    found = tiles.join(border.hint("merge"), ["_i", "_j"], "left_semi").select("x", "y")
+    found = found.unionByName(within_blocks(tiles, ["x", "y"]).join(blocks(c, []).hint("merge"), ["_j", "_l", "_n"], "left_semi").select("x", "y")).distinct()
     return tasks.join(found, ["x", "y"], "left_semi").select(*tasks.columns)

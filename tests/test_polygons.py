@@ -169,3 +169,19 @@ def test_footprints_of_items(spark, tmp_path):
     tiles = spatial.to_tiles(catalogue_items.read_items(spark, str(tmp_path)), spatial.Grid((1.0, 1.0), 0.1))
     of = lambda i: {(r.x, r.y) for r in tiles.collect() if r.id == i}
     assert of("a") == {(x, y) for x in range(4) for y in range(4) if x <= y} and len(of("b")) == 16  # without a geometry, the box
+
+
+def test_covers_never_go_through_the_driver_and_repeats_meet_once(spark, tmp_path):
+    box = lambda x, y, w: [[(x, y), (x + w, y), (x + w, y + w), (x, y + w)]]
+    a = [(1, box(0.0, 0.0, 9.0)), (2, box(0.0, 0.0, 9.0)), (3, box(50.0, 0.0, 1.0)), (4, None), (5, []), (1, box(2.0, 2.0, 3.0))]
+    b = [(7, box(4.0, 4.0, 1.0)), (8, box(4.0, 4.0, 1.0)), (8, box(4.0, 4.0, 1.0)), (9, box(200.0, 0.0, 1.0)), (None, box(4.0, 4.0, 1.0))]
+    for k, rows in (("p", a), ("q", b)):  # files, as only their sizes are estimated as small
+        spark.createDataFrame(rows, f"{k} int, rings {polygons.RINGS}").write.parquet(str(tmp_path / k))
+    a, b = (spark.read.parquet(str(tmp_path / k)) for k in "pq")
+    pairs, hit = polygons.meeting(a, b, ["p"], ["q"], polygons.Cells(2.0, 2.0)), polygons.touched(a, b, ["p"], polygons.Cells(2.0, 2.0))
+    assert sorted(map(str, pairs.collect())) == sorted(f"Row(p={p}, q={q})" for p in (1, 2) for q in (7, 8, None))
+    assert sorted(q.p for q in hit.collect()) == [1, 2]
+    points = spark.createDataFrame([(4.5, 4.5)], "x double, y double")
+    for df in (pairs, hit, polygons.points_within(points, "x", "y", b, ["q"], polygons.Cells(2.0, 2.0))):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
