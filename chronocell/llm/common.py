@@ -6,9 +6,11 @@ ASCII digits and bytes of non-ASCII characters; everything else separates.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -69,6 +71,33 @@ def release(*frames: DataFrame) -> None:
             own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Whole texts go to Python in batches of so many rows in the actions inside; a batch is held on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function for mapInArrow that gives freed memory back at its end, as its worker waits for further tasks with what it holds."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+                trim(0)
+
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronocell.llm.common import durable, mix64, release, row_slices, shingles
+from chronocell.llm.common import SLICE, durable, mix64, release, row_slices, shingles, short_batches, tidy
 
 K = 5
 LEAST = 0.8
@@ -83,10 +83,10 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         for b in batches:
             n += b.num_rows
             part = b.column("part")[0].as_py() if b.num_rows else part
-            for lo, hi in row_slices(b.column("text")):
+            for lo, hi in row_slices(b.column("text"), SLICE):
                 h, row = shingles(b.column("text").slice(lo, hi - lo), K)
                 key = np.unique((row.astype(np.uint64) << _U(DF_BITS)) | (h >> _U(64 - DF_BITS)))
-                df += np.bincount((key & _U((1 << DF_BITS) - 1)).astype(np.int64), minlength=1 << DF_BITS)
+                np.add.at(df, (key & _U((1 << DF_BITS) - 1)).astype(np.int64), 1)
         if n:
             blocks = [zlib.compress(x.tobytes(), 1) for x in df.reshape(DF_BLOCKS, size)]
             yield pa.record_batch({"block": pa.array([*range(DF_BLOCKS), -1], pa.int32()), "part": pa.array([part] * (DF_BLOCKS + 1), pa.int32()), "n": pa.array([0] * DF_BLOCKS + [n], pa.int64()), "counts": pa.array([*blocks, b""], pa.binary())})
@@ -99,7 +99,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         return pa.table({"block": t.column("block")[:1], "part": pa.array([0], pa.int32()), "n": pa.array([sum(t.column("n").to_pylist())], pa.int64()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     kind = "block int, part int, n long, counts binary"
-    parts = docs.select("text", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")).mapInArrow(count, kind)
+    parts = docs.select("text", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")).mapInArrow(tidy(count), kind)
     rows = parts.groupBy("block", "part").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()  # 65 rows, 4 MB at most
     df = np.zeros((DF_BLOCKS, size), np.int64)
     for r in rows:
@@ -237,15 +237,16 @@ def rare_weights(texts: DataFrame, idf) -> tuple[DataFrame, DataFrame]:
     A shingle is rare if one or two of the texts hold it, so count, least and greatest holder tell all of it:
     every step is a sum that tasks prepare, however many texts hold a shingle.
     """
-    found = texts.select("node", "text").mapInArrow(_postings(idf), "shingle long, node long, w double")
+    found = texts.select("node", "text").mapInArrow(tidy(_postings(idf)), "shingle long, node long, w double")
     held = F.struct("node", "w")
     by = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(held).alias("x"), F.max(held).alias("y")).where("n <= 2")
     alone = lambda s: F.struct(F.col(f"{s}.node").alias("a"), F.lit(None).cast("long").alias("b"), F.col(f"{s}.w").alias("w"))
     both = F.struct(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.w", "y.w").alias("w"))
     rows = by.select(F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int").alias("part"), F.explode(F.when(F.col("n") == 1, F.array(alone("x"))).otherwise(F.array(alone("x"), alone("y"), both))).alias("r"))
-    rows = durable(rows.select("part", "r.*").groupBy("a", "b", "part").agg(F.sum("w").alias("w")))
+    with short_batches(texts.sparkSession):
+        rows = durable(rows.select("part", "r.*").groupBy("a", "b", "part").agg(F.sum("w").alias("w")))
     rare = rows.where("b is null").groupBy("a").agg(F.map_from_entries(F.collect_list(F.struct("part", "w"))).alias("rare"))  # PARTS entries at most
-    of = texts.select("node", "text").mapInArrow(_part_weights(idf), "node long, whole double, parts array<double>")
+    of = texts.select("node", "text").mapInArrow(tidy(_part_weights(idf)), "node long, whole double, parts array<double>")
     of = of.join(rare.withColumnRenamed("a", "node"), "node", "left")
     less = F.transform("parts", lambda x, i: F.greatest(x - F.coalesce(F.element_at("rare", i), F.lit(0.0)), F.lit(0.0)).cast("float"))
     left = of.select("node", "whole", less.alias("parts")).withColumn("left", F.aggregate("parts", F.lit(0.0), lambda t, x: t + x))
@@ -316,13 +317,15 @@ def _judged(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     doc_id, text, digest = _identity()
     d = docs.select(doc_id.alias("doc_id"), text.alias("text"), digest.alias("digest"))
-    df, n = document_frequencies(d)
+    with short_batches(spark):
+        df, n = document_frequencies(d)
     idf = spark.sparkContext.broadcast(idf_table(df, n))  # 8 MB whatever the input
-    sketched = durable(d.mapInArrow(_sketches(idf), "doc_id long, digest binary, sketch binary"))
+    with short_batches(spark):
+        sketched = durable(d.mapInArrow(tidy(_sketches(idf)), "doc_id long, digest binary, sketch binary"))
     one = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch"))
     nodes = durable(one.withColumn("node", F.monotonically_increasing_id()))  # numbers hold from here on, as they are written
 
-    bands = nodes.where("sketch is not null").select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
+    bands = nodes.where("sketch is not null").select("node", "sketch").mapInArrow(tidy(_bands), "bucket long, node long")
     shared = durable(bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("bucket", "leader"))
     members = durable(bands.join(shared, "bucket").select("bucket", "node", "leader"))
     release(shared)
@@ -336,9 +339,10 @@ def _judged(docs: DataFrame) -> DataFrame:
         p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").dropDuplicates()
         s = nodes.select("node", "sketch")
         p = p.join(s.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(s.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-        p = durable(p.mapInArrow(_agree, "a long, b long"))
+        p = durable(p.mapInArrow(tidy(_agree), "a long, b long"))
         both = p.join(pool.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(pool.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        out = durable(both.mapInArrow(_verify(idf), "a long, b long"))
+        with short_batches(spark):
+            out = durable(both.mapInArrow(tidy(_verify(idf)), "a long, b long"))
         release(p)
         return out
 
@@ -359,7 +363,8 @@ def _judged(docs: DataFrame) -> DataFrame:
     if not own.where("label <> first").isEmpty():
         texts = durable(pool.join(own.select("node").dropDuplicates(), "node", "left_semi"))
         left, twos = rare_weights(texts, idf)
-        left = durable(left)
+        with short_batches(spark):
+            left = durable(left)
         every = lambda c: left.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("whole", "left", "parts")))
         twos = twos.join(every("a"), "a").join(every("b"), "b").where(_possible("_a", "_b", F.col("w"))).select("a", "b")
         in_bucket = lambda c: own.select(F.col("node").alias(c), "bucket")

@@ -569,3 +569,15 @@ def test_pipeline_run_against_plain_loops(spark, tmp_path):
     spark.read.parquet(str(tmp_path / "documents.parquet")).where("false").write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.read.parquet(str(tmp_path / "labels.parquet")).where("false").write.parquet(str(tmp_path / "none" / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_texts_go_in_short_batches_and_memory_is_given_back(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with common.short_batches(spark):
+        sizes = spark.range(2500).coalesce(1).mapInArrow(common.tidy(lambda bs: (pa.record_batch({"n": pa.array([b.num_rows])}) for b in bs)), "n long").collect()
+    assert spark.conf.get(name) == before and max(r.n for r in sizes) == 1000 and sum(r.n for r in sizes) == 2500
+    seen = []
+    monkeypatch.setattr(neardup, "durable", lambda df, *a, **k: (seen.append((spark.conf.get(name), [f.name for f in df.schema])), common.durable(df, *a, **k))[1])
+    neardup.classes(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string")).collect()
+    assert next(n for n, columns in seen if "sketch" in columns) == "1000" and spark.conf.get(name) == before
