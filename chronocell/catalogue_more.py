@@ -354,11 +354,11 @@ def k8(spark, sf):
 
 
 def as_stream(df):
-    """A stream of the frame's rows, from files, a third of them a batch."""
+    """A stream of the frame's rows, from files, a third of them a batch: a file a core, as small files are not split."""
     spark = df.sparkSession
-    source = folder(spark, "arriving")
-    df.repartition(6).write.parquet(source)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    source, cores = folder(spark, "arriving"), max(2, spark.sparkContext.defaultParallelism)
+    df.repartition(3 * cores).write.parquet(source)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", cores).parquet(source)
 
 
 @query("stream_windows", SCENES + " SELECT time_bucket(INTERVAL 1 DAY, center_time)::TIMESTAMP AS start, product, count(*) AS scenes FROM scenes GROUP BY ALL")

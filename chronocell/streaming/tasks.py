@@ -99,5 +99,5 @@ def arriving_tasks(binned: DataFrame, late: str = "2 days") -> DataFrame:
     """
     day = F.to_date(local_time(F.col("center_time"), F.col("utc_offset")))
     s = binned.select("period", "x", "y", "id", day.alias("day"), period_end("period").alias("closes")).withWatermark("closes", late)
-    ids = F.array_sort(F.collect_set("id"))
+    ids = F.sort_array(F.collect_set("id"))  # array_sort calls a comparator for each pair it compares
     return s.groupBy("closes", "period", "x", "y").agg(ids.alias("dataset_ids"), F.array_size(F.collect_set("day")).cast("long").alias("days"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chronocell import catalogue_more
 from chronocell.operators import fuse, geomedian, morphology, summaries
 
 
@@ -116,3 +117,9 @@ def test_equal_times_are_settled_by_the_least_value(spark):
     for order in (rows, rows[::-1]):
         df = spark.createDataFrame(order, "y int, time int, v int").coalesce(1)
         assert {q.y: q.v for q in df.groupBy("y").agg(fuse.first_valid("v")).collect()} == want
+
+
+def test_a_batch_of_a_stream_has_a_file_a_core(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue_more, "folder", lambda *_: str(tmp_path / "source"))
+    catalogue_more.as_stream(spark.range(100).toDF("id"))
+    assert len(list((tmp_path / "source").glob("*.parquet"))) == 3 * spark.sparkContext.defaultParallelism
