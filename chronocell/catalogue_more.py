@@ -394,7 +394,7 @@ def clustered(spark, sf):
 SELECT region_code || '/' || l.i AS id, l.p AS product, region_code, x * 10.0::DOUBLE AS min_x, y * 10.0::DOUBLE AS max_y FROM u JOIN scenes USING (region_code) WHERE scenes.id = l.i
 UNION ALL SELECT region_code || '/' || f.i, f.p, region_code, x * 10.0::DOUBLE, y * 10.0::DOUBLE FROM u JOIN scenes USING (region_code) WHERE scenes.id = f.i AND f.i < l.i""")
 def catalogue_of_items(spark, sf):
-    """A file a region and its last scene joins one for its first in a catalogue that is brought up to date after each."""
+    """Files of the regions' last scenes join those of their first ones in a catalogue that is brought up to date after each."""
     from chronocell.sources import catalogue_store
 
     root, store, s = folder(spark, "items"), folder(spark, "catalogue"), scenes(spark, sf)
@@ -402,8 +402,8 @@ def catalogue_of_items(spark, sf):
         one = s.groupBy("region_code").agg(which(F.struct("id", "product", "x", "y"), "id").alias("s"))
         corner = [F.col("s.x") * 10.0, F.col("s.y") * 10.0 - 3, F.col("s.x") * 10.0 + 12, F.col("s.y") * 10.0]
         item = F.struct(F.concat_ws("/", "region_code", "s.id").alias("id"), F.col("s.product").alias("collection"), F.array(*corner).alias("bbox"), F.create_map(F.lit("odc:region_code"), F.col("region_code")).alias("properties"))
-        one.select(F.to_json(item).alias("value"), F.col("region_code").alias("region")).repartition("region").write.mode("append").partitionBy("region").text(root)
-        catalogue_store.refresh(spark, root, store, "*.txt")
+        one.select(F.to_json(item).alias("value")).write.mode("append").option("maxRecordsPerFile", 10_000).text(root)
+        catalogue_store.refresh(spark, root, store, "*.txt", lines=True)
     return catalogue_store.scenes(spark, store).select("id", "product", "region_code", "min_x", "max_y")
 
 

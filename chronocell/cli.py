@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     a = sub.add_parser("generate-cache", help="a later call reads what is new or changed")
     for name in ("glob", "output"):
         a.add_argument(name)
+    a.add_argument("--lines", action="store_true", help="files have an item a line")
     a = sub.add_parser("generate-mosaic")
     for name in ("results", "output", "bands"):
         a.add_argument(name)
@@ -143,8 +144,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:  # files are named in order, so a queue that takes them by name keeps it
             publish(tasks.orderBy(*order), a.tasks, a.queue)
     elif a.command == "generate-cache":
-        read, gone = catalogue_store.refresh(spark, a.glob, a.output)
-        print(f"{read} items read, {gone} gone")
+        read, gone = catalogue_store.refresh(spark, a.glob, a.output, lines=a.lines)
+        print(f"{read} files read, {gone} gone")
     elif a.command == "generate-mosaic":
         sinks.write_bands(mosaic(spark.read.parquet(a.results), a.bands.split(","), a.factor), a.output)
     elif a.command == "locate-grids":

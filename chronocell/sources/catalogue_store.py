@@ -4,7 +4,9 @@ A refresh lists all files (path, time and length; no content) and compares them
 what the N-th refresh found: the scene of each new or changed file, and the paths that are gone. A batch counts once it is
 whole, and the next refresh takes the place of one that is not, so a refresh can be stopped and started again at any time; two
 at once are not meant to be. Files that are no item documents are known, so they are not read again, but give no scene; empty files count as absent. Of
-files with one id the newest gives the scene, of equally new ones the one with the last path.
+files with one id the newest gives the scene, of equally new ones the one with the last path, of a file's lines with one id the last.
+
+A listing goes through the driver, as Spark's always do, so files should not be as many as items: with lines, a file has an item a line.
 """
 
 from __future__ import annotations
@@ -41,30 +43,34 @@ def known(spark: SparkSession, store: str) -> DataFrame | None:
     whole = batches(spark, store)
     if not whole:
         return None
-    rows = spark.read.option("basePath", store).parquet(*[f"{store}/batch={n}" for n in whole])
+    rows = spark.read.option("basePath", store).option("mergeSchema", True).parquet(*[f"{store}/batch={n}" for n in whole])
+    rows = rows if "line" in rows.columns else rows.withColumn("line", F.lit(0))  # a store from before there were lines
     last = rows.groupBy("path").agg(F.max("batch").alias("batch"))
     return rows.join(last, ["path", "batch"], "left_semi").where("not gone")
 
 
-def refresh(spark: SparkSession, globs: str | Sequence[str], store: str, pattern: str = "*.stac-item.json") -> tuple[int, int]:
+def refresh(spark: SparkSession, globs: str | Sequence[str], store: str, pattern: str = "*.stac-item.json", lines: bool = False) -> tuple[int, int]:
     """Brings the store up to date with all files under the globs; how many files were read, and how many paths are gone.
 
-    Only the span of the new and changed files' times goes through the driver: the reader opens no file outside it.
+    A file is one item, or with lines an item a line. Only the span of the new and changed files' times goes through the driver: the reader opens no file outside it.
     """
     now, old, whole = listing(spark, globs, pattern), known(spark, store), batches(spark, store)
     found = now.select(*FILE)
     changed = found if old is None else found.join(old.select(*FILE), FILE, "left_anti")
     span = changed.agg(F.min("modified").alias("low"), F.max("modified").alias("high")).first()
     fresh = now.where(F.col("modified").between(F.lit(span.low), F.lit(span.high))).join(changed.select("path"), "path", "left_semi")
-    item = fresh.select(*FILE, F.from_json(F.decode("content", "utf-8"), ITEM).alias("item"))
-    rows = item.select(*FILE, F.lit(False).alias("gone"), "item.*").select(*FILE, "gone", *scene_columns())
+    text = F.decode("content", "utf-8")
+    documents = fresh.select(*FILE, F.posexplode(F.split(text, "\n") if lines else F.array(text)).alias("line", "text"))
+    documents = documents.where((F.col("line") == 0) | (F.trim("text", F.lit(" \t\r")) != ""))  # a file without items is known by its first line
+    item = documents.select(*FILE, "line", F.from_json("text", ITEM).alias("item"))
+    rows = item.select(*FILE, "line", F.lit(False).alias("gone"), "item.*").select(*FILE, "line", "gone", *scene_columns())
     if old is not None:
-        rows = rows.unionByName(old.select("path", F.lit(True).alias("gone")).join(found.select("path"), "path", "left_anti"), allowMissingColumns=True)
+        rows = rows.unionByName(old.select("path", F.lit(True).alias("gone")).dropDuplicates().join(found.select("path"), "path", "left_anti"), allowMissingColumns=True)
         if span.low is None and rows.where("gone").isEmpty():
             return 0, 0
     batch = f"{store}/batch={max(whole, default=-1) + 1}"
     rows.write.mode("overwrite").option("compression", "zstd").parquet(batch)
-    n = spark.read.parquet(batch).agg(F.count_if(~F.col("gone")), F.count_if("gone")).first()
+    n = spark.read.parquet(batch).agg(F.count_if(~F.col("gone") & (F.col("line") == 0)), F.count_if("gone")).first()
     return n[0], n[1]
 
 
@@ -73,5 +79,5 @@ def scenes(spark: SparkSession, store: str) -> DataFrame:
     rows = known(spark, store)
     if rows is None:
         raise ValueError(f"no whole batch in {store}")
-    newest = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("modified"), F.desc("path")))
-    return rows.where("id is not null").withColumn("_nth", newest).where("_nth = 1").drop("_nth", "batch", "gone", *FILE)
+    newest = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("modified"), F.desc("path"), F.desc("line")))
+    return rows.where("id is not null").withColumn("_nth", newest).where("_nth = 1").drop("_nth", "batch", "gone", "line", *FILE)

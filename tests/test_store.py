@@ -108,6 +108,40 @@ def test_only_new_files_are_opened(spark, tmp_path):
     assert sorted(r.id for r in catalogue_store.scenes(spark, store).collect()) == ["i0", "i1"]
 
 
+def test_a_file_has_an_item_a_line(spark, tmp_path):
+    items, store = tmp_path / "items", str(tmp_path / "store")
+    update = lambda: catalogue_store.refresh(spark, str(items), store, lines=True)
+    now = lambda: sorted((r.id, r["product"]) for r in catalogue_store.scenes(spark, store).collect())
+    text = lambda *ids: "\n".join(json.dumps({"id": i, "collection": p}) for i, p in ids)
+    put(items, "a", "", 1_600_000_000, text=text(("i0", "p"), ("i1", "p"), ("i1", "q")) + "\r\n \n{no json\n")
+    put(items, "b", "", 1_600_000_001, text="\n\n" + text(("i2", "p"), ("i3", "p")))
+    put(items, "none", "", 1_600_000_002, text=" \n\n")
+    assert update() == (3, 0) and now() == [("i0", "p"), ("i1", "q"), ("i2", "p"), ("i3", "p")]
+    assert update() == (0, 0)
+    put(items, "b", "", 1_700_000_000, text=text(("i3", "z"), ("i4", "p")))  # i2 is gone from its file
+    put(items, "c", "", 1_700_000_001, text=text(("i0", "z")))
+    assert update() == (2, 0) and now() == [("i0", "z"), ("i1", "q"), ("i3", "z"), ("i4", "p")]
+    (items / "a.stac-item.json").unlink()
+    assert update() == (0, 1) and now() == [("i0", "z"), ("i3", "z"), ("i4", "p")]
+    store, before = str(tmp_path / "before"), spark.read.parquet(f"{store}/batch=1").where("id <> 'i3'").drop("line")
+    before.write.parquet(f"{store}/batch=0")  # of a release that knew no lines
+    assert now() == [("i0", "z"), ("i4", "p")]
+    put(items, "b", "", 1_700_000_002, text=text(("i5", "p"), ("i6", "p")))
+    assert update() == (2, 0) and now() == [("i0", "z"), ("i5", "p"), ("i6", "p")]  # b, and the file without items, which batch 1 does not have
+
+
+def test_files_of_the_catalogue_do_not_grow_with_the_regions(spark, tmp_path, monkeypatch):
+    from chronocell import catalogue_more
+
+    made = lambda _, kind: str(tmp_path / kind)
+    monkeypatch.setattr(catalogue_more, "folder", made)
+    events = spark.range(400).selectExpr("id AS event_id", "'p' AS event_type", "timestamp'2019-05-01' AS ts", "id % 150 AS user_id")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    out = catalogue_more.catalogue_of_items(spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in out) == sorted([f"{i}/{i}" for i in range(150)] + [f"{i}/{i + (300 if i < 100 else 150)}" for i in range(150)])
+    assert len(list((tmp_path / "items").rglob("*.txt"))) <= 2 * 4
+
+
 @pytest.mark.parametrize("text", ["2019--P1Y", "2019-12--P3M", "2019-01-05--P10D", "2020-02--P1M", "2019-07--P12M", "2020--P3Y"])
 def test_ends_of_periods(spark, text):
     import datetime as dt
