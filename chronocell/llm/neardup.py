@@ -17,9 +17,10 @@ other classes to each bucket's leader. Texts of buckets that still hold several
 shingles, those that one or two of these texts hold, tell what a text can share with others at most. Pairs of a bucket
 with a rare shingle in common are listed from the shingles; any other pair shares no more than the lesser of what is
 left of the two texts in each of PARTS hash parts, so a text whose rare shingles weigh over 1 - LEAST of it has no
-further partner, and a pair under the bound is not near. Members left over become pivots (16, then 256, ... a bucket)
-and meet the members of other classes that the bound lets through, until every pair of a bucket is in one class,
-excluded by the bound, or compared. Only texts that are alike but not near (a family of templates) come that far;
+further partner, and a pair under the bound is not near. Members left over become pivots (about 16, then 256, ... a bucket,
+by hash) and meet the members of other classes that the bound lets through, until every pair of a bucket is in one class,
+excluded by the bound, or compared. Only members outside the class of a bucket's least node need be pivots, and a
+round has only the buckets that still have some, so a member is listed as often as its bucket's size has factors of 16. Only texts that are alike but not near (a family of templates) come that far;
 there the pairs that the bound cannot exclude are compared one by one, as nothing short of that is exact.
 Classes are the connected components, by repeated least labels with durable tables between steps; new pairs
 only join classes, so each later step is over the classes that they touch. Tables are deleted once the next is written.
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronocell.llm.common import SLICE, durable, mix64, release, row_slices, shingles, short_batches, tidy
@@ -347,20 +348,25 @@ def _judged(docs: DataFrame) -> DataFrame:
         return out
 
     def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
-        """members of the buckets that hold several classes, with their class and that of the bucket's leader."""
-        own = members.join(label.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("bucket")
-        leads = label.select(F.col("node").alias("leader"), F.col("label").alias("first"))
-        return durable(own.join(mixed, "bucket").join(leads, "leader", "left").withColumn("first", F.coalesce("first", "leader")))
+        """members with their class."""
+        return members.join(label.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def mixed(own: DataFrame) -> DataFrame:
+        """The buckets that hold several classes, with that of their least node, which stays one class as classes are joined."""
+        by = own.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.min_by("label", "node").alias("first"))
+        return by.where("l <> m").select(F.col("bucket").alias("_bucket"), "first")
+
+    def outside(own: DataFrame) -> DataFrame:
+        """The members of other classes than their bucket's least node."""
+        return own.join(mixed(own), (F.col("bucket") == F.col("_bucket")) & (F.col("label") != F.col("first"))).drop("_bucket", "first")
 
     edges = tested(members.groupBy("node").agg(F.min("leader").alias("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     label = components(edges)
+    label = joined(label, tested(outside(labelled(members, label)).select(F.col("leader").alias("a"), F.col("node").alias("b"))))
     own = labelled(members, label)
+    own = durable(own.join(mixed(own).select(F.col("_bucket").alias("bucket")), "bucket", "left_semi").drop("label"))
     release(members)
-    label = joined(label, tested(own.where("label <> first").select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-    members, own = own, labelled(own.drop("label", "first"), label)
-    release(members)
-    if not own.where("label <> first").isEmpty():
+    if not own.isEmpty():
         texts = durable(pool.join(own.select("node").dropDuplicates(), "node", "left_semi"))
         left, twos = rare_weights(texts, idf)
         with short_batches(spark):
@@ -372,24 +378,29 @@ def _judged(docs: DataFrame) -> DataFrame:
         label = joined(label, tested(twos))
         release(texts)
         members = durable(own.select("bucket", "leader", "node").join(left.where(F.col("left") >= F.lit(LEAST - 1e-6) * F.col("whole")), "node"))
-        used, pivots, own = None, 16, labelled(members, label)
-        while not own.where("label <> first").isEmpty():
-            rest = own.where("label <> first").select("bucket", "node", "label", "left", "whole", "parts")
+        used, pivots = None, 16
+        while not members.isEmpty():
+            now = labelled(members, label)
+            rest = outside(now)
             if used is not None:
                 rest = rest.join(used, ["bucket", "node"], "left_anti")
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            now = rest.withColumn("_r", rank).where(F.col("_r") <= pivots).drop("_r")
-            now = durable(now.select("bucket", F.col("node").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("label", "left", "whole", "parts"))))
-            if now.isEmpty():
+            rest = durable(rest)
+            if rest.isEmpty():
+                release(rest)
                 break
+            many = durable(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > pivots))
+            chosen = rest.join(many, "bucket", "left").where(F.col("n").isNull() | (F.pmod(F.xxhash64("node", F.lit(pivots)), "n") < pivots))
+            chosen = durable(chosen.select("bucket", F.col("node").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("label", "left", "whole", "parts"))))
             on = (F.col("label") != F.col("label_p")) & (F.col("node") != F.col("leader")) & _possible("", "_p")
-            pairs = own.withColumnRenamed("bucket", "_bucket").join(now, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            mine = now.select("bucket", F.col("pivot").alias("node"))
-            used = durable(mine if used is None else used.union(mine))
-            label = joined(label, tested(pairs))
-            release(now, own)
-            own = labelled(members, label)
-            pivots = min(16 * pivots, 1000)  # so many that Spark ranks them before it shuffles
+            pairs = now.withColumnRenamed("bucket", "_bucket").join(chosen, (F.col("_bucket") == F.col("bucket")) & on).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+            near = tested(pairs)
+            mine = chosen.select("bucket", F.col("pivot").alias("node"))
+            before, used = used, durable((mine if used is None else used.union(mine)).join(many, "bucket", "left_semi"))
+            label = joined(label, near)
+            smaller = durable(members.join(many, "bucket", "left_semi"))  # of the others, all have been pivots
+            release(rest, chosen, many, members, *([before] if before is not None else []))
+            members, pivots = smaller, 16 * pivots
+        release(members, *([used] if used is not None else []))
 
     release(pool, own)
     of = nodes.join(label.select("node", "label"), "node", "left").select("digest", "rep", "copies", F.coalesce("label", "node").alias("label"))

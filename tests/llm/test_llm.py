@@ -172,6 +172,27 @@ def test_variants_of_one_text_equal_brute_force(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == dict(enumerate(label))
 
 
+def test_rounds_of_pivots_list_only_buckets_that_are_open(spark, monkeypatch):
+    """Templates that are alike and mostly not near: members of buckets that are done are not listed again."""
+    rng, texts, listed, durable = np.random.default_rng(17), [], [], neardup.durable
+    for i in range(600):
+        t = [f"w{k}" for k in range(300)]
+        for at in rng.choice(60, 4 + i % 3, replace=False):
+            t[5 * at] = f"e{rng.integers(0, 1)}"
+        texts.append(" ".join(t))
+
+    def counting(df, *args, **named):
+        out = durable(df, *args, **named)
+        if {"bucket", "node", "leader"} <= set(out.columns):
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "durable", counting)
+    found = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert 1 < len({r.class_id for r in found}) < 600
+    assert len(listed) > 4 and sum(listed) < 3.2 * listed[0]
+
+
 def test_consistent_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     h = np.sort(rng.integers(1, 1 << 63, 4000, dtype=np.uint64))
